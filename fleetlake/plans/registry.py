@@ -36,4 +36,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules whose import registers queries."""
-    from fleetlake.plans import queries, queries_drift, queries_linkage  # noqa: F401
+    from fleetlake.plans import queries, queries_drift, queries_linkage, queries_validate  # noqa: F401

@@ -158,6 +158,14 @@ class Fixture:
     def heartbeats(self) -> DataFrame:
         return heartbeats(self.events)
 
+    @property
+    def telemetry_messages(self) -> DataFrame:
+        return telemetry_messages(self.telemetry_n)
+
+    @property
+    def manifest_messages(self) -> DataFrame:
+        return manifest_messages(blob_index(self.telemetry_n, keep_n=True))
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -230,3 +238,53 @@ def duckdb_with(body: str, extra_ctes: str = "") -> str:
     if extra_ctes.strip():
         ctes = ctes + ",\n" + extra_ctes.strip()
     return f"WITH {ctes}\n{body.strip()}"
+
+
+# ---------------------------------------------------------------------------
+# Wire messages: the fixture rows serialised as JSON, as a topic would carry
+# them, with structural faults the typed tables cannot hold.
+# ---------------------------------------------------------------------------
+def telemetry_messages(telx: DataFrame) -> DataFrame:
+    """``value`` (JSON text) per telemetry row, plus helper ``n``.
+
+    n % 223 == 0: event_id absent; n % 199 == 0: non-numeric edge time;
+    n % 211 == 0: truncated (broken) JSON.
+    """
+    from fleetlake.schemas import TELEMETRY_SCHEMA
+
+    n = F.col("n")
+    fields = [
+        F.when(F.pmod(n, F.lit(223)) == 0, F.lit(None).cast("string")).otherwise(F.col("event_id")).alias("event_id")
+        if f.name == "event_id"
+        else F.col(f.name)
+        for f in TELEMETRY_SCHEMA.fields
+    ]
+    js = F.to_json(F.struct(*fields))
+    js = F.when(
+        F.pmod(n, F.lit(199)) == 0,
+        F.regexp_replace(js, '"event_ts_edge_ms":-?[0-9]+', '"event_ts_edge_ms":"not-a-number"'),
+    ).otherwise(js)
+    js = F.when(F.pmod(n, F.lit(211)) == 0, F.substring(js, 1, 40)).otherwise(js)
+    return telx.select(js.alias("value"), n)
+
+
+def manifest_messages(blob: DataFrame) -> DataFrame:
+    """``value`` per blob-index row, plus ``n``.
+
+    n % 13 == 0: unknown media type; n % 17 == 0: 63-char checksum;
+    n % 19 == 0: http:// URI; n % 29 == 0: checksum absent.
+    """
+    from fleetlake.schemas import MANIFEST_SCHEMA
+
+    n = F.col("n")
+    over = {
+        "media_type": F.when(F.pmod(n, F.lit(13)) == 0, F.lit("thermal")).otherwise(F.col("media_type")),
+        "checksum_sha256": F.when(F.pmod(n, F.lit(29)) == 0, F.lit(None).cast("string"))
+        .when(F.pmod(n, F.lit(17)) == 0, F.substring("checksum_sha256", 1, 63))
+        .otherwise(F.col("checksum_sha256")),
+        "blob_uri": F.when(F.pmod(n, F.lit(19)) == 0, F.regexp_replace("blob_uri", "^s3://", "http://")).otherwise(
+            F.col("blob_uri")
+        ),
+    }
+    fields = [over.get(f.name, F.col(f.name)).alias(f.name) for f in MANIFEST_SCHEMA.fields]
+    return blob.select(F.to_json(F.struct(*fields)).alias("value"), n)
