@@ -160,29 +160,35 @@ def blobs_per_media(blobs: DataFrame) -> DataFrame:
     )
 
 
-def cross_layer_join(telemetry: DataFrame, blobs: DataFrame, limit: int = 20) -> DataFrame:
-    """J1 + T1: newest linked rows (by telemetry ingest time).
+_J1_TELEMETRY = ["robot_id", "event_id", "event_ts_corrected", "ingest_status"]
+_J1_BLOB = ["media_type", "blob_uri", "checksum_sha256", "quality_state"]
+
+
+def cross_layer_join(
+    telemetry: DataFrame,
+    blobs: DataFrame,
+    limit: int = 20,
+    order_col: str = "ingest_ts",
+    telemetry_cols: list[str] | None = None,
+    blob_cols: list[str] | None = None,
+) -> DataFrame:
+    """J1 + T1: newest linked rows (by telemetry ``order_col``, descending).
 
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each task keeps
     its own top n, only n rows per task reach the final merge.
     Ties are broken by event_id and blob_uri so the result is deterministic.
     """
-    t = telemetry.select("robot_id", "event_id", "event_ts_corrected", "ingest_status", "ingest_ts")
-    b = blobs.select("event_id", "media_type", "blob_uri", "checksum_sha256", "quality_state")
+    tcols = telemetry_cols or _J1_TELEMETRY
+    bcols = blob_cols or _J1_BLOB
+    t_sel = list(dict.fromkeys(tcols + ["event_id", order_col]))
+    t = telemetry.select(*[F.col(c).alias(f"t_{c}") for c in t_sel])
+    b_sel = list(dict.fromkeys(bcols + ["event_id", "blob_uri"]))
+    b = blobs.select(*[F.col(c).alias(f"b_{c}") for c in b_sel])
     return (
-        t.join(b, "event_id", "inner")
-        .orderBy(F.col("ingest_ts").desc(), F.col("event_id"), F.col("blob_uri"))
+        t.join(b, F.col("t_event_id") == F.col("b_event_id"), "inner")
+        .orderBy(F.col(f"t_{order_col}").desc(), F.col("t_event_id"), F.col("b_blob_uri"))
         .limit(limit)
-        .select(
-            "robot_id",
-            "event_id",
-            "event_ts_corrected",
-            "ingest_status",
-            "media_type",
-            "blob_uri",
-            "checksum_sha256",
-            "quality_state",
-        )
+        .select(*[F.col(f"t_{c}").alias(c) for c in tcols], *[F.col(f"b_{c}").alias(c) for c in bcols])
     )
 
 

@@ -52,9 +52,17 @@ def _raw(name: str) -> Column:
     return F.col(RAW_PREFIX + name)
 
 
-def _staged(required: tuple[str, ...], domain: list[tuple[Column, Column]]) -> Column:
-    missing = _errors([(_raw(f).isNull(), F.lit(f"missing_field:{f}")) for f in required])
-    return F.when(F.size(missing) > 0, missing).otherwise(_errors(domain))
+def _staged(required: tuple[str, ...], domain: list[tuple[Column, Column]]) -> tuple[Column, Column]:
+    """(errors, is_valid).  ``is_valid`` is built from the rule conditions
+    alone, so a filter on it (pushed down by Catalyst) stays a small
+    boolean and never carries the message formatting."""
+    missing_checks = [(_raw(f).isNull(), F.lit(f"missing_field:{f}")) for f in required]
+    missing = _errors(missing_checks)
+    errors = F.when(F.size(missing) > 0, missing).otherwise(_errors(domain))
+    any_bad = F.lit(False)
+    for cond, _ in missing_checks + domain:
+        any_bad = any_bad | F.coalesce(cond, F.lit(False))
+    return errors, ~any_bad
 
 
 def _num(name: str) -> Column:
@@ -73,8 +81,8 @@ def _out_of(name: str, lo: float | None, hi: float | None, absolute: bool = Fals
     return bad, F.concat(F.lit(f"{name}_out_of_range:"), py_number_repr(_raw(name), v))
 
 
-def telemetry_errors() -> Column:
-    """Ordered error list of a telemetry record (rules of ``rules``)."""
+def telemetry_errors() -> tuple[Column, Column]:
+    """Ordered error list of a telemetry record (rules of ``rules``) and its validity flag."""
     sensor = _raw("sensor_type")
     eid = _raw("event_id")
     domain = [
@@ -90,8 +98,8 @@ def telemetry_errors() -> Column:
     return _staged(rules.REQUIRED_TELEMETRY_FIELDS, domain)
 
 
-def manifest_errors() -> Column:
-    """Ordered error list of a blob manifest record."""
+def manifest_errors() -> tuple[Column, Column]:
+    """Ordered error list of a blob manifest record and its validity flag."""
     media = _raw("media_type")
     checksum = _raw("checksum_sha256")
     uri = _raw("blob_uri")
@@ -107,9 +115,10 @@ def manifest_errors() -> Column:
     return _staged(rules.REQUIRED_MANIFEST_FIELDS, domain)
 
 
-def _validate(df: DataFrame, schema: StructType, errors: Column, value_col: str) -> DataFrame:
+def _validate(df: DataFrame, schema: StructType, checks: tuple[Column, Column], value_col: str) -> DataFrame:
+    errors, is_valid = checks
     dec = decode_lenient(df, schema, value_col)
-    out = dec.withColumn("errors", errors).withColumn("is_valid", F.size("errors") == 0)
+    out = dec.withColumn("errors", errors).withColumn("is_valid", is_valid)
     return out.drop(*[RAW_PREFIX + f.name for f in schema.fields])
 
 

@@ -36,4 +36,11 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules whose import registers queries."""
-    from fleetlake.plans import queries, queries_drift, queries_linkage, queries_tests, queries_validate  # noqa: F401
+    from fleetlake.plans import (  # noqa: F401
+        queries,
+        queries_drift,
+        queries_linkage,
+        queries_misc,
+        queries_tests,
+        queries_validate,
+    )

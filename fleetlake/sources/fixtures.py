@@ -259,13 +259,19 @@ def telemetry_messages(telx: DataFrame) -> DataFrame:
         else F.col(f.name)
         for f in TELEMETRY_SCHEMA.fields
     ]
-    js = F.to_json(F.struct(*fields))
-    js = F.when(
-        F.pmod(n, F.lit(199)) == 0,
-        F.regexp_replace(js, '"event_ts_edge_ms":-?[0-9]+', '"event_ts_edge_ms":"not-a-number"'),
-    ).otherwise(js)
-    js = F.when(F.pmod(n, F.lit(211)) == 0, F.substring(js, 1, 40)).otherwise(js)
-    return telx.select(js.alias("value"), n)
+    # One projection per rewrite step: each step references the previous
+    # text twice, and separate projections keep the plan linear in size.
+    v = telx.select(F.to_json(F.struct(*fields)).alias("v"), n)
+    v = v.select(
+        F.when(
+            F.pmod(n, F.lit(199)) == 0,
+            F.regexp_replace("v", '"event_ts_edge_ms":-?[0-9]+', '"event_ts_edge_ms":"not-a-number"'),
+        )
+        .otherwise(F.col("v"))
+        .alias("v"),
+        n,
+    )
+    return v.select(F.when(F.pmod(n, F.lit(211)) == 0, F.substring("v", 1, 40)).otherwise(F.col("v")).alias("value"), n)
 
 
 def manifest_messages(blob: DataFrame) -> DataFrame:
