@@ -25,6 +25,13 @@ from fleetlake.functions.pyfmt import py_number_repr
 from fleetlake.schemas import MANIFEST_SCHEMA, TELEMETRY_SCHEMA
 
 RAW_PREFIX = "_raw_"
+NUMERIC_TYPES = ("long", "double", "integer", "float")
+
+
+def numeric_text(raw: Column) -> Column:
+    """Text of a JSON number as read into a STRING field.  The non-numeric
+    number tokens (NaN, Infinity) arrive quoted; unquote them."""
+    return F.regexp_replace(raw, r'^"(NaN|[+-]?Infinity)"$', "$1")
 
 
 def all_string(schema: StructType) -> StructType:
@@ -38,7 +45,12 @@ def decode_lenient(df: DataFrame, schema: StructType, value_col: str = "value")
     Broken JSON yields an all-NULL record (PERMISSIVE), like the reference.
     """
     parsed = df.withColumn("_j", F.from_json(F.col(value_col).cast("string"), all_string(schema)))
-    typed = [F.col(f"_j.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    typed = [
+        (numeric_text(F.col(f"_j.{f.name}")) if f.dataType.typeName() in NUMERIC_TYPES else F.col(f"_j.{f.name}"))
+        .try_cast(f.dataType)
+        .alias(f.name)
+        for f in schema.fields
+    ]
     raw = [F.col(f"_j.{f.name}").alias(RAW_PREFIX + f.name) for f in schema.fields]
     keep = [c for c in df.columns if c != value_col]
     return parsed.select(*keep, *typed, *raw)
@@ -66,7 +78,7 @@ def _staged(required: tuple[str, ...], domain: list[tuple[Column, Column]]) -> t
 
 
 def _num(name: str) -> Column:
-    return _raw(name).try_cast("double")
+    return numeric_text(_raw(name)).try_cast("double")
 
 
 def _out_of(name: str, lo: float | None, hi: float | None, absolute: bool = False) -> tuple[Column, Column]:
