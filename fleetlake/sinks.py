@@ -235,13 +235,14 @@ def write_batch_with_rejects(
                 F.count(F.lit(1)).alias("rows"),
                 F.count(F.when(~F.col("is_valid"), 1)).alias("rejected"),
             )
+            # One log directory per table: concurrent streams never share an
+            # output path (and so never share the committer's temporary dir).
             counts.select(
-                F.lit(table_name).alias("table_name"),
                 F.lit(batch_id).cast("long").alias("batch_id"),
                 "rows",
                 "rejected",
                 F.current_timestamp().alias("committed_at"),
-            ).write.mode("append").parquet(log_path)
+            ).write.mode("append").parquet(f"{log_path}/table_name={table_name}")
     finally:
         b.unpersist()
 
