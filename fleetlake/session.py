@@ -74,3 +74,18 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written tables that cut lineage)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def spread_if_narrow(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
+    default parallelism) only when its scan yields fewer splits.
+
+    A large table already arrives in many splits and is returned as is (no
+    shuffle).  A source with few splits - one small file, a topic with
+    fewer partitions than cores - would otherwise run all narrow, CPU-heavy
+    work (JSON decode, validation) in a handful of tasks.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -29,7 +29,9 @@ MEDIA_BY_MOD5 = ["camera_rgb", "camera_depth", "lidar_pointcloud", "audio", "raw
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    from fleetlake.session import spread_if_narrow
+
+    return spread_if_narrow(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def _day(ts: Column) -> Column:
@@ -110,10 +112,18 @@ def blob_index(telx: DataFrame, keep_n: bool = True) -> DataFrame:
     """Bronze ``blob_index`` rows derived from telemetry, in bronze column order."""
     base = _blob_base(telx)
     n = F.col("n")
-    covered = base.filter(F.pmod(n, F.lit(10)) != 3)
-    duplicated = base.filter(F.pmod(n, F.lit(100)) == 11)
-    orphans = base.filter(F.pmod(n, F.lit(50)) == 7).withColumn("event_id", F.concat(F.col("event_id"), F.lit("x")))
-    blob = covered.unionByName(duplicated).unionByName(orphans)
+    # One scan: each telemetry row yields 0-3 manifest rows (covered copy,
+    # duplicated copy, orphan copy with a foreign id).
+    copies = F.array(
+        F.when(F.pmod(n, F.lit(10)) != 3, F.lit("")),
+        F.when(F.pmod(n, F.lit(100)) == 11, F.lit("")),
+        F.when(F.pmod(n, F.lit(50)) == 7, F.lit("x")),
+    )
+    blob = (
+        base.withColumn("_sfx", F.explode(F.filter(copies, lambda c: c.isNotNull())))
+        .withColumn("event_id", F.concat(F.col("event_id"), F.col("_sfx")))
+        .drop("_sfx")
+    )
     key = ids.blob_key("media_type", "blob_ts_corrected", "robot_id", "event_id")
     cols = [
         "event_id",
