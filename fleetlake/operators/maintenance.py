@@ -24,6 +24,8 @@ from fleetlake.functions import rules
 from fleetlake.functions.formats import file_health_label, format_size
 
 POINTER = "_CURRENT"
+# Above this many partitions the per-partition size table is joined by shuffle.
+MAX_BROADCAST_PARTITIONS = 5_000_000
 
 
 # ------------------------------------------------------------------ pointers / generations
@@ -120,20 +122,32 @@ def compact_small_files(
     src_path = current_generation(spark, root)
     src = spark.read.parquet(src_path)
     before = content_fingerprint(src).collect()[0]
-    files = file_listing(src)
-    total = files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).collect()[0][0]
-    n_files = max(1, math.ceil(total / target_bytes))
     data_cols = [c for c in src.columns if c not in partition_cols]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in data_cols]), F.lit(n_files))
-    out = src.withColumn("_f", salt)
+    row_hash = F.xxhash64(*[F.col(c) for c in data_cols])
     if partition_cols:
-        out = out.hint("rebalance", *partition_cols, "_f")
+        # Files per partition from that partition's bytes: one small row per
+        # partition, broadcast only under a checked bound.
+        from fleetlake.operators.drift import broadcast_if_bounded
+
+        per_file = src.groupBy(*partition_cols, "_metadata.file_path", "_metadata.file_size").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        sizes = per_file.groupBy(*partition_cols).agg(
+            F.greatest(F.lit(1), F.ceil(F.sum("file_size") / F.lit(target_bytes))).cast("long").alias("_files")
+        )
+        sizes = broadcast_if_bounded(sizes, MAX_BROADCAST_PARTITIONS)
+        out = src.join(sizes, partition_cols, "left").withColumn(
+            "_f", F.pmod(row_hash, F.coalesce(F.col("_files"), F.lit(1)))
+        )
+        out = out.hint("rebalance", *partition_cols, "_f").drop("_f", "_files")
     else:
-        out = out.repartition(n_files, "_f")
-    out = out.drop("_f")
+        total = src.select("_metadata.file_size", "_metadata.file_path").distinct().agg(F.sum("file_size")).collect()[0][0]
+        n_files = max(1, math.ceil((total or 0) / target_bytes))
+        out = src.repartition(n_files, row_hash)
+    out = out.select(*src.columns)
     if sort_cols:
         out = out.sortWithinPartitions(*partition_cols, *sort_cols)
-    gen = generation or f"{root}/_gen={uuid.uuid4().hex[:12]}"
+    gen = generation or f"{root}/_gen_{uuid.uuid4().hex[:12]}"
     w = out.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -182,7 +196,7 @@ def find_unreferenced_files(spark: SparkSession, root: str, older_than_days: int
 
     # Generation directories start with '_' and are hidden from a plain
     # listing of the root, so they are listed through their own glob.
-    parts = [p for p in (_list(root), _list(f"{root}/_gen=*")) if p is not None]
+    parts = [p for p in (_list(root), _list(f"{root}/_gen_*")) if p is not None]
     listing = parts[0]
     for p in parts[1:]:
         listing = listing.unionByName(p)

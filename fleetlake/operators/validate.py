@@ -44,16 +44,23 @@ def decode_lenient(df: DataFrame, schema: StructType, value_col: str = "value")
     Output: typed columns (names of ``schema``) + ``_raw_<name>`` text columns.
     Broken JSON yields an all-NULL record (PERMISSIVE), like the reference.
     """
-    parsed = df.withColumn("_j", F.from_json(F.col(value_col).cast("string"), all_string(schema)))
+    keep = [c for c in df.columns if c != value_col]
+    # The parse sits in a generator (inline_outer of a one-element array).
+    # Filters on validation results (accepted / rejected split) reference
+    # the generator's output and stay above it; pushed through a plain
+    # projection they would inline from_json once per field reference.
+    parsed = df.select(
+        *keep,
+        F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), all_string(schema)))),
+    )
+    parsed = parsed.select(*keep, *[F.col(f.name).alias(RAW_PREFIX + f.name) for f in schema.fields])
     typed = [
-        (numeric_text(F.col(f"_j.{f.name}")) if f.dataType.typeName() in NUMERIC_TYPES else F.col(f"_j.{f.name}"))
+        (numeric_text(_raw(f.name)) if f.dataType.typeName() in NUMERIC_TYPES else _raw(f.name))
         .try_cast(f.dataType)
         .alias(f.name)
         for f in schema.fields
     ]
-    raw = [F.col(f"_j.{f.name}").alias(RAW_PREFIX + f.name) for f in schema.fields]
-    keep = [c for c in df.columns if c != value_col]
-    return parsed.select(*keep, *typed, *raw)
+    return parsed.select(*keep, *typed, *[_raw(f.name) for f in schema.fields])
 
 
 def _errors(checks: list[tuple[Column, Column]]) -> Column:
