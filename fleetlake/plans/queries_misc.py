@@ -209,3 +209,27 @@ def q_cross_layer_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
         telemetry_cols=["robot_id", "event_id", "sensor_type", "joint_angle", "temperature", "event_ts_corrected"],
         blob_cols=["media_type", "blob_uri", "checksum_sha256"],
     )
+
+
+@register("file_health_inputs")
+def q_file_health_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 over the given tables' files (no SQL oracle: DuckDB views carry no file sizes)."""
+    from fleetlake.operators import maintenance
+
+    parts = [
+        maintenance.file_health(spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet"), t)
+        for t in ("events", "orders", "lineitem")
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("partition_stats_events")
+def q_partition_stats_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 on bronze telemetry laid out by hour (derived columns, whole table)."""
+    from fleetlake.operators import maintenance
+
+    tel = sinks.telemetry_layout(Fixture(spark, sf_dir).telemetry)
+    return maintenance.partition_stats(tel.withColumn("p_day", F.date_trunc("day", "p_hour")), ["p_day"])
