@@ -41,6 +41,7 @@ def load_all() -> None:
         queries_drift,
         queries_linkage,
         queries_misc,
+        queries_orders,
         queries_tests,
         queries_validate,
     )
