@@ -92,14 +92,24 @@ def linked_count(telemetry: DataFrame, blobs: DataFrame) -> DataFrame:
     return linkage_counts(telemetry, blobs).select("linked_count")
 
 
+def _anti(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of ``left`` whose event_id has no row in ``right`` (SQL semantics:
+    a NULL id never matches).  NULL ids bypass the join, so a flood of
+    broken messages is not shuffled into one task; the right side is
+    reduced to distinct ids first (partial aggregation)."""
+    ids = right.filter(F.col("event_id").isNotNull()).select("event_id").distinct()
+    keyed = left.filter(F.col("event_id").isNotNull()).join(ids, "event_id", "left_anti")
+    return keyed.unionByName(left.filter(F.col("event_id").isNull()))
+
+
 def unlinked_telemetry(telemetry: DataFrame, blobs: DataFrame) -> DataFrame:
     """J3 (rows): telemetry rows without any blob row of the same id."""
-    return telemetry.join(blobs.select("event_id").distinct(), "event_id", "left_anti")
+    return _anti(telemetry, blobs)
 
 
 def orphan_blobs(blobs: DataFrame, telemetry: DataFrame) -> DataFrame:
     """J4 (rows): blob rows without any telemetry row of the same id."""
-    return blobs.join(telemetry.select("event_id").distinct(), "event_id", "left_anti")
+    return _anti(blobs, telemetry)
 
 
 def linkage_rate_leftjoin(telemetry: DataFrame, blobs: DataFrame) -> DataFrame:
@@ -174,18 +184,29 @@ def cross_layer_join(
 ) -> DataFrame:
     """J1 + T1: newest linked rows (by telemetry ``order_col``, descending).
 
-    ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each task keeps
-    its own top n, only n rows per task reach the final merge.
-    Ties are broken by event_id and blob_uri so the result is deterministic.
+    The top ``limit`` pairs involve at most ``limit`` telemetry rows, and
+    those are among the newest ``limit`` telemetry rows that have a blob.
+    So telemetry is semi-joined to the distinct blob ids, reduced to its
+    top ``limit`` rows (TakeOrderedAndProject: each task keeps its own top
+    n), and only those rows are joined to the blobs - a broadcast bounded
+    by ``limit``.  No pair outside the answer is ever built, even for an id
+    repeated on both sides.  Ties are broken by event_id, then blob_uri.
     """
     tcols = telemetry_cols or _J1_TELEMETRY
     bcols = blob_cols or _J1_BLOB
     t_sel = list(dict.fromkeys(tcols + ["event_id", order_col]))
-    t = telemetry.select(*[F.col(c).alias(f"t_{c}") for c in t_sel])
+    ids = blobs.filter(F.col("event_id").isNotNull()).select("event_id").distinct()
+    cand = (
+        telemetry.select(*t_sel)
+        .join(ids, "event_id", "left_semi")
+        .orderBy(F.col(order_col).desc(), F.col("event_id"))
+        .limit(limit)
+    )
+    t = cand.select(*[F.col(c).alias(f"t_{c}") for c in t_sel])
     b_sel = list(dict.fromkeys(bcols + ["event_id", "blob_uri"]))
     b = blobs.select(*[F.col(c).alias(f"b_{c}") for c in b_sel])
     return (
-        t.join(b, F.col("t_event_id") == F.col("b_event_id"), "inner")
+        b.join(F.broadcast(t), F.col("t_event_id") == F.col("b_event_id"), "inner")
         .orderBy(F.col(f"t_{order_col}").desc(), F.col("t_event_id"), F.col("b_blob_uri"))
         .limit(limit)
         .select(*[F.col(f"t_{c}").alias(c) for c in tcols], *[F.col(f"b_{c}").alias(c) for c in bcols])

@@ -103,3 +103,19 @@ def test_cross_layer_join_is_top_k(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert [r["event_id"] for r in out.collect()] == ["e0", "e1", "e2", "e3", "e4"]
+
+
+def test_cross_layer_join_matches_full_join_with_hot_ids(spark):
+    rnd = random.Random(11)
+    trows = [(f"e{rnd.randint(0, 30)}", "r1", NOW - dt.timedelta(seconds=rnd.randint(0, 50)), NOW, "P", 1.0)
+             for _ in range(300)]
+    trows += [("hot", "r2", NOW - dt.timedelta(seconds=3), NOW, "P", 1.0)] * 100
+    brows = [(f"e{rnd.randint(0, 40)}", "r1", "audio", f"u{i}", NOW, NOW) for i in range(200)]
+    brows += [("hot", "r1", "audio", f"h{i}", NOW, NOW) for i in range(50)]
+    tel = spark.createDataFrame(trows, T)
+    blob = spark.createDataFrame(brows, B)
+    got = [(r["event_id"], r["blob_uri"]) for r in
+           linkage.cross_layer_join(tel, blob, 20, blob_cols=["blob_uri"], telemetry_cols=["event_id", "ingest_ts"]).collect()]
+    pairs = sorted(((t[2], t[0], b[3]) for t in trows for b in brows if t[0] == b[0]),
+                   key=lambda x: (-x[0].timestamp(), x[1], x[2]))[:20]
+    assert sorted(got) == sorted((e, u) for _, e, u in pairs)
