@@ -43,18 +43,20 @@ def add_ingest_columns(df: DataFrame, status: str | None = rules.STATUS_PENDING,
 
 def drift_table(spark: SparkSession, heartbeat_path: str | None) -> DataFrame | None:
     """Current per-robot drift, read fresh (one row per robot)."""
-    if heartbeat_path is None:
-        return None
-    try:
-        hb = spark.read.schema(HEARTBEAT_SCHEMA).parquet(heartbeat_path)
-    except Exception:  # noqa: BLE001 - no heartbeat yet: every robot uses the default
-        return None
-    return drift_ops.latest_drift(hb)
+    hb = _read_heartbeats(spark, heartbeat_path) if heartbeat_path is not None else None
+    return drift_ops.latest_drift(hb) if hb is not None else None
 
 
-def to_bronze_telemetry(decoded: DataFrame, drift: DataFrame | None, clock: Column | None = None) -> DataFrame:
-    """W1 transform: drift-correct, stamp, project bronze columns (+ check columns if present)."""
-    if drift is not None:
+def to_bronze_telemetry(decoded: DataFrame, drift: DataFrame | None, clock: Column | None = None,
+                        drift_col_present: bool = False) -> DataFrame:
+    """W1 transform: drift-correct, stamp, project bronze columns (+ check columns if present).
+
+    ``drift`` is the per-robot table (broadcast under a checked bound); with
+    ``drift_col_present`` the rows already carry ``drift_ms`` (as-of lookup).
+    """
+    if drift_col_present:
+        fixed = decoded
+    elif drift is not None:
         fixed = decoded.join(drift_ops.broadcast_if_bounded(drift, drift_ops.MAX_BROADCAST_ROBOTS), "robot_id", "left")
     else:
         fixed = decoded.withColumn("drift_ms", F.lit(None).cast("long"))
@@ -64,9 +66,12 @@ def to_bronze_telemetry(decoded: DataFrame, drift: DataFrame | None, clock: Colu
     return out.select(*TELEMETRY_COLUMNS, *extra)
 
 
-def to_bronze_manifest(decoded: DataFrame, drift: DataFrame | None, clock: Column | None = None) -> DataFrame:
+def to_bronze_manifest(decoded: DataFrame, drift: DataFrame | None, clock: Column | None = None,
+                       drift_col_present: bool = False) -> DataFrame:
     """W2 transform: same for manifests, no status column."""
-    if drift is not None:
+    if drift_col_present:
+        fixed = decoded
+    elif drift is not None:
         fixed = decoded.join(drift_ops.broadcast_if_bounded(drift, drift_ops.MAX_BROADCAST_ROBOTS), "robot_id", "left")
     else:
         fixed = decoded.withColumn("drift_ms", F.lit(None).cast("long"))
@@ -95,7 +100,15 @@ class IngestPaths:
         return f"{self.root}/tables/_batch_log"
 
 
-def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column | None, heartbeat_path: str | None):
+def _read_heartbeats(spark: SparkSession, heartbeat_path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(HEARTBEAT_SCHEMA).parquet(heartbeat_path)
+    except Exception:  # noqa: BLE001 - no heartbeat yet
+        return None
+
+
+def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column | None, heartbeat_path: str | None,
+                  drift_mode: str = "latest"):
     schema = TELEMETRY_SCHEMA if kind == "telemetry_events" else MANIFEST_SCHEMA
     to_bronze = to_bronze_telemetry if kind == "telemetry_events" else to_bronze_manifest
     layout = sinks.telemetry_layout if kind == "telemetry_events" else sinks.blob_layout
@@ -109,7 +122,17 @@ def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column
             dec = decode_payload(batch, schema).withColumn("is_valid", F.lit(True)).withColumn(
                 "errors", F.array().cast("array<string>")
             )
-        bronze = layout(to_bronze(dec, drift_table(spark, heartbeat_path), clock))
+        ts_col = "event_ts_edge_ms" if kind == "telemetry_events" else "blob_ts_edge_ms"
+        if drift_mode == "asof" and heartbeat_path is not None:
+            hb = _read_heartbeats(spark, heartbeat_path)
+            if hb is not None:
+                # J8 per batch: the heartbeat valid when each record was stamped.
+                dec = drift_ops.asof_drift(dec, hb, ts_col)
+                bronze = layout(to_bronze(dec, None, clock, drift_col_present=True))
+            else:
+                bronze = layout(to_bronze(dec, None, clock))
+        else:
+            bronze = layout(to_bronze(dec, drift_table(spark, heartbeat_path), clock))
         sinks.write_batch_with_rejects(
             bronze, batch_id, paths.table(kind), paths.rejects(kind), paths.batch_log, parts, kind
         )
@@ -127,13 +150,18 @@ def start_table_stream(
     trigger: dict | None = None,
     clock: Column | None = None,
     max_files_per_trigger: int | None = None,
+    drift_mode: str = "latest",
 ) -> StreamingQuery:
-    """W1 (kind='telemetry_events') / W2 (kind='blob_index'): one query, own checkpoint."""
+    """W1 (kind='telemetry_events') / W2 (kind='blob_index'): one query, own checkpoint.
+
+    ``drift_mode='latest'`` applies the newest heartbeat per robot present
+    when the batch runs (the reference's live map); ``'asof'`` the heartbeat
+    valid at each record's edge time (reproducible on replay)."""
     src = read_topic_stream(spark, kind, path=source_path, max_files_per_trigger=max_files_per_trigger)
     w = (
         src.writeStream.queryName(kind)
         .option("checkpointLocation", paths.checkpoint(kind))
-        .foreachBatch(_batch_writer(kind, paths, validated, clock, heartbeat_path))
+        .foreachBatch(_batch_writer(kind, paths, validated, clock, heartbeat_path, drift_mode))
     )
     if trigger:
         w = w.trigger(**trigger)

@@ -140,3 +140,35 @@ def test_link_status_stream(spark, tmp_dir):
     got = {r["event_id"]: r["ingest_status"] for r in spark.sql("SELECT * FROM link_status_t").collect()}
     assert got.get("a") == "LINKED"
     assert got.get("b") == "ORPHANED"
+
+
+def test_asof_drift_mode_in_stream(spark, tmp_dir):
+    src_t, src_h = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "h")
+    base = 1_704_067_200_000
+    _write_lines(src_h, "h0.json", [
+        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": base - 10_000, "estimated_drift_ms": 100},
+        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": base + 5_000, "estimated_drift_ms": 300},
+    ])
+    _write_lines(src_t, "t0.json", [_tel(0, ts=base), _tel(0, ts=base + 9_000)])
+    paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
+    trig = {"availableNow": True}
+    ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
+    ingest.start_table_stream(spark, "telemetry_events", src_t, paths, paths.table("heartbeats"), trigger=trig,
+                              drift_mode="asof").awaitTermination()
+    got = sorted(int(r["event_ts_corrected"].timestamp() * 1000)
+                 for r in spark.read.parquet(paths.table("telemetry_events")).collect())
+    assert got == [base - 100, base + 9_000 - 300]
+
+
+def test_run_and_test_models(spark, tmp_dir):
+    from fleetlake.plans import models
+    from fleetlake.sources.fixtures import Fixture
+    from tests.conftest import SF_SMALL
+
+    f = Fixture(spark, SF_SMALL)
+    paths = models.run_models(spark, f.telemetry, f.blobs, os.path.join(tmp_dir, "models"))
+    assert spark.read.parquet(paths["robot_hourly_stats"]).count() > 0
+    res = {(r["table_name"], r["column_name"], r["test_name"]): r["status"]
+           for r in models.check_models(spark, f.telemetry, f.blobs, paths).collect()}
+    assert res[("blob_linked", "event_id", "unique")] == "fail"  # duplicated manifests
+    assert res[("telemetry_validated", "quality_flag", "accepted_values")] == "pass"
