@@ -59,12 +59,16 @@ def read_as_of(df: DataFrame, as_of, ts_col: str = "ingest_ts") -> DataFrame:
 
     For an append-only bronze table the snapshot at time t is exactly the
     rows with ``ingest_ts <= t``; the predicate is pushed into the scan.
-    A table format with snapshots (Iceberg/Delta) would use
-    ``option("timestampAsOf", ...)`` instead.
+    A table format with snapshots uses ``read_table_as_of`` instead.
     """
     return df.filter(F.col(ts_col) <= as_of_ts(as_of))
 
 
+def read_table_as_of(spark: SparkSession, table: str, timestamp: str) -> DataFrame:
+    """S11 for a table format with snapshots (Iceberg, Delta): time travel."""
+    return spark.sql(f"SELECT * FROM {table} TIMESTAMP AS OF '{timestamp}'")
+
+
 def as_of_ts(value):
     return as_timestamp(value)
 
