@@ -6,11 +6,10 @@ report is one Spark job over one snapshot:
 
 * telemetry and blobs are each reduced to one row per ``event_id`` (the
   per-row measures a report needs ride along as extra partial aggregates),
-* the two key tables are full-outer joined (co-partitioned, no extra
-  exchange) and folded into a single row,
-* small bounded side results (media breakdown: one row per media type;
-  stalest robots: top 5) enter as scalar subqueries, never through the
-  driver.
+* the two key tables are full-outer joined and folded into a single row
+  (the per-media breakdown comes out of the same pass via ``rollup``),
+* small bounded side results (stalest robots: top 5) enter as scalar
+  subqueries, never through the driver.
 """
 
 from __future__ import annotations
@@ -30,14 +29,69 @@ def _key_join_with(telemetry: DataFrame, blobs: DataFrame, extra: list[Column])
     return tk.join(linkage.blob_keys(blobs), "event_id", "full_outer")
 
 
+def linkage_rollup(telemetry: DataFrame, blobs: DataFrame, now: Column) -> DataFrame:
+    """All reconcile measures and the per-media pair counts from one pass.
+
+    Telemetry is reduced to one row per id, blobs to one row per
+    (id, media_type); a single full outer join on ``event_id`` gives rows
+    (id, media, n, nt).  Telemetry-side measures are counted once per id,
+    on the (id, media) row flagged first by a window that runs on the blob
+    keys' join partitioning (no extra exchange); ``rollup(media_type)`` yields the
+    global totals and the per-media pair counts in one aggregation, and a
+    final fold over those few rows (one per media type, plus one) builds
+    the report row with its media map.
+    """
+    from pyspark.sql import Window
+
+    tk = linkage.telemetry_keys(telemetry)
+    bm = blobs.groupBy("event_id", "media_type").agg(F.count(F.lit(1)).alias("n"))
+    # Flag one (id, media) row per id.  The window needs the blob keys
+    # clustered by event_id, which the join needs too: the one exchange
+    # serves both.
+    first = Window.partitionBy("event_id").orderBy("media_type")
+    bm = bm.withColumn("_first", F.row_number().over(first) == 1)
+    j = tk.join(bm, "event_id", "full_outer")
+    nt, n = F.coalesce(F.col("nt"), F.lit(0)), F.coalesce(F.col("n"), F.lit(0))
+    has_t, has_b = F.col("nt").isNotNull(), F.col("n").isNotNull()
+    t_once = has_t & (~has_b | F.col("_first"))
+    unlinked = t_once & ~has_b
+    r = j.rollup("media_type").agg(
+        F.grouping_id().alias("_g"),
+        F.sum(F.when(t_once, nt).otherwise(0)).cast("long").alias("telemetry_total"),
+        F.sum(n).cast("long").alias("blob_total"),
+        F.sum(F.when(has_t & has_b, nt * n).otherwise(0)).cast("long").alias("linked_count"),
+        F.sum(F.when(unlinked, nt).otherwise(0)).cast("long").alias("telemetry_unlinked"),
+        F.sum(F.when(~has_t, n).otherwise(0)).cast("long").alias("blob_orphans"),
+        F.min(F.when(unlinked, F.col("first_ingest"))).alias("_oldest"),
+    )
+    is_total = F.col("_g") == 1
+    per_media = F.when(~is_total & F.col("media_type").isNotNull() & (F.col("linked_count") > 0),
+                       F.struct((-F.col("linked_count")).alias("k"), "media_type", F.col("linked_count").alias("cnt")))
+    entries = F.array_sort(F.collect_list(per_media))
+    one = r.agg(
+        *[F.max(F.when(is_total, F.col(c))).alias(c) for c in
+          ("telemetry_total", "blob_total", "linked_count", "telemetry_unlinked", "blob_orphans", "_oldest")],
+        F.map_from_entries(F.transform(entries, lambda e: F.struct(e["media_type"], e["cnt"]))).alias(
+            "media_breakdown"),
+    )
+    pct = F.round(F.col("linked_count").cast("double") / F.greatest(F.col("telemetry_total"), F.lit(1)) * 100, 2)
+    age = seconds_between(now, F.col("_oldest"))
+    return one.select(
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in
+          ("telemetry_total", "blob_total", "linked_count", "telemetry_unlinked", "blob_orphans")],
+        pct.alias("linkage_pct"),
+        "media_breakdown",
+        F.nullif(F.round(age, 1), F.lit(0.0)).alias("oldest_unlinked_sec"),
+    )
+
+
 def reconcile_report(telemetry: DataFrame, blobs: DataFrame, now=None,
                      healthy_pct: float = rules.RECONCILE_HEALTHY_PCT) -> DataFrame:
     """timestamp_utc, totals, linked pairs, unlinked, orphans, pct,
     media breakdown map, oldest unlinked age and HEALTHY/DEGRADED status."""
     now_c = as_timestamp(now) if now is not None else F.current_timestamp()
-    counts = linkage.linkage_counts(telemetry, blobs, now=now_c)
-    media = linkage.media_breakdown_map(linkage.media_breakdown(telemetry, blobs))
-    return counts.select(
+    one = linkage_rollup(telemetry, blobs, now_c)
+    return one.select(
         now_c.alias("timestamp_utc"),
         "telemetry_total",
         "blob_total",
@@ -45,7 +99,7 @@ def reconcile_report(telemetry: DataFrame, blobs: DataFrame, now=None,
         "telemetry_unlinked",
         "blob_orphans",
         "linkage_pct",
-        F.coalesce(media, F.create_map().cast("map<string,bigint>")).alias("media_breakdown"),
+        "media_breakdown",
         "oldest_unlinked_sec",
         linkage.link_health(F.col("linkage_pct"), healthy_pct).alias("status"),
     )
