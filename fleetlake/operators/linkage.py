@@ -286,8 +286,8 @@ def tolerance_match(
     whose corrected time is within ``tolerance_ms`` (ties: smaller
     telemetry event_id).  Blobs with no such row are not returned.
 
-    Nearest-neighbour by sorting, not by pairing: telemetry is reduced to
-    one row per (robot, ms) and unioned with the blobs; per (robot, span)
+    Nearest-neighbour by sorting, not by pairing: telemetry is unioned
+    with the blobs; per (robot, span)
     one running ``last`` over time gives the closest telemetry at or before
     each blob and one over reversed time the closest after it.  Telemetry
     within the tolerance of a span edge is copied into the neighbouring
@@ -297,23 +297,18 @@ def tolerance_match(
     from pyspark.sql import Window
 
     w, span = int(tolerance_ms), int(span_ms)
-    t = (
-        telemetry.select(
-            "robot_id",
-            F.unix_millis(F.col("event_ts_corrected").cast("timestamp")).alias("ms"),
-            F.col("event_id").alias("tel_id"),
-        )
-        .filter(F.col("ms").isNotNull() & F.col("robot_id").isNotNull())
-        .groupBy("robot_id", "ms")
-        .agg(F.min("tel_id").alias("tel_id"))
-    )
+    t = telemetry.select(
+        "robot_id",
+        F.unix_millis(F.col("event_ts_corrected").cast("timestamp")).alias("ms"),
+        F.col("event_id").alias("tel_id"),
+    ).filter(F.col("ms").isNotNull() & F.col("robot_id").isNotNull())
     t = t.withColumn(
         "span",
         F.explode(F.array_distinct(F.array(*[F.floor((F.col("ms") + d) / span) for d in (-w, 0, w)]))),
     )
     tel = F.struct(F.col("ms").alias("t_ms"), F.col("tel_id"))
-    t = t.select("robot_id", "span", "ms", F.lit(0).alias("kind"), tel.alias("tel"),
-                 *[F.lit(None).cast(c) .alias(n) for n, c in (("blob_event_id", "string"), ("blob_uri", "string"))])
+    t = t.select("robot_id", "span", "ms", F.lit(0).alias("kind"), F.col("tel_id").alias("_tie"), tel.alias("tel"),
+                 *[F.lit(None).cast(c).alias(n) for n, c in (("blob_event_id", "string"), ("blob_uri", "string"))])
     b = blobs.select(
         "robot_id",
         F.unix_millis(F.col("blob_ts_corrected").cast("timestamp")).alias("ms"),
@@ -325,15 +320,23 @@ def tolerance_match(
         F.floor(F.col("ms") / span).alias("span"),
         "ms",
         F.lit(1).alias("kind"),
+        F.lit(None).cast(t.schema["_tie"].dataType).alias("_tie"),
         F.lit(None).cast(t.schema["tel"].dataType).alias("tel"),
         "blob_event_id",
         "blob_uri",
     )
     u = t.unionByName(b)
-    fwd = Window.partitionBy("robot_id", "span").orderBy("ms", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    # Telemetry before blobs at equal ms going forward (at-or-before), after
+    # them going backward (strictly later); among telemetry rows at the same
+    # ms the smallest id is visited last, so ``last`` returns it.
+    fwd = (
+        Window.partitionBy("robot_id", "span")
+        .orderBy("ms", "kind", F.col("_tie").desc())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     bwd = (
         Window.partitionBy("robot_id", "span")
-        .orderBy(F.col("ms").desc(), F.col("kind").desc())
+        .orderBy(F.col("ms").desc(), F.col("kind").desc(), F.col("_tie").desc())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     u = u.withColumn("prev", F.last("tel", ignorenulls=True).over(fwd))

@@ -78,10 +78,18 @@ def test_tolerance_match_against_brute_force(spark):
         r = f"r{rnd.randint(1, 3)}"
         ts = base + dt.timedelta(milliseconds=rnd.randint(0, 200_000))
         trows.append((f"t{i:04d}", r, NOW, ts, "P", 20.0))
+    for i in range(60):  # several telemetry rows at the same instant: smallest id must win
+        r = f"r{rnd.randint(1, 3)}"
+        ts = base + dt.timedelta(milliseconds=rnd.choice([1000, 50_000, 120_000]))
+        trows.append((f"t9{i:03d}", r, NOW, ts, "P", 20.0))
     for i in range(150):
         r = f"r{rnd.randint(1, 3)}"
         ts = base + dt.timedelta(milliseconds=rnd.randint(0, 200_000))
         brows.append((f"b{i}", r, "audio", f"u{i}", NOW, ts))
+    for i in range(30):  # blobs next to those instants, on either side
+        r = f"r{rnd.randint(1, 3)}"
+        ts = base + dt.timedelta(milliseconds=rnd.choice([1000, 50_000, 120_000]) + rnd.randint(-250, 250))
+        brows.append((f"bt{i}", r, "audio", f"ut{i}", NOW, ts))
     tel = spark.createDataFrame(trows, T)
     blob = spark.createDataFrame(brows, B)
     got = {r["blob_uri"]: (r["telemetry_event_id"], r["diff_ms"])
