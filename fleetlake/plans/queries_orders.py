@@ -110,7 +110,7 @@ FROM (SELECT (SELECT count(*) FROM orders) AS telemetry_total, (SELECT count(*)
     AS telemetry_unlinked,
   (SELECT count(*) FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey))
     AS blob_orphans,
-  (SELECT to_json(map_from_entries(list(struct_pack(k := media_type, v := cnt) ORDER BY cnt DESC, media_type)))
+  (SELECT cast(to_json(map_from_entries(list(struct_pack(k := media_type, v := cnt) ORDER BY cnt DESC, media_type))) AS varchar)
      FROM (SELECT l.l_returnflag AS media_type, count(*) AS cnt FROM lineitem l
            JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1)) AS media_breakdown))
 """,
