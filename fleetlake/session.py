@@ -85,7 +85,9 @@ def spread_if_narrow(df, min_partitions: int | None = None):
     fewer partitions than cores - would otherwise run all narrow, CPU-heavy
     work (JSON decode, validation) in a handful of tasks.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
