@@ -99,12 +99,17 @@ class IngestPaths:
     def batch_log(self) -> str:
         return f"{self.root}/tables/_batch_log"
 
+    @property
+    def drift_state(self) -> str:
+        return f"{self.root}/tables/drift_state"
+
 
 def _read_heartbeats(spark: SparkSession, heartbeat_path: str) -> DataFrame | None:
     try:
-        return spark.read.schema(HEARTBEAT_SCHEMA).parquet(heartbeat_path)
+        hb = spark.read.parquet(heartbeat_path)
     except Exception:  # noqa: BLE001 - no heartbeat yet
         return None
+    return hb.select(*[F.col(f.name).cast(f.dataType) for f in HEARTBEAT_SCHEMA.fields])
 
 
 def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column | None, heartbeat_path: str | None,
@@ -132,7 +137,12 @@ def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column
             else:
                 bronze = layout(to_bronze(dec, None, clock))
         else:
-            bronze = layout(to_bronze(dec, drift_table(spark, heartbeat_path), clock))
+            # Latest mode reads the compact per-robot state kept by the
+            # heartbeat stream; without one, it aggregates the heartbeat table.
+            drift = read_drift_state(spark, paths.drift_state)
+            if drift is None:
+                drift = drift_table(spark, heartbeat_path)
+            bronze = layout(to_bronze(dec, drift, clock))
         sinks.write_batch_with_rejects(
             bronze, batch_id, paths.table(kind), paths.rejects(kind), paths.batch_log, parts, kind
         )
@@ -168,13 +178,72 @@ def start_table_stream(
     return w.start()
 
 
+DRIFT_POINTER = "_CURRENT"
+
+
+def read_drift_state(spark: SparkSession, state_root: str) -> DataFrame | None:
+    """The compact drift state (robot_id, drift_ms; one row per robot), or None."""
+    try:
+        rows = spark.read.text(f"{state_root}/{DRIFT_POINTER}").limit(1).collect()
+    except Exception:  # noqa: BLE001 - no state written yet
+        return None
+    if not rows:
+        return None
+    st = spark.read.parquet(rows[0][0])
+    return st.select("robot_id", F.col("hb.estimated_drift_ms").alias("drift_ms"))
+
+
+def _merge_drift_state(batch: DataFrame, batch_id: int, state_root: str) -> None:
+    """Fold one heartbeat batch into the per-robot state: newest heartbeat
+    per robot by (time, session, value).  Written as a new version directory,
+    then the pointer is flipped, so readers always see a whole version; a
+    replayed batch folds in again to the same result (max is idempotent)."""
+    spark = batch.sparkSession
+    order = F.struct(
+        "server_ts_ms",
+        "session_id",
+        F.coalesce(F.col("estimated_drift_ms"), F.lit(drift_ops.DEFAULT_DRIFT_MS)).alias("estimated_drift_ms"),
+    )
+    new = batch.filter(F.col("robot_id").isNotNull()).groupBy("robot_id").agg(F.max(order).alias("hb"))
+    try:
+        rows = spark.read.text(f"{state_root}/{DRIFT_POINTER}").limit(1).collect()
+    except Exception:  # noqa: BLE001
+        rows = []
+    if rows:
+        new = spark.read.parquet(rows[0][0]).unionByName(new).groupBy("robot_id").agg(F.max("hb").alias("hb"))
+    target = f"{state_root}/_v_{batch_id:012d}"
+    new.write.mode("overwrite").parquet(target)
+    spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{state_root}/{DRIFT_POINTER}"
+    )
+
+
 def start_heartbeat_stream(
     spark: SparkSession, source_path: str, paths: IngestPaths, trigger: dict | None = None
 ) -> StreamingQuery:
-    """S4 as a stream: heartbeats appended to their own table (read by W7)."""
+    """S4 as a stream.  Each batch is appended to the heartbeat table (its
+    own ``batch_id=`` directory, idempotent) and folded into the compact
+    per-robot drift state that telemetry batches read (W7), so a batch
+    never re-aggregates the heartbeat history."""
     hb = heartbeat_source(read_topic_stream(spark, "heartbeat", path=source_path))
-    return sinks.append_stream(hb, paths.table("heartbeats"), paths.checkpoint("heartbeats"),
-                               trigger=trigger, query_name="heartbeats")
+    table, state = paths.table("heartbeats"), paths.drift_state
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            b.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+            _merge_drift_state(b, batch_id, state)
+        finally:
+            b.unpersist()
+
+    w = (
+        hb.writeStream.queryName("heartbeats")
+        .option("checkpointLocation", paths.checkpoint("heartbeats"))
+        .foreachBatch(run)
+    )
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
 
 
 def start_ingest(

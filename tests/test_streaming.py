@@ -198,3 +198,22 @@ def test_hourly_stats_stream_matches_batch(spark, tmp_dir):
     key = ["robot_id", "hour_bucket", "sensor_type", "event_count", "max_torque", "first_event", "last_event"]
     assert got.count() == want.count()
     assert got.select(*key).exceptAll(want.select(*key)).count() == 0
+
+
+def test_drift_state_is_compact_and_latest(spark, tmp_dir):
+    src_h = os.path.join(tmp_dir, "h")
+    paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
+    trig = {"availableNow": True}
+    _write_lines(src_h, "h0.json", [
+        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 5},
+        {"robot_id": "robot-002", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 7},
+    ])
+    ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
+    _write_lines(src_h, "h1.json", [
+        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 20, "estimated_drift_ms": 9},
+        {"robot_id": "robot-002", "session_id": "s-0", "server_ts_ms": 5, "estimated_drift_ms": 1},
+    ])
+    ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
+    state = {r["robot_id"]: r["drift_ms"] for r in ingest.read_drift_state(spark, paths.drift_state).collect()}
+    assert state == {"robot-001": 9, "robot-002": 7}  # older heartbeat of robot-002 does not win
+    assert spark.read.parquet(paths.table("heartbeats")).count() == 4
