@@ -150,6 +150,19 @@ def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column
     return run
 
 
+def dedup_stream(src: DataFrame, ts_field: str, delay: str) -> DataFrame:
+    """Optional: drop messages whose event_id was already seen, with state
+    bounded by a watermark on the edge time.  Messages without an id or a
+    numeric time are passed through untouched (validation rejects them)."""
+    eid = F.get_json_object(F.col("value").cast("string"), "$.event_id")
+    ts = F.timestamp_millis(F.get_json_object(F.col("value").cast("string"), f"$.{ts_field}").try_cast("long"))
+    keyed = src.select("value", eid.alias("_eid"), ts.alias("_ets"))
+    ok = keyed.filter(F.col("_eid").isNotNull() & F.col("_ets").isNotNull())
+    rest = keyed.filter(F.col("_eid").isNull() | F.col("_ets").isNull())
+    deduped = ok.withWatermark("_ets", delay).dropDuplicatesWithinWatermark(["_eid"])
+    return deduped.select("value").unionByName(rest.select("value"))
+
+
 def start_table_stream(
     spark: SparkSession,
     kind: str,
@@ -161,13 +174,19 @@ def start_table_stream(
     clock: Column | None = None,
     max_files_per_trigger: int | None = None,
     drift_mode: str = "latest",
+    dedup_within: str | None = None,
 ) -> StreamingQuery:
     """W1 (kind='telemetry_events') / W2 (kind='blob_index'): one query, own checkpoint.
 
     ``drift_mode='latest'`` applies the newest heartbeat per robot present
     when the batch runs (the reference's live map); ``'asof'`` the heartbeat
-    valid at each record's edge time (reproducible on replay)."""
+    valid at each record's edge time (reproducible on replay).
+    ``dedup_within`` (off by default, as in the reference) drops repeated
+    event ids seen within that watermark delay."""
     src = read_topic_stream(spark, kind, path=source_path, max_files_per_trigger=max_files_per_trigger)
+    if dedup_within:
+        src = dedup_stream(src, "event_ts_edge_ms" if kind == "telemetry_events" else "blob_ts_edge_ms",
+                           dedup_within)
     w = (
         src.writeStream.queryName(kind)
         .option("checkpointLocation", paths.checkpoint(kind))

@@ -217,3 +217,13 @@ def test_drift_state_is_compact_and_latest(spark, tmp_dir):
     state = {r["robot_id"]: r["drift_ms"] for r in ingest.read_drift_state(spark, paths.drift_state).collect()}
     assert state == {"robot-001": 9, "robot-002": 7}  # older heartbeat of robot-002 does not win
     assert spark.read.parquet(paths.table("heartbeats")).count() == 4
+
+
+def test_optional_dedup(spark, tmp_dir):
+    src_t = os.path.join(tmp_dir, "t")
+    _write_lines(src_t, "t0.json", [_tel(1), _tel(1), _tel(2), "{broken"])
+    paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
+    ingest.start_table_stream(spark, "telemetry_events", src_t, paths, None, trigger={"availableNow": True},
+                              dedup_within="10 minutes").awaitTermination()
+    assert spark.read.parquet(paths.table("telemetry_events")).count() == 2
+    assert spark.read.parquet(paths.rejects("telemetry_events")).count() == 1
