@@ -259,19 +259,23 @@ def write_batch_with_rejects(
             )
             # One log directory per table: concurrent streams never share an
             # output path (and so never share the committer's temporary dir).
+            # One directory per (table, batch): the idempotency check lists
+            # only that directory, never the whole (ever-growing) log.
             counts.select(
-                F.lit(batch_id).cast("long").alias("batch_id"),
                 "rows",
                 "rejected",
                 F.current_timestamp().alias("committed_at"),
-            ).write.mode("append").parquet(f"{log_path}/table_name={table_name}")
+            ).write.mode("overwrite").parquet(_log_dir(log_path, table_name, batch_id))
     finally:
         b.unpersist()
 
 
+def _log_dir(log_path: str, table_name: str, batch_id: int) -> str:
+    return f"{log_path}/table_name={table_name}/batch_id={batch_id}"
+
+
 def _batch_logged(spark: SparkSession, log_path: str, table_name: str, batch_id: int) -> bool:
     try:
-        log = spark.read.parquet(log_path)
-    except Exception:  # noqa: BLE001
+        return spark.read.parquet(_log_dir(log_path, table_name, batch_id)).limit(1).count() > 0
+    except Exception:  # noqa: BLE001 - not committed yet
         return False
-    return log.filter((F.col("table_name") == table_name) & (F.col("batch_id") == batch_id)).limit(1).count() > 0
