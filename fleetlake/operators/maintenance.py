@@ -204,3 +204,73 @@ def find_unreferenced_files(spark: SparkSession, root: str, older_than_days: int
     now_c = as_timestamp(now) if now is not None else F.current_timestamp()
     cutoff = now_c - F.expr(f"INTERVAL {int(older_than_days)} DAYS")
     return listing.join(live, "file_path", "left_anti").filter(F.col("modificationTime") < cutoff)
+
+
+# ------------------------------------------------------------------ M2 for stream-owned tables
+COMPACTIONS = "_compactions"
+
+
+def _compaction_log(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
+    """(generation path, first batch, last batch) of every finished range compaction."""
+    try:
+        rows = spark.read.json(f"{root}/{COMPACTIONS}").select("gen", "lo", "hi").collect()
+    except Exception:  # noqa: BLE001 - nothing compacted yet
+        return []
+    return sorted((r["gen"], int(r["lo"]), int(r["hi"])) for r in rows)
+
+
+def read_compacted(spark: SparkSession, root: str) -> DataFrame:
+    """A stream-owned table (``root/batch_id=N/...``) with its compacted
+    ranges: every generation plus the batches after the last compacted one
+    (partition pruning on ``batch_id`` skips the compacted batch dirs)."""
+    log = _compaction_log(spark, root)
+    upto = max((hi for _, _, hi in log), default=-1)
+    tail = spark.read.parquet(root).filter(F.col("batch_id") > upto).drop("batch_id")
+    out = tail
+    for gen, _, _ in log:
+        out = out.unionByName(spark.read.parquet(gen))
+    return out
+
+
+def compact_batches(
+    spark: SparkSession,
+    root: str,
+    upto_batch_id: int,
+    partition_cols: list[str],
+    target_bytes: int = rules.COMPACT_TARGET_BYTES,
+) -> dict:
+    """M2 for a table a stream still appends to: rewrite the committed
+    batches after the last compaction up to ``upto_batch_id`` (a closed
+    range, never the batch being written) into one generation, verify it,
+    then record it.  Only the new range is read and rewritten; earlier
+    generations stay as they are.  Idempotent: a range already recorded is
+    not compacted again."""
+    log = _compaction_log(spark, root)
+    lo = max((hi for _, _, hi in log), default=-1) + 1
+    if upto_batch_id < lo:
+        return {"compacted": False, "lo": lo, "hi": upto_batch_id}
+    rng = spark.read.parquet(root).filter(F.col("batch_id").between(lo, upto_batch_id)).drop("batch_id")
+    before = content_fingerprint(rng).collect()[0]
+    row_hash = F.xxhash64(*[F.col(c) for c in rng.columns if c not in partition_cols])
+    per_file = rng.groupBy(*partition_cols, "_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
+    sizes = per_file.groupBy(*partition_cols).agg(
+        F.greatest(F.lit(1), F.ceil(F.sum("file_size") / F.lit(target_bytes))).cast("long").alias("_files")
+    )
+    from fleetlake.operators.drift import broadcast_if_bounded
+
+    sizes = broadcast_if_bounded(sizes, MAX_BROADCAST_PARTITIONS)
+    out = (
+        rng.join(sizes, partition_cols, "left")
+        .withColumn("_f", F.pmod(row_hash, F.coalesce(F.col("_files"), F.lit(1))))
+        .hint("rebalance", *partition_cols, "_f")
+        .select(*rng.columns)
+    )
+    gen = f"{root}/_gen_b{lo:012d}_{upto_batch_id:012d}"
+    out.write.mode("overwrite").partitionBy(*partition_cols).parquet(gen)
+    after = content_fingerprint(spark.read.parquet(gen)).collect()[0]
+    ok = before["rows"] == after["rows"] and before["hash_sum"] == after["hash_sum"]
+    if ok:
+        spark.createDataFrame([(gen, lo, upto_batch_id)], "gen string, lo long, hi long").coalesce(1).write.mode(
+            "overwrite"
+        ).json(f"{root}/{COMPACTIONS}/hi={upto_batch_id:012d}")
+    return {"compacted": ok, "lo": lo, "hi": upto_batch_id, "target": gen, "rows": after["rows"]}

@@ -107,3 +107,26 @@ def test_schema_evolution_ddl(spark, tmp_dir):
     assert "firmware_version" in cols
     spark.sql("DROP TABLE fl_test.telemetry_events")
     spark.sql("DROP TABLE fl_test.blob_index")
+
+
+def test_compact_closed_batches_of_a_streamed_table(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "streamed")
+    tel = sinks.telemetry_layout(Fixture(spark, SF_SMALL).telemetry).drop("p_bucket")
+    parts = tel.randomSplit([1.0] * 5, seed=3)
+    for i, p in enumerate(parts):  # five micro-batches, each fragmented
+        p.repartition(4).write.partitionBy("p_hour").parquet(f"{root}/batch_id={i}")
+    total = tel.count()
+    r1 = m.compact_batches(spark, root, 2, ["p_hour"])
+    assert r1["compacted"] and (r1["lo"], r1["hi"]) == (0, 2)
+    assert m.compact_batches(spark, root, 2, ["p_hour"])["compacted"] is False  # already done
+    cur = m.read_compacted(spark, root)
+    assert cur.count() == total
+    # a sixth batch arrives after the compaction; the next compaction takes 3..5 only
+    parts[0].write.partitionBy("p_hour").parquet(f"{root}/batch_id=5")
+    r2 = m.compact_batches(spark, root, 5, ["p_hour"])
+    assert (r2["lo"], r2["hi"]) == (3, 5)
+    cur = m.read_compacted(spark, root)
+    assert cur.count() == total + parts[0].count()
+    for gen, _, _ in m._compaction_log(spark, root):
+        g = spark.read.parquet(gen)
+        assert g.select("_metadata.file_path").distinct().count() == g.select("p_hour").distinct().count()
