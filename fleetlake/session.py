@@ -26,17 +26,43 @@ BASE_CONF = {
 }
 
 
+# Preset for a large cluster (~100 TB inputs, ~1000 executors).  Shuffles
+# start wide (16k partitions: ~100 TB of keys / 16k ~ a few GB before
+# pre-aggregation, much less after) and AQE coalesces them towards 256 MB
+# per task at run time; scans split at 256 MB; a partition counts as skewed
+# at 5x the median and above 512 MB and is split by AQE (skew join and
+# REBALANCE).  Broadcasts stay explicit and size-checked (see
+# ``operators.drift.broadcast_if_bounded``); the automatic threshold only
+# covers small dimension-like sides.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "fleetlake",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    scale: bool = False,
 ) -> SparkSession:
-    """Return a session with the package's base configuration applied."""
+    """Return a session with the package's base configuration applied
+    (``scale=True`` adds ``SCALE_CONF`` for cluster-sized inputs)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if scale:
+        conf.update(SCALE_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
