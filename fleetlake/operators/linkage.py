@@ -11,9 +11,11 @@ Scale notes
   including duplicated manifests.
 * NULL ids (broken messages) never match, exactly as in an SQL join; they
   stay "unlinked" / "orphaned".
-* Row-level joins (``blob_linked``, ``cross_layer_join``) are plain equi
-  joins: Catalyst drops NULL keys before the shuffle and AQE splits hot
-  keys (skew join) or broadcasts a side that turns out small at run time.
+* Row-level joins (``blob_linked``) are plain equi joins: Catalyst drops
+  NULL keys before the shuffle and AQE splits hot keys (skew join) or
+  broadcasts a side that turns out small at run time.  The top-k join
+  (``cross_layer_join``) only ever joins its k candidate rows.
+* Anti joins and the status assignment route NULL ids around the shuffle.
 """
 
 from __future__ import annotations
@@ -148,19 +150,6 @@ def media_breakdown(telemetry: DataFrame, blobs: DataFrame) -> DataFrame:
     )
 
 
-def media_breakdown_map(breakdown: DataFrame) -> Column:
-    """Scalar-subquery column: map media_type -> cnt in descending count order.
-
-    The breakdown has one row per media type (an enumeration), so the list
-    collected into the map is bounded by the domain, not by data volume.
-    """
-    entries = F.array_sort(
-        F.collect_list(F.struct((-F.col("cnt")).alias("k"), F.col("media_type"), F.col("cnt")))
-    )
-    pairs = F.transform(entries, lambda e: F.struct(e["media_type"], e["cnt"]))
-    return breakdown.agg(F.map_from_entries(pairs)).scalar()
-
-
 def blobs_per_media(blobs: DataFrame) -> DataFrame:
     """All blobs per media_type, descending."""
     return (
