@@ -227,3 +227,34 @@ def test_optional_dedup(spark, tmp_dir):
                               dedup_within="10 minutes").awaitTermination()
     assert spark.read.parquet(paths.table("telemetry_events")).count() == 2
     assert spark.read.parquet(paths.rejects("telemetry_events")).count() == 1
+
+
+def test_drift_as_keyed_state(spark, tmp_dir):
+    from fleetlake.schemas import HEARTBEAT_SCHEMA, TELEMETRY_SCHEMA
+    from fleetlake.sources.topics import decode_payload, heartbeat_source, read_topic_stream
+    from fleetlake.streaming import drift_state
+
+    src = os.path.join(tmp_dir, "all")
+    base = 1_704_067_200_000
+    # batch 1: heartbeat then events; batch 2: newer heartbeat, then events
+    _write_lines(os.path.join(src, "t"), "0.json", [_tel(1, ts=base), _tel(2, robot="robot-002", ts=base)])
+    _write_lines(os.path.join(src, "h"), "0.json", [
+        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 1, "estimated_drift_ms": 40}])
+    tel = decode_payload(read_topic_stream(spark, "t", path=os.path.join(src, "t")), TELEMETRY_SCHEMA)
+    hb = heartbeat_source(read_topic_stream(spark, "h", path=os.path.join(src, "h")))
+    out = drift_state.corrected_stream(tel, hb)
+    q = (out.writeStream.format("memory").queryName("drift_state_t").outputMode("append")
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).start())
+    q.processAllAvailable()
+    _write_lines(os.path.join(src, "h"), "1.json", [
+        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 2, "estimated_drift_ms": 70},
+        {"robot_id": "robot-001", "session_id": "s-0", "server_ts_ms": 0, "estimated_drift_ms": 5}])
+    q.processAllAvailable()
+    _write_lines(os.path.join(src, "t"), "1.json", [_tel(3, ts=base)])
+    q.processAllAvailable()
+    q.stop()
+    got = {r["event_id"].split(":")[-1]: (r["drift_ms"], r["drift_source"])
+           for r in spark.sql("SELECT * FROM drift_state_t").collect()}
+    assert got["000000000001"] == (40, "HEARTBEAT")
+    assert got["000000000002"] == (None, "DEFAULT")
+    assert got["000000000003"] == (70, "HEARTBEAT")  # newest by time; the older late heartbeat does not win
