@@ -104,14 +104,62 @@ class IngestPaths:
         return f"{self.root}/tables/drift_state"
 
 
-def _read_heartbeats(spark: SparkSession, heartbeat_path: str) -> DataFrame | None:
+DAY_MS = 86_400_000
+# As-of lookups in a stream read heartbeats of the batch's days plus this
+# many days before (partition pruning on p_day); see ``_asof_bounded``.
+ASOF_LOOKBACK_DAYS = 2
+
+
+def _read_heartbeats(spark: SparkSession, heartbeat_path: str, days: tuple[int, int] | None = None
+                     ) -> DataFrame | None:
     try:
         hb = spark.read.parquet(heartbeat_path)
     except Exception:  # noqa: BLE001 - no heartbeat yet
         return None
+    if days is not None and "p_day" in hb.columns:
+        hb = hb.filter(F.col("p_day").between(days[0], days[1]))
     return hb.select(*[F.col(f.name).cast(f.dataType) for f in HEARTBEAT_SCHEMA.fields])
 
 
+def _read_drift_state_full(spark: SparkSession, state_root: str) -> DataFrame | None:
+    try:
+        rows = spark.read.text(f"{state_root}/{DRIFT_POINTER}").limit(1).collect()
+    except Exception:  # noqa: BLE001
+        return None
+    return spark.read.parquet(rows[0][0]) if rows else None
+
+
+def _asof_bounded(spark: SparkSession, dec: DataFrame, ts_col: str, heartbeat_path: str, state_root: str
+                  ) -> DataFrame | None:
+    """As-of drift for one micro-batch without reading the heartbeat history.
+
+    Only heartbeats of the days the batch's edge times span (plus
+    ``ASOF_LOOKBACK_DAYS`` before) are read (partition pruning).  A row with
+    no heartbeat in that window takes the robot's newest heartbeat from the
+    compact drift state when that heartbeat is not newer than the row - it
+    is then exactly the as-of answer.  Otherwise (the robot's last
+    heartbeat before the row is older than the lookback and a newer one
+    exists) the row gets no drift and is marked DEFAULT.
+    """
+    lo, hi = dec.agg(F.min(ts_col), F.max(ts_col)).collect()[0]
+    if lo is None:
+        return None
+    days = (int(lo) // DAY_MS - ASOF_LOOKBACK_DAYS, int(hi) // DAY_MS)
+    hb = _read_heartbeats(spark, heartbeat_path, days)
+    if hb is None:
+        return None
+    out = drift_ops.asof_drift(dec, hb, ts_col)
+    state = _read_drift_state_full(spark, state_root)
+    if state is None:
+        return out
+    st = drift_ops.broadcast_if_bounded(
+        state.select("robot_id", F.col("hb.server_ts_ms").alias("_st_ts"), F.col("hb.estimated_drift_ms").alias("_st_d")),
+        drift_ops.MAX_BROADCAST_ROBOTS,
+    )
+    filled = F.coalesce(F.col("drift_ms"), F.when(F.col("_st_ts") <= F.col(ts_col), F.col("_st_d")))
+    return out.join(st, "robot_id", "left").withColumn("drift_ms", filled).drop("_st_ts", "_st_d")
+
+
 def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column | None, heartbeat_path: str | None,
                   drift_mode: str = "latest"):
     schema = TELEMETRY_SCHEMA if kind == "telemetry_events" else MANIFEST_SCHEMA
@@ -129,11 +177,11 @@ def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column
             )
         ts_col = "event_ts_edge_ms" if kind == "telemetry_events" else "blob_ts_edge_ms"
         if drift_mode == "asof" and heartbeat_path is not None:
-            hb = _read_heartbeats(spark, heartbeat_path)
-            if hb is not None:
-                # J8 per batch: the heartbeat valid when each record was stamped.
-                dec = drift_ops.asof_drift(dec, hb, ts_col)
-                bronze = layout(to_bronze(dec, None, clock, drift_col_present=True))
+            # J8 per batch: the heartbeat valid when each record was stamped.
+            dec = dec.persist()
+            tagged = _asof_bounded(spark, dec, ts_col, heartbeat_path, paths.drift_state)
+            if tagged is not None:
+                bronze = layout(to_bronze(tagged, None, clock, drift_col_present=True))
             else:
                 bronze = layout(to_bronze(dec, None, clock))
         else:
@@ -143,9 +191,13 @@ def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column
             if drift is None:
                 drift = drift_table(spark, heartbeat_path)
             bronze = layout(to_bronze(dec, drift, clock))
-        sinks.write_batch_with_rejects(
-            bronze, batch_id, paths.table(kind), paths.rejects(kind), paths.batch_log, parts, kind
-        )
+        try:
+            sinks.write_batch_with_rejects(
+                bronze, batch_id, paths.table(kind), paths.rejects(kind), paths.batch_log, parts, kind
+            )
+        finally:
+            if dec.is_cached:
+                dec.unpersist()
 
     return run
 
@@ -250,7 +302,9 @@ def start_heartbeat_stream(
     def run(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
-            b.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+            b.withColumn("p_day", F.floor(F.col("server_ts_ms") / F.lit(DAY_MS)).cast("long")).write.mode(
+                "overwrite"
+            ).partitionBy("p_day").parquet(f"{table}/batch_id={batch_id}")
             _merge_drift_state(b, batch_id, state)
         finally:
             b.unpersist()

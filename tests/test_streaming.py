@@ -272,3 +272,27 @@ def test_batch_replayed_after_crash_before_log(spark, tmp_dir):
     assert spark.read.parquet(acc).count() == 1
     assert spark.read.parquet(rej).count() == 1
     assert spark.read.parquet(log).filter(F.col("batch_id") == 7).count() == 1
+
+
+def test_asof_stream_reads_only_recent_days(spark, tmp_dir):
+    src_t, src_h = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "h")
+    day = 86_400_000
+    base = 1_704_067_200_000 + 20 * day
+    _write_lines(src_h, "h0.json", [
+        # robot-001: only an old heartbeat (10 days back) -> newest overall, valid for the event
+        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": base - 10 * day, "estimated_drift_ms": 11},
+        # robot-002: old heartbeat plus one newer than its event -> beyond the lookback: DEFAULT
+        {"robot_id": "robot-002", "session_id": "s-1", "server_ts_ms": base - 10 * day, "estimated_drift_ms": 22},
+        {"robot_id": "robot-002", "session_id": "s-1", "server_ts_ms": base + day, "estimated_drift_ms": 33},
+        # robot-003: heartbeat inside the window
+        {"robot_id": "robot-003", "session_id": "s-1", "server_ts_ms": base - 1000, "estimated_drift_ms": 44},
+    ])
+    _write_lines(src_t, "t0.json", [_tel(1, "robot-001", base), _tel(2, "robot-002", base), _tel(3, "robot-003", base)])
+    paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
+    trig = {"availableNow": True}
+    ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
+    ingest.start_table_stream(spark, "telemetry_events", src_t, paths, paths.table("heartbeats"), trigger=trig,
+                              drift_mode="asof").awaitTermination()
+    got = {r["robot_id"]: base + int(r["event_id"][-1]) - int(r["event_ts_corrected"].timestamp() * 1000)
+           for r in spark.read.parquet(paths.table("telemetry_events")).collect()}
+    assert got == {"robot-001": 11, "robot-002": 0, "robot-003": 44}
