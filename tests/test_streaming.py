@@ -296,3 +296,44 @@ def test_asof_stream_reads_only_recent_days(spark, tmp_dir):
     got = {r["robot_id"]: base + int(r["event_id"][-1]) - int(r["event_ts_corrected"].timestamp() * 1000)
            for r in spark.read.parquet(paths.table("telemetry_events")).collect()}
     assert got == {"robot-001": 11, "robot-002": 0, "robot-003": 44}
+
+
+def test_append_stream_to_catalog_table(spark, tmp_dir):
+    from fleetlake import sinks
+    from fleetlake.schemas import TELEMETRY_SCHEMA
+    from fleetlake.sources.topics import decode_payload, read_topic_stream
+
+    src = os.path.join(tmp_dir, "t")
+    _write_lines(src, "0.json", [_tel(i) for i in range(4)])
+    spark.sql("CREATE DATABASE IF NOT EXISTS fl_stream")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS fl_stream.tel (event_id STRING, robot_id STRING) USING parquet "
+              f"LOCATION '{os.path.join(tmp_dir, 'wh')}'")
+    df = decode_payload(read_topic_stream(spark, "t", path=src), TELEMETRY_SCHEMA).select("event_id", "robot_id")
+    q = sinks.append_stream(df, None, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True},
+                            table="fl_stream.tel")
+    q.awaitTermination()
+    assert spark.table("fl_stream.tel").count() == 4
+    spark.sql("DROP TABLE fl_stream.tel")
+
+
+def test_hourly_status_stream_matches_batch(spark, tmp_dir):
+    from fleetlake.plans import gold
+    from fleetlake.sources.fixtures import Fixture
+    from fleetlake.streaming import aggregates
+    from tests.conftest import SF_SMALL
+
+    tel = Fixture(spark, SF_SMALL).telemetry
+    src = os.path.join(tmp_dir, "bronze")
+    tel.write.parquet(src)
+    q = (aggregates.hourly_status_stream(spark.readStream.schema(tel.schema).parquet(src), "0 seconds")
+         .writeStream.format("memory").queryName("hourly_status_t").outputMode("append").start())
+    q.processAllAvailable()
+    q.processAllAvailable()
+    q.stop()
+    want = gold.telemetry_hourly_status(tel)
+    last = want.agg(F.max("hour_bucket")).collect()[0][0]
+    got = spark.sql("SELECT * FROM hourly_status_t").filter(F.col("hour_bucket") < last)
+    want = want.filter(F.col("hour_bucket") < last)
+    cols = ["hour_bucket", "total_telemetry", "linked_count", "pending_count", "orphaned_count"]
+    assert got.count() == want.count()
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
