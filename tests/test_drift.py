@@ -87,3 +87,15 @@ def test_no_python_udf_in_plan(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     plan = drift.correct_drift(ev, hb)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_heartbeat_source_missing_drift_is_zero(spark):
+    import json
+
+    from fleetlake.sources.topics import heartbeat_source
+
+    msgs = [json.dumps({"robot_id": "r1", "session_id": "s", "server_ts_ms": 5}),
+            json.dumps({"robot_id": "r2", "session_id": "s", "server_ts_ms": 5, "estimated_drift_ms": -12})]
+    df = spark.createDataFrame([(m,) for m in msgs], "value string")
+    got = {r["robot_id"]: r["estimated_drift_ms"] for r in heartbeat_source(df).collect()}
+    assert got == {"r1": 0, "r2": -12}
