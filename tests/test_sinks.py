@@ -18,3 +18,16 @@ def test_bucket_stable_in_range_and_spread(spark):
     assert used >= min(robots, rules.TELEMETRY_BUCKETS) // 2  # hash spreads robots over buckets
     hours = tel.filter(F.col("p_hour") != F.date_trunc("hour", "event_ts_corrected")).count()
     assert hours == 0
+
+
+def test_event_id_round_trip_and_malformed(spark):
+    from fleetlake.functions import ids
+
+    df = spark.createDataFrame([("robot-001:s-5:000000000042",), ("a:b",), ("robot-x:s:1",)], "e string")
+    rows = df.select(ids.parse_event_id("e").alias("p"), ids.robot_shard(F.lit("robot-017")).alias("s")).collect()
+    assert rows[0]["p"]["counter"] == 42 and rows[0]["p"]["robot_id"] == "robot-001"
+    assert rows[1]["p"] is None
+    assert rows[2]["p"]["counter"] == 1
+    assert rows[0]["s"] == "01"  # 17 % 16
+    made = spark.range(1).select(ids.make_event_id(F.lit("robot-001"), F.lit("s-5"), F.lit(42)).alias("e")).first()
+    assert made["e"] == "robot-001:s-5:000000000042"
