@@ -31,3 +31,22 @@ def test_event_id_round_trip_and_malformed(spark):
     assert rows[0]["s"] == "01"  # 17 % 16
     made = spark.range(1).select(ids.make_event_id(F.lit("robot-001"), F.lit("s-5"), F.lit(42)).alias("e")).first()
     assert made["e"] == "robot-001:s-5:000000000042"
+
+
+def test_time_helpers_exact(spark):
+    import datetime as dt
+
+    from fleetlake.functions import time as t
+
+    df = spark.createDataFrame([(1_704_067_200_123, dt.datetime(2024, 1, 1, 0, 0, 1, 500000),
+                                 dt.datetime(2024, 1, 1, 0, 0, 0, 250000))], "ms long, a timestamp, b timestamp")
+    r = df.select(
+        t.ms_to_timestamp("ms").alias("ts"),
+        t.seconds_between("a", "b").alias("d"),
+        t.add_seconds("b", 59).alias("p"),
+        t.timestamp_to_ms(t.ms_to_timestamp("ms")).alias("back"),
+    ).collect()[0]
+    assert r["ts"] == dt.datetime(2024, 1, 1, 0, 0, 0, 123000)
+    assert r["d"] == 1.25
+    assert r["p"] == dt.datetime(2024, 1, 1, 0, 0, 59, 250000)
+    assert r["back"] == 1_704_067_200_123
