@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import circulant_minhash
+from fleetlake.llm import circulant_minhash, common, multi_index, warc_zip, wavelet_ids
 from fleetlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,75 @@ links AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN comps ON comps.a = sets.doc_id
 """
+
+
+@register
+def op3_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of ``embeddings``: cosine 0.95."""
+    return multi_index.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+ORACLES["op3_inverted_multi_index"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), fit AS (
+  SELECT * FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), comps AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comps ON comps.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+"""
+
+
+@register
+def op7_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC records of ``pages`` written into ZIP packages and read back by range."""
+    folder = common.as_uri(common.scratch_path(spark, "warc-packages"))
+    manifest = warc_zip.write_packages(read_table(spark, sf_dir, "pages"), folder)
+    records = warc_zip.read_packages(manifest, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op7_warc_zip"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (
+  SELECT page_id, payload, CAST(octet_length(encode(payload)) AS BIGINT) AS n, sha1(payload) AS hex,
+    max(page_id) OVER (PARTITION BY payload) AS top
+  FROM p
+), b AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, CAST(5 * i + 1 AS INTEGER), 5) AS BIGINT)) AS g FROM d
+)
+SELECT page_id, n AS payload_bytes,
+  array_to_string(list_transform(g, lambda x:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (x >> 15) AS INTEGER), 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((x >> 10) & 31) AS INTEGER), 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((x >> 5) & 31) AS INTEGER), 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (x & 31) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM b
+"""
+
+#: The public tokenizer of op10, by its name in the installed tokenizer package.
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register
+def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of ``documents`` written as wavelet-matrix shards and read back."""
+    return wavelet_ids.encode_and_read(spark, read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
