@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetlake.llm import circulant_minhash, common, multi_index, warc_zip, wavelet_ids
+from fleetlake.llm import circulant_minhash, common, crf_langid, guess_cost, multi_index, warc_zip, wavelet_ids
 from fleetlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +125,24 @@ def tokenizer_path(name: str) -> str:
 def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of ``documents`` written as wavelet-matrix shards and read back."""
     return wavelet_ids.encode_and_read(spark, read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
+
+
+@register
+def op2_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in ``documents``: fixed patterns, and credential values by their guess cost."""
+    return guess_cost.span_digest(read_table(spark, sf_dir, "documents"))
+
+
+def remainder(modulus: int):
+    """crc32 of the doc_id as text, modulo; null for a null doc_id."""
+    return F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % modulus
+
+
+@register
+def op9_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of ``documents``, learned where crc32(doc_id) mod 3 is not 1."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    model = crf_langid.fit_on(docs.where(~held_out))
+    named = crf_langid.label_documents(docs.select("doc_id", "text"), model)
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
