@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import circulant_minhash, common, crf_langid, guess_cost, multi_index, warc_zip, wavelet_ids
+from fleetlake.llm import (
+    circulant_minhash,
+    common,
+    crf_langid,
+    guess_cost,
+    multi_index,
+    order_minhash,
+    pfair_mix,
+    warc_zip,
+    wavelet_ids,
+    wfst_pieces,
+)
 from fleetlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +157,37 @@ def op9_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = crf_langid.fit_on(docs.where(~held_out))
     named = crf_langid.label_documents(docs.select("doc_id", "text"), model)
     return named.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@register
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of ``documents`` and of their edited texts."""
+    return order_minhash.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all ``documents`` in a mix of their sources, weights by size to the power 0.7."""
+    return pfair_mix.mix(read_table(spark, sf_dir, "documents"))
+
+
+#: The public tokenizer of op8.
+PIECES = "piece_bpe_32k.model"
+
+
+def model_bytes(name: str) -> bytes:
+    with open(tokenizer_path(name), "rb") as f:
+        return f.read()
+
+
+@register
+def op8_wfst_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all ``documents`` and whether they decode to the text."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "text")
+    coded = wfst_pieces.encode_documents(docs, model_bytes(PIECES), check=True)
+    return coded.select(
+        "doc_id",
+        F.size("input_ids").cast("long").alias("n_tokens"),
+        F.hex(F.xxhash64("input_ids")).alias("ids_hash"),
+        (F.sha2("decoded", 256) == F.col("digest")).alias("round_trip"),
+    )
