@@ -16,8 +16,8 @@ The work per step:
   tasks; only links that join two components leave a task, never the pairs.  A bucket is cut into
   blocks by its bytes, so a task holds a bounded part of a bucket of any size.
 
-With 32 bands of 6 coordinates a pair at similarity 0.85 is missed with probability 3e-7, one at
-0.8 with 6e-5 (``rows=4, bands=32`` for the pipeline's 0.8: 6e-8).
+With 32 bands of 6 coordinates a pair at similarity 0.85 is missed with probability 3e-7; with 32
+bands of 5, one at 0.8 with 3e-6.
 """
 
 from __future__ import annotations

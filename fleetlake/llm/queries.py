@@ -12,6 +12,7 @@ from fleetlake.llm import (
     circulant_minhash,
     common,
     crf_langid,
+    gru_lm,
     guess_cost,
     multi_index,
     order_minhash,
@@ -191,3 +192,10 @@ def op8_wfst_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.hex(F.xxhash64("input_ids")).alias("ids_hash"),
         (F.sha2("decoded", 256) == F.col("digest")).alias("round_trip"),
     )
+
+
+@register
+def op4_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of all ``documents``, learned where crc32(doc_id) mod 10 is not 0."""
+    held_out = F.coalesce(remainder(10) == 0, F.lit(False))
+    return gru_lm.score_corpus(read_table(spark, sf_dir, "documents"), held_out).withColumn("held_out", held_out)
