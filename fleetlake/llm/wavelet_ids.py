@@ -23,18 +23,21 @@ import json
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm import common
 
-SHARD_TOKENS = 2 << 20
+SHARD_TOKENS = 1 << 20
 BLOCK = 1024
+MAX_READ_TASKS = 20_000
 MAGIC = b"WMX1"
 
 
@@ -50,13 +53,13 @@ class WaveletMatrix:
         cur = ids.astype(np.uint16 if depth <= 16 else np.uint32)
         planes, blocks, zeros = [], [], []
         for bit in range(depth - 1, -1, -1):
-            ones = ((cur >> cur.dtype.type(bit)) & cur.dtype.type(1)).astype(bool)
+            ones = (cur & cur.dtype.type(1 << bit)) != 0
             packed = np.packbits(ones)
             planes.append(packed)
             blocks.append(cls.directory(packed))
-            below = cur[~ones]
+            below = np.flatnonzero(~ones)
             zeros.append(len(below))
-            cur = np.concatenate([below, cur[ones]])
+            cur = np.concatenate([cur.take(below), cur.take(np.flatnonzero(ones))])
         return cls(len(ids), planes, blocks, zeros)
 
     @staticmethod
@@ -132,8 +135,8 @@ class WaveletMatrix:
         for k in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[k], count=self.length).view(bool)
             prev = np.empty(self.length, kind)
-            prev[~ones] = cur[: self.zeros[k]]
-            prev[ones] = cur[self.zeros[k] :] | kind(1 << (len(self.planes) - 1 - k))
+            prev[np.flatnonzero(~ones)] = cur[: self.zeros[k]]
+            prev[np.flatnonzero(ones)] = cur[self.zeros[k] :] | kind(1 << (len(self.planes) - 1 - k))
             cur = prev
         return cur
 
@@ -178,16 +181,28 @@ def parse_shard(raw) -> tuple[list, np.ndarray, WaveletMatrix]:
     return [int(v) if ok else None for v, ok in zip(values, valid, strict=True)], lengths, WaveletMatrix(n, planes, blocks, head["zeros"])
 
 
+#: The byte-level pre-tokenizer's public pattern (a fixed value).
+PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def byte_alphabet() -> list[str]:
+    """The character that stands for each byte: printable Latin-1 for itself, the others from U+0100."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in shown else next(spare)) for b in range(256)]
+
+
 class CachedEncoder:
     """``tokenizer.encode`` with the ids of frequent words kept.
 
     The byte-level pre-tokenizer always cuts before a single space and around a single line feed
     that stand between characters that are not white space, so a text of such words is the
-    concatenation of its words' ids; the library encodes each word not yet held (many at once, one
-    per line).  Any other text goes to the library whole.
+    concatenation of its words' ids.  A word not yet held goes through the library's pre-tokenizer
+    and model; any other text goes to the library whole.
     """
 
-    limit = 600_000
+    #: Words held (about 200 bytes each); all are dropped when there are more.
+    limit = 1_200_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -197,38 +212,70 @@ class CachedEncoder:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.kind = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.held: dict[str, bytes] = {}
-        feed = self.tok.encode("\n", add_special_tokens=False).ids
-        probe = self.tok.encode("a\n b\nc", add_special_tokens=False).ids
-        whole = [i for s in ("a", "\n", " b", "\n", "c") for i in self.tok.encode(s, add_special_tokens=False).ids]
-        self.feed = feed[0] if len(feed) == 1 and probe == whole else None
+        self.code = "H" if self.kind is np.uint16 else "I"
+        self.model = self.tok.model
+        self.model._resize_cache(0)  # words are held here
+        self.pieces: dict[str, bytes] = {}
+        self.feed = len(self.whole("\n"))  # the one put before the text
+        # the shortcut is taken only where the library itself cuts and maps in this way
+        self.alphabet = byte_alphabet()
+        cut = self.tok.pre_tokenizer
+        self.cuts = self.tok.normalizer is None and cut is not None and len(self.whole("\n")) == self.feed
+        for probe in ("a\n b1\nc d, e", "it's 42ndé!\tx  y\r\n z", "\u00a0日本 語 \x1f_"):
+            mapped = ["".join(self.alphabet[b] for b in p.encode()) for p in PRE_TOKENS.findall(probe)]
+            self.cuts = self.cuts and [p for p, _ in cut.pre_tokenize_str(probe)] == mapped
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one pre-token: the model's tokens of its bytes in the byte-level alphabet."""
+        if piece.isascii() and piece.isprintable():
+            piece = piece.replace(" ", self.alphabet[32])
+        else:
+            piece = "".join([self.alphabet[b] for b in piece.encode()])
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a word after a space, or of a line feed and a word; None if it is not one word."""
+        if word.isalpha():
+            return self._piece(" " + word)
+        text = word if word[:1] == "\n" else " " + word
+        bare = text[1:]
+        if not bare or len(bare.split()) != 1 or bare[0].isspace() or bare[-1].isspace():
+            return None
+        out = []
+        for piece in PRE_TOKENS.findall(text):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = self._piece(piece)
+                if len(piece) < 4:
+                    self.pieces[piece] = ids
+                    if len(self.pieces) > 50_000:
+                        self.pieces.clear()
+            out.append(ids)
+        return b"".join(out)
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian bytes of ``kind``."""
-        if self.feed is None or not text or any(s in text for s in self.special):
+        if not self.cuts or not text or any(s in text for s in self.special):
             return self.whole(text)
         # a part is a word, or a line feed and a line's first word
-        parts = ("\n" + text).replace("\n", " \n").split(" ")[1:]
+        parts = ("\n" + text).replace("\n", " \n").split(" ")
+        del parts[0]
         held = self.held
-        new = [p for p in parts if p not in held]
-        if new:
+        found = list(map(held.get, parts))
+        if None in found:
             if len(held) > self.limit:
                 held.clear()
-                new = parts
-            new = list(dict.fromkeys(new))
-            if any(len(p.split()) != 1 or p[-1].isspace() or p[p[0] == "\n"].isspace() for p in new if p) or "" in new:
-                return self.whole(text)
-            ids = np.array(self.tok.encode("".join(p if p[0] == "\n" else "\n " + p for p in new), add_special_tokens=False).ids, self.kind)
-            cuts = np.flatnonzero(ids == self.feed).tolist()
-            if len(cuts) != len(new):
-                return self.whole(text)
-            width = ids.itemsize
-            raw = ids.tobytes()
-            for p, a, b in zip(new, cuts, [*cuts[1:], len(ids)], strict=True):
-                held[p] = raw[(a + (p[0] != "\n")) * width : b * width]
-        return b"".join(map(held.__getitem__, parts))[np.dtype(self.kind).itemsize :]
+            for i, ids in enumerate(found):
+                if ids is None:
+                    word = parts[i]
+                    ids = held.get(word) or self._word(word)
+                    if ids is None:
+                        return self.whole(text)
+                    held[word] = found[i] = ids
+        return b"".join(found)[self.feed :]
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
@@ -323,7 +370,9 @@ def read_documents(manifest: DataFrame) -> DataFrame:
     before = tasks.select("task", (F.sum("tokens").over(Window.orderBy("task")) - F.col("tokens")).alias("before"))
     within = F.sum("tokens").over(Window.partitionBy("task").orderBy("seq")) - F.col("tokens")
     shards = manifest.withColumn("within", within).join(before, "task").select("path", (F.col("before") + F.col("within")).alias("first"))
-    return shards.repartition("path").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    files = max(1, min(manifest.count(), MAX_READ_TASKS))
+    # a number, since the rows are tiny and the work behind them is not
+    return shards.repartition(files).mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_and_read(spark: SparkSession, docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> DataFrame:
