@@ -37,6 +37,7 @@ from fleetlake.llm import common
 #: Bytes of compressed records in one package; bytes of one range read.
 PACKAGE_BYTES = 32 << 20
 RANGE_BYTES = 4 << 20
+MAX_READ_TASKS = 20_000
 #: Copies of a hot payload are dealt over so many parts when their response is looked up.
 SALTS = 16
 
@@ -356,5 +357,7 @@ def read_packages(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
 
     A digest that does not fit its payload, or a broken archive, is an error."""
     common.configure(manifest.sparkSession)
-    ranges = manifest.select("path").repartition("path").mapInArrow(_plan, "path string, member string, start long, length long, lengths array<long>")
-    return ranges.repartition("path", "start").mapInArrow(_fetch(with_payload), RECORD)
+    # numbers, since the rows are tiny and the work behind them is not
+    files = max(1, min(manifest.count(), MAX_READ_TASKS))
+    ranges = manifest.select("path").repartition(files).mapInArrow(_plan, "path string, member string, start long, length long, lengths array<long>")
+    return ranges.repartition(min(4 * files, MAX_READ_TASKS)).mapInArrow(_fetch(with_payload), RECORD)
