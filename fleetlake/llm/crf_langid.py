@@ -283,9 +283,11 @@ def fit_on(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
 
 
 def label_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred and lang_score.  Null texts and texts without a letter: ``und``, 0.
-    Only ``text`` is read; every other column passes through."""
+    """``docs`` with lang_pred and lang_score (columns of these names are replaced).  Null texts and
+    texts without a letter: ``und``, 0.  Only ``text`` is read; every other column passes through,
+    row by row, repeated rows too."""
     spark = docs.sparkSession
+    docs = docs.drop("lang_pred", "lang_score")
     common.configure(spark)
     shared = spark.sparkContext.broadcast(model)
 

@@ -239,9 +239,10 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def redacted(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the secrets of ``text`` replaced; all other columns as they are."""
+    """``docs`` with the secrets of ``text`` replaced and a column ``findings`` (replaced if there is
+    one); all other columns as they are, row by row."""
     common.configure(docs.sparkSession)
-    others = [c for c in docs.columns if c != "text"]
+    others = [c for c in docs.columns if c not in ("text", "findings")]
     rows = docs.select(F.struct(*others).alias("key"), F.col("text").cast("string").alias("text"))
     out = rows.mapInArrow(_scan(threshold, True), f"key {rows.schema['key'].dataType.simpleString()}, findings {FINDING}, text string")
     return out.select("key.*", "findings", "text")

@@ -390,9 +390,10 @@ def compiled(raw: bytes) -> Transducer:
 
 def encode_documents(docs: DataFrame, model: bytes, check: bool = False) -> DataFrame:
     """``docs`` with input_ids (array<int>) and, if ``check``, decoded (the text that the ids
-    decode to).  A null text is empty and has no ids; only ``text`` is read, every other column
-    passes through, row by row."""
+    decode to); columns of these names are replaced.  A null text is empty and has no ids; only
+    ``text`` is read, every other column passes through, row by row."""
     spark = docs.sparkSession
+    docs = docs.drop("input_ids", "decoded")
     common.configure(spark)
     shared = spark.sparkContext.broadcast(model)  # a tokenizer file, about a megabyte
 
