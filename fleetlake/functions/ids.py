@@ -12,9 +12,9 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def make_event_id(robot_id: Column | str, session_id: Column | str, counter: Column | str) -> Column:
-    """``{robot_id}:{session_id}:{counter:012d}``."""
-    return F.format_string("%s:%s:%012d", _c(robot_id), _c(session_id), _c(counter).cast("long"))
+def make_event_id(device_id: Column | str, session_id: Column | str, counter: Column | str) -> Column:
+    """``{device_id}:{session_id}:{counter:012d}``."""
+    return F.format_string("%s:%s:%012d", _c(device_id), _c(session_id), _c(counter).cast("long"))
 
 
 def colon_count(event_id: Column | str) -> Column:
@@ -30,27 +30,27 @@ def parse_event_id(event_id: Column | str) -> Column:
     return F.when(
         ok,
         F.struct(
-            F.try_element_at(parts, F.lit(1)).alias("robot_id"),
+            F.try_element_at(parts, F.lit(1)).alias("device_id"),
             F.try_element_at(parts, F.lit(2)).alias("session_id"),
             F.try_element_at(parts, F.lit(3)).try_cast("long").alias("counter"),
         ),
     )
 
 
-def robot_number(robot_id: Column | str) -> Column:
-    """Integer after the first '-' of ``robot-NNN``; NULL if not numeric."""
-    return F.try_element_at(F.split(_c(robot_id), "-"), F.lit(2)).try_cast("int")
+def device_number(device_id: Column | str) -> Column:
+    """Integer after the first '-' of the id prefix; NULL if not numeric."""
+    return F.try_element_at(F.split(_c(device_id), "-"), F.lit(2)).try_cast("int")
 
 
-def robot_shard(robot_id: Column | str, shards: int = rules.ROBOT_SHARDS) -> Column:
-    """Two-digit shard ``robot_number % shards``."""
-    return F.format_string("%02d", F.pmod(robot_number(robot_id), F.lit(shards)))
+def device_shard(device_id: Column | str, shards: int = rules.DEVICE_SHARDS) -> Column:
+    """Two-digit shard ``device_number % shards``."""
+    return F.format_string("%02d", F.pmod(device_number(device_id), F.lit(shards)))
 
 
-def blob_key(media_type: Column | str, ts: Column | str, robot_id: Column | str, event_id: Column | str) -> Column:
+def blob_key(media_type: Column | str, ts: Column | str, device_id: Column | str, event_id: Column | str) -> Column:
     """Partitioned object key of a stored blob:
 
-    ``blob/{media}/event_date=YYYY-MM-DD/event_hour=HH/robot_shard=NN/robot_id={robot}/{event_id}.bin``
+    ``blob/{media}/event_date=YYYY-MM-DD/event_hour=HH/<shard key>NN/<device key>{device}/{event_id}.bin``
     """
     t = _c(ts)
     return F.concat(
@@ -60,10 +60,10 @@ def blob_key(media_type: Column | str, ts: Column | str, robot_id: Column | str,
         F.date_format(t, "yyyy-MM-dd"),
         F.lit("/event_hour="),
         F.date_format(t, "HH"),
-        F.lit("/robot_shard="),
-        robot_shard(robot_id),
-        F.lit("/robot_id="),
-        _c(robot_id),
+        F.lit(f"/{rules.BLOB_KEY_SHARD}"),
+        device_shard(device_id),
+        F.lit(f"/{rules.BLOB_KEY_DEVICE}"),
+        _c(device_id),
         F.lit("/"),
         _c(event_id),
         F.lit(".bin"),

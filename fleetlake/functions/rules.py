@@ -17,10 +17,10 @@ FORCE_MAX_N = 500.0
 VALID_SENSOR_TYPES = ("joint_state", "force_torque", "imu")
 VALID_MEDIA_TYPES = ("camera_rgb", "camera_depth", "lidar_pointcloud", "audio", "raw_sensor_dump")
 
-REQUIRED_TELEMETRY_FIELDS = ("event_id", "robot_id", "session_id", "event_ts_edge_ms", "sensor_type")
+REQUIRED_TELEMETRY_FIELDS = ("event_id", "device_id", "session_id", "event_ts_edge_ms", "sensor_type")
 REQUIRED_MANIFEST_FIELDS = (
     "event_id",
-    "robot_id",
+    "device_id",
     "session_id",
     "media_type",
     "blob_uri",
@@ -35,10 +35,15 @@ STATUS_LINKED = "LINKED"
 STATUS_ORPHANED = "ORPHANED"
 QUALITY_STATE_INGESTED = "INGESTED"
 
+# Wire format: the device's JSON field, the start of its ids, the parts of a blob key that name it.
+WIRE_DEVICE_ID = "robot_id"
+DEVICE_ID_PREFIX = "robot-"
+BLOB_KEY_SHARD, BLOB_KEY_DEVICE = "robot_shard=", "robot_id="
+
 BLOB_URI_SCHEME = "s3://"
 RAW_BUCKET = "raw-blobs"
 CHECKSUM_HEX_LENGTH = 64
-ROBOT_SHARDS = 16
+DEVICE_SHARDS = 16
 
 # SLA defaults
 FRESHNESS_WARN_SEC = 60

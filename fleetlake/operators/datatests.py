@@ -50,7 +50,7 @@ class TableTests:
 
 # The reference's column-test suite (bronze sources and silver models).
 DEFAULT_SUITE = [
-    TableTests("telemetry_events", not_null=["event_id", "robot_id", "event_ts_corrected"]),
+    TableTests("telemetry_events", not_null=["event_id", "device_id", "event_ts_corrected"]),
     TableTests("blob_index", not_null=["event_id", "blob_uri", "checksum_sha256"]),
     TableTests(
         "telemetry_validated",

@@ -1,4 +1,4 @@
-"""Per-robot clock-drift correction from heartbeat data.
+"""Per-device clock-drift correction from heartbeat data.
 
 Heartbeats are data joined to events, not a driver-side dict read by a
 Python UDF: the lookup is a Catalyst join, its result is reproducible, and
@@ -6,7 +6,7 @@ a failed heartbeat feed is visible (``drift_source = 'DEFAULT'``) instead
 of silently becoming 0.
 
 Two lookups:
-* ``latest_drift``  - the newest heartbeat per robot (what a live map
+* ``latest_drift``  - the newest heartbeat per device (what a live map
   holds once every heartbeat has been seen);
 * ``asof_drift``    - the last heartbeat at or before each event's edge
   time (what the map held when the event was stamped).
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from fleetlake.functions.time import ms_to_timestamp
 
 DEFAULT_DRIFT_MS = 0
-# Upper bound on robots for which the drift table is broadcast.  Above it
+# Upper bound on devices for which the drift table is broadcast.  Above it
 # the lookup falls back to a shuffled join.
-MAX_BROADCAST_ROBOTS = 2_000_000
+MAX_BROADCAST_DEVICES = 2_000_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
@@ -37,23 +37,23 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def heartbeat_order() -> Column:
-    """Total order of heartbeats of a robot: time, then session, then value."""
+    """Total order of heartbeats of a device: time, then session, then value."""
     return F.struct("server_ts_ms", "session_id", "estimated_drift_ms")
 
 
 def latest_drift(heartbeats: DataFrame) -> DataFrame:
-    """robot_id -> drift_ms of its newest heartbeat (ties: session, value).
+    """device_id -> drift_ms of its newest heartbeat (ties: session, value).
 
-    ``max_by`` is a partial aggregate, so a robot with many heartbeats costs
+    ``max_by`` is a partial aggregate, so a device with many heartbeats costs
     one row per map task in the shuffle.
     """
-    hb = heartbeats.filter(F.col("robot_id").isNotNull()).select(
-        "robot_id",
+    hb = heartbeats.filter(F.col("device_id").isNotNull()).select(
+        "device_id",
         "server_ts_ms",
         "session_id",
         F.coalesce(F.col("estimated_drift_ms"), F.lit(DEFAULT_DRIFT_MS)).alias("estimated_drift_ms"),
     )
-    return hb.groupBy("robot_id").agg(F.max_by("estimated_drift_ms", heartbeat_order()).alias("drift_ms"))
+    return hb.groupBy("device_id").agg(F.max_by("estimated_drift_ms", heartbeat_order()).alias("drift_ms"))
 
 
 def corrected_ms(ts_ms: Column, drift_ms: Column) -> Column:
@@ -79,16 +79,16 @@ def correct_drift(
     heartbeats: DataFrame,
     ts_col: str = "event_ts_edge_ms",
     out_col: str = "event_ts_corrected",
-    max_broadcast_robots: int = MAX_BROADCAST_ROBOTS,
+    max_broadcast_devices: int = MAX_BROADCAST_DEVICES,
 ) -> DataFrame:
-    """Latest-drift correction: left join with the per-robot drift table.
+    """Latest-drift correction: left join with the per-device drift table.
 
-    The drift table has one row per robot; it is broadcast after a checked
+    The drift table has one row per device; it is broadcast after a checked
     row bound, so the (large) event side is never shuffled for this join.
     Output: input columns + drift_ms, ``out_col``, drift_source.
     """
-    drift = broadcast_if_bounded(latest_drift(heartbeats), max_broadcast_robots)
-    joined = df.join(drift, "robot_id", "left")
+    drift = broadcast_if_bounded(latest_drift(heartbeats), max_broadcast_devices)
+    joined = df.join(drift, "device_id", "left")
     return apply_drift(joined, "drift_ms", ts_col, out_col)
 
 
@@ -99,23 +99,23 @@ def asof_drift(
     span_ms: int = 3_600_000,
 ) -> DataFrame:
     """Attach ``drift_ms`` of the last heartbeat with
-    ``server_ts_ms <= ts_col`` of the same robot (NULL when none).
+    ``server_ts_ms <= ts_col`` of the same device (NULL when none).
 
-    As-of join without a theta join and without one task per robot: time
-    is cut into spans (default 1 h); within a (robot, span) partition a
+    As-of join without a theta join and without one task per device: time
+    is cut into spans (default 1 h); within a (device, span) partition a
     running ``last(ignorenulls)`` over heartbeats and events sorted by time
     gives the answer.  The heartbeat valid at a span's start ("carry-in")
-    comes from a small table of one row per (robot, span), resolved by a
-    window per robot over spans, whose size grows with time covered, not
-    with event volume.  Events without robot or time skip the lookup.
+    comes from a small table of one row per (device, span), resolved by a
+    window per device over spans, whose size grows with time covered, not
+    with event volume.  Events without device or time skip the lookup.
     """
     cols = df.columns
     ts = F.col(ts_col)
-    keyed = df.filter(F.col("robot_id").isNotNull() & ts.isNotNull())
-    unkeyed = df.filter(F.col("robot_id").isNull() | ts.isNull())
+    keyed = df.filter(F.col("device_id").isNotNull() & ts.isNotNull())
+    unkeyed = df.filter(F.col("device_id").isNull() | ts.isNull())
 
-    hb = heartbeats.filter(F.col("robot_id").isNotNull() & F.col("server_ts_ms").isNotNull()).select(
-        "robot_id",
+    hb = heartbeats.filter(F.col("device_id").isNotNull() & F.col("server_ts_ms").isNotNull()).select(
+        "device_id",
         F.col("server_ts_ms").alias("_ms"),
         F.struct(
             "server_ts_ms",
@@ -127,18 +127,18 @@ def asof_drift(
     hb = hb.withColumn("_span", span(F.col("_ms")))
     hb_type = hb.schema["_hb"].dataType
 
-    # Carry-in per (robot, span): the newest heartbeat of any earlier span.
-    last_in_span = hb.groupBy("robot_id", "_span").agg(F.max("_hb").alias("_last"))
-    ev_spans = keyed.select("robot_id", span(ts).alias("_span")).distinct()
-    spans = ev_spans.join(last_in_span, ["robot_id", "_span"], "full_outer")
-    w_span = Window.partitionBy("robot_id").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    # Carry-in per (device, span): the newest heartbeat of any earlier span.
+    last_in_span = hb.groupBy("device_id", "_span").agg(F.max("_hb").alias("_last"))
+    ev_spans = keyed.select("device_id", span(ts).alias("_span")).distinct()
+    spans = ev_spans.join(last_in_span, ["device_id", "_span"], "full_outer")
+    w_span = Window.partitionBy("device_id").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     carry = spans.select(
-        "robot_id", "_span", F.last("_last", ignorenulls=True).over(w_span).alias("_hb")
+        "device_id", "_span", F.last("_last", ignorenulls=True).over(w_span).alias("_hb")
     ).filter(F.col("_hb").isNotNull())
 
     row_type = F.struct(*[F.col(c) for c in cols])
     ev_u = keyed.select(
-        "robot_id",
+        "device_id",
         span(ts).alias("_span"),
         ts.cast("long").alias("_ms"),
         F.lit(2).alias("_kind"),
@@ -146,9 +146,9 @@ def asof_drift(
         row_type.alias("_row"),
     )
     row_null = F.lit(None).cast(ev_u.schema["_row"].dataType)
-    hb_u = hb.select("robot_id", "_span", "_ms", F.lit(1).alias("_kind"), "_hb", row_null.alias("_row"))
+    hb_u = hb.select("device_id", "_span", "_ms", F.lit(1).alias("_kind"), "_hb", row_null.alias("_row"))
     carry_u = carry.select(
-        "robot_id",
+        "device_id",
         "_span",
         (F.col("_span") * F.lit(span_ms)).cast("long").alias("_ms"),
         F.lit(0).alias("_kind"),
@@ -157,7 +157,7 @@ def asof_drift(
     )
     u = ev_u.unionByName(hb_u).unionByName(carry_u)
     w = (
-        Window.partitionBy("robot_id", "_span")
+        Window.partitionBy("device_id", "_span")
         .orderBy("_ms", "_kind", "_hb")
         .rowsBetween(Window.unboundedPreceding, 0)
     )

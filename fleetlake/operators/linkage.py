@@ -45,6 +45,11 @@ def blob_keys(blobs: DataFrame) -> DataFrame:
     return blobs.groupBy("event_id").agg(F.count(F.lit(1)).alias("nb"))
 
 
+def total_of(c: Column) -> Column:
+    """Sum as a long; 0 over no rows."""
+    return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
+
 def key_join(telemetry: DataFrame, blobs: DataFrame) -> DataFrame:
     """Full outer join of the two key tables (one row per distinct id per side)."""
     return telemetry_keys(telemetry).join(blob_keys(blobs), "event_id", "full_outer")
@@ -70,12 +75,12 @@ def linkage_counts(telemetry: DataFrame, blobs: DataFrame, now=None) -> DataFram
     matched = F.col("nt").isNotNull() & F.col("nb").isNotNull()
     unlinked = F.col("nt").isNotNull() & F.col("nb").isNull()
     aggs = [
-        F.sum(nt).cast("long").alias("telemetry_total"),
-        F.sum(nb).cast("long").alias("blob_total"),
-        F.sum(F.when(matched, nt * nb).otherwise(0)).cast("long").alias("linked_count"),
-        F.sum(F.when(unlinked, nt).otherwise(0)).cast("long").alias("telemetry_unlinked"),
-        F.sum(F.when(F.col("nt").isNull(), nb).otherwise(0)).cast("long").alias("blob_orphans"),
-        F.sum(F.when(matched, nt).otherwise(0)).cast("long").alias("linked_events"),
+        total_of(nt).alias("telemetry_total"),
+        total_of(nb).alias("blob_total"),
+        total_of(F.when(matched, nt * nb)).alias("linked_count"),
+        total_of(F.when(unlinked, nt)).alias("telemetry_unlinked"),
+        total_of(F.when(F.col("nt").isNull(), nb)).alias("blob_orphans"),
+        total_of(F.when(matched, nt)).alias("linked_events"),
         F.min(F.when(unlinked, F.col("first_ingest"))).alias("_oldest_unlinked_ingest"),
     ]
     out = k.agg(*aggs)
@@ -159,7 +164,7 @@ def blobs_per_media(blobs: DataFrame) -> DataFrame:
     )
 
 
-_J1_TELEMETRY = ["robot_id", "event_id", "event_ts_corrected", "ingest_status"]
+_J1_TELEMETRY = ["device_id", "event_id", "event_ts_corrected", "ingest_status"]
 _J1_BLOB = ["media_type", "blob_uri", "checksum_sha256", "quality_state"]
 
 
@@ -202,13 +207,13 @@ def cross_layer_join(
     )
 
 
-def unlinked_by_robot(telemetry: DataFrame, blobs: DataFrame, limit: int = 10) -> DataFrame:
-    """Robots with most unlinked telemetry rows (top ``limit``)."""
+def unlinked_by_device(telemetry: DataFrame, blobs: DataFrame, limit: int = 10) -> DataFrame:
+    """Devices with most unlinked telemetry rows (top ``limit``)."""
     return (
         unlinked_telemetry(telemetry, blobs)
-        .groupBy("robot_id")
+        .groupBy("device_id")
         .agg(F.count(F.lit(1)).alias("unlinked"))
-        .orderBy(F.col("unlinked").desc(), F.col("robot_id"))
+        .orderBy(F.col("unlinked").desc(), F.col("device_id"))
         .limit(limit)
     )
 
@@ -269,43 +274,43 @@ def tolerance_match(
     telemetry: DataFrame,
     blobs: DataFrame,
     tolerance_ms: int = rules.MATCH_TOLERANCE_MS,
-    span_ms: int = 60_000,
+    span_ms: int | None = None,
 ) -> DataFrame:
-    """Pair each blob with the nearest telemetry row of the same robot
+    """Pair each blob with the nearest telemetry row of the same device
     whose corrected time is within ``tolerance_ms`` (ties: smaller
     telemetry event_id).  Blobs with no such row are not returned.
 
     Nearest-neighbour by sorting, not by pairing: telemetry is unioned
-    with the blobs; per (robot, span)
+    with the blobs; per (device, span)
     one running ``last`` over time gives the closest telemetry at or before
-    each blob and one over reversed time the closest after it.  Telemetry
-    within the tolerance of a span edge is copied into the neighbouring
-    span, so partitions stay bounded by the span length (a hot robot is cut
-    into spans) and no candidate pairs are generated.
+    each blob and one over reversed time the closest after it.  Telemetry is
+    copied to every span that its tolerance reaches, so partitions stay
+    bounded by the span length (a hot device is cut into spans) and no
+    candidate pairs are generated.  ``span_ms``: a minute by default, or the
+    tolerance if that is longer (a row is then in three spans at most).
     """
     from pyspark.sql import Window
 
-    w, span = int(tolerance_ms), int(span_ms)
+    w = int(tolerance_ms)
+    span = int(span_ms or max(60_000, w))
     t = telemetry.select(
-        "robot_id",
+        "device_id",
         F.unix_millis(F.col("event_ts_corrected").cast("timestamp")).alias("ms"),
         F.col("event_id").alias("tel_id"),
-    ).filter(F.col("ms").isNotNull() & F.col("robot_id").isNotNull())
-    t = t.withColumn(
-        "span",
-        F.explode(F.array_distinct(F.array(*[F.floor((F.col("ms") + d) / span) for d in (-w, 0, w)]))),
-    )
+    ).filter(F.col("ms").isNotNull() & F.col("device_id").isNotNull())
+    # every span that a blob within the tolerance can lie in
+    t = t.withColumn("span", F.explode(F.sequence(F.floor((F.col("ms") - w) / span), F.floor((F.col("ms") + w) / span))))
     tel = F.struct(F.col("ms").alias("t_ms"), F.col("tel_id"))
-    t = t.select("robot_id", "span", "ms", F.lit(0).alias("kind"), F.col("tel_id").alias("_tie"), tel.alias("tel"),
+    t = t.select("device_id", "span", "ms", F.lit(0).alias("kind"), F.col("tel_id").alias("_tie"), tel.alias("tel"),
                  *[F.lit(None).cast(c).alias(n) for n, c in (("blob_event_id", "string"), ("blob_uri", "string"))])
     b = blobs.select(
-        "robot_id",
+        "device_id",
         F.unix_millis(F.col("blob_ts_corrected").cast("timestamp")).alias("ms"),
         F.col("event_id").alias("blob_event_id"),
         "blob_uri",
-    ).filter(F.col("ms").isNotNull() & F.col("robot_id").isNotNull())
+    ).filter(F.col("ms").isNotNull() & F.col("device_id").isNotNull())
     b = b.select(
-        "robot_id",
+        "device_id",
         F.floor(F.col("ms") / span).alias("span"),
         "ms",
         F.lit(1).alias("kind"),
@@ -319,12 +324,12 @@ def tolerance_match(
     # them going backward (strictly later); among telemetry rows at the same
     # ms the smallest id is visited last, so ``last`` returns it.
     fwd = (
-        Window.partitionBy("robot_id", "span")
+        Window.partitionBy("device_id", "span")
         .orderBy("ms", "kind", F.col("_tie").desc())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     bwd = (
-        Window.partitionBy("robot_id", "span")
+        Window.partitionBy("device_id", "span")
         .orderBy(F.col("ms").desc(), F.col("kind").desc(), F.col("_tie").desc())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -342,7 +347,7 @@ def tolerance_match(
         u.withColumn("best", best)
         .filter(F.col("best").isNotNull())
         .select(
-            "robot_id",
+            "device_id",
             "blob_event_id",
             "blob_uri",
             F.col("best.id").alias("telemetry_event_id"),

@@ -160,8 +160,8 @@ def compact_small_files(
 
 
 def sort_compact(spark: SparkSession, root: str, partition_cols: list[str],
-                 sort_cols: tuple[str, ...] = ("robot_id", "event_ts_corrected"), **kw) -> dict:
-    """M5: compaction that also sorts each partition by (robot, time)."""
+                 sort_cols: tuple[str, ...] = ("device_id", "event_ts_corrected"), **kw) -> dict:
+    """M5: compaction that also sorts each partition by (device, time)."""
     return compact_small_files(spark, root, partition_cols, sort_cols=list(sort_cols), **kw)
 
 

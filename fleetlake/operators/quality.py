@@ -85,15 +85,15 @@ def bad_value_count(telemetry: DataFrame) -> DataFrame:
     return telemetry.filter(temperature_out_of_range()).agg(F.count(F.lit(1)).alias("bad_temp_rows"))
 
 
-def per_robot_freshness(telemetry: DataFrame, now, limit: int | None = 10) -> DataFrame:
-    """A11 + T2: last_seen per robot and staleness in whole seconds (rounded),
-    stalest first; ties by robot_id."""
-    per = telemetry.groupBy("robot_id").agg(F.max("ingest_ts").alias("last_seen"))
+def per_device_freshness(telemetry: DataFrame, now, limit: int | None = 10) -> DataFrame:
+    """A11 + T2: last_seen per device and staleness in whole seconds (rounded),
+    stalest first; ties by device_id."""
+    per = telemetry.groupBy("device_id").agg(F.max("ingest_ts").alias("last_seen"))
     per = per.withColumn(
         "stale_sec",
         F.round(seconds_between(as_timestamp(now), F.col("last_seen"))).cast("int"),
     )
-    ordered = per.orderBy(F.col("stale_sec").desc(), F.col("robot_id"))
+    ordered = per.orderBy(F.col("stale_sec").desc(), F.col("device_id"))
     return ordered.limit(limit) if limit is not None else ordered
 
 

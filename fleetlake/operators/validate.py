@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from fleetlake.functions import rules
 from fleetlake.functions.ids import colon_count
 from fleetlake.functions.pyfmt import py_number_repr
-from fleetlake.schemas import MANIFEST_SCHEMA, TELEMETRY_SCHEMA
+from fleetlake.schemas import MANIFEST_SCHEMA, TELEMETRY_SCHEMA, wire_name, wire_schema
 
 RAW_PREFIX = "_raw_"
 NUMERIC_TYPES = ("long", "double", "integer", "float")
@@ -51,9 +51,9 @@ def decode_lenient(df: DataFrame, schema: StructType, value_col: str = "value")
     # projection they would inline from_json once per field reference.
     parsed = df.select(
         *keep,
-        F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), all_string(schema)))),
+        F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), all_string(wire_schema(schema))))),
     )
-    parsed = parsed.select(*keep, *[F.col(f.name).alias(RAW_PREFIX + f.name) for f in schema.fields])
+    parsed = parsed.select(*keep, *[F.col(wire_name(f.name)).alias(RAW_PREFIX + f.name) for f in schema.fields])
     typed = [
         (numeric_text(_raw(f.name)) if f.dataType.typeName() in NUMERIC_TYPES else _raw(f.name))
         .try_cast(f.dataType)
@@ -75,7 +75,7 @@ def _staged(required: tuple[str, ...], domain: list[tuple[Column, Column]]) -> t
     """(errors, is_valid).  ``is_valid`` is built from the rule conditions
     alone, so a filter on it (pushed down by Catalyst) stays a small
     boolean and never carries the message formatting."""
-    missing_checks = [(_raw(f).isNull(), F.lit(f"missing_field:{f}")) for f in required]
+    missing_checks = [(_raw(f).isNull(), F.lit(f"missing_field:{wire_name(f)}")) for f in required]
     missing = _errors(missing_checks)
     errors = F.when(F.size(missing) > 0, missing).otherwise(_errors(domain))
     any_bad = F.lit(False)

@@ -1,4 +1,4 @@
-"""Gold models: per-robot hourly statistics and the hourly linkage report."""
+"""Gold models: per-device hourly statistics and the hourly linkage report."""
 
 from __future__ import annotations
 
@@ -9,15 +9,15 @@ from fleetlake.functions import rules
 from fleetlake.functions.time import hour_bucket
 
 
-def robot_hourly_stats(validated: DataFrame) -> DataFrame:
-    """Group VALID silver rows by (robot, hour, sensor).
+def device_hourly_stats(validated: DataFrame) -> DataFrame:
+    """Group VALID silver rows by (device, hour, sensor).
 
-    Partial aggregation runs map-side, so a hot robot costs one partial row
+    Partial aggregation runs map-side, so a hot device costs one partial row
     per (map task, group) in the shuffle, never a third of the input.
     """
     return (
         validated.filter(F.col("quality_flag") == "VALID")
-        .groupBy("robot_id", hour_bucket("event_ts_corrected").alias("hour_bucket"), "sensor_type")
+        .groupBy("device_id", hour_bucket("event_ts_corrected").alias("hour_bucket"), "sensor_type")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.avg("torque").alias("avg_torque"),

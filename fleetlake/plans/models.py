@@ -22,17 +22,17 @@ def run_models(
     blobs: DataFrame,
     out_root: str,
 ) -> dict[str, str]:
-    """K5: materialise telemetry_validated, blob_linked, robot_hourly_stats and
+    """K5: materialise telemetry_validated, blob_linked, device_hourly_stats and
     linkage_report under ``out_root``; returns model name -> path."""
     out_root = out_root.rstrip("/")
     paths = {
         name: f"{out_root}/{name}"
-        for name in ("telemetry_validated", "blob_linked", "robot_hourly_stats", "linkage_report")
+        for name in ("telemetry_validated", "blob_linked", "device_hourly_stats", "linkage_report")
     }
     sinks.materialize(silver.telemetry_validated(telemetry), path=paths["telemetry_validated"])
     validated = spark.read.parquet(paths["telemetry_validated"])
     sinks.materialize(silver.blob_linked(blobs, telemetry), path=paths["blob_linked"])
-    sinks.materialize(gold.robot_hourly_stats(validated), path=paths["robot_hourly_stats"])
+    sinks.materialize(gold.device_hourly_stats(validated), path=paths["device_hourly_stats"])
     sinks.materialize(gold.linkage_report(telemetry, blobs, ordered=False), path=paths["linkage_report"])
     return paths
 

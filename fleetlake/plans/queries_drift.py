@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.functions import rules
 from fleetlake.operators import drift
 from fleetlake.plans.queries_linkage import NOW_D, fixture_now
 from fleetlake.plans.registry import register
 from fleetlake.sources.fixtures import Fixture, duckdb_with
 
-_OUT = ["event_id", "robot_id", "event_ts_edge_ms", "drift_ms", "drift_source", "event_ts_corrected"]
+#: The device of the single-device queries.
+DEVICE = rules.DEVICE_ID_PREFIX + "042"
+_OUT = ["event_id", "device_id", "event_ts_edge_ms", "drift_ms", "drift_source", "event_ts_corrected"]
 
 _D_LATEST = """
 hb_latest AS (
-  SELECT robot_id, estimated_drift_ms AS drift_ms FROM (
-    SELECT robot_id, coalesce(estimated_drift_ms, 0) AS estimated_drift_ms,
-      row_number() OVER (PARTITION BY robot_id
+  SELECT device_id, estimated_drift_ms AS drift_ms FROM (
+    SELECT device_id, coalesce(estimated_drift_ms, 0) AS estimated_drift_ms,
+      row_number() OVER (PARTITION BY device_id
                          ORDER BY server_ts_ms DESC, session_id DESC, coalesce(estimated_drift_ms, 0) DESC) AS rn
-    FROM hb WHERE robot_id IS NOT NULL) WHERE rn = 1
+    FROM hb WHERE device_id IS NOT NULL) WHERE rn = 1
 )
 """
 
@@ -30,7 +33,7 @@ def _d_corrected(drift_expr: str) -> str:
     )
 
 
-@register("drift_latest", duckdb_with("SELECT robot_id, drift_ms FROM hb_latest", _D_LATEST))
+@register("drift_latest", duckdb_with("SELECT device_id, drift_ms FROM hb_latest", _D_LATEST))
 def q_drift_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.latest_drift(Fixture(spark, sf_dir).heartbeats)
 
@@ -39,10 +42,10 @@ def q_drift_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     "correct_drift_latest",
     duckdb_with(
         f"""
-SELECT t.event_id, t.robot_id, t.event_ts_edge_ms, d.drift_ms,
+SELECT t.event_id, t.device_id, t.event_ts_edge_ms, d.drift_ms,
   CASE WHEN d.drift_ms IS NOT NULL THEN 'HEARTBEAT' ELSE 'DEFAULT' END AS drift_source,
   {_d_corrected('d.drift_ms')} AS event_ts_corrected
-FROM telx t LEFT JOIN hb_latest d ON t.robot_id = d.robot_id
+FROM telx t LEFT JOIN hb_latest d ON t.device_id = d.device_id
 """,
         _D_LATEST,
     ),
@@ -57,10 +60,10 @@ def q_correct_drift_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     "correct_drift_asof",
     duckdb_with(
         f"""
-SELECT t.event_id, t.robot_id, t.event_ts_edge_ms, h.estimated_drift_ms AS drift_ms,
+SELECT t.event_id, t.device_id, t.event_ts_edge_ms, h.estimated_drift_ms AS drift_ms,
   CASE WHEN h.estimated_drift_ms IS NOT NULL THEN 'HEARTBEAT' ELSE 'DEFAULT' END AS drift_source,
   {_d_corrected('h.estimated_drift_ms')} AS event_ts_corrected
-FROM telx t ASOF LEFT JOIN hb h ON t.robot_id = h.robot_id AND t.event_ts_edge_ms >= h.server_ts_ms
+FROM telx t ASOF LEFT JOIN hb h ON t.device_id = h.device_id AND t.event_ts_edge_ms >= h.server_ts_ms
 """
     ),
 )
@@ -74,56 +77,56 @@ def q_correct_drift_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     "drift_residual",
     duckdb_with(
         """
-SELECT t.robot_id, count(*) AS n_rows,
+SELECT t.device_id, count(*) AS n_rows,
   max(abs(((t.event_ts_edge_ms - h.estimated_drift_ms) - (epoch_us(t.event_ts_corrected) // 1000)))) AS max_abs_error_ms
-FROM telx t ASOF JOIN hb h ON t.robot_id = h.robot_id AND t.event_ts_edge_ms >= h.server_ts_ms
-GROUP BY t.robot_id
+FROM telx t ASOF JOIN hb h ON t.device_id = h.device_id AND t.event_ts_edge_ms >= h.server_ts_ms
+GROUP BY t.device_id
 """
     ),
 )
 def q_drift_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accuracy of as-of correction per robot: max |corrected - true| in ms."""
+    """Accuracy of as-of correction per device: max |corrected - true| in ms."""
     f = Fixture(spark, sf_dir)
     fixed = drift.correct_drift_asof(
         f.telemetry.withColumnRenamed("event_ts_corrected", "true_ts"), f.heartbeats
     ).filter(F.col("drift_ms").isNotNull())
     err = F.abs(F.unix_millis("event_ts_corrected") - F.unix_millis(F.col("true_ts").cast("timestamp")))
-    return fixed.groupBy("robot_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max(err).alias("max_abs_error_ms"))
+    return fixed.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max(err).alias("max_abs_error_ms"))
 
 
 @register(
     "drift_applied",
     duckdb_with(
-        """
-SELECT robot_id, event_ts_edge_ms, event_ts_corrected,
+        f"""
+SELECT device_id, event_ts_edge_ms, event_ts_corrected,
   cast(event_ts_edge_ms AS double) / 1000 - epoch_us(event_ts_corrected) / 1000000.0 AS drift_applied_sec
-FROM telx WHERE robot_id = 'robot-042'
+FROM telx WHERE device_id = '{DEVICE}'
 ORDER BY event_ts_corrected DESC, event_id LIMIT 5
 """
     ),
 )
 def q_drift_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Fixture(spark, sf_dir).telemetry.filter(F.col("robot_id") == "robot-042")
+    t = Fixture(spark, sf_dir).telemetry.filter(F.col("device_id") == DEVICE)
     return (
         t.orderBy(F.col("event_ts_corrected").desc(), F.col("event_id"))
         .limit(5)
-        .select("robot_id", "event_ts_edge_ms", "event_ts_corrected", drift.drift_applied_sec().alias("drift_applied_sec"))
+        .select("device_id", "event_ts_edge_ms", "event_ts_corrected", drift.drift_applied_sec().alias("drift_applied_sec"))
     )
 
 
 @register(
-    "robot_hour_lookup",
+    "device_hour_lookup",
     duckdb_with(
         f"""
 SELECT count(*) AS n_rows FROM telx
-WHERE event_ts_corrected > {NOW_D} - INTERVAL 1 HOUR AND robot_id = 'robot-042'
+WHERE event_ts_corrected > {NOW_D} - INTERVAL 1 HOUR AND device_id = '{DEVICE}'
 """
     ),
 )
-def q_robot_hour_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_device_hour_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = Fixture(spark, sf_dir)
     since = fixture_now(f) - F.expr("INTERVAL 1 HOUR")
     return (
-        f.telemetry.filter((F.col("event_ts_corrected") > since) & (F.col("robot_id") == "robot-042"))
+        f.telemetry.filter((F.col("event_ts_corrected") > since) & (F.col("device_id") == DEVICE))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )

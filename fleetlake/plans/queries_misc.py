@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake import sinks
-from fleetlake.functions import ids
+from fleetlake.functions import ids, rules
 from fleetlake.functions.formats import format_size
 from fleetlake.operators import drift, quality
 from fleetlake.plans.queries_drift import _D_LATEST
@@ -18,16 +18,16 @@ from fleetlake.sources import tables
 from fleetlake.sources.fixtures import Fixture, duckdb_with
 from fleetlake.sources.topics import decode_payload
 
-_D_SHARD = "printf('%02d', cast(split_part(robot_id, '-', 2) AS integer) % 16)"
+_D_SHARD = "printf('%02d', cast(split_part(device_id, '-', 2) AS integer) % 16)"
 
 
 @register(
     "blob_key",
     duckdb_with(
         f"""
-SELECT event_id, {_D_SHARD} AS robot_shard,
+SELECT event_id, {_D_SHARD} AS device_shard,
   'blob/' || media_type || '/event_date=' || strftime(blob_ts_corrected, '%Y-%m-%d') || '/event_hour='
-    || strftime(blob_ts_corrected, '%H') || '/robot_shard=' || {_D_SHARD} || '/robot_id=' || robot_id || '/'
+    || strftime(blob_ts_corrected, '%H') || '/{rules.BLOB_KEY_SHARD}' || {_D_SHARD} || '/{rules.BLOB_KEY_DEVICE}' || device_id || '/'
     || event_id || '.bin' AS blob_key
 FROM blob
 """
@@ -37,8 +37,8 @@ def q_blob_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Fixture(spark, sf_dir).blobs
     return b.select(
         "event_id",
-        ids.robot_shard("robot_id").alias("robot_shard"),
-        ids.blob_key("media_type", "blob_ts_corrected", "robot_id", "event_id").alias("blob_key"),
+        ids.device_shard("device_id").alias("device_shard"),
+        ids.blob_key("media_type", "blob_ts_corrected", "device_id", "event_id").alias("blob_key"),
     )
 
 
@@ -46,7 +46,7 @@ def q_blob_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     "parse_event_id",
     duckdb_with(
         """
-SELECT event_id, split_part(event_id, ':', 1) AS robot_id, split_part(event_id, ':', 2) AS session_id,
+SELECT event_id, split_part(event_id, ':', 1) AS device_id, split_part(event_id, ':', 2) AS session_id,
   cast(split_part(event_id, ':', 3) AS bigint) AS counter,
   printf('%s:%s:%012d', split_part(event_id, ':', 1), split_part(event_id, ':', 2),
          cast(split_part(event_id, ':', 3) AS bigint)) = event_id AS round_trip
@@ -58,10 +58,10 @@ def q_parse_event_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Fixture(spark, sf_dir).telemetry.select("event_id", ids.parse_event_id("event_id").alias("p"))
     return t.select(
         "event_id",
-        "p.robot_id",
+        "p.device_id",
         "p.session_id",
         "p.counter",
-        (ids.make_event_id("p.robot_id", "p.session_id", "p.counter") == F.col("event_id")).alias("round_trip"),
+        (ids.make_event_id("p.device_id", "p.session_id", "p.counter") == F.col("event_id")).alias("round_trip"),
     )
 
 
@@ -150,9 +150,9 @@ def q_read_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     "replay_window",
     duckdb_with(
         f"""
-SELECT CASE WHEN t.n % 223 = 0 THEN NULL ELSE t.event_id END AS event_id, t.robot_id, d.drift_ms,
+SELECT CASE WHEN t.n % 223 = 0 THEN NULL ELSE t.event_id END AS event_id, t.device_id, d.drift_ms,
   make_timestamp((t.event_ts_edge_ms - coalesce(d.drift_ms, 0)) * 1000) AS event_ts_corrected
-FROM telx t LEFT JOIN hb_latest d ON t.robot_id = d.robot_id
+FROM telx t LEFT JOIN hb_latest d ON t.device_id = d.device_id
 WHERE t.n % 211 <> 0 AND t.n % 199 <> 0
   AND t.event_ts_edge_ms >= epoch_ms(TIMESTAMP '2024-01-10 00:00:00')
   AND t.event_ts_edge_ms < epoch_ms(TIMESTAMP '2024-01-11 00:00:00')
@@ -166,7 +166,7 @@ def q_replay_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode_payload(f.telemetry_messages, TELEMETRY_SCHEMA)
     window = tables.replay_window(decoded, start="2024-01-10 00:00:00", end="2024-01-11 00:00:00")
     fixed = drift.correct_drift(window, f.heartbeats)
-    return fixed.select("event_id", "robot_id", "drift_ms", "event_ts_corrected")
+    return fixed.select("event_id", "device_id", "drift_ms", "event_ts_corrected")
 
 
 @register(
@@ -189,7 +189,7 @@ def q_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     "cross_layer_recent",
     duckdb_with(
         """
-SELECT t.robot_id, t.event_id, t.sensor_type, t.joint_angle, t.temperature, t.event_ts_corrected,
+SELECT t.device_id, t.event_id, t.sensor_type, t.joint_angle, t.temperature, t.event_ts_corrected,
   b.media_type, b.blob_uri, b.checksum_sha256
 FROM telx t JOIN blob b ON t.event_id = b.event_id
 ORDER BY t.event_ts_corrected DESC, t.event_id, b.blob_uri LIMIT 10
@@ -206,7 +206,7 @@ def q_cross_layer_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
         f.blobs,
         10,
         order_col="event_ts_corrected",
-        telemetry_cols=["robot_id", "event_id", "sensor_type", "joint_angle", "temperature", "event_ts_corrected"],
+        telemetry_cols=["device_id", "event_id", "sensor_type", "joint_angle", "temperature", "event_ts_corrected"],
         blob_cols=["media_type", "blob_uri", "checksum_sha256"],
     )
 

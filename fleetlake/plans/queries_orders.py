@@ -86,16 +86,16 @@ def q_order_line_leftjoin_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "order_line_unlinked_by_status",
     """
-SELECT status AS robot_id, count(*) AS unlinked FROM (
+SELECT status AS device_id, count(*) AS unlinked FROM (
   SELECT o.o_orderstatus AS status FROM orders o
   WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey))
-GROUP BY status ORDER BY unlinked DESC, robot_id LIMIT 10
+GROUP BY status ORDER BY unlinked DESC, device_id LIMIT 10
 """,
 )
 def q_order_line_unlinked_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J10 keyed by order status (the parent's grouping column)."""
-    p = _parent(spark, sf_dir).withColumnRenamed("status", "robot_id")
-    return linkage.unlinked_by_robot(p, _children(spark, sf_dir), 10)
+    p = _parent(spark, sf_dir).withColumnRenamed("status", "device_id")
+    return linkage.unlinked_by_device(p, _children(spark, sf_dir), 10)
 
 
 @register(

@@ -37,7 +37,7 @@ def _d_test(table: str, column: str, test: str, failing: str) -> str:
 _D_RUN = " UNION ALL ".join(
     [
         _d_test("telemetry_events", "event_id", "not_null", "SELECT count(*) FROM telx WHERE event_id IS NULL"),
-        _d_test("telemetry_events", "robot_id", "not_null", "SELECT count(*) FROM telx WHERE robot_id IS NULL"),
+        _d_test("telemetry_events", "device_id", "not_null", "SELECT count(*) FROM telx WHERE device_id IS NULL"),
         _d_test(
             "telemetry_events",
             "event_ts_corrected",
@@ -107,9 +107,9 @@ def q_check_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "check_not_null_torque",
-    duckdb_with("SELECT robot_id, count(*) AS n_rows FROM telx WHERE torque IS NULL GROUP BY robot_id"),
+    duckdb_with("SELECT device_id, count(*) AS n_rows FROM telx WHERE torque IS NULL GROUP BY device_id"),
 )
 def q_check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1 on a column that does fail: readings without torque, per robot."""
+    """D1 on a column that does fail: readings without torque, per device."""
     bad = datatests.check_not_null(Fixture(spark, sf_dir).telemetry, "torque")
-    return bad.groupBy("robot_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return bad.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_rows"))

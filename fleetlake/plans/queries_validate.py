@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.functions import rules
 from fleetlake.operators import validate
 from fleetlake.plans.registry import register
 from fleetlake.schemas import TELEMETRY_SCHEMA
@@ -12,7 +13,7 @@ from fleetlake.sources.fixtures import Fixture, duckdb_with
 from fleetlake.sources.topics import decode_payload
 
 _MISSING_ALL = (
-    "['missing_field:event_id', 'missing_field:robot_id', 'missing_field:session_id', "
+    f"['missing_field:event_id', 'missing_field:{rules.WIRE_DEVICE_ID}', 'missing_field:session_id', "
     "'missing_field:event_ts_edge_ms', 'missing_field:sensor_type']"
 )
 
@@ -132,7 +133,7 @@ def q_accepted_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     duckdb_with(
         """
 SELECT CASE WHEN n % 211 = 0 OR n % 223 = 0 THEN NULL ELSE event_id END AS event_id,
-  CASE WHEN n % 211 = 0 THEN NULL ELSE robot_id END AS robot_id,
+  CASE WHEN n % 211 = 0 THEN NULL ELSE device_id END AS device_id,
   CASE WHEN n % 211 = 0 OR n % 199 = 0 THEN NULL ELSE event_ts_edge_ms END AS event_ts_edge_ms,
   CASE WHEN n % 211 = 0 THEN NULL ELSE sensor_type END AS sensor_type,
   CASE WHEN n % 211 = 0 THEN NULL ELSE torque END AS torque,
@@ -145,5 +146,5 @@ def q_decode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 with the typed reference schema: wrong-typed field -> NULL, broken JSON -> all NULL."""
     msgs = Fixture(spark, sf_dir).telemetry_messages
     return decode_payload(msgs, TELEMETRY_SCHEMA).select(
-        "event_id", "robot_id", "event_ts_edge_ms", "sensor_type", "torque", "temperature"
+        "event_id", "device_id", "event_ts_edge_ms", "sensor_type", "torque", "temperature"
     )

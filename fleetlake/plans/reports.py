@@ -8,7 +8,7 @@ report is one Spark job over one snapshot:
   per-row measures a report needs ride along as extra partial aggregates),
 * the two key tables are full-outer joined and folded into a single row
   (the per-media breakdown comes out of the same pass via ``rollup``),
-* small bounded side results (stalest robots: top 5) enter as scalar
+* small bounded side results (stalest devices: top 5) enter as scalar
   subqueries, never through the driver.
 """
 
@@ -57,11 +57,11 @@ def linkage_rollup(telemetry: DataFrame, blobs: DataFrame, now: Column) -> DataF
     unlinked = t_once & ~has_b
     r = j.rollup("media_type").agg(
         F.grouping_id().alias("_g"),
-        F.sum(F.when(t_once, nt).otherwise(0)).cast("long").alias("telemetry_total"),
-        F.sum(n).cast("long").alias("blob_total"),
-        F.sum(F.when(has_t & has_b, nt * n).otherwise(0)).cast("long").alias("linked_count"),
-        F.sum(F.when(unlinked, nt).otherwise(0)).cast("long").alias("telemetry_unlinked"),
-        F.sum(F.when(~has_t, n).otherwise(0)).cast("long").alias("blob_orphans"),
+        linkage.total_of(F.when(t_once, nt)).alias("telemetry_total"),
+        linkage.total_of(n).alias("blob_total"),
+        linkage.total_of(F.when(has_t & has_b, nt * n)).alias("linked_count"),
+        linkage.total_of(F.when(unlinked, nt)).alias("telemetry_unlinked"),
+        linkage.total_of(F.when(~has_t, n)).alias("blob_orphans"),
         F.min(F.when(unlinked, F.col("first_ingest"))).alias("_oldest"),
     )
     is_total = F.col("_g") == 1
@@ -105,13 +105,13 @@ def reconcile_report(telemetry: DataFrame, blobs: DataFrame, now=None,
     )
 
 
-def stale_robots(telemetry: DataFrame, now, top: int = 5) -> Column:
-    """Scalar-subquery column: top ``top`` stalest robots as array<struct>."""
-    top_df = quality.per_robot_freshness(telemetry, now, limit=top)
+def stale_devices(telemetry: DataFrame, now, top: int = 5) -> Column:
+    """Scalar-subquery column: top ``top`` stalest devices as array<struct>."""
+    top_df = quality.per_device_freshness(telemetry, now, limit=top)
     items = F.array_sort(
-        F.collect_list(F.struct((-F.col("stale_sec")).alias("k"), F.col("robot_id"), F.col("stale_sec")))
+        F.collect_list(F.struct((-F.col("stale_sec")).alias("k"), F.col("device_id"), F.col("stale_sec")))
     )
-    return top_df.agg(F.transform(items, lambda e: F.struct(e["robot_id"].alias("robot_id"), e["stale_sec"].alias("stale_sec")))).scalar()
+    return top_df.agg(F.transform(items, lambda e: F.struct(e["device_id"].alias("device_id"), e["stale_sec"].alias("stale_sec")))).scalar()
 
 
 def quality_report(
@@ -125,7 +125,7 @@ def quality_report(
     linkage_crit: float = rules.LINKAGE_CRIT_PCT,
     max_bad_temp: int = rules.MAX_BAD_TEMP_ROWS,
 ) -> DataFrame:
-    """Overall severity, four check structs and the top-5 stale robots."""
+    """Overall severity, four check structs and the top-5 stale devices."""
     now_c = as_timestamp(now) if now is not None else F.current_timestamp()
     in_window = quality.trailing_window(now_c, 5)
     k = _key_join_with(
@@ -180,7 +180,7 @@ def quality_report(
         now_c.alias("timestamp_utc"),
         quality.worst_severity(sev_f, sev_v, sev_l, sev_a).alias("overall_severity"),
         checks.alias("checks"),
-        stale_robots(telemetry, now_c, 5).alias("stale_robots_top5"),
+        stale_devices(telemetry, now_c, 5).alias("stale_devices_top5"),
     )
 
 

@@ -14,7 +14,7 @@ from fleetlake.functions.time import seconds_between
 
 SILVER_TELEMETRY_COLUMNS = [
     "event_id",
-    "robot_id",
+    "device_id",
     "session_id",
     "event_ts_edge_ms",
     "event_ts_corrected",
@@ -80,7 +80,7 @@ def blob_linked(blobs: DataFrame, telemetry: DataFrame) -> DataFrame:
     """
     b = blobs.select(
         "event_id",
-        "robot_id",
+        "device_id",
         "session_id",
         "media_type",
         "blob_uri",
@@ -98,7 +98,7 @@ def blob_linked(blobs: DataFrame, telemetry: DataFrame) -> DataFrame:
     )
     return b.join(t, "event_id", "inner").select(
         "event_id",
-        "robot_id",
+        "device_id",
         "session_id",
         "media_type",
         "blob_uri",

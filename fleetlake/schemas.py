@@ -16,6 +16,13 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from fleetlake.functions import rules
+
+
+def wire_name(field: str) -> str:
+    """Name of a field in the JSON messages."""
+    return rules.WIRE_DEVICE_ID if field == "device_id" else field
+
 
 def _struct(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
@@ -23,7 +30,7 @@ def _struct(*fields: tuple[str, object]) -> StructType:
 
 TELEMETRY_SCHEMA = _struct(
     ("event_id", StringType()),
-    ("robot_id", StringType()),
+    ("device_id", StringType()),
     ("session_id", StringType()),
     ("event_ts_edge_ms", LongType()),
     ("sensor_type", StringType()),
@@ -39,7 +46,7 @@ TELEMETRY_SCHEMA = _struct(
 
 MANIFEST_SCHEMA = _struct(
     ("event_id", StringType()),
-    ("robot_id", StringType()),
+    ("device_id", StringType()),
     ("session_id", StringType()),
     ("media_type", StringType()),
     ("blob_uri", StringType()),
@@ -51,7 +58,7 @@ MANIFEST_SCHEMA = _struct(
 )
 
 HEARTBEAT_SCHEMA = _struct(
-    ("robot_id", StringType()),
+    ("device_id", StringType()),
     ("session_id", StringType()),
     ("server_ts_ms", LongType()),
     ("estimated_drift_ms", LongType()),
@@ -79,15 +86,6 @@ TELEMETRY_COLUMNS = [f.name for f in TELEMETRY_BRONZE_SCHEMA.fields]
 BLOB_INDEX_COLUMNS = [f.name for f in BLOB_INDEX_SCHEMA.fields]
 
 
-def lenient(schema: StructType, as_string: list[str]) -> StructType:
-    """Copy of ``schema`` with the named fields read as STRING.
-
-    Used by validation so that a non-numeric timestamp stays visible as
-    ``bad_type`` instead of silently becoming NULL in ``from_json``.
-    """
-    return StructType(
-        [
-            StructField(f.name, StringType(), True) if f.name in as_string else f
-            for f in schema.fields
-        ]
-    )
+def wire_schema(schema: StructType) -> StructType:
+    """``schema`` with the field names of the JSON messages."""
+    return StructType([StructField(wire_name(f.name), f.dataType, True) for f in schema.fields])

@@ -27,14 +27,14 @@ def add_partition_columns(
     df: DataFrame,
     ts_col: str,
     buckets: int,
-    key_col: str = "robot_id",
+    key_col: str = "device_id",
     extra: list[str] | None = None,
 ) -> DataFrame:
     """K4: ``p_hour = date_trunc('hour', ts)``, ``p_bucket = hash(key) mod N``.
 
     Plain Parquet prunes only on stored partition columns, so the hidden
     transforms of a table format become explicit derived columns; the
-    ``robot_hour_filter`` helper adds the matching predicates.
+    ``device_hour_filter`` helper adds the matching predicates.
     """
     out = df.withColumn("p_hour", hour_bucket(ts_col)).withColumn("p_bucket", bucket_of(key_col, buckets))
     return out
@@ -52,18 +52,18 @@ def blob_layout(df: DataFrame) -> DataFrame:
     return add_partition_columns(df, "blob_ts_corrected", rules.BLOB_BUCKETS)
 
 
-def robot_hour_filter(robot_id: str, start, end=None, ts_col: str = "event_ts_corrected",
+def device_hour_filter(device_id: str, start, end=None, ts_col: str = "event_ts_corrected",
                       buckets: int = rules.TELEMETRY_BUCKETS) -> Column:
-    """Robot + time-range predicate plus the implied partition predicates
-    (``p_bucket`` of the robot, ``p_hour`` range) so the scan is pruned."""
+    """Device + time-range predicate plus the implied partition predicates
+    (``p_bucket`` of the device, ``p_hour`` range) so the scan is pruned."""
     from fleetlake.functions.time import as_timestamp
 
     s = as_timestamp(start)
-    cond = (F.col("robot_id") == robot_id) & (F.col(ts_col) > s) & (F.col("p_hour") >= F.date_trunc("hour", s))
+    cond = (F.col("device_id") == device_id) & (F.col(ts_col) > s) & (F.col("p_hour") >= F.date_trunc("hour", s))
     if end is not None:
         e = as_timestamp(end)
         cond = cond & (F.col(ts_col) <= e) & (F.col("p_hour") <= F.date_trunc("hour", e))
-    bucket = F.pmod(F.hash(F.lit(robot_id)), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.hash(F.lit(device_id)), F.lit(buckets)).cast("int")
     return cond & (F.col("p_bucket") == bucket)
 
 
@@ -138,7 +138,7 @@ def create_transform_partitioned_table(
     table: str,
     ts_col: str,
     buckets: int,
-    key_col: str = "robot_id",
+    key_col: str = "device_id",
     extra_cols: list[str] | None = None,
     provider: str = "iceberg",
 ) -> None:

@@ -8,7 +8,7 @@ grows with the input table.  The same derivation is given in DuckDB SQL
 row (see FIXTURES.md).
 
 Per event row (``n`` = events.event_id):
-  * heartbeat: one per robot (= user) and day, drift changing per day;
+  * heartbeat: one per device (= user) and day, drift changing per day;
   * telemetry: one row, with violations the reference generator never makes;
   * blob index: 90 % coverage, 1 % duplicated manifests, 2 % orphans.
 """
@@ -26,6 +26,7 @@ SENSOR_BY_EVENT_TYPE = {"view": "joint_state", "click": "imu", "error": "unknown
 SENSOR_DEFAULT = "force_torque"
 MEDIA_BY_MOD5 = ["camera_rgb", "camera_depth", "lidar_pointcloud", "audio", "raw_sensor_dump"]
 # --- end of fixed values ---
+DEVICE_ID = rules.DEVICE_ID_PREFIX + "%03d"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +44,11 @@ def _drift(user_id: Column, day: Column) -> Column:
 
 
 def heartbeats(events: DataFrame) -> DataFrame:
-    """robot_id, session_id, server_ts_ms, estimated_drift_ms (distinct per robot-day)."""
+    """device_id, session_id, server_ts_ms, estimated_drift_ms (distinct per device-day)."""
     ts = F.col("ts")
     day = _day(ts)
     return events.select(
-        F.format_string("robot-%03d", F.col("user_id")).alias("robot_id"),
+        F.format_string(DEVICE_ID, F.col("user_id")).alias("device_id"),
         F.format_string("s-%d", day).alias("session_id"),
         F.unix_millis(F.date_trunc("day", ts.cast("timestamp"))).alias("server_ts_ms"),
         _drift(F.col("user_id"), day).cast("long").alias("estimated_drift_ms"),
@@ -66,8 +67,8 @@ def telemetry(events: DataFrame, keep_n: bool = True) -> DataFrame:
         F.lit(SENSOR_DEFAULT),
     )
     cols = [
-        F.format_string("robot-%03d:s-%d:%012d", uid, day, eid).alias("event_id"),
-        F.format_string("robot-%03d", uid).alias("robot_id"),
+        F.format_string(DEVICE_ID + ":s-%d:%012d", uid, day, eid).alias("event_id"),
+        F.format_string(DEVICE_ID, uid).alias("device_id"),
         F.format_string("s-%d", day).alias("session_id"),
         (ms + _drift(uid, day) + F.pmod(eid * 7, F.lit(41)) - 20).alias("event_ts_edge_ms"),
         sensor.alias("sensor_type"),
@@ -95,7 +96,7 @@ def _blob_base(telx: DataFrame) -> DataFrame:
     media = F.element_at(F.array(*[F.lit(m) for m in MEDIA_BY_MOD5]), (F.pmod(n, F.lit(5)) + 1).cast("int"))
     return telx.select(
         "event_id",
-        "robot_id",
+        "device_id",
         "session_id",
         media.alias("media_type"),
         F.col("event_ts_edge_ms").alias("blob_ts_edge_ms"),
@@ -124,10 +125,10 @@ def blob_index(telx: DataFrame, keep_n: bool = True) -> DataFrame:
         .withColumn("event_id", F.concat(F.col("event_id"), F.col("_sfx")))
         .drop("_sfx")
     )
-    key = ids.blob_key("media_type", "blob_ts_corrected", "robot_id", "event_id")
+    key = ids.blob_key("media_type", "blob_ts_corrected", "device_id", "event_id")
     cols = [
         "event_id",
-        "robot_id",
+        "device_id",
         "session_id",
         "media_type",
         ids.blob_uri(key).alias("blob_uri"),
@@ -186,18 +187,18 @@ class Fixture:
 _D_DAY = "cast(date_diff('day', date '1970-01-01', cast(ts as date)) as bigint)"
 _D_MS = "(epoch_us(ts) // 1000)"
 _D_MS0 = "epoch_ms(date_trunc('day', ts))"
-_D_SHARD = "printf('%02d', cast(split_part(robot_id, '-', 2) as integer) % 16)"
+_D_SHARD = "printf('%02d', cast(split_part(device_id, '-', 2) as integer) % 16)"
 
 DUCKDB_FIXTURE_CTES = f"""
 hb AS (
-  SELECT DISTINCT printf('robot-%03d', user_id) AS robot_id, printf('s-%d', {_D_DAY}) AS session_id,
+  SELECT DISTINCT printf('{DEVICE_ID}', user_id) AS device_id, printf('s-%d', {_D_DAY}) AS session_id,
     {_D_MS0} AS server_ts_ms,
     cast((user_id*37 + {_D_DAY}*11) % 1001 - 500 AS bigint) AS estimated_drift_ms
   FROM events
 ),
 telx AS (
-  SELECT printf('robot-%03d:s-%d:%012d', user_id, {_D_DAY}, event_id) AS event_id,
-    printf('robot-%03d', user_id) AS robot_id, printf('s-%d', {_D_DAY}) AS session_id,
+  SELECT printf('{DEVICE_ID}:s-%d:%012d', user_id, {_D_DAY}, event_id) AS event_id,
+    printf('{DEVICE_ID}', user_id) AS device_id, printf('s-%d', {_D_DAY}) AS session_id,
     {_D_MS} + (user_id*37 + {_D_DAY}*11) % 1001 - 500 + event_id*7 % 41 - 20 AS event_ts_edge_ms,
     CASE event_type WHEN 'view' THEN 'joint_state' WHEN 'click' THEN 'imu'
                     WHEN 'error' THEN 'unknown' ELSE 'force_torque' END AS sensor_type,
@@ -216,7 +217,7 @@ telx AS (
   FROM events
 ),
 blobbase AS (
-  SELECT event_id, robot_id, session_id,
+  SELECT event_id, device_id, session_id,
     CASE n % 5 WHEN 0 THEN 'camera_rgb' WHEN 1 THEN 'camera_depth' WHEN 2 THEN 'lidar_pointcloud'
                WHEN 3 THEN 'audio' ELSE 'raw_sensor_dump' END AS media_type,
     event_ts_edge_ms AS blob_ts_edge_ms, cast(1024 + n*31 % 65536 AS bigint) AS object_size,
@@ -227,14 +228,14 @@ blobbase AS (
 blob0 AS (
   SELECT * FROM blobbase WHERE n % 10 <> 3
   UNION ALL SELECT * FROM blobbase WHERE n % 100 = 11
-  UNION ALL SELECT event_id || 'x', robot_id, session_id, media_type, blob_ts_edge_ms, object_size,
+  UNION ALL SELECT event_id || 'x', device_id, session_id, media_type, blob_ts_edge_ms, object_size,
     checksum_sha256, quality_state, blob_ts_corrected, ingest_ts, n FROM blobbase WHERE n % 50 = 7
 ),
 blob AS (
-  SELECT event_id, robot_id, session_id, media_type,
+  SELECT event_id, device_id, session_id, media_type,
     's3://raw-blobs/blob/' || media_type || '/event_date=' || strftime(blob_ts_corrected, '%Y-%m-%d')
-      || '/event_hour=' || strftime(blob_ts_corrected, '%H') || '/robot_shard=' || {_D_SHARD}
-      || '/robot_id=' || robot_id || '/' || event_id || '.bin' AS blob_uri,
+      || '/event_hour=' || strftime(blob_ts_corrected, '%H') || '/{rules.BLOB_KEY_SHARD}' || {_D_SHARD}
+      || '/{rules.BLOB_KEY_DEVICE}' || device_id || '/' || event_id || '.bin' AS blob_uri,
     blob_ts_edge_ms, object_size, checksum_sha256, substring(checksum_sha256, 1, 32) AS etag,
     quality_state, blob_ts_corrected, ingest_ts, n
   FROM blob0
@@ -260,13 +261,13 @@ def telemetry_messages(telx: DataFrame) -> DataFrame:
     n % 223 == 0: event_id absent; n % 199 == 0: non-numeric edge time;
     n % 211 == 0: truncated (broken) JSON.
     """
-    from fleetlake.schemas import TELEMETRY_SCHEMA
+    from fleetlake.schemas import TELEMETRY_SCHEMA, wire_name
 
     n = F.col("n")
     fields = [
         F.when(F.pmod(n, F.lit(223)) == 0, F.lit(None).cast("string")).otherwise(F.col("event_id")).alias("event_id")
         if f.name == "event_id"
-        else F.col(f.name)
+        else F.col(f.name).alias(wire_name(f.name))
         for f in TELEMETRY_SCHEMA.fields
     ]
     # One projection per rewrite step: each step references the previous
@@ -290,7 +291,7 @@ def manifest_messages(blob: DataFrame) -> DataFrame:
     n % 13 == 0: unknown media type; n % 17 == 0: 63-char checksum;
     n % 19 == 0: http:// URI; n % 29 == 0: checksum absent.
     """
-    from fleetlake.schemas import MANIFEST_SCHEMA
+    from fleetlake.schemas import MANIFEST_SCHEMA, wire_name
 
     n = F.col("n")
     over = {
@@ -302,5 +303,5 @@ def manifest_messages(blob: DataFrame) -> DataFrame:
             F.col("blob_uri")
         ),
     }
-    fields = [over.get(f.name, F.col(f.name)).alias(f.name) for f in MANIFEST_SCHEMA.fields]
+    fields = [over.get(f.name, F.col(f.name)).alias(wire_name(f.name)) for f in MANIFEST_SCHEMA.fields]
     return blob.select(F.to_json(F.struct(*fields)).alias("value"), n)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fleetlake.schemas import HEARTBEAT_SCHEMA
+from fleetlake.schemas import HEARTBEAT_SCHEMA, wire_name, wire_schema
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -66,10 +66,11 @@ def decode_payload(df: DataFrame, schema: StructType, value_col: str = "value")
     # Parsed inside a generator so that filters on decoded fields (window
     # replay, validity) stay above one parse instead of inlining from_json
     # into every field reference.
-    return df.select(F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), schema))))
+    parsed = df.select(F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), wire_schema(schema)))))
+    return parsed.select(*[F.col(wire_name(f.name)).alias(f.name) for f in schema.fields])
 
 
 def heartbeat_source(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """robot_id, session_id, server_ts_ms, estimated_drift_ms (missing drift -> 0)."""
+    """device_id, session_id, server_ts_ms, estimated_drift_ms (missing drift -> 0)."""
     hb = decode_payload(df, HEARTBEAT_SCHEMA, value_col)
     return hb.withColumn("estimated_drift_ms", F.coalesce(F.col("estimated_drift_ms"), F.lit(0).cast("long")))

@@ -16,12 +16,12 @@ from fleetlake.plans import silver
 
 
 def hourly_stats_stream(telemetry: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """A2 on a stream: per (robot, hour, sensor) over VALID silver rows,
+    """A2 on a stream: per (device, hour, sensor) over VALID silver rows,
     emitted in append mode when the watermark passes the hour's end."""
     valid = silver.telemetry_validated(telemetry).filter(F.col("quality_flag") == "VALID")
     agg = (
         valid.withWatermark("event_ts_corrected", watermark)
-        .groupBy("robot_id", F.window("event_ts_corrected", "1 hour").alias("w"), "sensor_type")
+        .groupBy("device_id", F.window("event_ts_corrected", "1 hour").alias("w"), "sensor_type")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.avg("torque").alias("avg_torque"),
@@ -33,7 +33,7 @@ def hourly_stats_stream(telemetry: DataFrame, watermark: str = "10 minutes") ->
             F.max("event_ts_corrected").alias("last_event"),
         )
     )
-    return agg.select("robot_id", F.col("w.start").alias("hour_bucket"), "sensor_type", *agg.columns[3:])
+    return agg.select("device_id", F.col("w.start").alias("hour_bucket"), "sensor_type", *agg.columns[3:])
 
 
 def hourly_status_stream(telemetry: DataFrame, watermark: str = "10 minutes") -> DataFrame:

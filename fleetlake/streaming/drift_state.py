@@ -1,14 +1,14 @@
 """W7 option (ii): drift as keyed streaming state.
 
-Heartbeats and telemetry travel on one stream keyed by ``robot_id``.  A
-stateful processor keeps, per robot, the newest heartbeat seen so far
+Heartbeats and telemetry travel on one stream keyed by ``device_id``.  A
+stateful processor keeps, per device, the newest heartbeat seen so far
 (ordered by time, session, value - the same order as ``latest_drift``) and
 tags each telemetry row with it, in arrival order: the reference's "live
 drift map", but held in the state store (checkpointed, recovered after a
 failure, scaled out by key) instead of a driver-side dict.
 
 The processor only does the per-key bookkeeping; it iterates over the
-Arrow batches of a key one at a time (a robot's rows are never gathered),
+Arrow batches of a key one at a time (a device's rows are never gathered),
 and the drift arithmetic and timestamp conversion stay in Catalyst
 (``operators.drift.apply_drift``).  Requires the RocksDB state store.
 """
@@ -22,14 +22,14 @@ from fleetlake.operators import drift as drift_ops
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-TAGGED_SCHEMA = "event_id string, robot_id string, event_ts_edge_ms long, drift_ms long"
+TAGGED_SCHEMA = "event_id string, device_id string, event_ts_edge_ms long, drift_ms long"
 
 
 def unify(telemetry: DataFrame, heartbeats: DataFrame) -> DataFrame:
     """One stream of both kinds: kind 0 = heartbeat, 1 = telemetry."""
     hb = heartbeats.select(
         F.lit(0).alias("kind"),
-        "robot_id",
+        "device_id",
         F.lit(None).cast("string").alias("event_id"),
         F.col("server_ts_ms").alias("ts"),
         "session_id",
@@ -37,13 +37,13 @@ def unify(telemetry: DataFrame, heartbeats: DataFrame) -> DataFrame:
     )
     ev = telemetry.select(
         F.lit(1).alias("kind"),
-        "robot_id",
+        "device_id",
         "event_id",
         F.col("event_ts_edge_ms").alias("ts"),
         F.lit(None).cast("string").alias("session_id"),
         F.lit(None).cast("long").alias("drift"),
     )
-    return hb.unionByName(ev).filter(F.col("robot_id").isNotNull())
+    return hb.unionByName(ev).filter(F.col("device_id").isNotNull())
 
 
 def _processor_class():
@@ -70,7 +70,7 @@ def _processor_class():
                     yield pd.DataFrame(
                         {
                             "event_id": ev["event_id"].values,
-                            "robot_id": ev["robot_id"].values,
+                            "device_id": ev["device_id"].values,
                             "event_ts_edge_ms": ev["ts"].astype("Int64").values,
                             "drift_ms": pd.array([best[2] if best else None] * len(ev), dtype="Int64"),
                         }
@@ -85,10 +85,10 @@ def _processor_class():
 
 
 def tag_with_state(unified: DataFrame) -> DataFrame:
-    """robot-keyed stateful tagging: event_id, robot_id, event_ts_edge_ms, drift_ms."""
+    """device-keyed stateful tagging: event_id, device_id, event_ts_edge_ms, drift_ms."""
     spark = unified.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    return unified.groupBy("robot_id").transformWithStateInPandas(
+    return unified.groupBy("device_id").transformWithStateInPandas(
         statefulProcessor=_processor_class()(),
         outputStructType=TAGGED_SCHEMA,
         outputMode="Append",
@@ -97,7 +97,7 @@ def tag_with_state(unified: DataFrame) -> DataFrame:
 
 
 def corrected_stream(telemetry: DataFrame, heartbeats: DataFrame) -> DataFrame:
-    """W7 (ii): telemetry stream -> event_id, robot_id, edge ms, drift_ms,
+    """W7 (ii): telemetry stream -> event_id, device_id, edge ms, drift_ms,
     event_ts_corrected, drift_source."""
     tagged = tag_with_state(unify(telemetry, heartbeats))
     return drift_ops.apply_drift(tagged, "drift_ms", "event_ts_edge_ms", "event_ts_corrected")

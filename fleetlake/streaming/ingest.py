@@ -42,7 +42,7 @@ def add_ingest_columns(df: DataFrame, status: str | None = rules.STATUS_PENDING,
 
 
 def drift_table(spark: SparkSession, heartbeat_path: str | None) -> DataFrame | None:
-    """Current per-robot drift, read fresh (one row per robot)."""
+    """Current per-device drift, read fresh (one row per device)."""
     hb = _read_heartbeats(spark, heartbeat_path) if heartbeat_path is not None else None
     return drift_ops.latest_drift(hb) if hb is not None else None
 
@@ -51,13 +51,13 @@ def to_bronze_telemetry(decoded: DataFrame, drift: DataFrame | None, clock: Colu
                         drift_col_present: bool = False) -> DataFrame:
     """W1 transform: drift-correct, stamp, project bronze columns (+ check columns if present).
 
-    ``drift`` is the per-robot table (broadcast under a checked bound); with
+    ``drift`` is the per-device table (broadcast under a checked bound); with
     ``drift_col_present`` the rows already carry ``drift_ms`` (as-of lookup).
     """
     if drift_col_present:
         fixed = decoded
     elif drift is not None:
-        fixed = decoded.join(drift_ops.broadcast_if_bounded(drift, drift_ops.MAX_BROADCAST_ROBOTS), "robot_id", "left")
+        fixed = decoded.join(drift_ops.broadcast_if_bounded(drift, drift_ops.MAX_BROADCAST_DEVICES), "device_id", "left")
     else:
         fixed = decoded.withColumn("drift_ms", F.lit(None).cast("long"))
     fixed = drift_ops.apply_drift(fixed, "drift_ms", "event_ts_edge_ms", "event_ts_corrected")
@@ -72,7 +72,7 @@ def to_bronze_manifest(decoded: DataFrame, drift: DataFrame | None, clock: Colum
     if drift_col_present:
         fixed = decoded
     elif drift is not None:
-        fixed = decoded.join(drift_ops.broadcast_if_bounded(drift, drift_ops.MAX_BROADCAST_ROBOTS), "robot_id", "left")
+        fixed = decoded.join(drift_ops.broadcast_if_bounded(drift, drift_ops.MAX_BROADCAST_DEVICES), "device_id", "left")
     else:
         fixed = decoded.withColumn("drift_ms", F.lit(None).cast("long"))
     fixed = drift_ops.apply_drift(fixed, "drift_ms", "blob_ts_edge_ms", "blob_ts_corrected")
@@ -135,9 +135,9 @@ def _asof_bounded(spark: SparkSession, dec: DataFrame, ts_col: str, heartbeat_pa
 
     Only heartbeats of the days the batch's edge times span (plus
     ``ASOF_LOOKBACK_DAYS`` before) are read (partition pruning).  A row with
-    no heartbeat in that window takes the robot's newest heartbeat from the
+    no heartbeat in that window takes the device's newest heartbeat from the
     compact drift state when that heartbeat is not newer than the row - it
-    is then exactly the as-of answer.  Otherwise (the robot's last
+    is then exactly the as-of answer.  Otherwise (the device's last
     heartbeat before the row is older than the lookback and a newer one
     exists) the row gets no drift and is marked DEFAULT.
     """
@@ -153,11 +153,11 @@ def _asof_bounded(spark: SparkSession, dec: DataFrame, ts_col: str, heartbeat_pa
     if state is None:
         return out
     st = drift_ops.broadcast_if_bounded(
-        state.select("robot_id", F.col("hb.server_ts_ms").alias("_st_ts"), F.col("hb.estimated_drift_ms").alias("_st_d")),
-        drift_ops.MAX_BROADCAST_ROBOTS,
+        state.select("device_id", F.col("hb.server_ts_ms").alias("_st_ts"), F.col("hb.estimated_drift_ms").alias("_st_d")),
+        drift_ops.MAX_BROADCAST_DEVICES,
     )
     filled = F.coalesce(F.col("drift_ms"), F.when(F.col("_st_ts") <= F.col(ts_col), F.col("_st_d")))
-    return out.join(st, "robot_id", "left").withColumn("drift_ms", filled).drop("_st_ts", "_st_d")
+    return out.join(st, "device_id", "left").withColumn("drift_ms", filled).drop("_st_ts", "_st_d")
 
 
 def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column | None, heartbeat_path: str | None,
@@ -185,7 +185,7 @@ def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column
             else:
                 bronze = layout(to_bronze(dec, None, clock))
         else:
-            # Latest mode reads the compact per-robot state kept by the
+            # Latest mode reads the compact per-device state kept by the
             # heartbeat stream; without one, it aggregates the heartbeat table.
             drift = read_drift_state(spark, paths.drift_state)
             if drift is None:
@@ -230,7 +230,7 @@ def start_table_stream(
 ) -> StreamingQuery:
     """W1 (kind='telemetry_events') / W2 (kind='blob_index'): one query, own checkpoint.
 
-    ``drift_mode='latest'`` applies the newest heartbeat per robot present
+    ``drift_mode='latest'`` applies the newest heartbeat per device present
     when the batch runs (the reference's live map); ``'asof'`` the heartbeat
     valid at each record's edge time (reproducible on replay).
     ``dedup_within`` (off by default, as in the reference) drops repeated
@@ -253,7 +253,7 @@ DRIFT_POINTER = "_CURRENT"
 
 
 def read_drift_state(spark: SparkSession, state_root: str) -> DataFrame | None:
-    """The compact drift state (robot_id, drift_ms; one row per robot), or None."""
+    """The compact drift state (device_id, drift_ms; one row per device), or None."""
     try:
         rows = spark.read.text(f"{state_root}/{DRIFT_POINTER}").limit(1).collect()
     except Exception:  # noqa: BLE001 - no state written yet
@@ -261,12 +261,12 @@ def read_drift_state(spark: SparkSession, state_root: str) -> DataFrame | None:
     if not rows:
         return None
     st = spark.read.parquet(rows[0][0])
-    return st.select("robot_id", F.col("hb.estimated_drift_ms").alias("drift_ms"))
+    return st.select("device_id", F.col("hb.estimated_drift_ms").alias("drift_ms"))
 
 
 def _merge_drift_state(batch: DataFrame, batch_id: int, state_root: str) -> None:
-    """Fold one heartbeat batch into the per-robot state: newest heartbeat
-    per robot by (time, session, value).  Written as a new version directory,
+    """Fold one heartbeat batch into the per-device state: newest heartbeat
+    per device by (time, session, value).  Written as a new version directory,
     then the pointer is flipped, so readers always see a whole version; a
     replayed batch folds in again to the same result (max is idempotent)."""
     spark = batch.sparkSession
@@ -275,13 +275,13 @@ def _merge_drift_state(batch: DataFrame, batch_id: int, state_root: str) -> None
         "session_id",
         F.coalesce(F.col("estimated_drift_ms"), F.lit(drift_ops.DEFAULT_DRIFT_MS)).alias("estimated_drift_ms"),
     )
-    new = batch.filter(F.col("robot_id").isNotNull()).groupBy("robot_id").agg(F.max(order).alias("hb"))
+    new = batch.filter(F.col("device_id").isNotNull()).groupBy("device_id").agg(F.max(order).alias("hb"))
     try:
         rows = spark.read.text(f"{state_root}/{DRIFT_POINTER}").limit(1).collect()
     except Exception:  # noqa: BLE001
         rows = []
     if rows:
-        new = spark.read.parquet(rows[0][0]).unionByName(new).groupBy("robot_id").agg(F.max("hb").alias("hb"))
+        new = spark.read.parquet(rows[0][0]).unionByName(new).groupBy("device_id").agg(F.max("hb").alias("hb"))
     target = f"{state_root}/_v_{batch_id:012d}"
     new.write.mode("overwrite").parquet(target)
     spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode("overwrite").text(
@@ -294,7 +294,7 @@ def start_heartbeat_stream(
 ) -> StreamingQuery:
     """S4 as a stream.  Each batch is appended to the heartbeat table (its
     own ``batch_id=`` directory, idempotent) and folded into the compact
-    per-robot drift state that telemetry batches read (W7), so a batch
+    per-device drift state that telemetry batches read (W7), so a batch
     never re-aggregates the heartbeat history."""
     hb = heartbeat_source(read_topic_stream(spark, "heartbeat", path=source_path))
     table, state = paths.table("heartbeats"), paths.drift_state

@@ -50,7 +50,7 @@ def link_status_stream(
     cannot be recalled if a blob arrives later).
     """
     t = telemetry.select(
-        F.col("event_id").alias("t_event_id"), "robot_id", F.col("ingest_ts").alias("t_ingest_ts")
+        F.col("event_id").alias("t_event_id"), "device_id", F.col("ingest_ts").alias("t_ingest_ts")
     ).withWatermark("t_ingest_ts", f"{timeout_minutes} minutes")
     b = blobs.select(F.col("event_id").alias("b_event_id"), F.col("ingest_ts").alias("b_ingest_ts")).withWatermark(
         "b_ingest_ts", f"{timeout_minutes} minutes"
@@ -63,7 +63,7 @@ def link_status_stream(
     j = t.join(b, cond, "leftOuter")
     return j.select(
         F.col("t_event_id").alias("event_id"),
-        "robot_id",
+        "device_id",
         F.col("t_ingest_ts").alias("ingest_ts"),
         F.when(F.col("b_event_id").isNotNull(), F.lit(rules.STATUS_LINKED))
         .otherwise(F.lit(rules.STATUS_ORPHANED))

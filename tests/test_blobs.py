@@ -9,9 +9,9 @@ from fleetlake.sources.blobs import scan_blobs, verify_blobs
 def test_verify_blobs(spark, tmp_dir):
     root = os.path.join(tmp_dir, "store")
     keys = {
-        "blob/audio/event_date=2024-01-01/event_hour=00/robot_shard=01/robot_id=robot-001/e1.bin": b"abc",
-        "blob/audio/event_date=2024-01-01/event_hour=00/robot_shard=01/robot_id=robot-001/e2.bin": b"hello",
-        "blob/audio/event_date=2024-01-01/event_hour=00/robot_shard=01/robot_id=robot-001/e4.bin": b"stray",
+        "blob/audio/event_date=2024-01-01/event_hour=00/device_shard=01/device_id=device-001/e1.bin": b"abc",
+        "blob/audio/event_date=2024-01-01/event_hour=00/device_shard=01/device_id=device-001/e2.bin": b"hello",
+        "blob/audio/event_date=2024-01-01/event_hour=00/device_shard=01/device_id=device-001/e4.bin": b"stray",
     }
     for k, v in keys.items():
         os.makedirs(os.path.dirname(os.path.join(root, k)), exist_ok=True)

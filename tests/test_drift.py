@@ -4,10 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from fleetlake.functions.rules import WIRE_DEVICE_ID
 from fleetlake.operators import drift
 
-HB = "robot_id string, session_id string, server_ts_ms long, estimated_drift_ms long"
-EV = "event_id string, robot_id string, event_ts_edge_ms long"
+HB = "device_id string, session_id string, server_ts_ms long, estimated_drift_ms long"
+EV = "event_id string, device_id string, event_ts_edge_ms long"
 
 
 def _ms(r, col="event_ts_corrected"):
@@ -94,8 +95,8 @@ def test_heartbeat_source_missing_drift_is_zero(spark):
 
     from fleetlake.sources.topics import heartbeat_source
 
-    msgs = [json.dumps({"robot_id": "r1", "session_id": "s", "server_ts_ms": 5}),
-            json.dumps({"robot_id": "r2", "session_id": "s", "server_ts_ms": 5, "estimated_drift_ms": -12})]
+    msgs = [json.dumps({WIRE_DEVICE_ID: "r1", "session_id": "s", "server_ts_ms": 5}),
+            json.dumps({WIRE_DEVICE_ID: "r2", "session_id": "s", "server_ts_ms": 5, "estimated_drift_ms": -12})]
     df = spark.createDataFrame([(m,) for m in msgs], "value string")
-    got = {r["robot_id"]: r["estimated_drift_ms"] for r in heartbeat_source(df).collect()}
+    got = {r["device_id"]: r["estimated_drift_ms"] for r in heartbeat_source(df).collect()}
     assert got == {"r1": 0, "r2": -12}

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from fleetlake.operators import linkage
 from fleetlake.plans import reports
 
-T = "event_id string, robot_id string, ingest_ts timestamp, event_ts_corrected timestamp, ingest_status string, temperature double"
-B = "event_id string, robot_id string, media_type string, blob_uri string, ingest_ts timestamp, blob_ts_corrected timestamp"
+T = "event_id string, device_id string, ingest_ts timestamp, event_ts_corrected timestamp, ingest_status string, temperature double"
+B = "event_id string, device_id string, media_type string, blob_uri string, ingest_ts timestamp, blob_ts_corrected timestamp"
 NOW = dt.datetime(2024, 1, 1, 12, 0, 0)
 
 

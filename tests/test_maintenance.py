@@ -81,16 +81,16 @@ def test_commit_log_order(spark, tmp_dir):
     assert got == [7, 6, 5, 4, 3]
 
 
-def test_robot_hour_filter_prunes_partitions(spark, tmp_dir):
+def test_device_hour_filter_prunes_partitions(spark, tmp_dir):
     root = os.path.join(tmp_dir, "lay")
     tel = sinks.telemetry_layout(Fixture(spark, SF_SMALL).telemetry)
     sinks.materialize(tel, path=root, partition_cols=["p_hour", "p_bucket"])
     df = spark.read.parquet(root)
-    cond = sinks.robot_hour_filter("robot-042", "2024-01-01 00:00:00", "2024-01-31 00:00:00")
+    cond = sinks.device_hour_filter("device-042", "2024-01-01 00:00:00", "2024-01-31 00:00:00")
     plan = df.filter(cond)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "p_bucket" in plan
     want = Fixture(spark, SF_SMALL).telemetry.filter(
-        (F.col("robot_id") == "robot-042")
+        (F.col("device_id") == "device-042")
         & (F.col("event_ts_corrected") > F.lit("2024-01-01 00:00:00").cast("timestamp"))
         & (F.col("event_ts_corrected") <= F.lit("2024-01-31 00:00:00").cast("timestamp"))
     ).count()

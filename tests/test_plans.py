@@ -49,7 +49,7 @@ def test_count_reads_only_needed_columns(bronze):
 
 def test_partial_aggregation_before_shuffle(bronze):
     tel, _ = bronze
-    plan = _plan(gold.robot_hourly_stats(silver.telemetry_validated(tel)))
+    plan = _plan(gold.device_hourly_stats(silver.telemetry_validated(tel)))
     assert plan.count("HashAggregate") >= 2 and "partial_" in plan
 
 

@@ -63,9 +63,9 @@ def test_trailing_window_is_strict(spark):
     assert quality.events_in_window(df, now, 5).collect()[0][0] == 1
 
 
-def test_stale_robots_ties_by_id(spark):
+def test_stale_devices_ties_by_id(spark):
     now = dt.datetime(2024, 1, 1, 1, 0, 0)
     t = dt.datetime(2024, 1, 1, 0, 0, 0)
-    df = spark.createDataFrame([("r2", t), ("r1", t), ("r3", now)], "robot_id string, ingest_ts timestamp")
-    got = [(r["robot_id"], r["stale_sec"]) for r in quality.per_robot_freshness(df, now, 2).collect()]
+    df = spark.createDataFrame([("r2", t), ("r1", t), ("r3", now)], "device_id string, ingest_ts timestamp")
+    got = [(r["device_id"], r["stale_sec"]) for r in quality.per_device_freshness(df, now, 2).collect()]
     assert got == [("r1", 3600), ("r2", 3600)]

@@ -1,4 +1,4 @@
-"""Hot keys: one robot / one id / NULL ids holding a third of the rows."""
+"""Hot keys: one device / one id / NULL ids holding a third of the rows."""
 
 import datetime as dt
 import random
@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from fleetlake.operators import drift, linkage
 
-HB = "robot_id string, session_id string, server_ts_ms long, estimated_drift_ms long"
-EV = "event_id string, robot_id string, event_ts_edge_ms long"
+HB = "device_id string, session_id string, server_ts_ms long, estimated_drift_ms long"
+EV = "event_id string, device_id string, event_ts_edge_ms long"
 
 
-def test_asof_hot_robot_matches_brute_force(spark):
+def test_asof_hot_device_matches_brute_force(spark):
     rnd = random.Random(5)
     hbs = [("hot", "s", t, rnd.randint(-500, 500)) for t in range(0, 3_600_000, 60_000)]
     hbs += [(f"r{i}", "s", rnd.randint(0, 3_600_000), rnd.randint(-500, 500)) for i in range(20)]

@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from fleetlake.functions.rules import WIRE_DEVICE_ID
 from fleetlake.operators import linkage
 from fleetlake.streaming import ingest, monitor
 
@@ -16,10 +17,10 @@ def _write_lines(path, name, records):
             fh.write((r if isinstance(r, str) else json.dumps(r)) + "\n")
 
 
-def _tel(i, robot="robot-001", ts=1_704_067_200_000, temp=30.0):
+def _tel(i, device="device-001", ts=1_704_067_200_000, temp=30.0):
     return {
-        "event_id": f"{robot}:s-1:{i:012d}",
-        "robot_id": robot,
+        "event_id": f"{device}:s-1:{i:012d}",
+        WIRE_DEVICE_ID: device,
         "session_id": "s-1",
         "event_ts_edge_ms": ts + i,
         "sensor_type": "imu",
@@ -28,10 +29,10 @@ def _tel(i, robot="robot-001", ts=1_704_067_200_000, temp=30.0):
     }
 
 
-def _man(i, robot="robot-001", ts=1_704_067_200_000):
+def _man(i, device="device-001", ts=1_704_067_200_000):
     return {
-        "event_id": f"{robot}:s-1:{i:012d}",
-        "robot_id": robot,
+        "event_id": f"{device}:s-1:{i:012d}",
+        WIRE_DEVICE_ID: device,
         "session_id": "s-1",
         "media_type": "audio",
         "blob_uri": f"s3://raw-blobs/blob/{i}.bin",
@@ -44,7 +45,7 @@ def _man(i, robot="robot-001", ts=1_704_067_200_000):
 
 def test_ingest_drift_rejects_restart(spark, tmp_dir):
     src_t, src_m, src_h = (os.path.join(tmp_dir, d) for d in ("t", "m", "h"))
-    _write_lines(src_h, "h0.json", [{"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 1, "estimated_drift_ms": 250}])
+    _write_lines(src_h, "h0.json", [{WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 1, "estimated_drift_ms": 250}])
     _write_lines(src_t, "t0.json", [_tel(i) for i in range(5)] + [_tel(99, temp=999.0), "{broken"])
     _write_lines(src_m, "m0.json", [_man(i) for i in range(3)])
     root = os.path.join(tmp_dir, "lake")
@@ -121,7 +122,7 @@ def test_link_status_stream(spark, tmp_dir):
     t_dir, b_dir = os.path.join(tmp_dir, "ts"), os.path.join(tmp_dir, "bs")
     tel = spark.createDataFrame(
         [("a", "r1", base), ("b", "r1", base), ("c", "r1", base + dt.timedelta(hours=2))],
-        "event_id string, robot_id string, ingest_ts timestamp",
+        "event_id string, device_id string, ingest_ts timestamp",
     )
     blob = spark.createDataFrame(
         [("a", base + dt.timedelta(minutes=1)), ("z", base + dt.timedelta(hours=2, minutes=30))],
@@ -146,8 +147,8 @@ def test_asof_drift_mode_in_stream(spark, tmp_dir):
     src_t, src_h = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "h")
     base = 1_704_067_200_000
     _write_lines(src_h, "h0.json", [
-        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": base - 10_000, "estimated_drift_ms": 100},
-        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": base + 5_000, "estimated_drift_ms": 300},
+        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": base - 10_000, "estimated_drift_ms": 100},
+        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": base + 5_000, "estimated_drift_ms": 300},
     ])
     _write_lines(src_t, "t0.json", [_tel(0, ts=base), _tel(0, ts=base + 9_000)])
     paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
@@ -167,7 +168,7 @@ def test_run_and_test_models(spark, tmp_dir):
 
     f = Fixture(spark, SF_SMALL)
     paths = models.run_models(spark, f.telemetry, f.blobs, os.path.join(tmp_dir, "models"))
-    assert spark.read.parquet(paths["robot_hourly_stats"]).count() > 0
+    assert spark.read.parquet(paths["device_hourly_stats"]).count() > 0
     res = {(r["table_name"], r["column_name"], r["test_name"]): r["status"]
            for r in models.check_models(spark, f.telemetry, f.blobs, paths).collect()}
     assert res[("blob_linked", "event_id", "unique")] == "fail"  # duplicated manifests
@@ -190,12 +191,12 @@ def test_hourly_stats_stream_matches_batch(spark, tmp_dir):
     q.processAllAvailable()
     q.stop()
     got = spark.sql("SELECT * FROM hourly_stream_t")
-    want = gold.robot_hourly_stats(silver.telemetry_validated(tel))
+    want = gold.device_hourly_stats(silver.telemetry_validated(tel))
     last_hour = want.agg(F.max("hour_bucket")).collect()[0][0]
     # every hour except the newest is closed by the watermark and emitted exactly
     want = want.filter(F.col("hour_bucket") < last_hour)
     got = got.filter(F.col("hour_bucket") < last_hour)
-    key = ["robot_id", "hour_bucket", "sensor_type", "event_count", "max_torque", "first_event", "last_event"]
+    key = ["device_id", "hour_bucket", "sensor_type", "event_count", "max_torque", "first_event", "last_event"]
     assert got.count() == want.count()
     assert got.select(*key).exceptAll(want.select(*key)).count() == 0
 
@@ -205,17 +206,17 @@ def test_drift_state_is_compact_and_latest(spark, tmp_dir):
     paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
     trig = {"availableNow": True}
     _write_lines(src_h, "h0.json", [
-        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 5},
-        {"robot_id": "robot-002", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 7},
+        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 5},
+        {WIRE_DEVICE_ID: "device-002", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 7},
     ])
     ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
     _write_lines(src_h, "h1.json", [
-        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 20, "estimated_drift_ms": 9},
-        {"robot_id": "robot-002", "session_id": "s-0", "server_ts_ms": 5, "estimated_drift_ms": 1},
+        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 20, "estimated_drift_ms": 9},
+        {WIRE_DEVICE_ID: "device-002", "session_id": "s-0", "server_ts_ms": 5, "estimated_drift_ms": 1},
     ])
     ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
-    state = {r["robot_id"]: r["drift_ms"] for r in ingest.read_drift_state(spark, paths.drift_state).collect()}
-    assert state == {"robot-001": 9, "robot-002": 7}  # older heartbeat of robot-002 does not win
+    state = {r["device_id"]: r["drift_ms"] for r in ingest.read_drift_state(spark, paths.drift_state).collect()}
+    assert state == {"device-001": 9, "device-002": 7}  # older heartbeat of device-002 does not win
     assert spark.read.parquet(paths.table("heartbeats")).count() == 4
 
 
@@ -237,9 +238,9 @@ def test_drift_as_keyed_state(spark, tmp_dir):
     src = os.path.join(tmp_dir, "all")
     base = 1_704_067_200_000
     # batch 1: heartbeat then events; batch 2: newer heartbeat, then events
-    _write_lines(os.path.join(src, "t"), "0.json", [_tel(1, ts=base), _tel(2, robot="robot-002", ts=base)])
+    _write_lines(os.path.join(src, "t"), "0.json", [_tel(1, ts=base), _tel(2, device="device-002", ts=base)])
     _write_lines(os.path.join(src, "h"), "0.json", [
-        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 1, "estimated_drift_ms": 40}])
+        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 1, "estimated_drift_ms": 40}])
     tel = decode_payload(read_topic_stream(spark, "t", path=os.path.join(src, "t")), TELEMETRY_SCHEMA)
     hb = heartbeat_source(read_topic_stream(spark, "h", path=os.path.join(src, "h")))
     out = drift_state.corrected_stream(tel, hb)
@@ -247,8 +248,8 @@ def test_drift_as_keyed_state(spark, tmp_dir):
          .option("checkpointLocation", os.path.join(tmp_dir, "ck")).start())
     q.processAllAvailable()
     _write_lines(os.path.join(src, "h"), "1.json", [
-        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": 2, "estimated_drift_ms": 70},
-        {"robot_id": "robot-001", "session_id": "s-0", "server_ts_ms": 0, "estimated_drift_ms": 5}])
+        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 2, "estimated_drift_ms": 70},
+        {WIRE_DEVICE_ID: "device-001", "session_id": "s-0", "server_ts_ms": 0, "estimated_drift_ms": 5}])
     q.processAllAvailable()
     _write_lines(os.path.join(src, "t"), "1.json", [_tel(3, ts=base)])
     q.processAllAvailable()
@@ -279,23 +280,23 @@ def test_asof_stream_reads_only_recent_days(spark, tmp_dir):
     day = 86_400_000
     base = 1_704_067_200_000 + 20 * day
     _write_lines(src_h, "h0.json", [
-        # robot-001: only an old heartbeat (10 days back) -> newest overall, valid for the event
-        {"robot_id": "robot-001", "session_id": "s-1", "server_ts_ms": base - 10 * day, "estimated_drift_ms": 11},
-        # robot-002: old heartbeat plus one newer than its event -> beyond the lookback: DEFAULT
-        {"robot_id": "robot-002", "session_id": "s-1", "server_ts_ms": base - 10 * day, "estimated_drift_ms": 22},
-        {"robot_id": "robot-002", "session_id": "s-1", "server_ts_ms": base + day, "estimated_drift_ms": 33},
-        # robot-003: heartbeat inside the window
-        {"robot_id": "robot-003", "session_id": "s-1", "server_ts_ms": base - 1000, "estimated_drift_ms": 44},
+        # device-001: only an old heartbeat (10 days back) -> newest overall, valid for the event
+        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": base - 10 * day, "estimated_drift_ms": 11},
+        # device-002: old heartbeat plus one newer than its event -> beyond the lookback: DEFAULT
+        {WIRE_DEVICE_ID: "device-002", "session_id": "s-1", "server_ts_ms": base - 10 * day, "estimated_drift_ms": 22},
+        {WIRE_DEVICE_ID: "device-002", "session_id": "s-1", "server_ts_ms": base + day, "estimated_drift_ms": 33},
+        # device-003: heartbeat inside the window
+        {WIRE_DEVICE_ID: "device-003", "session_id": "s-1", "server_ts_ms": base - 1000, "estimated_drift_ms": 44},
     ])
-    _write_lines(src_t, "t0.json", [_tel(1, "robot-001", base), _tel(2, "robot-002", base), _tel(3, "robot-003", base)])
+    _write_lines(src_t, "t0.json", [_tel(1, "device-001", base), _tel(2, "device-002", base), _tel(3, "device-003", base)])
     paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
     trig = {"availableNow": True}
     ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
     ingest.start_table_stream(spark, "telemetry_events", src_t, paths, paths.table("heartbeats"), trigger=trig,
                               drift_mode="asof").awaitTermination()
-    got = {r["robot_id"]: base + int(r["event_id"][-1]) - int(r["event_ts_corrected"].timestamp() * 1000)
+    got = {r["device_id"]: base + int(r["event_id"][-1]) - int(r["event_ts_corrected"].timestamp() * 1000)
            for r in spark.read.parquet(paths.table("telemetry_events")).collect()}
-    assert got == {"robot-001": 11, "robot-002": 0, "robot-003": 44}
+    assert got == {"device-001": 11, "device-002": 0, "device-003": 44}
 
 
 def test_append_stream_to_catalog_table(spark, tmp_dir):
@@ -306,9 +307,9 @@ def test_append_stream_to_catalog_table(spark, tmp_dir):
     src = os.path.join(tmp_dir, "t")
     _write_lines(src, "0.json", [_tel(i) for i in range(4)])
     spark.sql("CREATE DATABASE IF NOT EXISTS fl_stream")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS fl_stream.tel (event_id STRING, robot_id STRING) USING parquet "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS fl_stream.tel (event_id STRING, device_id STRING) USING parquet "
               f"LOCATION '{os.path.join(tmp_dir, 'wh')}'")
-    df = decode_payload(read_topic_stream(spark, "t", path=src), TELEMETRY_SCHEMA).select("event_id", "robot_id")
+    df = decode_payload(read_topic_stream(spark, "t", path=src), TELEMETRY_SCHEMA).select("event_id", "device_id")
     q = sinks.append_stream(df, None, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True},
                             table="fl_stream.tel")
     q.awaitTermination()

@@ -41,7 +41,7 @@ def test_report_sink_json_lines(spark, tmp_dir):
     assert rec["linked_count"] >= rec["telemetry_total"] - rec["telemetry_unlinked"]
     q = [d for d in lines if "overall_severity" in d][0]
     assert set(q["checks"]) == {"freshness", "completeness_volume", "completeness_linkage", "accuracy"}
-    assert len(q["stale_robots_top5"]) == 5
+    assert len(q["stale_devices_top5"]) == 5
 
 
 def test_periodic_report(spark, tmp_dir):

@@ -4,13 +4,14 @@ import json
 
 import pytest
 
+from fleetlake.functions.rules import WIRE_DEVICE_ID
 from fleetlake.operators import validate
 
 
 def _good(**over):
     rec = {
-        "event_id": "robot-042:s-1:000000000001",
-        "robot_id": "robot-042",
+        "event_id": "device-042:s-1:000000000001",
+        WIRE_DEVICE_ID: "device-042",
         "session_id": "s-1",
         "event_ts_edge_ms": 1700000000000,
         "sensor_type": "imu",
@@ -79,14 +80,14 @@ def test_large_float_prints_like_python(spark):
 def test_missing_fields_stop_early(spark):
     rec = _good(event_id=..., sensor_type="bogus", temperature=999.0)
     assert _run(spark, [rec]) == [(False, ["missing_field:event_id"])]
-    rec = _good(robot_id=None, session_id=None)
-    assert _run(spark, [rec]) == [(False, ["missing_field:robot_id", "missing_field:session_id"])]
+    rec = _good(**{WIRE_DEVICE_ID: None, "session_id": None})
+    assert _run(spark, [rec]) == [(False, [f"missing_field:{WIRE_DEVICE_ID}", "missing_field:session_id"])]
 
 
 def test_broken_json_reports_all_required(spark):
-    (valid, errors), = _run(spark, ['{"event_id": "a:b:c", "robot'])
+    (valid, errors), = _run(spark, ['{"event_id": "a:b:c", "device'])
     assert not valid
-    assert errors == [f"missing_field:{f}" for f in validate.rules.REQUIRED_TELEMETRY_FIELDS]
+    assert errors == [f"missing_field:{validate.wire_name(f)}" for f in validate.rules.REQUIRED_TELEMETRY_FIELDS]
 
 
 def test_bad_type_and_order(spark):
@@ -119,8 +120,8 @@ def test_extra_field_ignored(spark):
 
 def _manifest(**over):
     rec = {
-        "event_id": "robot-001:s-1:000000000001",
-        "robot_id": "robot-001",
+        "event_id": "device-001:s-1:000000000001",
+        WIRE_DEVICE_ID: "device-001",
         "session_id": "s-1",
         "media_type": "camera_rgb",
         "blob_uri": "s3://raw-blobs/blob/x.bin",
