@@ -20,20 +20,6 @@ from pyspark.sql import functions as F
 from fleetlake.functions.time import ms_to_timestamp
 
 DEFAULT_DRIFT_MS = 0
-# Upper bound on devices for which the drift table is broadcast.  Above it
-# the lookup falls back to a shuffled join.
-MAX_BROADCAST_DEVICES = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early);
-    beyond the bound the frame is returned as is and Spark plans a
-    shuffled join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def heartbeat_order() -> Column:
@@ -79,17 +65,43 @@ def correct_drift(
     heartbeats: DataFrame,
     ts_col: str = "event_ts_edge_ms",
     out_col: str = "event_ts_corrected",
-    max_broadcast_devices: int = MAX_BROADCAST_DEVICES,
 ) -> DataFrame:
-    """Latest-drift correction: left join with the per-device drift table.
+    """Latest-drift correction: left join with the per-device drift table
+    (one row per device; the size known at run time decides between a
+    broadcast and a shuffled join).  Output: input columns + drift_ms,
+    ``out_col``, drift_source.
+    """
+    return apply_drift(df.join(latest_drift(heartbeats), "device_id", "left"), "drift_ms", ts_col, out_col)
 
-    The drift table has one row per device; it is broadcast after a checked
-    row bound, so the (large) event side is never shuffled for this join.
-    Output: input columns + drift_ms, ``out_col``, drift_source.
+
+def change_points(heartbeats: DataFrame, span_ms: int = 3_600_000) -> DataFrame:
+    """(device_id, from_ms, drift_ms): the heartbeats at which a device's drift
+    changes, the first one included.  Of several at one instant the last in
+    ``heartbeat_order`` counts.
+
+    Two steps, so that no task sees all heartbeats of a device: first within
+    each (device, span), then over what is left of the device (a row per span
+    at most, besides the changes).
     """
-    drift = broadcast_if_bounded(latest_drift(heartbeats), max_broadcast_devices)
-    joined = df.join(drift, "device_id", "left")
-    return apply_drift(joined, "drift_ms", ts_col, out_col)
+    drift = F.coalesce(F.col("estimated_drift_ms"), F.lit(DEFAULT_DRIFT_MS)).alias("drift")
+    at_once = (
+        heartbeats.filter(F.col("device_id").isNotNull() & F.col("server_ts_ms").isNotNull())
+        .groupBy("device_id", F.col("server_ts_ms").alias("from_ms"))
+        .agg(F.max(F.struct("session_id", drift))["drift"].alias("drift_ms"))
+    )
+
+    def changes(rows: DataFrame, *keys) -> DataFrame:
+        before = F.lag("drift_ms").over(Window.partitionBy("device_id", *keys).orderBy("from_ms"))
+        kept = rows.withColumn("_before", before).filter(F.col("_before").isNull() | (F.col("_before") != F.col("drift_ms")))
+        return kept.drop("_before")
+
+    return changes(changes(at_once, F.floor(F.col("from_ms") / F.lit(span_ms))))
+
+
+def drift_intervals(heartbeats: DataFrame, span_ms: int = 3_600_000) -> DataFrame:
+    """(device_id, from_ms, until_ms, drift_ms): when which drift holds; the last interval is open."""
+    until = F.lead("from_ms").over(Window.partitionBy("device_id").orderBy("from_ms"))
+    return change_points(heartbeats, span_ms).withColumn("until_ms", until).select("device_id", "from_ms", "until_ms", "drift_ms")
 
 
 def asof_drift(
@@ -101,70 +113,18 @@ def asof_drift(
     """Attach ``drift_ms`` of the last heartbeat with
     ``server_ts_ms <= ts_col`` of the same device (NULL when none).
 
-    As-of join without a theta join and without one task per device: time
-    is cut into spans (default 1 h); within a (device, span) partition a
-    running ``last(ignorenulls)`` over heartbeats and events sorted by time
-    gives the answer.  The heartbeat valid at a span's start ("carry-in")
-    comes from a small table of one row per (device, span), resolved by a
-    window per device over spans, whose size grows with time covered, not
-    with event volume.  Events without device or time skip the lookup.
+    A device's intervals do not overlap, so the join finds at most one per
+    row.  There is one interval per change of drift, far fewer than
+    heartbeats: where the table is small the events are not shuffled at all,
+    and otherwise a hot device's rows are split by the skew join.  Rows
+    without device or time skip the join.
     """
-    cols = df.columns
     ts = F.col(ts_col)
-    keyed = df.filter(F.col("device_id").isNotNull() & ts.isNotNull())
-    unkeyed = df.filter(F.col("device_id").isNull() | ts.isNull())
-
-    hb = heartbeats.filter(F.col("device_id").isNotNull() & F.col("server_ts_ms").isNotNull()).select(
-        "device_id",
-        F.col("server_ts_ms").alias("_ms"),
-        F.struct(
-            "server_ts_ms",
-            "session_id",
-            F.coalesce(F.col("estimated_drift_ms"), F.lit(DEFAULT_DRIFT_MS)).alias("drift"),
-        ).alias("_hb"),
-    )
-    span = lambda c: F.floor(c / F.lit(span_ms))
-    hb = hb.withColumn("_span", span(F.col("_ms")))
-    hb_type = hb.schema["_hb"].dataType
-
-    # Carry-in per (device, span): the newest heartbeat of any earlier span.
-    last_in_span = hb.groupBy("device_id", "_span").agg(F.max("_hb").alias("_last"))
-    ev_spans = keyed.select("device_id", span(ts).alias("_span")).distinct()
-    spans = ev_spans.join(last_in_span, ["device_id", "_span"], "full_outer")
-    w_span = Window.partitionBy("device_id").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    carry = spans.select(
-        "device_id", "_span", F.last("_last", ignorenulls=True).over(w_span).alias("_hb")
-    ).filter(F.col("_hb").isNotNull())
-
-    row_type = F.struct(*[F.col(c) for c in cols])
-    ev_u = keyed.select(
-        "device_id",
-        span(ts).alias("_span"),
-        ts.cast("long").alias("_ms"),
-        F.lit(2).alias("_kind"),
-        F.lit(None).cast(hb_type).alias("_hb"),
-        row_type.alias("_row"),
-    )
-    row_null = F.lit(None).cast(ev_u.schema["_row"].dataType)
-    hb_u = hb.select("device_id", "_span", "_ms", F.lit(1).alias("_kind"), "_hb", row_null.alias("_row"))
-    carry_u = carry.select(
-        "device_id",
-        "_span",
-        (F.col("_span") * F.lit(span_ms)).cast("long").alias("_ms"),
-        F.lit(0).alias("_kind"),
-        "_hb",
-        row_null.alias("_row"),
-    )
-    u = ev_u.unionByName(hb_u).unionByName(carry_u)
-    w = (
-        Window.partitionBy("device_id", "_span")
-        .orderBy("_ms", "_kind", "_hb")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    found = u.withColumn("_asof", F.last("_hb", ignorenulls=True).over(w)).filter(F.col("_kind") == 2)
-    out = found.select("_row.*", F.col("_asof.drift").alias("drift_ms"))
-    rest = unkeyed.withColumn("drift_ms", F.lit(None).cast("long"))
-    return out.unionByName(rest)
+    has_key = F.col("device_id").isNotNull() & ts.isNotNull()
+    found = drift_intervals(heartbeats, span_ms).withColumnRenamed("device_id", "_device")
+    holds = (F.col("device_id") == F.col("_device")) & (ts >= F.col("from_ms")) & (F.col("until_ms").isNull() | (ts < F.col("until_ms")))
+    out = df.filter(has_key).join(found, holds, "left").select(*df.columns, "drift_ms")
+    return out.unionByName(df.filter(~has_key).withColumn("drift_ms", F.lit(None).cast("long")))
 
 
 def correct_drift_asof(

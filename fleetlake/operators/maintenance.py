@@ -4,12 +4,11 @@ Metadata comes from Spark itself: ``_metadata.file_path`` /
 ``_metadata.file_size`` of a scan give per-file statistics, computed by
 the executors (no driver-side listing loop).
 
-Compaction never rewrites in place.  A table root holds generation
-directories; ``_CURRENT`` (a one-line text dataset) names the live one.
-``compact_small_files`` writes a new generation, verifies row count and an
-order-independent content hash, and only then flips the pointer.  Readers
-use ``read_current``.  Old generations are reported by
-``find_unreferenced_files`` and left for the storage's own retention.
+Compaction is a Spark rewrite of whole partitions: the rows are first
+written to a staging folder under the shared checkpoint folder and compared
+with the source, then written over their partitions.  If the second write is
+interrupted, ``publish`` repeats it from the staging folder.  A table with a
+catalog format's own rewrite procedure should use that instead.
 """
 
 from __future__ import annotations
@@ -22,28 +21,8 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import rules
 from fleetlake.functions.formats import file_health_label, format_size
-
-POINTER = "_CURRENT"
-# Above this many partitions the per-partition size table is joined by shuffle.
-MAX_BROADCAST_PARTITIONS = 5_000_000
-
-
-# ------------------------------------------------------------------ pointers / generations
-def current_generation(spark: SparkSession, root: str) -> str:
-    """Path of the live generation of ``root`` (``root`` itself before any compaction)."""
-    try:
-        rows = spark.read.text(f"{root}/{POINTER}").limit(1).collect()
-    except Exception:  # noqa: BLE001
-        return root
-    return rows[0][0] if rows else root
-
-
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(current_generation(spark, root))
-
-
-def _set_pointer(spark: SparkSession, root: str, target: str) -> None:
-    spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{POINTER}")
+from fleetlake.functions.time import as_timestamp
+from fleetlake.session import shared_path
 
 
 # ------------------------------------------------------------------ M1 / A19
@@ -67,12 +46,14 @@ def file_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def file_health(df: DataFrame, table: str, snapshots: int | None = None) -> DataFrame:
-    """M1: A19 + P23 + P24 as one report row for ``table``."""
+def file_health(df: DataFrame, table: str, log: DataFrame | None = None) -> DataFrame:
+    """M1: A19 + P23 + P24 as one report row for ``table``; ``snapshots`` is the
+    number of its commits in the batch log (NULL without a log)."""
     s = file_stats(df)
+    commits = F.lit(None).cast("long") if log is None else log.filter(F.col("table_name") == table).agg(F.count(F.lit(1))).scalar()
     return s.select(
         F.lit(table).alias("table"),
-        F.lit(snapshots).cast("long").alias("snapshots"),
+        commits.alias("snapshots"),
         F.col("file_count").alias("files"),
         format_size(F.col("total_bytes")).alias("total_size"),
         format_size(F.col("avg_bytes")).alias("avg_file_size"),
@@ -85,7 +66,9 @@ def file_health(df: DataFrame, table: str, snapshots: int | None = None) -> Data
 
 # ------------------------------------------------------------------ M4
 def partition_stats(df: DataFrame, partition_cols: list[str]) -> DataFrame:
-    """M4: rows, files and bytes per partition."""
+    """M4: rows, files and bytes per partition of a table laid out by
+    ``partition_cols`` (a file then lies in one partition; over columns that
+    are not the layout a file counts in every group it has rows of)."""
     per_file = df.groupBy(*partition_cols, "_metadata.file_path", "_metadata.file_size").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -103,60 +86,57 @@ def content_fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h.cast("decimal(38,0)")).alias("hash_sum"))
 
 
+def fragmented(df: DataFrame, partition_cols: list[str], threshold_bytes: int = rules.COMPACT_THRESHOLD_BYTES) -> DataFrame:
+    """Partitions that hold two or more files below the threshold, with their bytes."""
+    per_file = df.groupBy(*partition_cols, "_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
+    small = F.count(F.when(F.col("file_size") < threshold_bytes, 1))
+    return per_file.groupBy(*partition_cols).agg(small.alias("small_files"), F.sum("file_size").alias("bytes")).filter(F.col("small_files") > 1)
+
+
+def publish(spark: SparkSession, staging: str, root: str, partition_cols: list[str], sorted_by: list[str] | None = None) -> None:
+    """Write the staged rows over their partitions of ``root``; other partitions
+    stay as they are.  May be repeated."""
+    rows = spark.read.parquet(staging)
+    if not sorted_by:
+        rows = rows.hint("rebalance", *partition_cols)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(root)
+
+
 def compact_small_files(
     spark: SparkSession,
     root: str,
     partition_cols: list[str],
     target_bytes: int = rules.COMPACT_TARGET_BYTES,
+    threshold_bytes: int = rules.COMPACT_THRESHOLD_BYTES,
     sort_cols: list[str] | None = None,
-    generation: str | None = None,
 ) -> dict:
-    """M2 (+ M5 with ``sort_cols``): rewrite the live generation of ``root``
-    into files of about ``target_bytes`` per partition, verify, flip pointer.
-
-    Output files per partition = ceil(partition bytes / target).  Rows are
-    spread by ``REBALANCE`` on the partition columns plus a bucket number
-    ``hash(row) mod files``, so a hot partition is written by several tasks
-    and no task holds more than about one target file.
+    """M2 (+ M5 with ``sort_cols``): rewrite the partitions of ``root`` that hold
+    two or more files below ``threshold_bytes``; partitions of large files are
+    not touched.  Do not run it on a partition that is still written to: the
+    closed hours of a stream go through ``compact_hours``.
+
+    With ``sort_cols`` rows are dealt by ranges of (partition, sort columns)
+    into pieces of about ``target_bytes``, so each file covers a range and can
+    be pruned; otherwise by partition, large ones over several tasks.
     """
-    src_path = current_generation(spark, root)
-    src = spark.read.parquet(src_path)
-    before = content_fingerprint(src).collect()[0]
-    data_cols = [c for c in src.columns if c not in partition_cols]
-    row_hash = F.xxhash64(*[F.col(c) for c in data_cols])
-    if partition_cols:
-        # Files per partition from that partition's bytes: one small row per
-        # partition, broadcast only under a checked bound.
-        from fleetlake.operators.drift import broadcast_if_bounded
-
-        per_file = src.groupBy(*partition_cols, "_metadata.file_path", "_metadata.file_size").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        sizes = per_file.groupBy(*partition_cols).agg(
-            F.greatest(F.lit(1), F.ceil(F.sum("file_size") / F.lit(target_bytes))).cast("long").alias("_files")
-        )
-        sizes = broadcast_if_bounded(sizes, MAX_BROADCAST_PARTITIONS)
-        out = src.join(sizes, partition_cols, "left").withColumn(
-            "_f", F.pmod(row_hash, F.coalesce(F.col("_files"), F.lit(1)))
-        )
-        out = out.hint("rebalance", *partition_cols, "_f").drop("_f", "_files")
-    else:
-        total = src.select("_metadata.file_size", "_metadata.file_path").distinct().agg(F.sum("file_size")).collect()[0][0]
-        n_files = max(1, math.ceil((total or 0) / target_bytes))
-        out = src.repartition(n_files, row_hash)
-    out = out.select(*src.columns)
+    src = spark.read.parquet(root)
+    todo = fragmented(src, partition_cols, threshold_bytes)
+    found = todo.agg(F.count(F.lit(1)).alias("partitions"), F.sum("bytes").alias("bytes")).first()
+    if not found["partitions"]:
+        return {"partitions": 0, "rows": 0, "verified": True}
+    rows = src.join(todo.select(*partition_cols), partition_cols, "left_semi").select(*src.columns)
+    staging = shared_path(spark, f"compact-{uuid.uuid4().hex}")
     if sort_cols:
-        out = out.sortWithinPartitions(*partition_cols, *sort_cols)
-    gen = generation or f"{root}/_gen_{uuid.uuid4().hex[:12]}"
-    w = out.write.mode("overwrite")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(gen)
-    after = content_fingerprint(spark.read.parquet(gen)).collect()[0]
-    ok = before["rows"] == after["rows"] and before["hash_sum"] == after["hash_sum"]
-    if ok:
-        _set_pointer(spark, root, gen)
-    return {"source": src_path, "target": gen, "rows": after["rows"], "verified": ok}
+        pieces = max(found["partitions"], math.ceil(found["bytes"] / target_bytes))
+        staged = rows.repartitionByRange(pieces, *partition_cols, *sort_cols).sortWithinPartitions(*partition_cols, *sort_cols)
+    else:
+        staged = rows.hint("rebalance", *partition_cols)
+    staged.write.parquet(staging)
+    before, after = (content_fingerprint(x).first() for x in (rows, spark.read.parquet(staging)))
+    if before != after:
+        return {"partitions": found["partitions"], "rows": after["rows"], "verified": False, "staging": staging}
+    publish(spark, staging, root, partition_cols, sort_cols)
+    return {"partitions": found["partitions"], "rows": after["rows"], "verified": True, "staging": staging}
 
 
 def sort_compact(spark: SparkSession, root: str, partition_cols: list[str],
@@ -165,6 +145,36 @@ def sort_compact(spark: SparkSession, root: str, partition_cols: list[str],
     return compact_small_files(spark, root, partition_cols, sort_cols=list(sort_cols), **kw)
 
 
+def compact_hours(
+    committed: DataFrame,
+    target_root: str,
+    start,
+    end,
+    partition_cols: list[str],
+    sort_cols: list[str] | None = None,
+) -> None:
+    """M2 for a table a stream still appends to: the committed rows of the closed
+    hours [start, end) as partitions of the compact table ``target_root``.
+
+    ``committed`` comes from ``read_committed``, so rows of failed attempts are
+    never taken up.  An hour is written whole and replaces its earlier version;
+    after late rows, run it again for their hours.  Read closed hours from
+    the compact table and open ones from the stream's (``read_hours``).
+    """
+    rows = committed.filter((F.col("p_hour") >= as_timestamp(start)) & (F.col("p_hour") < as_timestamp(end)))
+    if sort_cols:
+        rows = rows.repartitionByRange(*partition_cols, *sort_cols).sortWithinPartitions(*partition_cols, *sort_cols)
+    else:
+        rows = rows.hint("rebalance", *partition_cols)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(target_root)
+
+
+def read_hours(compact: DataFrame, committed: DataFrame, open_from) -> DataFrame:
+    """Hours before ``open_from`` from the compact table, the others from the stream's table."""
+    cut = as_timestamp(open_from)
+    return compact.filter(F.col("p_hour") < cut).unionByName(committed.filter(F.col("p_hour") >= cut))
+
+
 # ------------------------------------------------------------------ M3 / T5
 def commit_log(spark: SparkSession, log_path: str, table: str | None = None, limit: int = 5) -> DataFrame:
     """M3 + T5: most recent batch commits."""
@@ -175,102 +185,19 @@ def commit_log(spark: SparkSession, log_path: str, table: str | None = None, lim
 
 
 # ------------------------------------------------------------------ M6
-def find_unreferenced_files(spark: SparkSession, root: str, older_than_days: int = 7, now=None) -> DataFrame:
-    """M6: Parquet files under ``root`` not in the live generation and older
-    than ``older_than_days``.  Report only; deletion is left to the
-    storage's lifecycle rules.  The listing reads file metadata only (the
-    ``content`` column of ``binaryFile`` is never selected)."""
-    from fleetlake.functions.time import as_timestamp
-
-    def _list(path: str) -> DataFrame | None:
-        try:
-            return (
-                spark.read.format("binaryFile")
-                .option("recursiveFileLookup", "true")
-                .option("pathGlobFilter", "*.parquet")
-                .load(path)
-                .select(F.col("path").alias("file_path"), "modificationTime", "length")
-            )
-        except Exception:  # noqa: BLE001 - no such generation directories
-            return None
-
-    # Generation directories start with '_' and are hidden from a plain
-    # listing of the root, so they are listed through their own glob.
-    parts = [p for p in (_list(root), _list(f"{root}/_gen_*")) if p is not None]
-    listing = parts[0]
-    for p in parts[1:]:
-        listing = listing.unionByName(p)
-    live = spark.read.parquet(current_generation(spark, root)).select("_metadata.file_path").distinct()
-    now_c = as_timestamp(now) if now is not None else F.current_timestamp()
-    cutoff = now_c - F.expr(f"INTERVAL {int(older_than_days)} DAYS")
-    return listing.join(live, "file_path", "left_anti").filter(F.col("modificationTime") < cutoff)
-
-
-# ------------------------------------------------------------------ M2 for stream-owned tables
-COMPACTIONS = "_compactions"
-
-
-def _compaction_log(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
-    """(generation path, first batch, last batch) of every finished range compaction."""
-    try:
-        rows = spark.read.json(f"{root}/{COMPACTIONS}").select("gen", "lo", "hi").collect()
-    except Exception:  # noqa: BLE001 - nothing compacted yet
-        return []
-    return sorted((r["gen"], int(r["lo"]), int(r["hi"])) for r in rows)
-
-
-def read_compacted(spark: SparkSession, root: str) -> DataFrame:
-    """A stream-owned table (``root/batch_id=N/...``) with its compacted
-    ranges: every generation plus the batches after the last compacted one
-    (partition pruning on ``batch_id`` skips the compacted batch dirs)."""
-    log = _compaction_log(spark, root)
-    upto = max((hi for _, _, hi in log), default=-1)
-    tail = spark.read.parquet(root).filter(F.col("batch_id") > upto).drop("batch_id")
-    out = tail
-    for gen, _, _ in log:
-        out = out.unionByName(spark.read.parquet(gen))
-    return out
-
-
-def compact_batches(
-    spark: SparkSession,
-    root: str,
-    upto_batch_id: int,
-    partition_cols: list[str],
-    target_bytes: int = rules.COMPACT_TARGET_BYTES,
-) -> dict:
-    """M2 for a table a stream still appends to: rewrite the committed
-    batches after the last compaction up to ``upto_batch_id`` (a closed
-    range, never the batch being written) into one generation, verify it,
-    then record it.  Only the new range is read and rewritten; earlier
-    generations stay as they are.  Idempotent: a range already recorded is
-    not compacted again."""
-    log = _compaction_log(spark, root)
-    lo = max((hi for _, _, hi in log), default=-1) + 1
-    if upto_batch_id < lo:
-        return {"compacted": False, "lo": lo, "hi": upto_batch_id}
-    rng = spark.read.parquet(root).filter(F.col("batch_id").between(lo, upto_batch_id)).drop("batch_id")
-    before = content_fingerprint(rng).collect()[0]
-    row_hash = F.xxhash64(*[F.col(c) for c in rng.columns if c not in partition_cols])
-    per_file = rng.groupBy(*partition_cols, "_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
-    sizes = per_file.groupBy(*partition_cols).agg(
-        F.greatest(F.lit(1), F.ceil(F.sum("file_size") / F.lit(target_bytes))).cast("long").alias("_files")
-    )
-    from fleetlake.operators.drift import broadcast_if_bounded
-
-    sizes = broadcast_if_bounded(sizes, MAX_BROADCAST_PARTITIONS)
-    out = (
-        rng.join(sizes, partition_cols, "left")
-        .withColumn("_f", F.pmod(row_hash, F.coalesce(F.col("_files"), F.lit(1))))
-        .hint("rebalance", *partition_cols, "_f")
-        .select(*rng.columns)
+def find_unreferenced_files(spark: SparkSession, root: str, log: DataFrame, older_than_days: int = 7, now=None) -> DataFrame:
+    """M6: data files below ``root`` whose attempt (``commit_id=...`` in their
+    path) is in no row of ``log`` and that are older than ``older_than_days``:
+    what failed attempts left.  Report only; deletion is left to the storage's
+    lifecycle rules.  The listing reads file metadata only (``content`` is
+    never selected); attempt ids hold no character that a path encodes.
+    """
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
+        .select(F.col("path").alias("file_path"), "modificationTime", "length", F.regexp_extract("path", "commit_id=([^/]+)/", 1).alias("commit_id"))
     )
-    gen = f"{root}/_gen_b{lo:012d}_{upto_batch_id:012d}"
-    out.write.mode("overwrite").partitionBy(*partition_cols).parquet(gen)
-    after = content_fingerprint(spark.read.parquet(gen)).collect()[0]
-    ok = before["rows"] == after["rows"] and before["hash_sum"] == after["hash_sum"]
-    if ok:
-        spark.createDataFrame([(gen, lo, upto_batch_id)], "gen string, lo long, hi long").coalesce(1).write.mode(
-            "overwrite"
-        ).json(f"{root}/{COMPACTIONS}/hi={upto_batch_id:012d}")
-    return {"compacted": ok, "lo": lo, "hi": upto_batch_id, "target": gen, "rows": after["rows"]}
+    cutoff = (as_timestamp(now) if now is not None else F.current_timestamp()) - F.expr(f"INTERVAL {int(older_than_days)} DAYS")
+    return listing.join(log.select("commit_id"), "commit_id", "left_anti").filter(F.col("modificationTime") < cutoff)

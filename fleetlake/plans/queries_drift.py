@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.functions import rules
+from fleetlake import sinks
 from fleetlake.operators import drift
 from fleetlake.plans.queries_linkage import NOW_D, fixture_now
 from fleetlake.plans.registry import register
 from fleetlake.sources.fixtures import Fixture, duckdb_with
 
-#: The device of the single-device queries.
-DEVICE = rules.DEVICE_ID_PREFIX + "042"
+# The device of the single-device queries: that of the newest row.
+_D_DEVICE = "(SELECT device_id FROM telx ORDER BY event_ts_corrected DESC, event_id LIMIT 1)"
+
+
+def newest_row(f: Fixture):
+    return f.telemetry.orderBy(F.col("event_ts_corrected").desc(), "event_id").select("device_id", "event_ts_corrected").first()
+
+
 _OUT = ["event_id", "device_id", "event_ts_edge_ms", "drift_ms", "drift_source", "event_ts_corrected"]
 
 _D_LATEST = """
@@ -100,13 +108,14 @@ def q_drift_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""
 SELECT device_id, event_ts_edge_ms, event_ts_corrected,
   cast(event_ts_edge_ms AS double) / 1000 - epoch_us(event_ts_corrected) / 1000000.0 AS drift_applied_sec
-FROM telx WHERE device_id = '{DEVICE}'
+FROM telx WHERE device_id = {_D_DEVICE}
 ORDER BY event_ts_corrected DESC, event_id LIMIT 5
 """
     ),
 )
 def q_drift_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Fixture(spark, sf_dir).telemetry.filter(F.col("device_id") == DEVICE)
+    f = Fixture(spark, sf_dir)
+    t = f.telemetry.filter(F.col("device_id") == newest_row(f)["device_id"])
     return (
         t.orderBy(F.col("event_ts_corrected").desc(), F.col("event_id"))
         .limit(5)
@@ -118,15 +127,15 @@ def q_drift_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
     "device_hour_lookup",
     duckdb_with(
         f"""
-SELECT count(*) AS n_rows FROM telx
-WHERE event_ts_corrected > {NOW_D} - INTERVAL 1 HOUR AND device_id = '{DEVICE}'
+SELECT event_id, event_ts_corrected, date_trunc('hour', event_ts_corrected) AS p_hour FROM telx
+WHERE device_id = {_D_DEVICE} AND event_ts_corrected > (SELECT max(event_ts_corrected) FROM telx) - INTERVAL 1 HOUR
 """
     ),
 )
 def q_device_hour_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 through the layout's filter: the last hour of the device with the newest row."""
     f = Fixture(spark, sf_dir)
-    since = fixture_now(f) - F.expr("INTERVAL 1 HOUR")
-    return (
-        f.telemetry.filter((F.col("event_ts_corrected") > since) & (F.col("device_id") == DEVICE))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    row = newest_row(f)
+    laid_out = sinks.telemetry_layout(f.telemetry)
+    since = row["event_ts_corrected"] - datetime.timedelta(hours=1)
+    return laid_out.filter(sinks.device_hour_filter(row["device_id"], since)).select("event_id", "event_ts_corrected", "p_hour")

@@ -3,19 +3,22 @@ as-of reads and late-arrival stamping (P15, P16, P24, P25, K7, S6, S11, J1')."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake import sinks
 from fleetlake.functions import ids, rules
 from fleetlake.functions.formats import format_size
-from fleetlake.operators import drift, quality
+from fleetlake.operators import drift, maintenance, quality
 from fleetlake.plans.queries_drift import _D_LATEST
 from fleetlake.plans.queries_linkage import NOW_D, fixture_now
 from fleetlake.plans.registry import register
 from fleetlake.schemas import TELEMETRY_SCHEMA
 from fleetlake.sources import tables
 from fleetlake.sources.fixtures import Fixture, duckdb_with
+from fleetlake.session import shared_path
 from fleetlake.sources.topics import decode_payload
 
 _D_SHARD = "printf('%02d', cast(split_part(device_id, '-', 2) AS integer) % 16)"
@@ -211,25 +214,49 @@ def q_cross_layer_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("file_health_inputs")
+@register(
+    "file_health_inputs",
+    """
+SELECT * FROM (SELECT 'events' AS "table", count(*) AS total_records FROM events
+  UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem),
+  (VALUES (true, true)) AS t(has_files, label_fits)
+""",
+)
 def q_file_health_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1 over the given tables' files (no SQL oracle: DuckDB views carry no file sizes)."""
-    from fleetlake.operators import maintenance
-
-    parts = [
-        maintenance.file_health(spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet"), t)
-        for t in ("events", "orders", "lineitem")
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """M1, A19, P23 over the given tables' files.  File counts and sizes are not
+    visible to SQL; the rows are, and the label must follow from the sizes."""
+    out = None
+    for t in ("events", "orders", "lineitem"):
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        stats = maintenance.file_stats(df).select("file_count", "avg_bytes", "total_bytes")
+        small = F.when(F.col("avg_bytes") < rules.SMALL_FILE_AVG_BYTES, "SMALL_FILES").when(F.col("avg_bytes") < rules.RECOMMEND_COMPACT_AVG_BYTES, "COMPACTION_RECOMMENDED")
+        row = maintenance.file_health(df, t).crossJoin(stats).select(  # one row each
+            "table",
+            "total_records",
+            ((F.col("files") > 0) & (F.col("total_bytes") > 0)).alias("has_files"),
+            (F.col("assessment") == F.coalesce(small, F.lit("OK"))).alias("label_fits"),
+        )
+        out = row if out is None else out.unionByName(row)
     return out
 
 
-@register("partition_stats_events")
+@register(
+    "partition_stats_events",
+    duckdb_with(
+        """
+SELECT date_trunc('day', event_ts_corrected) AS p_day, count(*) AS record_count, true AS one_place
+FROM telx GROUP BY ALL
+"""
+    ),
+)
 def q_partition_stats_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4 on bronze telemetry laid out by hour (derived columns, whole table)."""
-    from fleetlake.operators import maintenance
-
-    tel = sinks.telemetry_layout(Fixture(spark, sf_dir).telemetry)
-    return maintenance.partition_stats(tel.withColumn("p_day", F.date_trunc("day", "p_hour")), ["p_day"])
+    """M4 on bronze telemetry written by day: a partition's files and bytes are its own."""
+    tel = Fixture(spark, sf_dir).telemetry.withColumn("p_day", F.date_trunc("day", "event_ts_corrected"))
+    root = shared_path(spark, f"partition-stats-{uuid.uuid4().hex}")
+    sinks.materialize(tel, path=root, partition_cols=["p_day"])
+    table = spark.read.parquet(root)
+    whole = maintenance.file_stats(table).select(F.col("total_bytes").alias("all_bytes"), F.col("file_count").alias("all_files"))
+    stats = maintenance.partition_stats(table, ["p_day"])
+    sums = stats.agg(F.sum("total_bytes").alias("b"), F.sum("file_count").alias("f")).crossJoin(whole)  # one row each
+    fits = sums.select((F.col("b") == F.col("all_bytes")) & (F.col("f") == F.col("all_files"))).scalar()
+    return stats.select("p_day", "record_count", ((F.col("file_count") > 0) & fits).alias("one_place"))

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from fleetlake.operators import linkage
 from fleetlake.plans import reports
 from fleetlake.plans.registry import register
-from fleetlake.session import spread_if_narrow
+from fleetlake.sources.fixtures import spread
 
 
 def _parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread_if_narrow(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"))
+    o = spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"))
     return o.select(
         F.col("o_orderkey").alias("event_id"),
         F.col("o_orderdate").cast("timestamp").alias("ingest_ts"),
@@ -25,7 +25,7 @@ def _parent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_if_narrow(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+    li = spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
     return li.select(
         F.col("l_orderkey").alias("event_id"),
         F.col("l_returnflag").alias("media_type"),

@@ -4,10 +4,10 @@ The reference sends 7 (reconcile) or 5 (quality) separate SQL statements,
 each its own scan and join, possibly on different snapshots.  Here each
 report is one Spark job over one snapshot:
 
-* telemetry and blobs are each reduced to one row per ``event_id`` (the
-  per-row measures a report needs ride along as extra partial aggregates),
-* the two key tables are full-outer joined and folded into a single row
-  (the per-media breakdown comes out of the same pass via ``rollup``),
+* telemetry and blobs are each reduced to one row per ``event_id`` before
+  they are joined, and the join is folded into a single row (the per-media
+  breakdown comes out of the same pass via ``rollup``),
+* measures that need no join come from one flat aggregate,
 * small bounded side results (stalest devices: top 5) enter as scalar
   subqueries, never through the driver.
 """
@@ -22,13 +22,6 @@ from fleetlake.functions.time import as_timestamp, seconds_between
 from fleetlake.operators import linkage, quality
 
 
-def _key_join_with(telemetry: DataFrame, blobs: DataFrame, extra: list[Column]) -> DataFrame:
-    tk = telemetry.groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("nt"), F.min("ingest_ts").alias("first_ingest"), *extra
-    )
-    return tk.join(linkage.blob_keys(blobs), "event_id", "full_outer")
-
-
 def linkage_rollup(telemetry: DataFrame, blobs: DataFrame, now: Column) -> DataFrame:
     """All reconcile measures and the per-media pair counts from one pass.
 
@@ -69,16 +62,20 @@ def linkage_rollup(telemetry: DataFrame, blobs: DataFrame, now: Column) -> DataF
                        F.struct((-F.col("linked_count")).alias("k"), "media_type", F.col("linked_count").alias("cnt")))
     entries = F.array_sort(F.collect_list(per_media))
     one = r.agg(
-        *[F.max(F.when(is_total, F.col(c))).alias(c) for c in
-          ("telemetry_total", "blob_total", "linked_count", "telemetry_unlinked", "blob_orphans", "_oldest")],
+        *[F.coalesce(F.max(F.when(is_total, F.col(c))), F.lit(0)).alias(c) for c in
+          ("telemetry_total", "blob_total", "linked_count", "telemetry_unlinked", "blob_orphans")],
+        F.max(F.when(is_total, F.col("_oldest"))).alias("_oldest"),
         F.map_from_entries(F.transform(entries, lambda e: F.struct(e["media_type"], e["cnt"]))).alias(
             "media_breakdown"),
     )
     pct = F.round(F.col("linked_count").cast("double") / F.greatest(F.col("telemetry_total"), F.lit(1)) * 100, 2)
     age = seconds_between(now, F.col("_oldest"))
     return one.select(
-        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in
-          ("telemetry_total", "blob_total", "linked_count", "telemetry_unlinked", "blob_orphans")],
+        "telemetry_total",
+        "blob_total",
+        "linked_count",
+        "telemetry_unlinked",
+        "blob_orphans",
         pct.alias("linkage_pct"),
         "media_breakdown",
         F.nullif(F.round(age, 1), F.lit(0.0)).alias("oldest_unlinked_sec"),
@@ -127,26 +124,9 @@ def quality_report(
 ) -> DataFrame:
     """Overall severity, four check structs and the top-5 stale devices."""
     now_c = as_timestamp(now) if now is not None else F.current_timestamp()
-    in_window = quality.trailing_window(now_c, 5)
-    k = _key_join_with(
-        telemetry,
-        blobs,
-        [
-            F.max("ingest_ts").alias("latest"),
-            F.count(F.when(in_window, 1)).alias("w5"),
-            F.count(F.when(quality.temperature_out_of_range(), 1)).alias("bad"),
-        ],
-    )
-    nt = F.coalesce(F.col("nt"), F.lit(0))
-    one = k.agg(
-        F.max("latest").alias("latest_ingest"),
-        F.coalesce(F.sum("w5"), F.lit(0)).cast("long").alias("events_last_5m"),
-        F.sum(nt).cast("long").alias("total_telemetry"),
-        F.sum(F.when(F.col("nt").isNotNull() & F.col("nb").isNotNull(), nt * F.col("nb")).otherwise(0))
-        .cast("long")
-        .alias("linked"),
-        F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad_temp_rows"),
-    )
+    # per-row measures in one flat pass; only the linked pairs need the ids
+    pairs = linkage.telemetry_keys(telemetry).join(linkage.blob_keys(blobs), "event_id").agg(linkage.total_of(F.col("nt") * F.col("nb")))
+    one = quality.check_aggregates(telemetry, now_c, 5).withColumn("linked", pairs.scalar())
     lag = seconds_between(now_c, F.col("latest_ingest"))
     fresh = F.when(F.col("latest_ingest").isNull(), F.lit(None)).otherwise(F.greatest(F.lit(0), lag.cast("long")))
     one = one.withColumn("freshness_sec", fresh).withColumn(

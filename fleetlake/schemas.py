@@ -71,6 +71,7 @@ TELEMETRY_BRONZE_SCHEMA = StructType(
         StructField("event_ts_corrected", TimestampType(), True),
         StructField("ingest_ts", TimestampType(), True),
         StructField("ingest_status", StringType(), True),
+        StructField("drift_source", StringType(), True),
     ]
 )
 
@@ -79,6 +80,7 @@ BLOB_INDEX_SCHEMA = StructType(
     + [
         StructField("blob_ts_corrected", TimestampType(), True),
         StructField("ingest_ts", TimestampType(), True),
+        StructField("drift_source", StringType(), True),
     ]
 )
 

@@ -91,6 +91,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="fleetlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -100,20 +102,3 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written tables that cut lineage)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
-
-
-def spread_if_narrow(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
-    default parallelism) only when its scan yields fewer splits.
-
-    A large table already arrives in many splits and is returned as is (no
-    shuffle).  A source with few splits - one small file, a topic with
-    fewer partitions than cores - would otherwise run all narrow, CPU-heavy
-    work (JSON decode, validation) in a handful of tasks.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(target) if current < target else df

@@ -8,6 +8,8 @@ table through ``table=``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +17,7 @@ from pyspark.sql.types import DataType, StructType
 
 from fleetlake.functions import rules
 from fleetlake.functions.time import hour_bucket
+from fleetlake.sources.tables import read_if_exists
 
 
 # ---------------------------------------------------------------- K4 layout
@@ -28,7 +31,6 @@ def add_partition_columns(
     ts_col: str,
     buckets: int,
     key_col: str = "device_id",
-    extra: list[str] | None = None,
 ) -> DataFrame:
     """K4: ``p_hour = date_trunc('hour', ts)``, ``p_bucket = hash(key) mod N``.
 
@@ -36,8 +38,7 @@ def add_partition_columns(
     transforms of a table format become explicit derived columns; the
     ``device_hour_filter`` helper adds the matching predicates.
     """
-    out = df.withColumn("p_hour", hour_bucket(ts_col)).withColumn("p_bucket", bucket_of(key_col, buckets))
-    return out
+    return df.withColumn("p_hour", hour_bucket(ts_col)).withColumn("p_bucket", bucket_of(key_col, buckets))
 
 
 TELEMETRY_PARTITIONS = ["p_hour", "p_bucket"]
@@ -219,6 +220,9 @@ def union_evolved(frames: list[DataFrame]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- K8 + M3 batch writer
+LOG_SCHEMA = "rows long, rejected long, commit_id string, committed_at timestamp, table_name string, batch_id long"
+
+
 def write_batch_with_rejects(
     batch: DataFrame,
     batch_id: int,
@@ -231,51 +235,66 @@ def write_batch_with_rejects(
     """K8 + M3 inside ``foreachBatch``: accepted rows to the table, rejected
     rows (with their error list) to the reject table, one log row per batch.
 
-    Idempotent under retries and lost executors: each batch overwrites its
-    own ``batch_id=<id>`` directory (a replayed batch rewrites the same
-    files, never appends twice) and the log row is written last, so a
-    batch is committed exactly when its log row exists.  The batch is
-    persisted once for the two writes; lost cached blocks are recomputed
-    from the replayable source.
+    The table's own partition columns come first, so an hour is found under
+    its own directory; the attempt's ``commit_id`` is the last level.  The log
+    row names the attempt and is written last: an attempt that failed is in
+    no log row and is never read (``read_committed``), and a batch that is
+    already logged is skipped, so replays and lost executors neither lose
+    nor repeat rows.  The batch is persisted once for the two writes; lost
+    cached blocks are recomputed from the replayable source.
     """
     spark = batch.sparkSession
-    if log_path is not None and _batch_logged(spark, log_path, table_name, batch_id):
+    if log_path is not None and batch_logged(spark, log_path, table_name, batch_id):
         return
+    commit_id = f"{batch_id:012d}-{uuid.uuid4().hex}"
     b = batch.persist()
     try:
+        parts = list(partition_cols or [])
         ok = b.filter(F.col("is_valid")).drop("is_valid", "errors")
         bad = b.filter(~F.col("is_valid")).drop("is_valid")
-        if partition_cols:
-            ok = ok.hint("rebalance", *partition_cols)
-        w = ok.write.mode("overwrite")
-        if partition_cols:
-            w = w.partitionBy(*partition_cols)
-        w.parquet(f"{accepted_path}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
+        append_commit(ok, accepted_path, commit_id, parts)
+        append_commit(bad, rejected_path, commit_id)
         if log_path is not None:
-            counts = b.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count(F.when(~F.col("is_valid"), 1)).alias("rejected"),
-            )
-            # One log directory per table: concurrent streams never share an
-            # output path (and so never share the committer's temporary dir).
-            # One directory per (table, batch): the idempotency check lists
-            # only that directory, never the whole (ever-growing) log.
-            counts.select(
-                "rows",
-                "rejected",
-                F.current_timestamp().alias("committed_at"),
-            ).write.mode("overwrite").parquet(_log_dir(log_path, table_name, batch_id))
+            counts = b.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(~F.col("is_valid"), 1)).alias("rejected"))
+            log_commit(counts, log_path, table_name, batch_id, commit_id)
     finally:
         b.unpersist()
 
 
+def append_commit(rows: DataFrame, path: str, commit_id: str, partition_cols: list[str] | None = None) -> None:
+    """Append rows below ``<partition columns>/commit_id=...``."""
+    if partition_cols:
+        rows = rows.hint("rebalance", *partition_cols)
+    rows.withColumn("commit_id", F.lit(commit_id)).write.mode("append").partitionBy(*(partition_cols or []), "commit_id").parquet(path)
+
+
+def log_commit(counts: DataFrame, log_path: str, table_name: str, batch_id: int, commit_id: str) -> None:
+    """The log row of a batch, in a directory of its own: concurrent streams
+    never share an output path, and the check for one batch lists that
+    directory alone."""
+    row = counts.select("rows", "rejected", F.lit(commit_id).alias("commit_id"), F.current_timestamp().alias("committed_at"))
+    row.write.mode("overwrite").parquet(_log_dir(log_path, table_name, batch_id))
+
+
 def _log_dir(log_path: str, table_name: str, batch_id: int) -> str:
     return f"{log_path}/table_name={table_name}/batch_id={batch_id}"
 
 
-def _batch_logged(spark: SparkSession, log_path: str, table_name: str, batch_id: int) -> bool:
-    try:
-        return spark.read.parquet(_log_dir(log_path, table_name, batch_id)).limit(1).count() > 0
-    except Exception:  # noqa: BLE001 - not committed yet
-        return False
+def batch_logged(spark: SparkSession, log_path: str, table_name: str, batch_id: int) -> bool:
+    """Whether the batch is committed; a log that cannot be read is an error."""
+    row = read_if_exists(spark, _log_dir(log_path, table_name, batch_id), "rows long")
+    return row is not None and row.limit(1).count() > 0
+
+
+def read_log(spark: SparkSession, log_path: str, table_name: str) -> DataFrame:
+    """The log rows of one table; none before its first batch."""
+    log = read_if_exists(spark, log_path, LOG_SCHEMA)
+    return (spark.createDataFrame([], LOG_SCHEMA) if log is None else log).filter(F.col("table_name") == table_name)
+
+
+def read_committed(spark: SparkSession, path: str, log_path: str, table_name: str, schema=None) -> DataFrame | None:
+    """Rows of the table's committed attempts (None before the first write)."""
+    rows = read_if_exists(spark, path, schema)
+    if rows is None:
+        return None
+    return rows.join(read_log(spark, log_path, table_name).select("commit_id"), "commit_id", "left_semi").drop("commit_id")

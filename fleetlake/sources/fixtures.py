@@ -29,10 +29,15 @@ MEDIA_BY_MOD5 = ["camera_rgb", "camera_depth", "lidar_pointcloud", "audio", "raw
 DEVICE_ID = rules.DEVICE_ID_PREFIX + "%03d"
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from fleetlake.session import spread_if_narrow
+def spread(df: DataFrame) -> DataFrame:
+    """A test table that comes as one or a few files, dealt over the cores (the
+    recipe's work per row is large against the row); other tables as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
 
-    return spread_if_narrow(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def _day(ts: Column) -> Column:

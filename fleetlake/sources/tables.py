@@ -3,6 +3,7 @@ window replay (S5, S6, S8-S11)."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,18 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") ->
     return spark.table(name_or_path)
 
 
+def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when there is no such path yet.
+    Any other failure of the read is raised."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    try:
+        return reader.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def describe_columns(df: DataFrame) -> DataFrame:
     """``SHOW COLUMNS`` as a DataFrame (column_name, data_type, position)."""
     spark = df.sparkSession

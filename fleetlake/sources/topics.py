@@ -15,12 +15,11 @@ from pyspark.sql.types import StructType
 from fleetlake.schemas import HEARTBEAT_SCHEMA, wire_name, wire_schema
 
 
-def kafka_available(spark: SparkSession) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")  # noqa: SLF001
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+def topic_options(topic: str, bootstrap: str | None, starting: str = "earliest") -> dict[str, str]:
+    """Options of the Kafka source for one topic."""
+    if not bootstrap:
+        raise ValueError("a path or bootstrap servers required")
+    return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting}
 
 
 def read_topic_stream(
@@ -41,16 +40,7 @@ def read_topic_stream(
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         return reader.load(path).select(F.col("value"))
-    if not bootstrap:
-        raise ValueError("bootstrap servers required for a Kafka topic")
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting)
-        .load()
-        .select(F.col("value"))
-    )
+    return spark.readStream.format("kafka").options(**topic_options(topic, bootstrap, starting)).load().select(F.col("value"))
 
 
 def read_topic_batch(spark: SparkSession, path: str) -> DataFrame:

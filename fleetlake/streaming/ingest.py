@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from fleetlake import sinks
 from fleetlake.functions import rules
@@ -24,8 +25,10 @@ from fleetlake.operators import drift as drift_ops
 from fleetlake.operators import validate
 from fleetlake.schemas import (
     BLOB_INDEX_COLUMNS,
+    BLOB_INDEX_SCHEMA,
     HEARTBEAT_SCHEMA,
     MANIFEST_SCHEMA,
+    TELEMETRY_BRONZE_SCHEMA,
     TELEMETRY_COLUMNS,
     TELEMETRY_SCHEMA,
 )
@@ -41,44 +44,27 @@ def add_ingest_columns(df: DataFrame, status: str | None = rules.STATUS_PENDING,
     return out
 
 
-def drift_table(spark: SparkSession, heartbeat_path: str | None) -> DataFrame | None:
-    """Current per-device drift, read fresh (one row per device)."""
-    hb = _read_heartbeats(spark, heartbeat_path) if heartbeat_path is not None else None
-    return drift_ops.latest_drift(hb) if hb is not None else None
+def _to_bronze(decoded: DataFrame, drift: DataFrame | None, ts_col: str, out_col: str, status: str | None, columns: list[str],
+               clock: Column | None) -> DataFrame:
+    if "drift_ms" not in decoded.columns:
+        decoded = decoded.join(drift, "device_id", "left") if drift is not None else decoded.withColumn("drift_ms", F.lit(None).cast("long"))
+    out = add_ingest_columns(drift_ops.apply_drift(decoded, "drift_ms", ts_col, out_col), status, clock)
+    return out.select(*columns, *[c for c in ("is_valid", "errors") if c in out.columns])
 
 
-def to_bronze_telemetry(decoded: DataFrame, drift: DataFrame | None, clock: Column | None = None,
-                        drift_col_present: bool = False) -> DataFrame:
+def to_bronze_telemetry(decoded: DataFrame, drift: DataFrame | None, clock: Column | None = None) -> DataFrame:
     """W1 transform: drift-correct, stamp, project bronze columns (+ check columns if present).
 
-    ``drift`` is the per-device table (broadcast under a checked bound); with
-    ``drift_col_present`` the rows already carry ``drift_ms`` (as-of lookup).
+    ``drift``: the per-device table (device_id, drift_ms); rows that already
+    carry ``drift_ms`` (as-of lookup) keep it.  ``drift_source`` tells a
+    corrected row from one that got the default.
     """
-    if drift_col_present:
-        fixed = decoded
-    elif drift is not None:
-        fixed = decoded.join(drift_ops.broadcast_if_bounded(drift, drift_ops.MAX_BROADCAST_DEVICES), "device_id", "left")
-    else:
-        fixed = decoded.withColumn("drift_ms", F.lit(None).cast("long"))
-    fixed = drift_ops.apply_drift(fixed, "drift_ms", "event_ts_edge_ms", "event_ts_corrected")
-    out = add_ingest_columns(fixed, rules.STATUS_PENDING, clock)
-    extra = [c for c in ("is_valid", "errors") if c in out.columns]
-    return out.select(*TELEMETRY_COLUMNS, *extra)
-
-
-def to_bronze_manifest(decoded: DataFrame, drift: DataFrame | None, clock: Column | None = None,
-                       drift_col_present: bool = False) -> DataFrame:
+    return _to_bronze(decoded, drift, "event_ts_edge_ms", "event_ts_corrected", rules.STATUS_PENDING, TELEMETRY_COLUMNS, clock)
+
+
+def to_bronze_manifest(decoded: DataFrame, drift: DataFrame | None, clock: Column | None = None) -> DataFrame:
     """W2 transform: same for manifests, no status column."""
-    if drift_col_present:
-        fixed = decoded
-    elif drift is not None:
-        fixed = decoded.join(drift_ops.broadcast_if_bounded(drift, drift_ops.MAX_BROADCAST_DEVICES), "device_id", "left")
-    else:
-        fixed = decoded.withColumn("drift_ms", F.lit(None).cast("long"))
-    fixed = drift_ops.apply_drift(fixed, "drift_ms", "blob_ts_edge_ms", "blob_ts_corrected")
-    out = add_ingest_columns(fixed, None, clock)
-    extra = [c for c in ("is_valid", "errors") if c in out.columns]
-    return out.select(*BLOB_INDEX_COLUMNS, *extra)
+    return _to_bronze(decoded, drift, "blob_ts_edge_ms", "blob_ts_corrected", None, BLOB_INDEX_COLUMNS, clock)
 
 
 # ------------------------------------------------------------------ queries
@@ -104,100 +90,53 @@ class IngestPaths:
         return f"{self.root}/tables/drift_state"
 
 
-DAY_MS = 86_400_000
-# As-of lookups in a stream read heartbeats of the batch's days plus this
-# many days before (partition pruning on p_day); see ``_asof_bounded``.
-ASOF_LOOKBACK_DAYS = 2
-
-
-def _read_heartbeats(spark: SparkSession, heartbeat_path: str, days: tuple[int, int] | None = None
-                     ) -> DataFrame | None:
-    try:
-        hb = spark.read.parquet(heartbeat_path)
-    except Exception:  # noqa: BLE001 - no heartbeat yet
-        return None
-    if days is not None and "p_day" in hb.columns:
-        hb = hb.filter(F.col("p_day").between(days[0], days[1]))
-    return hb.select(*[F.col(f.name).cast(f.dataType) for f in HEARTBEAT_SCHEMA.fields])
-
-
-def _read_drift_state_full(spark: SparkSession, state_root: str) -> DataFrame | None:
-    try:
-        rows = spark.read.text(f"{state_root}/{DRIFT_POINTER}").limit(1).collect()
-    except Exception:  # noqa: BLE001
-        return None
-    return spark.read.parquet(rows[0][0]) if rows else None
+HEARTBEATS, DRIFT_STATE = "heartbeats", "drift_state"
 
+# The tables as they are read: declared, so that a table without a row yet is an empty one.
+_LAYOUT = [StructField("p_hour", TimestampType()), StructField("p_bucket", IntegerType()), StructField("commit_id", StringType())]
+TABLE_SCHEMAS = {
+    "telemetry_events": StructType(TELEMETRY_BRONZE_SCHEMA.fields + _LAYOUT),
+    "blob_index": StructType(BLOB_INDEX_SCHEMA.fields + _LAYOUT),
+    HEARTBEATS: StructType(HEARTBEAT_SCHEMA.fields + _LAYOUT[2:]),
+}
 
-def _asof_bounded(spark: SparkSession, dec: DataFrame, ts_col: str, heartbeat_path: str, state_root: str
-                  ) -> DataFrame | None:
-    """As-of drift for one micro-batch without reading the heartbeat history.
 
-    Only heartbeats of the days the batch's edge times span (plus
-    ``ASOF_LOOKBACK_DAYS`` before) are read (partition pruning).  A row with
-    no heartbeat in that window takes the device's newest heartbeat from the
-    compact drift state when that heartbeat is not newer than the row - it
-    is then exactly the as-of answer.  Otherwise (the device's last
-    heartbeat before the row is older than the lookback and a newer one
-    exists) the row gets no drift and is marked DEFAULT.
-    """
-    lo, hi = dec.agg(F.min(ts_col), F.max(ts_col)).collect()[0]
-    if lo is None:
-        return None
-    days = (int(lo) // DAY_MS - ASOF_LOOKBACK_DAYS, int(hi) // DAY_MS)
-    hb = _read_heartbeats(spark, heartbeat_path, days)
-    if hb is None:
-        return None
-    out = drift_ops.asof_drift(dec, hb, ts_col)
-    state = _read_drift_state_full(spark, state_root)
-    if state is None:
-        return out
-    st = drift_ops.broadcast_if_bounded(
-        state.select("device_id", F.col("hb.server_ts_ms").alias("_st_ts"), F.col("hb.estimated_drift_ms").alias("_st_d")),
-        drift_ops.MAX_BROADCAST_DEVICES,
-    )
-    filled = F.coalesce(F.col("drift_ms"), F.when(F.col("_st_ts") <= F.col(ts_col), F.col("_st_d")))
-    return out.join(st, "device_id", "left").withColumn("drift_ms", filled).drop("_st_ts", "_st_d")
+def committed_heartbeats(spark: SparkSession, paths: IngestPaths) -> DataFrame | None:
+    """All heartbeats the heartbeat stream has committed (None before the first)."""
+    return sinks.read_committed(spark, paths.table(HEARTBEATS), paths.batch_log, HEARTBEATS, TABLE_SCHEMAS[HEARTBEATS])
 
 
-def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column | None, heartbeat_path: str | None,
-                  drift_mode: str = "latest"):
+def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column | None, drift_mode: str | None):
     schema = TELEMETRY_SCHEMA if kind == "telemetry_events" else MANIFEST_SCHEMA
     to_bronze = to_bronze_telemetry if kind == "telemetry_events" else to_bronze_manifest
+    check = validate.validate_telemetry if kind == "telemetry_events" else validate.validate_manifest
     layout = sinks.telemetry_layout if kind == "telemetry_events" else sinks.blob_layout
     parts = sinks.TELEMETRY_PARTITIONS if kind == "telemetry_events" else sinks.BLOB_PARTITIONS
+    ts_col = "event_ts_edge_ms" if kind == "telemetry_events" else "blob_ts_edge_ms"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if validated:
-            dec = (validate.validate_telemetry if kind == "telemetry_events" else validate.validate_manifest)(batch)
-        else:
-            dec = decode_payload(batch, schema).withColumn("is_valid", F.lit(True)).withColumn(
-                "errors", F.array().cast("array<string>")
-            )
-        ts_col = "event_ts_edge_ms" if kind == "telemetry_events" else "blob_ts_edge_ms"
-        if drift_mode == "asof" and heartbeat_path is not None:
-            # J8 per batch: the heartbeat valid when each record was stamped.
-            dec = dec.persist()
-            tagged = _asof_bounded(spark, dec, ts_col, heartbeat_path, paths.drift_state)
-            if tagged is not None:
-                bronze = layout(to_bronze(tagged, None, clock, drift_col_present=True))
-            else:
-                bronze = layout(to_bronze(dec, None, clock))
+            dec = check(batch)
         else:
-            # Latest mode reads the compact per-device state kept by the
-            # heartbeat stream; without one, it aggregates the heartbeat table.
-            drift = read_drift_state(spark, paths.drift_state)
-            if drift is None:
-                drift = drift_table(spark, heartbeat_path)
-            bronze = layout(to_bronze(dec, drift, clock))
+            dec = decode_payload(batch, schema).withColumn("is_valid", F.lit(True)).withColumn("errors", F.array().cast("array<string>"))
+        drift = None
+        dec = dec.persist()
         try:
-            sinks.write_batch_with_rejects(
-                bronze, batch_id, paths.table(kind), paths.rejects(kind), paths.batch_log, parts, kind
-            )
+            tagged = dec
+            if drift_mode == "asof":
+                # J8 per batch, exact: all committed heartbeats of the batch's
+                # devices, reduced to the points where a drift changes.
+                hb = committed_heartbeats(spark, paths)
+                if hb is not None:
+                    devices = dec.select("device_id").where("device_id is not null").distinct()
+                    tagged = drift_ops.asof_drift(dec, hb.join(devices, "device_id", "left_semi"), ts_col)
+            elif drift_mode == "latest":
+                drift = read_drift_state(spark, paths)
+            rows = layout(to_bronze(tagged, drift, clock))
+            sinks.write_batch_with_rejects(rows, batch_id, paths.table(kind), paths.rejects(kind), paths.batch_log, parts, kind)
         finally:
-            if dec.is_cached:
-                dec.unpersist()
+            dec.unpersist()
 
     return run
 
@@ -218,102 +157,94 @@ def dedup_stream(src: DataFrame, ts_field: str, delay: str) -> DataFrame:
 def start_table_stream(
     spark: SparkSession,
     kind: str,
-    source_path: str,
     paths: IngestPaths,
-    heartbeat_path: str | None = None,
+    source_path: str | None = None,
+    bootstrap: str | None = None,
+    topic: str | None = None,
+    drift_mode: str | None = "latest",
     validated: bool = True,
     trigger: dict | None = None,
     clock: Column | None = None,
     max_files_per_trigger: int | None = None,
-    drift_mode: str = "latest",
     dedup_within: str | None = None,
 ) -> StreamingQuery:
     """W1 (kind='telemetry_events') / W2 (kind='blob_index'): one query, own checkpoint.
 
-    ``drift_mode='latest'`` applies the newest heartbeat per device present
-    when the batch runs (the reference's live map); ``'asof'`` the heartbeat
-    valid at each record's edge time (reproducible on replay).
-    ``dedup_within`` (off by default, as in the reference) drops repeated
-    event ids seen within that watermark delay."""
-    src = read_topic_stream(spark, kind, path=source_path, max_files_per_trigger=max_files_per_trigger)
+    The source is a directory of messages (``source_path``) or a topic of a
+    broker (``bootstrap``; ``topic`` defaults to ``kind``).
+    ``drift_mode='latest'`` applies the newest heartbeat per device committed
+    when the batch runs (a live map); ``'asof'`` the heartbeat valid at each
+    record's edge time (equal to the batch lookup over the same heartbeats);
+    None no drift.  ``dedup_within`` (off by default: it leaves out rows that
+    come later than that delay) drops repeated event ids."""
+    src = read_topic_stream(spark, topic or kind, bootstrap=bootstrap, path=source_path, max_files_per_trigger=max_files_per_trigger)
     if dedup_within:
-        src = dedup_stream(src, "event_ts_edge_ms" if kind == "telemetry_events" else "blob_ts_edge_ms",
-                           dedup_within)
+        src = dedup_stream(src, "event_ts_edge_ms" if kind == "telemetry_events" else "blob_ts_edge_ms", dedup_within)
     w = (
         src.writeStream.queryName(kind)
         .option("checkpointLocation", paths.checkpoint(kind))
-        .foreachBatch(_batch_writer(kind, paths, validated, clock, heartbeat_path, drift_mode))
+        .foreachBatch(_batch_writer(kind, paths, validated, clock, drift_mode))
     )
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
 
 
-DRIFT_POINTER = "_CURRENT"
+STATE_SCHEMA = "device_id string, hb struct<server_ts_ms:long,session_id:string,estimated_drift_ms:long>"
 
 
-def read_drift_state(spark: SparkSession, state_root: str) -> DataFrame | None:
-    """The compact drift state (device_id, drift_ms; one row per device), or None."""
-    try:
-        rows = spark.read.text(f"{state_root}/{DRIFT_POINTER}").limit(1).collect()
-    except Exception:  # noqa: BLE001 - no state written yet
-        return None
-    if not rows:
+def read_drift_state(spark: SparkSession, paths: IngestPaths) -> DataFrame | None:
+    """(device_id, drift_ms), one row per device, of the newest committed state;
+    None before the first.  A committed state that cannot be read is an error."""
+    newest = sinks.read_log(spark, paths.batch_log, DRIFT_STATE).agg(F.max("batch_id")).first()[0]
+    if newest is None:
         return None
-    st = spark.read.parquet(rows[0][0])
-    return st.select("device_id", F.col("hb.estimated_drift_ms").alias("drift_ms"))
+    state = spark.read.schema(STATE_SCHEMA).parquet(f"{paths.drift_state}/batch_id={newest}")
+    return state.select("device_id", F.col("hb.estimated_drift_ms").alias("drift_ms"))
 
 
-def _merge_drift_state(batch: DataFrame, batch_id: int, state_root: str) -> None:
-    """Fold one heartbeat batch into the per-device state: newest heartbeat
-    per device by (time, session, value).  Written as a new version directory,
-    then the pointer is flipped, so readers always see a whole version; a
-    replayed batch folds in again to the same result (max is idempotent)."""
+def _merge_drift_state(batch: DataFrame, batch_id: int, paths: IngestPaths) -> None:
+    """Fold one heartbeat batch into the per-device state: newest heartbeat per
+    device by (time, session, value).  The state of batch N is written to its
+    own directory from the newest committed state before N and then logged, so
+    a replayed batch gives the same state again."""
     spark = batch.sparkSession
+    if sinks.batch_logged(spark, paths.batch_log, DRIFT_STATE, batch_id):
+        return
     order = F.struct(
-        "server_ts_ms",
-        "session_id",
-        F.coalesce(F.col("estimated_drift_ms"), F.lit(drift_ops.DEFAULT_DRIFT_MS)).alias("estimated_drift_ms"),
+        "server_ts_ms", "session_id", F.coalesce(F.col("estimated_drift_ms"), F.lit(drift_ops.DEFAULT_DRIFT_MS)).alias("estimated_drift_ms")
     )
     new = batch.filter(F.col("device_id").isNotNull()).groupBy("device_id").agg(F.max(order).alias("hb"))
-    try:
-        rows = spark.read.text(f"{state_root}/{DRIFT_POINTER}").limit(1).collect()
-    except Exception:  # noqa: BLE001
-        rows = []
-    if rows:
-        new = spark.read.parquet(rows[0][0]).unionByName(new).groupBy("device_id").agg(F.max("hb").alias("hb"))
-    target = f"{state_root}/_v_{batch_id:012d}"
+    before = sinks.read_log(spark, paths.batch_log, DRIFT_STATE).filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+    if before is not None:
+        old = spark.read.schema(STATE_SCHEMA).parquet(f"{paths.drift_state}/batch_id={before}")
+        new = old.unionByName(new).groupBy("device_id").agg(F.max("hb").alias("hb"))
+    target = f"{paths.drift_state}/batch_id={batch_id}"
     new.write.mode("overwrite").parquet(target)
-    spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{state_root}/{DRIFT_POINTER}"
-    )
+    counts = spark.read.schema(STATE_SCHEMA).parquet(target).agg(F.count(F.lit(1)).alias("rows"), F.lit(0).cast("long").alias("rejected"))
+    sinks.log_commit(counts, paths.batch_log, DRIFT_STATE, batch_id, f"{batch_id:012d}")
 
 
 def start_heartbeat_stream(
-    spark: SparkSession, source_path: str, paths: IngestPaths, trigger: dict | None = None
+    spark: SparkSession,
+    paths: IngestPaths,
+    source_path: str | None = None,
+    bootstrap: str | None = None,
+    topic: str = "heartbeat",
+    starting: str = "latest",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """S4 as a stream.  Each batch is appended to the heartbeat table (its
-    own ``batch_id=`` directory, idempotent) and folded into the compact
-    per-device drift state that telemetry batches read (W7), so a batch
-    never re-aggregates the heartbeat history."""
-    hb = heartbeat_source(read_topic_stream(spark, "heartbeat", path=source_path))
-    table, state = paths.table("heartbeats"), paths.drift_state
+    """S4 as a stream.  Each batch is committed to the heartbeat table and
+    folded into the compact per-device drift state that telemetry batches read
+    (W7).  A broker's topic is read from its latest offsets."""
+    hb = heartbeat_source(read_topic_stream(spark, topic, starting=starting, bootstrap=bootstrap, path=source_path))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
-        try:
-            b.withColumn("p_day", F.floor(F.col("server_ts_ms") / F.lit(DAY_MS)).cast("long")).write.mode(
-                "overwrite"
-            ).partitionBy("p_day").parquet(f"{table}/batch_id={batch_id}")
-            _merge_drift_state(b, batch_id, state)
-        finally:
-            b.unpersist()
+        rows = batch.withColumn("is_valid", F.lit(True)).withColumn("errors", F.array().cast("array<string>"))
+        sinks.write_batch_with_rejects(rows, batch_id, paths.table(HEARTBEATS), paths.rejects(HEARTBEATS), paths.batch_log, None, HEARTBEATS)
+        _merge_drift_state(batch, batch_id, paths)
 
-    w = (
-        hb.writeStream.queryName("heartbeats")
-        .option("checkpointLocation", paths.checkpoint("heartbeats"))
-        .foreachBatch(run)
-    )
+    w = hb.writeStream.queryName(HEARTBEATS).option("checkpointLocation", paths.checkpoint(HEARTBEATS)).foreachBatch(run)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
@@ -321,31 +252,33 @@ def start_heartbeat_stream(
 
 def start_ingest(
     spark: SparkSession,
-    telemetry_path: str,
-    manifest_path: str,
-    heartbeat_path: str | None,
     root: str,
+    telemetry_path: str | None = None,
+    manifest_path: str | None = None,
+    heartbeat_path: str | None = None,
+    bootstrap: str | None = None,
     trigger: dict | None = None,
     validated: bool = True,
+    drift_mode: str = "latest",
 ) -> dict[str, StreamingQuery]:
     """Independent queries (heartbeats, telemetry, manifests), no ordering
     between them.  Wait with ``spark.streams.awaitAnyTermination()`` so a
-    failure of any one is noticed."""
+    failure of any one is noticed.  Without a path a kind is read from the
+    broker's topic; heartbeats are left out when neither is given."""
     paths = IngestPaths(root)
     queries: dict[str, StreamingQuery] = {}
-    hb_table = None
-    if heartbeat_path is not None:
-        queries["heartbeats"] = start_heartbeat_stream(spark, heartbeat_path, paths, trigger)
-        hb_table = paths.table("heartbeats")
-    queries["telemetry_events"] = start_table_stream(
-        spark, "telemetry_events", telemetry_path, paths, hb_table, validated, trigger
-    )
-    queries["blob_index"] = start_table_stream(spark, "blob_index", manifest_path, paths, hb_table, validated, trigger)
+    if heartbeat_path is not None or bootstrap is not None:
+        queries[HEARTBEATS] = start_heartbeat_stream(spark, paths, heartbeat_path, bootstrap, trigger=trigger)
+    for kind, path in (("telemetry_events", telemetry_path), ("blob_index", manifest_path)):
+        queries[kind] = start_table_stream(
+            spark, kind, paths, path, bootstrap, drift_mode=drift_mode if queries.get(HEARTBEATS) else None, validated=validated, trigger=trigger
+        )
     return queries
 
 
 def read_committed(spark: SparkSession, paths: IngestPaths, kind: str) -> DataFrame:
     """Rows of committed batches only (semi join with the batch log)."""
-    data = spark.read.parquet(paths.table(kind))
-    log = spark.read.parquet(paths.batch_log).filter(F.col("table_name") == kind).select("batch_id")
-    return data.join(log.distinct(), "batch_id", "left_semi")
+    rows = sinks.read_committed(spark, paths.table(kind), paths.batch_log, kind, TABLE_SCHEMAS[kind])
+    if rows is None:
+        raise FileNotFoundError(paths.table(kind))
+    return rows

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fleetlake import sinks
 from fleetlake.functions import rules
 
 
@@ -37,10 +38,11 @@ def link_status_stream(
     telemetry: DataFrame,
     blobs: DataFrame,
     timeout_minutes: int = rules.ORPHAN_TIMEOUT_MINUTES,
-    blob_lead_minutes: int = 1,
+    blob_lead_minutes: int | None = None,
 ) -> DataFrame:
     """W8 (stream): stream-stream LEFT OUTER join telemetry -> blobs on
-    event_id within ``[ingest_ts - lead, ingest_ts + timeout]``.
+    event_id within ``[ingest_ts - lead, ingest_ts + timeout]``; a blob may lead
+    by as much as it may lag unless ``blob_lead_minutes`` says otherwise.
 
     Matched rows are emitted as LINKED as soon as both sides arrived;
     telemetry with no blob inside the bound is emitted as ORPHANED once the
@@ -49,6 +51,7 @@ def link_status_stream(
     ``assign_link_status`` stays authoritative (an emitted ORPHANED row
     cannot be recalled if a blob arrives later).
     """
+    lead = timeout_minutes if blob_lead_minutes is None else blob_lead_minutes
     t = telemetry.select(
         F.col("event_id").alias("t_event_id"), "device_id", F.col("ingest_ts").alias("t_ingest_ts")
     ).withWatermark("t_ingest_ts", f"{timeout_minutes} minutes")
@@ -57,7 +60,7 @@ def link_status_stream(
     )
     cond = (
         (F.col("t_event_id") == F.col("b_event_id"))
-        & (F.col("b_ingest_ts") >= F.col("t_ingest_ts") - F.expr(f"INTERVAL {blob_lead_minutes} MINUTES"))
+        & (F.col("b_ingest_ts") >= F.col("t_ingest_ts") - F.expr(f"INTERVAL {lead} MINUTES"))
         & (F.col("b_ingest_ts") <= F.col("t_ingest_ts") + F.expr(f"INTERVAL {timeout_minutes} MINUTES"))
     )
     j = t.join(b, cond, "leftOuter")
@@ -71,6 +74,23 @@ def link_status_stream(
     )
 
 
+def report_or_error(spark: SparkSession, build_report: Callable[[SparkSession], DataFrame], sink_path: str) -> None:
+    """Append the report; a report that fails is itself reported, as one line
+    with severity ERROR and the reason, and the next tick tries again.  A sink
+    that cannot be written to still raises."""
+    try:
+        lines = build_report(spark).select(F.to_json(F.struct("*")).alias("value")).toLocalIterator()
+        lines = [(r["value"],) for r in lines]  # a report is one row or a few
+    except Exception as exc:  # noqa: BLE001 - any failure of the check is its result
+        reason = f"{type(exc).__name__}: {str(exc)[:2000]}"
+        error = spark.range(1).select(
+            F.current_timestamp().alias("timestamp_utc"), F.lit("ERROR").alias("overall_severity"), F.lit(reason).alias("error")
+        )
+        sinks.report_sink(error, sink_path)
+        return
+    spark.createDataFrame(lines, "value string").write.mode("append").text(sink_path)
+
+
 def start_periodic_report(
     spark: SparkSession,
     build_report: Callable[[SparkSession], DataFrame],
@@ -86,15 +106,13 @@ def start_periodic_report(
     source (one tick per batch); each batch runs the report as a normal
     batch job.  ``once=True`` runs a single report now and returns None.
     """
-    from fleetlake import sinks
-
     if once:
-        sinks.report_sink(build_report(spark), sink_path)
+        report_or_error(spark, build_report, sink_path)
         return None
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
     def run(_batch: DataFrame, _batch_id: int) -> None:
-        sinks.report_sink(build_report(spark), sink_path)
+        report_or_error(spark, build_report, sink_path)
 
     w = ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     return w.trigger(processingTime=f"{int(interval_sec)} seconds").start()

@@ -44,13 +44,18 @@ def test_empty_tables_do_not_raise(spark):
     tel = spark.createDataFrame([], T)
     blob = spark.createDataFrame([], B)
     (r,) = linkage.linkage_counts(tel, blob, now=NOW).collect()
-    assert r["telemetry_total"] is None or r["telemetry_total"] == 0
+    counts = ("telemetry_total", "blob_total", "linked_count", "telemetry_unlinked", "blob_orphans", "linked_events")
+    assert [r[c] for c in counts] == [0] * 6
+    assert r["linkage_pct"] == 0.0
     (lj,) = linkage.linkage_rate_leftjoin(tel, blob).collect()
     assert lj["linkage_pct"] is None
     (rep,) = reports.reconcile_report(tel, blob, NOW).collect()
     assert rep["status"] == "DEGRADED" and rep["media_breakdown"] == {}
+    assert rep["linkage_pct"] == 0.0 and rep["linked_count"] == 0
     (q,) = reports.quality_report(tel, blob, NOW).collect()
     assert q["overall_severity"] == "CRITICAL"  # no data -> freshness NULL -> CRITICAL
+    link = q["checks"]["completeness_linkage"]
+    assert (link["severity"], link["linkage_pct"], link["linked"], link["total_telemetry"]) == ("CRITICAL", 0.0, 0, 0)
 
 
 def test_property_unique_ids_rates_agree(spark):
@@ -92,16 +97,25 @@ def test_tolerance_match_against_brute_force(spark):
         brows.append((f"bt{i}", r, "audio", f"ut{i}", NOW, ts))
     tel = spark.createDataFrame(trows, T)
     blob = spark.createDataFrame(brows, B)
-    got = {r["blob_uri"]: (r["telemetry_event_id"], r["diff_ms"])
-           for r in linkage.tolerance_match(tel, blob, 300, span_ms=5_000).collect()}
-    want = {}
-    for be, br, _, uri, _, bts in brows:
-        c = [(abs((tts - bts) // dt.timedelta(milliseconds=1)), te) for te, tr, _, tts, _, _ in trows if tr == br]
-        c = [x for x in c if x[0] <= 300]
-        if c:
-            d, te = min(c)
-            want[uri] = (te, d)
-    assert got == want
+    for tolerance, span in ((300, 5_000), (20_000, 3_000), (90_000, None)):
+        got = {r["blob_uri"]: (r["telemetry_event_id"], r["diff_ms"])
+               for r in linkage.tolerance_match(tel, blob, tolerance, span_ms=span).collect()}
+        want = {}
+        for be, br, _, uri, _, bts in brows:
+            c = [(abs((tts - bts) // dt.timedelta(milliseconds=1)), te) for te, tr, _, tts, _, _ in trows if tr == br]
+            c = [x for x in c if x[0] <= tolerance]
+            if c:
+                d, te = min(c)
+                want[uri] = (te, d)
+        assert got == want
+
+
+def test_tolerance_longer_than_the_span_reaches_across_spans(spark):
+    base = dt.datetime(2024, 1, 1)
+    tel = spark.createDataFrame([("t1", "r1", NOW, base, "P", 20.0)], T)
+    blob = spark.createDataFrame([("b1", "r1", "audio", "u1", NOW, base + dt.timedelta(seconds=90))], B)
+    (r,) = linkage.tolerance_match(tel, blob, 200_000, span_ms=60_000).collect()
+    assert (r["telemetry_event_id"], r["diff_ms"]) == ("t1", 90_000)
 
 
 def test_cross_layer_join_is_top_k(spark):

@@ -35,6 +35,10 @@ def test_format_size_and_label(spark):
         "OK", "SMALL_FILES", "COMPACTION_RECOMMENDED", "OK"]
 
 
+def _files(df):
+    return {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+
+
 def test_file_health_and_compaction(spark, tmp_dir):
     root = os.path.join(tmp_dir, "tel")
     df = _small_table(spark, root)
@@ -42,22 +46,66 @@ def test_file_health_and_compaction(spark, tmp_dir):
     (before,) = m.file_health(df, "telemetry_events").collect()
     assert before["total_records"] == n and before["files"] > 50
     assert before["assessment"] == "SMALL_FILES"
+    content = m.content_fingerprint(df).first()
     res = m.compact_small_files(spark, root, ["p_bucket"], target_bytes=1 << 20)
     assert res["verified"] and res["rows"] == n
-    cur = m.read_current(spark, root)
+    cur = spark.read.parquet(root)
+    assert m.content_fingerprint(cur).first() == content
     (after,) = m.file_health(cur, "telemetry_events").collect()
-    assert after["files"] < before["files"]
-    assert after["total_records"] == n
-    # the old generation is reported, the live one is not
-    stale = m.find_unreferenced_files(spark, root, older_than_days=0, now="2999-01-01 00:00:00")
-    stale_paths = {r["file_path"] for r in stale.collect()}
-    live = {r[0] for r in cur.select("_metadata.file_path").distinct().collect()}
-    assert stale_paths and not (stale_paths & live)
-    # second compaction: the previous generation becomes unreferenced too
-    res2 = m.sort_compact(spark, root, ["p_bucket"], target_bytes=1 << 20)
-    assert res2["verified"]
-    stale2 = {r["file_path"] for r in m.find_unreferenced_files(spark, root, 0, now="2999-01-01").collect()}
-    assert any("/_gen_" in p for p in stale2)
+    assert after["files"] == res["partitions"] < before["files"]
+    # nothing left to do; large files are never touched
+    assert m.compact_small_files(spark, root, ["p_bucket"])["partitions"] == 0
+    # the second write may be repeated from the staged rows
+    m.publish(spark, res["staging"], root, ["p_bucket"])
+    assert m.content_fingerprint(spark.read.parquet(root)).first() == content
+
+
+def test_compaction_leaves_partitions_of_large_files(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "tel")
+    df = _small_table(spark, root)
+    smallest = df.select("_metadata.file_size").agg(F.min("file_size")).first()[0]
+    files = _files(df)
+    assert m.compact_small_files(spark, root, ["p_bucket"], threshold_bytes=smallest)["partitions"] == 0
+    assert _files(spark.read.parquet(root)) == files
+
+
+def test_sorted_compaction_gives_files_of_distinct_ranges(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "sorted")
+    tel = Fixture(spark, SF_SMALL).telemetry.withColumn("p_all", F.lit(1))
+    tel.repartition(12).write.partitionBy("p_all").parquet(root)
+    total = spark.read.parquet(root).agg(F.sum("_metadata.file_size")).first()[0]
+    size = m.file_stats(spark.read.parquet(root)).first()["total_bytes"]
+    assert size <= total
+    assert m.sort_compact(spark, root, ["p_all"], target_bytes=size // 4)["verified"]
+    spans = spark.read.parquet(root).groupBy("_metadata.file_path").agg(F.min("device_id").alias("a"), F.max("device_id").alias("b")).orderBy("a", "b").collect()
+    assert len(spans) > 2
+    assert all(x["b"] <= y["a"] for x, y in zip(spans[:-1], spans[1:], strict=True))
+
+
+def test_unreferenced_files_are_those_of_failed_attempts(spark, tmp_dir):
+    root, rej, log = (os.path.join(tmp_dir, d) for d in ("t", "r", "l"))
+    tel = Fixture(spark, SF_SMALL).telemetry.withColumn("is_valid", F.lit(True)).withColumn("errors", F.array().cast("array<string>"))
+    rows = sinks.telemetry_layout(tel).withColumn("p_bucket", F.col("p_bucket") % 2).filter("p_hour < timestamp '2024-01-05 00:00:00'")
+    parts = ["p_hour", "p_bucket"]
+    sinks.write_batch_with_rejects(rows, 0, root, rej, log, parts)
+    committed = {p.split("commit_id=")[1].split("/")[0] for p in _files(spark.read.parquet(root))}
+    found = m.find_unreferenced_files(spark, root, sinks.read_log(spark, log, "telemetry_events"), 0, now="2999-01-01")
+    assert found.count() == 0  # every file is live, hours and all
+    sinks.write_batch_with_rejects(rows.limit(40), 1, root, rej, None, parts)  # an attempt that was never logged
+    found = m.find_unreferenced_files(spark, root, sinks.read_log(spark, log, "telemetry_events"), 0, now="2999-01-01")
+    got = {r["commit_id"] for r in found.collect()}
+    assert len(got) == 1 and not got & committed
+    assert m.find_unreferenced_files(spark, root, sinks.read_log(spark, log, "telemetry_events"), 7).count() == 0
+
+
+def test_file_health_counts_commits(spark, tmp_dir):
+    root, rej, log = (os.path.join(tmp_dir, d) for d in ("t", "r", "l"))
+    df = spark.createDataFrame([(1, True, [])], "x int, is_valid boolean, errors array<string>")
+    for i in range(3):
+        sinks.write_batch_with_rejects(df, i, root, rej, log)
+    rows = spark.read.parquet(root)
+    assert m.file_health(rows, "telemetry_events", sinks.read_log(spark, log, "telemetry_events")).first()["snapshots"] == 3
+    assert m.file_health(rows, "telemetry_events").first()["snapshots"] is None
 
 
 def test_partition_stats(spark, tmp_dir):
@@ -109,24 +157,26 @@ def test_schema_evolution_ddl(spark, tmp_dir):
     spark.sql("DROP TABLE fl_test.blob_index")
 
 
-def test_compact_closed_batches_of_a_streamed_table(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "streamed")
-    tel = sinks.telemetry_layout(Fixture(spark, SF_SMALL).telemetry).drop("p_bucket")
-    parts = tel.randomSplit([1.0] * 5, seed=3)
-    for i, p in enumerate(parts):  # five micro-batches, each fragmented
-        p.repartition(4).write.partitionBy("p_hour").parquet(f"{root}/batch_id={i}")
-    total = tel.count()
-    r1 = m.compact_batches(spark, root, 2, ["p_hour"])
-    assert r1["compacted"] and (r1["lo"], r1["hi"]) == (0, 2)
-    assert m.compact_batches(spark, root, 2, ["p_hour"])["compacted"] is False  # already done
-    cur = m.read_compacted(spark, root)
-    assert cur.count() == total
-    # a sixth batch arrives after the compaction; the next compaction takes 3..5 only
-    parts[0].write.partitionBy("p_hour").parquet(f"{root}/batch_id=5")
-    r2 = m.compact_batches(spark, root, 5, ["p_hour"])
-    assert (r2["lo"], r2["hi"]) == (3, 5)
-    cur = m.read_compacted(spark, root)
-    assert cur.count() == total + parts[0].count()
-    for gen, _, _ in m._compaction_log(spark, root):
-        g = spark.read.parquet(gen)
-        assert g.select("_metadata.file_path").distinct().count() == g.select("p_hour").distinct().count()
+def test_compact_closed_hours_of_a_streamed_table(spark, tmp_dir):
+    import datetime as dt
+
+    root, rej, log, compact = (os.path.join(tmp_dir, d) for d in ("t", "r", "l", "c"))
+    tel = Fixture(spark, SF_SMALL).telemetry.withColumn("is_valid", F.lit(True)).withColumn("errors", F.array().cast("array<string>"))
+    rows = sinks.telemetry_layout(tel).withColumn("p_bucket", F.lit(0)).filter("p_hour < timestamp '2024-01-04 00:00:00'")
+    for i, part in enumerate(rows.randomSplit([1.0] * 4, seed=3)):
+        sinks.write_batch_with_rejects(part, i, root, rej, log, ["p_hour", "p_bucket"])
+    sinks.write_batch_with_rejects(rows.limit(25), 4, root, rej, None, ["p_hour", "p_bucket"])  # failed before its log row
+
+    def committed():
+        return sinks.read_committed(spark, root, log, "telemetry_events")
+
+    cut = dt.datetime(2024, 1, 3)
+    m.compact_hours(committed(), compact, dt.datetime(2024, 1, 1), cut, ["p_hour", "p_bucket"])
+    table = spark.read.parquet(compact)
+    assert len(_files(table)) == table.select("p_hour").distinct().count()
+    assert m.read_hours(table, committed(), cut).count() == rows.count()
+    # the failed batch is replayed: its rows are taken up, old hours included
+    sinks.write_batch_with_rejects(rows.limit(25), 4, root, rej, log, ["p_hour", "p_bucket"])
+    for _ in range(2):  # repeating it changes nothing
+        m.compact_hours(committed(), compact, dt.datetime(2024, 1, 1), cut, ["p_hour", "p_bucket"])
+        assert m.read_hours(spark.read.parquet(compact), committed(), cut).count() == rows.count() + 25

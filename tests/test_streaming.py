@@ -52,11 +52,11 @@ def test_ingest_drift_rejects_restart(spark, tmp_dir):
     paths = ingest.IngestPaths(root)
     trig = {"availableNow": True}
 
-    hq = ingest.start_heartbeat_stream(spark, src_h, paths, trig)
+    hq = ingest.start_heartbeat_stream(spark, paths, src_h, trigger=trig)
     hq.awaitTermination()
     qs = [
-        ingest.start_table_stream(spark, "telemetry_events", src_t, paths, paths.table("heartbeats"), trigger=trig),
-        ingest.start_table_stream(spark, "blob_index", src_m, paths, paths.table("heartbeats"), trigger=trig),
+        ingest.start_table_stream(spark, "telemetry_events", paths, src_t, trigger=trig),
+        ingest.start_table_stream(spark, "blob_index", paths, src_m, trigger=trig),
     ]
     for q in qs:
         q.awaitTermination()
@@ -65,6 +65,7 @@ def test_ingest_drift_rejects_restart(spark, tmp_dir):
     assert tel.count() == 5
     row = tel.filter(F.col("event_id").endswith("000000000000")).collect()[0]
     assert row["ingest_status"] == "PENDING_BLOB_LINK"
+    assert row["drift_source"] == "HEARTBEAT"
     assert int(row["event_ts_corrected"].timestamp() * 1000) == 1_704_067_200_000 - 250
     rej = spark.read.parquet(paths.rejects("telemetry_events"))
     assert rej.count() == 2
@@ -75,7 +76,7 @@ def test_ingest_drift_rejects_restart(spark, tmp_dir):
 
     # restart on the same checkpoint with one new file: only the new rows arrive
     _write_lines(src_t, "t1.json", [_tel(i) for i in range(10, 13)])
-    q = ingest.start_table_stream(spark, "telemetry_events", src_t, paths, paths.table("heartbeats"), trigger=trig)
+    q = ingest.start_table_stream(spark, "telemetry_events", paths, src_t, trigger=trig)
     q.awaitTermination()
     tel = ingest.read_committed(spark, paths, "telemetry_events")
     assert tel.count() == 8
@@ -99,7 +100,7 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
     acc, rej, log = (os.path.join(tmp_dir, d) for d in ("a", "r", "l"))
     sinks.write_batch_with_rejects(df, 0, acc, rej, log)
     sinks.write_batch_with_rejects(df, 0, acc, rej, log)  # retried batch: skipped
-    assert spark.read.parquet(acc).count() == 1
+    assert sinks.read_committed(spark, acc, log, "telemetry_events").count() == 1
     assert spark.read.parquet(log).count() == 1
 
 
@@ -108,7 +109,7 @@ def test_late_rows_land_in_old_partition(spark, tmp_dir):
     old_ts = 1_600_000_000_000
     _write_lines(src_t, "t0.json", [_tel(1), _tel(2, ts=old_ts)])
     paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
-    q = ingest.start_table_stream(spark, "telemetry_events", src_t, paths, None, trigger={"availableNow": True})
+    q = ingest.start_table_stream(spark, "telemetry_events", paths, src_t, trigger={"availableNow": True})
     q.awaitTermination()
     tel = spark.read.parquet(paths.table("telemetry_events"))
     hours = {r["p_hour"] for r in tel.select("p_hour").collect()}
@@ -153,9 +154,8 @@ def test_asof_drift_mode_in_stream(spark, tmp_dir):
     _write_lines(src_t, "t0.json", [_tel(0, ts=base), _tel(0, ts=base + 9_000)])
     paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
     trig = {"availableNow": True}
-    ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
-    ingest.start_table_stream(spark, "telemetry_events", src_t, paths, paths.table("heartbeats"), trigger=trig,
-                              drift_mode="asof").awaitTermination()
+    ingest.start_heartbeat_stream(spark, paths, src_h, trigger=trig).awaitTermination()
+    ingest.start_table_stream(spark, "telemetry_events", paths, src_t, trigger=trig, drift_mode="asof").awaitTermination()
     got = sorted(int(r["event_ts_corrected"].timestamp() * 1000)
                  for r in spark.read.parquet(paths.table("telemetry_events")).collect())
     assert got == [base - 100, base + 9_000 - 300]
@@ -209,13 +209,13 @@ def test_drift_state_is_compact_and_latest(spark, tmp_dir):
         {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 5},
         {WIRE_DEVICE_ID: "device-002", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 7},
     ])
-    ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
+    ingest.start_heartbeat_stream(spark, paths, src_h, trigger=trig).awaitTermination()
     _write_lines(src_h, "h1.json", [
         {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 20, "estimated_drift_ms": 9},
         {WIRE_DEVICE_ID: "device-002", "session_id": "s-0", "server_ts_ms": 5, "estimated_drift_ms": 1},
     ])
-    ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
-    state = {r["device_id"]: r["drift_ms"] for r in ingest.read_drift_state(spark, paths.drift_state).collect()}
+    ingest.start_heartbeat_stream(spark, paths, src_h, trigger=trig).awaitTermination()
+    state = {r["device_id"]: r["drift_ms"] for r in ingest.read_drift_state(spark, paths).collect()}
     assert state == {"device-001": 9, "device-002": 7}  # older heartbeat of device-002 does not win
     assert spark.read.parquet(paths.table("heartbeats")).count() == 4
 
@@ -224,43 +224,12 @@ def test_optional_dedup(spark, tmp_dir):
     src_t = os.path.join(tmp_dir, "t")
     _write_lines(src_t, "t0.json", [_tel(1), _tel(1), _tel(2), "{broken"])
     paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
-    ingest.start_table_stream(spark, "telemetry_events", src_t, paths, None, trigger={"availableNow": True},
+    ingest.start_table_stream(spark, "telemetry_events", paths, src_t, trigger={"availableNow": True},
                               dedup_within="10 minutes").awaitTermination()
     assert spark.read.parquet(paths.table("telemetry_events")).count() == 2
     assert spark.read.parquet(paths.rejects("telemetry_events")).count() == 1
 
 
-def test_drift_as_keyed_state(spark, tmp_dir):
-    from fleetlake.schemas import HEARTBEAT_SCHEMA, TELEMETRY_SCHEMA
-    from fleetlake.sources.topics import decode_payload, heartbeat_source, read_topic_stream
-    from fleetlake.streaming import drift_state
-
-    src = os.path.join(tmp_dir, "all")
-    base = 1_704_067_200_000
-    # batch 1: heartbeat then events; batch 2: newer heartbeat, then events
-    _write_lines(os.path.join(src, "t"), "0.json", [_tel(1, ts=base), _tel(2, device="device-002", ts=base)])
-    _write_lines(os.path.join(src, "h"), "0.json", [
-        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 1, "estimated_drift_ms": 40}])
-    tel = decode_payload(read_topic_stream(spark, "t", path=os.path.join(src, "t")), TELEMETRY_SCHEMA)
-    hb = heartbeat_source(read_topic_stream(spark, "h", path=os.path.join(src, "h")))
-    out = drift_state.corrected_stream(tel, hb)
-    q = (out.writeStream.format("memory").queryName("drift_state_t").outputMode("append")
-         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).start())
-    q.processAllAvailable()
-    _write_lines(os.path.join(src, "h"), "1.json", [
-        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 2, "estimated_drift_ms": 70},
-        {WIRE_DEVICE_ID: "device-001", "session_id": "s-0", "server_ts_ms": 0, "estimated_drift_ms": 5}])
-    q.processAllAvailable()
-    _write_lines(os.path.join(src, "t"), "1.json", [_tel(3, ts=base)])
-    q.processAllAvailable()
-    q.stop()
-    got = {r["event_id"].split(":")[-1]: (r["drift_ms"], r["drift_source"])
-           for r in spark.sql("SELECT * FROM drift_state_t").collect()}
-    assert got["000000000001"] == (40, "HEARTBEAT")
-    assert got["000000000002"] == (None, "DEFAULT")
-    assert got["000000000003"] == (70, "HEARTBEAT")  # newest by time; the older late heartbeat does not win
-
-
 def test_batch_replayed_after_crash_before_log(spark, tmp_dir):
     from fleetlake import sinks
 
@@ -270,33 +239,122 @@ def test_batch_replayed_after_crash_before_log(spark, tmp_dir):
     sinks.write_batch_with_rejects(df, 7, acc, rej, None)
     # the engine replays batch 7 from the checkpoint
     sinks.write_batch_with_rejects(df, 7, acc, rej, log)
-    assert spark.read.parquet(acc).count() == 1
-    assert spark.read.parquet(rej).count() == 1
+    assert spark.read.parquet(acc).count() == 2  # the failed attempt's files are there but in no log row
+    assert sinks.read_committed(spark, acc, log, "telemetry_events").count() == 1
+    assert sinks.read_committed(spark, rej, log, "telemetry_events").count() == 1
     assert spark.read.parquet(log).filter(F.col("batch_id") == 7).count() == 1
 
 
-def test_asof_stream_reads_only_recent_days(spark, tmp_dir):
+def test_asof_stream_equals_batch(spark, tmp_dir):
+    """Heartbeats of any age count, in a stream as in a batch; rows without a
+    device keep their place with the default drift."""
+    from fleetlake.operators import drift
+
     src_t, src_h = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "h")
     day = 86_400_000
     base = 1_704_067_200_000 + 20 * day
+
+    def hb(device, ms, value):
+        return {WIRE_DEVICE_ID: device, "session_id": "s-1", "server_ts_ms": ms, "estimated_drift_ms": value}
+
     _write_lines(src_h, "h0.json", [
-        # device-001: only an old heartbeat (10 days back) -> newest overall, valid for the event
-        {WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": base - 10 * day, "estimated_drift_ms": 11},
-        # device-002: old heartbeat plus one newer than its event -> beyond the lookback: DEFAULT
-        {WIRE_DEVICE_ID: "device-002", "session_id": "s-1", "server_ts_ms": base - 10 * day, "estimated_drift_ms": 22},
-        {WIRE_DEVICE_ID: "device-002", "session_id": "s-1", "server_ts_ms": base + day, "estimated_drift_ms": 33},
-        # device-003: heartbeat inside the window
-        {WIRE_DEVICE_ID: "device-003", "session_id": "s-1", "server_ts_ms": base - 1000, "estimated_drift_ms": 44},
+        hb("device-001", base - 10 * day, 11),
+        hb("device-002", base - 10 * day, 22),  # the last one before the event, ten days old
+        hb("device-002", base + day, 33),
+        hb("device-003", base - 1000, 44),
+        hb("device-003", base - 900, 44),
+        hb("device-003", base - 800, 45),
+        hb("device-003", base - 700, 44),
     ])
-    _write_lines(src_t, "t0.json", [_tel(1, "device-001", base), _tel(2, "device-002", base), _tel(3, "device-003", base)])
+    rows = [_tel(1, "device-001", base), _tel(2, "device-002", base), _tel(3, "device-003", base), _tel(4, "device-004", base)]
+    rows.append({**_tel(5, "device-001", base), WIRE_DEVICE_ID: None})
+    _write_lines(src_t, "t0.json", rows)
     paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
     trig = {"availableNow": True}
-    ingest.start_heartbeat_stream(spark, src_h, paths, trig).awaitTermination()
-    ingest.start_table_stream(spark, "telemetry_events", src_t, paths, paths.table("heartbeats"), trigger=trig,
-                              drift_mode="asof").awaitTermination()
-    got = {r["device_id"]: base + int(r["event_id"][-1]) - int(r["event_ts_corrected"].timestamp() * 1000)
-           for r in spark.read.parquet(paths.table("telemetry_events")).collect()}
-    assert got == {"device-001": 11, "device-002": 0, "device-003": 44}
+    ingest.start_heartbeat_stream(spark, paths, src_h, trigger=trig).awaitTermination()
+    ingest.start_table_stream(spark, "telemetry_events", paths, src_t, trigger=trig, drift_mode="asof", validated=False).awaitTermination()
+    table = ingest.read_committed(spark, paths, "telemetry_events")
+    got = {int(r["event_id"][-1]): (r["event_ts_edge_ms"] - int(r["event_ts_corrected"].timestamp() * 1000), r["drift_source"]) for r in table.collect()}
+    assert got == {1: (11, "HEARTBEAT"), 2: (22, "HEARTBEAT"), 3: (44, "HEARTBEAT"), 4: (0, "DEFAULT"), 5: (0, "DEFAULT")}
+    batch = drift.correct_drift_asof(table.drop("event_ts_corrected", "drift_source"), ingest.committed_heartbeats(spark, paths))
+    assert {int(r["event_id"][-1]): (r["drift_ms"] or 0, r["drift_source"]) for r in batch.collect()} == got
+
+
+def test_unreadable_drift_state_is_an_error(spark, tmp_dir):
+    import pytest
+
+    src_h = os.path.join(tmp_dir, "h")
+    _write_lines(src_h, "h0.json", [{WIRE_DEVICE_ID: "device-001", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 5}])
+    paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
+    assert ingest.read_drift_state(spark, paths) is None
+    ingest.start_heartbeat_stream(spark, paths, src_h, trigger={"availableNow": True}).awaitTermination()
+    for name in os.listdir(f"{paths.drift_state}/batch_id=0"):
+        if name.endswith(".parquet"):
+            with open(f"{paths.drift_state}/batch_id=0/{name}", "wb") as f:
+                f.write(b"broken")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        ingest.read_drift_state(spark, paths).collect()
+    _write_lines(src_h, "h1.json", [{WIRE_DEVICE_ID: "device-002", "session_id": "s-1", "server_ts_ms": 10, "estimated_drift_ms": 5}])
+    q = ingest.start_heartbeat_stream(spark, paths, src_h, trigger={"availableNow": True})
+    with pytest.raises(Exception, match="(?i)parquet"):
+        q.awaitTermination()
+
+
+def test_streamed_hour_lookup_is_pruned(spark, tmp_dir):
+    import datetime as dt
+
+    from fleetlake import sinks
+
+    src_t = os.path.join(tmp_dir, "t")
+    hour = 3_600_000
+    _write_lines(src_t, "t0.json", [_tel(i, ts=1_704_067_200_000 + i * hour) for i in range(4)])
+    paths = ingest.IngestPaths(os.path.join(tmp_dir, "lake"))
+    ingest.start_table_stream(spark, "telemetry_events", paths, src_t, trigger={"availableNow": True}).awaitTermination()
+    assert all(d.startswith("p_hour=") or d.startswith("_") or d.endswith(".crc") for d in os.listdir(paths.table("telemetry_events")))
+    start = dt.datetime(2024, 1, 1, 2)
+    cond = sinks.device_hour_filter("device-001", start, start + dt.timedelta(minutes=59))
+    one = ingest.read_committed(spark, paths, "telemetry_events").filter(cond)
+    assert [r["event_id"][-1] for r in one.collect()] == ["2"]
+    for df in (one, spark.read.parquet(paths.table("telemetry_events")).filter(cond)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "p_hour" in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_broker_options():
+    import pytest
+
+    from fleetlake.sources.topics import topic_options
+
+    assert topic_options("t", "b1:9092,b2:9092") == {"kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "t", "startingOffsets": "earliest"}
+    assert topic_options("heartbeat", "b:9092", "latest")["startingOffsets"] == "latest"
+    with pytest.raises(ValueError, match="bootstrap"):
+        topic_options("t", None)
+
+
+def test_ingest_reaches_the_broker_source(spark, tmp_dir, monkeypatch):
+    """``bootstrap`` gets to the topic reader for every kind, heartbeats from the latest offsets."""
+    seen = []
+
+    def reader(spark, topic, starting="earliest", bootstrap=None, path=None, max_files_per_trigger=None):
+        seen.append((topic, starting, bootstrap))
+        src = os.path.join(tmp_dir, topic)
+        _write_lines(src, "0.json", [])
+        return spark.readStream.format("text").load(src)
+
+    monkeypatch.setattr(ingest, "read_topic_stream", reader)
+    for q in ingest.start_ingest(spark, os.path.join(tmp_dir, "lake"), bootstrap="b:9092", trigger={"availableNow": True}).values():
+        q.awaitTermination()
+    assert seen == [("heartbeat", "latest", "b:9092"), ("telemetry_events", "earliest", "b:9092"), ("blob_index", "earliest", "b:9092")]
+
+
+def test_failed_report_is_a_line_of_its_own(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "reports")
+    monitor.start_periodic_report(spark, lambda s: s.read.parquet(os.path.join(tmp_dir, "none")), path, "", once=True)
+    monitor.start_periodic_report(spark, lambda s: s.range(1).selectExpr("id", "raise_error('late failure') AS x"), path, "", once=True)
+    monitor.start_periodic_report(spark, lambda s: s.range(1).selectExpr("'OK' AS overall_severity"), path, "", once=True)
+    lines = [json.loads(r["value"]) for r in spark.read.text(path).collect()]
+    assert sorted(x["overall_severity"] for x in lines) == ["ERROR", "ERROR", "OK"]
+    assert any("late failure" in x.get("error", "") for x in lines)
 
 
 def test_append_stream_to_catalog_table(spark, tmp_dir):
