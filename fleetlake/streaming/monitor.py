@@ -79,8 +79,8 @@ def report_or_error(spark: SparkSession, build_report: Callable[[SparkSession],
     with severity ERROR and the reason, and the next tick tries again.  A sink
     that cannot be written to still raises."""
     try:
-        lines = build_report(spark).select(F.to_json(F.struct("*")).alias("value")).toLocalIterator()
-        lines = [(r["value"],) for r in lines]  # a report is one row or a few
+        # a report is one row or a few
+        lines = [(r["value"],) for r in build_report(spark).select(F.to_json(F.struct("*")).alias("value")).collect()]
     except Exception as exc:  # noqa: BLE001 - any failure of the check is its result
         reason = f"{type(exc).__name__}: {str(exc)[:2000]}"
         error = spark.range(1).select(
