@@ -193,6 +193,20 @@ def test_mix_matches_a_sequential_mix(spark):
     assert mix.mix(df.limit(0)).collect() == []
 
 
+def test_many_small_sources_share_a_place(spark, monkeypatch):
+    monkeypatch.setattr(mix, "MAX_SOURCES", 4)
+    rows = [(i, "x" * (1000 if i % 7 < 3 else 30), f"s{i % 7}") for i in range(700)]
+    for weights in (None, {f"s{i}": 1.0 for i in range(7)}):
+        got = mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights, block_chars=500, cycle=64).collect()
+        assert collections.Counter((r.doc_id, r.source) for r in got) == collections.Counter((d, s) for d, _, s in rows)
+        by_slot = collections.defaultdict(set)
+        for r in got:
+            by_slot[r.slot].add(r.source)
+        pool = {"s3", "s4", "s5", "s6"}
+        assert all(len(s) == 1 or s <= pool for s in by_slot.values())
+        assert any(len(s & pool) > 1 for s in by_slot.values())
+
+
 def test_registered_mix_matches_a_sequential_mix(spark):
     got = queries.QUERIES["op6_pfair_mix"](spark, "/root/testdata/sf0.001").collect()
     totals = collections.Counter()
