@@ -179,7 +179,11 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
         "minhash-classes",
     )
     entries = classes.select("rep", "n_bytes", F.explode("bands").alias("h"))
-    buckets = entries.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("hub"), F.sum("n_bytes").alias("total")).where("n > 1").drop("n")
+    # written, so that the joins below are between plain shuffles, whose hot keys Spark can split
+    buckets = common.written(
+        entries.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("hub"), F.sum("n_bytes").alias("total")).where("n > 1").drop("n"),
+        "minhash-buckets",
+    )
     members = common.written(entries.join(buckets, "h"), "minhash-members")
     texts = common.written(
         docs.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep", "raw"]),
@@ -192,7 +196,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
     comps = common.written(common.connected_components(links, "minhash-cc"), "minhash-comps")
     # 2. what the hubs left open
     placed = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("h").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("h")
+    mixed = common.written(placed.groupBy("h").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("h"), "minhash-open")
     open_ = placed.join(mixed, "h").withColumn("blocks", F.ceil(F.col("total") / BLOCK_BYTES)).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
     tiles = open_.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "rep",
