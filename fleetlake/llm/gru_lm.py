@@ -15,8 +15,8 @@ share of the tail, so the probabilities of all words add up to one.
   to its last token.
 
 What is gathered from the corpus: the exact counts of all training tokens (a written table, never on
-the driver), from which the ``TABLE`` most frequent words go to the tasks; the words beyond these
-(each at most 1 / TABLE of all tokens, so no join key is hot) take their counts by a join.
+the driver), from which the at most ``TABLE`` most frequent words go to the tasks; the words beyond these
+(each a small share of all tokens, so no join key is hot) take their counts by a join.
 """
 
 from __future__ import annotations
@@ -294,6 +294,23 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return common.written(docs.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent words, by falling count, then word: all whose count lies above a limit, the
+    lowest (of 32 steps per doubling) that leaves at most ``most`` of them.  The driver gets a
+    histogram and at most ``most`` rows, however many tasks there are."""
+    level = F.floor(F.log2(F.col("n").cast("double")) * 32).cast("int")
+    limit, total = None, 0
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        total += r["count"]
+        if total > most:
+            break
+        limit = r["level"]
+    if limit is None:
+        return []
+    rows = counts.where(level >= limit).collect()
+    return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def _train(table: dict[bytes, int], net: Network, flat: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(net, net.unpack(flat))
@@ -342,15 +359,18 @@ def train_round(docs: DataFrame, table: dict[bytes, int], net: Network, flat: np
     return np.concatenate([np.frombuffer(r["values"], np.float32) for r in rows]) if rows else flat
 
 
-def _score(table: dict[bytes, tuple[int, float, float]], net: Network, flat: np.ndarray, end_base: float):
-    """One row per document, and one per document and word that is not in ``table`` (word ->
-    symbol, base log10 probability, log10 share of the tail)."""
+def _score(table: dict[bytes, int], columns: tuple[np.ndarray, np.ndarray, np.ndarray], net: Network, flat: np.ndarray, end_base: float):
+    """One row per document, and one per document and word that is not in ``table``.
+
+    ``table``: word -> place in ``columns`` (symbol, base log10 probability, log10 share of the
+    tail); place 0 stands for every other word."""
     schema = pa.schema(
         [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("times", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = net.unpack(flat)
+        symbol_of, base_of, extra_of = columns
         row = TaskContext.get().partitionId() << 40
         held: list[tuple] = []
         tokens = 0
@@ -368,12 +388,12 @@ def _score(table: dict[bytes, tuple[int, float, float]], net: Network, flat: np.
             of, rare_words, times = [], [], []
             for doc, raw in zip(*common.batches_of(batch, "doc_id", "raw"), strict=True):
                 words = common.lower_words(raw)
-                found = [table.get(w) for w in words]
-                hits = [f for f in found if f is not None]
-                symbols = np.array([TAIL if f is None else f[0] for f in found] + [END], np.int32)
-                held.append((row, doc, len(words) + 1, len(hits), math.fsum(f[1] for f in hits) + end_base, math.fsum(f[2] for f in hits), symbols))
-                if len(hits) < len(words):
-                    rare = Counter(w for w, f in zip(words, found, strict=True) if f is None)
+                found = np.array([table.get(w, 0) for w in words], np.int32)
+                hits = int(np.count_nonzero(found))
+                symbols = np.append(symbol_of[found], np.int32(END))
+                held.append((row, doc, len(words) + 1, hits, float(base_of[found].sum()) + end_base, float(extra_of[found].sum()), symbols))
+                if hits < len(words):
+                    rare = Counter([words[i] for i in np.flatnonzero(found == 0).tolist()])
                     of += [row] * len(rare)
                     rare_words += rare
                     times += rare.values()
@@ -404,8 +424,7 @@ def score_corpus(docs: DataFrame, held_out: Column, rounds: int = ROUNDS, vocab:
     train = docs.where(~F.col("held_out"))
     counts = token_counts(train)
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # a bounded head of the counts: TABLE rows
-    head = [(bytes(r["word"]), r["n"]) for r in counts.where(F.col("word") != F.lit(END_WORD)).orderBy(F.desc("n"), "word").limit(table_size).collect()]
+    head = frequent_words(counts.where(F.col("word") != F.lit(END_WORD)), table_size)
     end_count = (counts.where(F.col("word") == F.lit(END_WORD)).agg(F.sum("n")).first()[0]) or 0
     # an end that no training row has (no training rows at all) is no type
     own = head[: vocab - 2]
@@ -418,10 +437,14 @@ def score_corpus(docs: DataFrame, held_out: Column, rounds: int = ROUNDS, vocab:
     lane = F.pmod(F.xxhash64("doc_id", F.octet_length("raw")), F.lit(rounds))
     for r in range(rounds if total else 0):
         flat = train_round(train.where(lane == r), symbol, net, flat)
-    table = {w: (symbol.get(w, TAIL), math.log10(n + 0.1) - whole, 0.0 if w in symbol else math.log10(n + 0.1) - rest) for w, n in head}
+    table = {w: i + 1 for i, (w, _) in enumerate(head)}
+    logs = np.log10(np.array([n for _, n in head], np.float64) + 0.1)
+    symbols = np.array([TAIL, *(symbol.get(w, TAIL) for w, _ in head)], np.int32)
+    in_tail = np.concatenate([[False], symbols[1:] == TAIL])
+    columns = (symbols, np.concatenate([[0.0], logs - whole]), np.where(in_tail, np.concatenate([[0.0], logs - rest]), 0.0))
     scored = common.written(
         docs.select("doc_id", "raw").mapInArrow(
-            _score(table, net, flat, math.log10(end_count + 0.1) - whole), "row long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, times long"
+            _score(table, columns, net, flat, math.log10(end_count + 0.1) - whole), "row long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, times long"
         ),
         "lm-scored",
     )
