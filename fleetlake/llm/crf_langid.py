@@ -16,6 +16,7 @@ Prediction: every row, whole texts, in one narrow pass.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm import common
 
 FIT_DOCS, FIT_TEXT_BYTES, MAX_LANGS = 2400, 16 << 10, 128
-BUCKETS = 1 << 16
+BUCKETS = 1 << 16  # what 16 bits hold
 ORDERS = (1, 2, 3, 4)
 LEXICON_COUNT = 4
 UNKNOWN = "und"
@@ -68,14 +69,16 @@ class WordFeatures:
             first = self.starts + (order == 1)
             self.orders.append((h & np.uint32(BUCKETS - 1), first, count))
 
-    def each(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(bucket of every gram, word of every gram) per order."""
+    def by_word(self) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket of every gram, word after word; where each word's grams start, and their end)."""
+        starts = np.concatenate([[0], np.cumsum(sum((count for _, _, count in self.orders), np.zeros(self.n, np.int64)))])
+        out = np.empty(int(starts[-1]), np.uint16)
+        filled = starts[:-1].copy()
         for h, first, count in self.orders:
-            total = int(count.sum())
-            if total:
-                owner = np.repeat(np.arange(self.n), count)
-                within = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
-                yield h[np.repeat(first, count) + within], owner
+            within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            out[np.repeat(filled, count) + within] = h[np.repeat(first, count) + within]
+            filled += count
+        return out, starts
 
 
 @dataclass
@@ -176,15 +179,9 @@ def fit(texts: list[bytes], labels: list[str], rounds: int = 2, seed: int = 5, l
     if k < 2 or not runs:
         return model
     model.moves += np.eye(k) * 2
-    # per word: its grams once, as (bucket, word) pairs sorted by word
     features = WordFeatures(vocabulary)
     scale = 1 / np.sqrt(np.maximum(features.lens, 1))
-    pairs = list(features.each())
-    bucket = np.concatenate([b for b, _ in pairs]).astype(np.int64)
-    owner = np.concatenate([o for _, o in pairs])
-    order = np.argsort(owner, kind="stable")
-    bucket, owner = bucket[order], owner[order]
-    first = np.searchsorted(owner, np.arange(len(vocabulary) + 1))
+    bucket, first = features.by_word()
     lex_at, lex_in = model.lookup(vocabulary)
     sums = {"grams": np.full_like(model.grams, 1e-2), "lexical": np.full_like(model.lexical, 1e-2), "moves": np.full_like(model.moves, 1e-2)}
     for _ in range(rounds):
@@ -271,15 +268,22 @@ def fit_on(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
     each = max(1, fit_docs // len(counts))
     share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(1.3 * each / r["count"])) for r in counts], F.lit(0.0))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(chance < share).orderBy(chance / share, "doc_id", "raw").limit(2 * fit_docs).select("raw", "lang").toArrow()
-    kept: Counter = Counter()
-    raws, langs = [], []
-    for raw, lang in zip(sample["raw"].to_pylist(), sample["lang"].to_pylist(), strict=True):
-        if kept[lang] < each:
-            kept[lang] += 1
-            raws.append(raw)
-            langs.append(lang)
-    return fit(raws, langs)
+    sample = rows.where(chance < share).orderBy(chance / share, "doc_id", "raw").limit(2 * fit_docs).select("raw", "lang")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: Counter = Counter()
+        raws, langs = [], []
+        for batch in batches:
+            for raw, lang in zip(*common.batches_of(batch, "raw", "lang"), strict=True):
+                if kept[lang] < each:
+                    kept[lang] += 1
+                    raws.append(raw)
+                    langs.append(lang)
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(raws, langs))], pa.binary())})
+
+    # the sample is bounded, so one task fits it; the driver gets the model alone
+    common.configure(labelled.sparkSession)
+    return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])  # noqa: S301 - made by the line above
 
 
 def label_documents(docs: DataFrame, model: Model) -> DataFrame:
