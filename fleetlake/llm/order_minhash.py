@@ -125,9 +125,10 @@ def likeness(a: Column, b: Column, tuples: int = TUPLES) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(equal / F.lit(float(tuples)))
 
 
-def with_next(docs: DataFrame, *columns: str) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with ``next_<column>`` of the next row in descending doc_id
-    order (equal ids by text, null ids last); after the last row comes the first again.
+def with_next(docs: DataFrame, derived: dict[str, Column], *columns: str) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with the columns ``derived`` and with ``next_<column>`` of the
+    next row in descending doc_id order (equal ids by text, null ids last); after the last row comes
+    the first again.  ``derived`` is computed once per row, and for the copied rows below.
 
     Rows are dealt to ranges of doc_id between quantiles; the last row of each range is copied to
     the following one, so every range is complete by itself and no global sort is needed.  The
@@ -149,7 +150,7 @@ def with_next(docs: DataFrame, *columns: str) -> DataFrame:
         .withColumnRenamed("to", "range")
         .withColumn("copied", F.lit(True))
     )
-    both = dealt.withColumn("copied", F.lit(False)).unionByName(copied)
+    both = dealt.withColumn("copied", F.lit(False)).unionByName(copied).withColumns(derived)
     order = Window.partitionBy("range").orderBy(F.col("copied").desc(), F.col("doc_id").asc_nulls_first(), F.col("text"))
     return both.select("*", *[F.lag(c).over(order).alias(f"next_{c}") for c in columns]).where(~F.col("copied")).drop("range", "copied")
 
@@ -163,7 +164,7 @@ def fingerprint_edits(docs: DataFrame, width: int = WIDTH, tuples: int = TUPLES)
     """
     common.configure(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("f", sketch(F.col("text"), width, tuples)), "text", "f")
+    rows = with_next(rows, {"f": sketch(F.col("text"), width, tuples)}, "text", "f")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)))
