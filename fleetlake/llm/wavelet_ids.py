@@ -35,12 +35,21 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm import common
 
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 4 << 20
 BLOCK = 1024
+PIECE = 1 << 14
 MAX_READ_TASKS = 20_000
 MAGIC = b"WMX1"
 
 
+def pieces(ones: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(start, places of zeros, places of ones) of consecutive pieces of a plane that fit the
+    processor's cache."""
+    for a in range(0, len(ones), PIECE):
+        piece = ones[a : a + PIECE]
+        yield a, np.flatnonzero(~piece), np.flatnonzero(piece)
+
+
 class WaveletMatrix:
     """A sequence of unsigned ids as bit planes with rank directories."""
 
@@ -57,9 +66,16 @@ class WaveletMatrix:
             packed = np.packbits(ones)
             planes.append(packed)
             blocks.append(cls.directory(packed))
-            below = np.flatnonzero(~ones)
-            zeros.append(len(below))
-            cur = np.concatenate([cur.take(below), cur.take(np.flatnonzero(ones))])
+            low = len(cur) - int(np.count_nonzero(ones))
+            zeros.append(low)
+            out, high = np.empty_like(cur), low
+            low = 0
+            for a, zero, one in pieces(ones):
+                piece = cur[a : a + PIECE]
+                out[low : low + len(zero)] = piece.take(zero)
+                out[high : high + len(one)] = piece.take(one)
+                low, high = low + len(zero), high + len(one)
+            cur = out
         return cls(len(ids), planes, blocks, zeros)
 
     @staticmethod
@@ -135,8 +151,13 @@ class WaveletMatrix:
         for k in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[k], count=self.length).view(bool)
             prev = np.empty(self.length, kind)
-            prev[np.flatnonzero(~ones)] = cur[: self.zeros[k]]
-            prev[np.flatnonzero(ones)] = cur[self.zeros[k] :] | kind(1 << (len(self.planes) - 1 - k))
+            bit = kind(1 << (len(self.planes) - 1 - k))
+            low, high = 0, self.zeros[k]
+            for a, zero, one in pieces(ones):
+                piece = prev[a : a + PIECE]
+                piece[zero] = cur[low : low + len(zero)]
+                piece[one] = cur[high : high + len(one)] | bit
+                low, high = low + len(zero), high + len(one)
             cur = prev
         return cur
 
@@ -202,7 +223,7 @@ class CachedEncoder:
     """
 
     #: Words held (about 200 bytes each); all are dropped when there are more.
-    limit = 1_200_000
+    limit = 1_600_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
