@@ -150,10 +150,22 @@ class Transducer:
         by = np.argsort(keys)
         self.join_keys = keys[by]
         self.join_ranks = np.array([self.rank_of[m.pieces[i]] for _, _, i in joins], np.int64)[by]
+        self.join_bits = np.zeros(1 << 21, bool)
+        self.join_bits[((self.join_keys >> 20) * 40503 + (self.join_keys & 0xFFFFF) * 7919) & 0x1FFFFF] = True
         self.pairs_seen: dict[tuple[int, int], bool] = {}
         chars = sorted({c for p in held for c in p})
         self.code = {c: i + 1 for i, c in enumerate(chars)}
-        self.inside = {p[c : c + 2] for p in held for c in range(len(p) - 1)}
+        self.code_of = np.zeros(0x110000, np.uint32)
+        self.code_of[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        # which characters some piece holds side by side; number 0 stands for all other characters
+        pairs = {p[c : c + 2] for p in held for c in range(len(p) - 1)}
+        inner = {c: i + 1 for i, c in enumerate(sorted({c for pair in pairs for c in pair}))}
+        self.inner_of = np.zeros(0x110000, np.uint16)
+        self.inner_of[[ord(c) for c in inner]] = list(inner.values())
+        self.inside = np.zeros((len(inner) + 1, len(inner) + 1), bool)
+        for x, y in pairs:
+            self.inside[inner[x], inner[y]] = True
+        self.feed_alone = not any("\n" in pair for pair in pairs) and not any(pair[1] == SPACE and pair[0] != SPACE for pair in pairs)
         self.longest = max(map(len, held), default=1)
         # substring hashes: polynomial over character codes modulo 2**64
         self.base = np.uint64(0x9E3779B97F4A7C15)
@@ -167,7 +179,8 @@ class Transducer:
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
         self.weight = -np.array(m.scores)
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  # words
+        self.held: dict[str, bytes] = {}  # segments
         self.surface = [self._surface(i) for i in range(n)]
 
     def _merge(self, text: str) -> list[str]:
@@ -217,10 +230,12 @@ class Transducer:
         x, y = a[at].astype(np.int64), b[at].astype(np.int64)
         limit = np.full(len(at), NONE)
         while len(at):
-            keys = x << 20 | y
+            # most pairs have no merge at all; a table of hash bits tells them at once
+            maybe = np.flatnonzero(self.join_bits[(x * 40503 + y * 7919) & 0x1FFFFF])
+            keys = x[maybe] << 20 | y[maybe]
             place = np.minimum(np.searchsorted(self.join_keys, keys), len(self.join_keys) - 1)
-            joined = self.join_keys[place] == keys
-            bad = joined & (self.join_ranks[place] < limit)
+            bad = np.zeros(len(at), bool)
+            bad[maybe] = (self.join_keys[place] == keys) & (self.join_ranks[place] < limit[maybe])
             ok[at[bad]] = False
             rx, ry = self.rank[x], self.rank[y]
             go = ~bad & ((rx >= 0) | (ry >= 0))
@@ -244,78 +259,97 @@ class Transducer:
             out[some[hit]] = self.ids[at[hit]]
         return out
 
-    def shortest_paths(self, segments: list[str]) -> list[np.ndarray]:
-        """Piece ids of each segment (all its characters have a code)."""
-        out: list = [None] * len(segments)
+    def shortest_paths(self, segments: list[str]) -> list[bytes]:
+        """Piece ids of each segment (all its characters have a code), as bytes of ``dtype``."""
+        out: list = [b""] * len(segments)
         by_length: dict[int, list[int]] = {}
         for i, s in enumerate(segments):
             by_length.setdefault(len(s), []).append(i)
-        bpe = self.model.algorithm == BPE
         for length, members in by_length.items():
-            for a in range(0, len(members), 1 << 16):
-                rows = members[a : a + (1 << 16)]
-                codes = np.array([[self.code[c] for c in segments[i]] for i in rows], np.uint64).reshape(len(rows), length)
-                prefix = np.zeros((length + 1, len(rows)), np.uint64)
-                for e in range(length):
-                    prefix[e + 1] = prefix[e] * self.base + codes[:, e]
-                last = np.full((length + 1, len(rows)), -1, np.int64)
-                back = np.zeros((length + 1, len(rows)), np.int64)
-                cost = np.full((length + 1, len(rows)), np.inf)
-                cost[0] = 0
-                for e in range(1, length + 1):
-                    open_ = np.arange(len(rows))
-                    for l in range(min(e, self.longest), 0, -1):
-                        s = e - l
-                        piece = self._lookup(prefix[e, open_] - prefix[s, open_] * self.powers[l])
-                        ok = (piece >= 0) & np.isfinite(cost[s, open_])
-                        if bpe and s:
-                            some = np.flatnonzero(ok)
-                            ok[some] = self.fits(last[s, open_[some]], piece[some])
-                        who = open_[ok]
-                        if len(who):
-                            new = cost[s, who] + self.weight[piece[ok]]
-                            better = new < cost[e, who]
-                            if bpe:
-                                better[:] = True
-                            who, taken = who[better], piece[ok][better]
-                            cost[e, who], last[e, who], back[e, who] = new[better], taken, l
-                        if bpe:
-                            # the only finite path to this place has been found
-                            open_ = open_[~ok]
-                            if not len(open_):
-                                break
-                ends = np.full(len(rows), length)
-                paths: list[list[int]] = [[] for _ in rows]
-                alive = np.arange(len(rows))
+            for a in range(0, len(members), 1 << 15):
+                rows = members[a : a + (1 << 15)]
+                points = np.frombuffer("".join([segments[i] for i in rows]).encode("utf-32-le"), np.uint32)
+                last, back = self._search(self.code_of[points].astype(np.uint64).reshape(len(rows), length).T)
+                # the paths, from their ends
+                most = length
+                ids = np.zeros((len(rows), most), self.dtype)
+                ends, used, alive = np.full(len(rows), length), np.zeros(len(rows), np.int64), np.arange(len(rows))
                 while len(alive):
-                    lasts = last[ends[alive], alive]
-                    for r, p in zip(alive.tolist(), lasts.tolist(), strict=True):
-                        paths[r].append(p)
-                    ends[alive] -= back[ends[alive], alive]
+                    at = ends[alive]
+                    used[alive] += 1
+                    ids[alive, most - used[alive]] = last[at, alive]
+                    ends[alive] = at - back[at, alive]
                     alive = alive[ends[alive] > 0]
-                for r, i in enumerate(rows):
-                    out[i] = np.array(paths[r][::-1], self.dtype)
+                raw, width = ids.tobytes(), ids.itemsize
+                for r, (i, n) in enumerate(zip(rows, used.tolist(), strict=True)):
+                    out[i] = raw[((r + 1) * most - n) * width : (r + 1) * most * width]
         return out
 
+    def _search(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For equally long segments (position x segment): the last piece of the shortest path to
+        each position, and its length."""
+        length, n = codes.shape
+        bpe = self.model.algorithm == BPE
+        prefix = np.zeros((length + 1, n), np.uint64)
+        for e in range(length):
+            prefix[e + 1] = prefix[e] * self.base + codes[e]
+        last = np.full((length + 1, n), -1, np.int64)
+        back = np.zeros((length + 1, n), np.int64)
+        cost = np.full((length + 1, n), np.inf)
+        cost[0] = 0
+        for e in range(1, length + 1):
+            open_ = np.arange(n)
+            for l in range(min(e, self.longest), 0, -1):
+                s = e - l
+                piece = self._lookup(prefix[e, open_] - prefix[s, open_] * self.powers[l])
+                some = np.flatnonzero(piece >= 0)
+                if not len(some):
+                    continue
+                who, piece = open_[some], piece[some]
+                ok = np.isfinite(cost[s, who])
+                if bpe and s:
+                    ok[ok] = self.fits(last[s, who[ok]], piece[ok])
+                new = cost[s, who] + self.weight[piece]
+                ok &= new < cost[e, who]
+                cost[e, who[ok]], last[e, who[ok]], back[e, who[ok]] = new[ok], piece[ok], l
+                if bpe and ok.any():
+                    # the only finite path to this place has been found
+                    done = np.zeros(len(open_), bool)
+                    done[some[ok]] = True
+                    open_ = open_[~done]
+                    if not len(open_):
+                        break
+        return last, back
+
     def _encode_units(self, units: list[str]) -> list[bytes]:
         """Ids of normalised texts, as bytes: cut where no path can cross, then searched together."""
-        plan: list[list] = []
-        segments: dict[str, int] = {}
-        for unit in units:
-            row: list = []
-            start = 0
-            for i in range(1, len(unit) + 1):
-                if i == len(unit) or unit[i - 1 : i + 1] not in self.inside:
-                    seg = unit[start:i]
-                    start = i
-                    if seg in self.code or len(seg) > 1:
-                        row.append(segments.setdefault(seg, len(segments)))
-                    else:
-                        raw = seg.encode("utf-8", "surrogatepass")
-                        row.append(np.array([self.bytes.get(b, self.unknown) for b in raw] if self.bytes else [self.unknown], self.dtype).tobytes())
-            plan.append(row)
-        found = [x.tobytes() for x in self.shortest_paths(list(segments))]
-        return [b"".join(x if isinstance(x, bytes) else found[x] for x in row) for row in plan]
+        if not units:
+            return []
+        joined = "".join(units)
+        ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        inner = self.inner_of[points]
+        cut = ~self.inside[inner[:-1], inner[1:]] if len(points) > 1 else np.zeros(0, bool)
+        cut = np.concatenate([[True], cut])[: len(points)]
+        cut[ends[ends < len(points)]] = True
+        starts = np.flatnonzero(cut)
+        bounds = [*starts.tolist(), len(points)]
+        segments = [joined[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        held = self.held
+        if len(held) > self.cache_words:
+            held.clear()
+        new = list(dict.fromkeys([s for s in segments if s not in held]))
+        coded = []
+        for s in new:
+            if len(s) > 1 or s in self.code:
+                coded.append(s)
+            else:
+                raw = s.encode("utf-8", "surrogatepass")
+                held[s] = np.array([self.bytes.get(b, self.unknown) for b in raw] if self.bytes else [self.unknown], self.dtype).tobytes()
+        held.update(zip(coded, self.shortest_paths(coded), strict=True))
+        found = [held[s] for s in segments]
+        last = np.searchsorted(starts, ends).tolist()
+        return [b"".join(found[a:b]) for a, b in zip([0, *last[:-1]], last, strict=True)]
 
     def normalise(self, text: str) -> str:
         """The normaliser's output for a whole text."""
@@ -335,14 +369,13 @@ class Transducer:
         parts_of: list[list[str] | None] = []
         new: dict[str, None] = {}
         whole: list[str] = []
-        feed_alone = not any("\n" in pair for pair in self.inside) and not any(pair[1] == SPACE and pair[0] != SPACE for pair in self.inside)
         if len(self.cache) > self.cache_words:
             self.cache.clear()
         for text in texts:
             parts = None
             if self.model.squeeze:
                 text = " ".join(x for x in text.split(" ") if x)
-            if text and feed_alone and self.model.dummy_prefix and SPACE not in text:
+            if text and self.feed_alone and self.model.dummy_prefix and SPACE not in text:
                 parts = text.replace("\n", " \n").split(" ")
                 if "" in parts or parts[0][0] == "\n":
                     parts = None
