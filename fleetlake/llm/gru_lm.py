@@ -147,15 +147,18 @@ def output(p: dict, net: Network, h: np.ndarray, y: np.ndarray, grads: dict | No
     by = some[np.argsort(cls[some], kind="stable")]
     ends = np.searchsorted(cls[by], np.arange(net.classes + 1))
     hs, ms = h1[by], net.member_of[y[by]]
+    logs, dhs = np.empty(len(by), h.dtype), np.empty((len(by), h.shape[1]), h.dtype)
     for c in range(1, net.classes):
         a, b = ends[c], ends[c + 1]
         if a == b:
             continue
-        logs, d = softmax_rows(hs[a:b], p["to_member"][c], ms[a:b], grads is not None)
-        out[by[a:b]] += logs
+        logs[a:b], d = softmax_rows(hs[a:b], p["to_member"][c], ms[a:b], grads is not None)
         if grads is not None:
             grads["to_member"][c] += hs[a:b].T @ d
-            dh[by[a:b]] += d @ p["to_member"][c][:-1].T
+            np.matmul(d, p["to_member"][c][:-1].T, out=dhs[a:b])
+    out[by] += logs
+    if grads is not None:
+        dh[by] += dhs
     return out, dh
 
 
@@ -172,26 +175,31 @@ def window_gradient(p: dict, net: Network, h: np.ndarray, xs: np.ndarray, ys: np
     grads = {k: np.zeros_like(p[k]) for k in net.shapes if k != "inputs"}
     logs, dout = output(p, net, np.concatenate(states), ys.ravel(), grads)
     dout = dout.reshape(len(xs), -1, hidden)
+    # what the derivatives need of the forward values, for all steps at once
+    h0, z, r, s, c = (np.stack(x) for x in zip(*saved, strict=True))
+    to_fresh, to_z, to_r, keep = z * (1 - c * c), (c - h0) * z * (1 - z), h0 * r * (1 - r), 1 - z
+    alive = (xs != END)[:, :, None].astype(h.dtype)
     dg = np.empty((len(xs), h.shape[0], 3 * hidden), h.dtype)
     dh = np.zeros_like(h)
+    fresh_t, gates_t = p["fresh"].T.copy(), p["gates"].T.copy()
     for t in range(len(xs) - 1, -1, -1):
-        h0, z, r, s, c = saved[t]
-        dh = dh + dout[t]
-        dc = dh * z * (1 - c * c)
-        dz = dh * (c - h0) * z * (1 - z)
-        ds = dc @ p["fresh"].T
-        dr = ds * h0 * r * (1 - r)
-        dzr = np.concatenate([dz, dr], axis=1)
-        grads["fresh"] += s.T @ dc
-        grads["gates"] += h0.T @ dzr
-        dg[t, :, : 2 * hidden] = dzr
+        dh += dout[t]
+        dc = dh * to_fresh[t]
+        ds = dc @ fresh_t
+        dg[t, :, :hidden] = dh * to_z[t]
+        dg[t, :, hidden : 2 * hidden] = ds * to_r[t]
         dg[t, :, 2 * hidden :] = dc
-        dh = dh * (1 - z) + ds * r + dzr @ p["gates"].T
-        dh[xs[t] == END] = 0
+        dh = dh * keep[t]
+        dh += ds * r[t]
+        dh += dg[t, :, : 2 * hidden] @ gates_t
+        dh *= alive[t]
+    every = dg.reshape(-1, 3 * hidden)
+    grads["fresh"] = s.reshape(-1, hidden).T @ every[:, 2 * hidden :]
+    grads["gates"] = h0.reshape(-1, hidden).T @ every[:, : 2 * hidden]
     flat = xs.ravel()
     by = np.argsort(flat, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], flat[by][1:] != flat[by][:-1]]))
-    return -float(logs.sum()), h, grads, flat[by][first], np.add.reduceat(dg.reshape(-1, 3 * hidden)[by], first, axis=0)
+    return -float(logs.sum()), h, grads, flat[by][first], np.add.reduceat(every[by], first, axis=0)
 
 
 class Trainer:
