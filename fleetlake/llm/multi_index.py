@@ -196,7 +196,9 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, target_r
         good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")).select("rep", "weight", "embedding"), "multi-index-classes"
     )
     count = classes.count()
-    sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(FIT_ROWS).select("embedding").toArrow()
+    # about FIT_ROWS rows by their hash, so that no more than these leave the tasks
+    chance = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) / float(1 << 30)
+    sample = classes.where(chance < 1.1 * FIT_ROWS / count).orderBy(chance, "rep").limit(FIT_ROWS).select("embedding").toArrow()
     x = _unit(sample.column("embedding"), dim)
     half = max(1, dim // 2)
     size = min(MAX_CENTROIDS, max(1, round(math.sqrt(count / PER_CELL))))
