@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from fleetlake import sinks
 from fleetlake.operators import drift
-from fleetlake.plans.queries_linkage import NOW_D, fixture_now
 from fleetlake.plans.registry import register
 from fleetlake.sources.fixtures import Fixture, duckdb_with
 
