@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm import common
+from fleetlake.llm.words import COMMON
 
 #: log10 guesses from which a value in a credential context counts as a secret.
 THRESHOLD = 7.5
@@ -31,11 +32,13 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)([\"']?\x20*[:=]\x2
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
+#: Up to the first character of the value.
 CONTEXT = re.compile(
-    r"(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|authorization|api[_-]?key|(?:access|private|secret|client)[_-](?:key|secret|token))"
-    r"[\"']?(?:\x20{0,3}[:=]\x20{0,3}|\x20(?:is|was)\x20|\x20)(?:bearer\x20)?[\"']?([!-~]{6,})",
+    r"(?:password|passwd|secret|token|api[\x20_-]?key|(?<![A-Za-z0-9])(?:pass(?:phrase|code)?|pwd|credentials?|bearer|authorization|(?:access|private|secret|client)[\x20_-](?:key|secret|token)))"
+    r"[\"']?(?:(?:[\x20\t]++(?:is|was))?[\x20\t]*+[:=][\x20\t]*+|[\x20\t]++(?:(?:is|was)[\x20\t]++)?)(?:bearer[\x20\t]++)?[\"']?(?=[!-~]{6})",
     re.IGNORECASE | re.ASCII,
 )
+VALUE = re.compile(r"[!-~]+")
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "credential", "bearer", "authorization", "key")
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 SHIFTED = dict(zip('~!@#$%^&*()_+{}|:"<>?', "`1234567890-=[]\\;',./", strict=True))
@@ -69,8 +72,8 @@ def _places() -> dict[str, tuple[int, float]]:
 
 
 PLACES = _places()
-RANKS = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-LONGEST_WORD = max(map(len, WORDS))
+RANKS = {w: i + 1 for i, w in reversed(list(enumerate([*WORDS, *COMMON])))}
+LONGEST_WORD = max(map(len, RANKS))
 
 
 def brute_force(c: str) -> float:
@@ -186,10 +189,15 @@ def findings(text: str | None, threshold: float = THRESHOLD) -> list[tuple[str,
     out += [("access", m.start(), m.end(), m.start(), m.end()) for m in ACCESS.finditer(text)]
     out += [("hex", m.start(), m.end(), m.start(), m.end()) for m in HEX.finditer(text)]
     if any(w in low for w in CONTEXT_WORDS):
-        for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".,;:!?)]}>\"'")
-            if len(value) >= 6 and guess_cost(value, threshold) >= threshold and not (value.isalpha() and value[1:].islower()):
-                out.append(("guess", m.start(1), m.start(1) + len(value), m.start(1), m.start(1) + len(value)))
+        m = CONTEXT.search(text)
+        while m:
+            start = at = m.end()
+            value = VALUE.match(text, start)[0].rstrip(".,;:!?)]}>\"'")
+            if len(value) >= 6 and guess_cost(value, threshold) >= threshold:
+                at = start + len(value)
+                out.append(("guess", start, at, start, at))
+            # a value that is no secret may be the keyword of the next context
+            m = CONTEXT.search(text, at)
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

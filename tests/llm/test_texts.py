@@ -103,6 +103,22 @@ def test_guess_spans_and_redaction(spark):
     assert [r.text for r in rows[1:]] == [None, "clean", "clean"]
 
 
+def test_contexts_are_as_wide_as_the_fixed_patterns():
+    value = "Zx9$k2Lq!v"
+    for before in ("the password is: ", "the secret was: ", "password:" + " " * 6, "password:\t", "API key: ", "secret token: ", "dbPassword = ", "token   is "):
+        assert ("guess", value) in [(k, (before + value)[a:b]) for k, _, _, a, b in gc.findings(before + value + " end")], before
+        assert value not in gc.redact(before + value + " end")
+    assert gc.redact("passphrase: qwzxkvjhpl, and") == "passphrase: [secret], and"  # letters alone, too
+    for plain in ("the password protects everything", "secret ingredients", "the bearer: information", "the secret token is nothing"):
+        assert gc.redact(plain) == plain
+
+
+def test_many_contexts_stay_linear():
+    assert len(gc.findings("password=" * 50000)) == 2
+    assert gc.findings("password" + " " * 200000) == []
+    assert gc.findings("secret token: " * 2000) == []
+
+
 def test_long_values_stay_linear():
     assert gc.guess_cost("a" * 20000) > 0
     assert len(gc.findings("password=" + "Zq7" * 50000)) == 2
