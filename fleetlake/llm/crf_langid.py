@@ -16,6 +16,7 @@ Prediction: every row, whole texts, in one narrow pass.
 
 from __future__ import annotations
 
+import math
 import pickle
 import re
 import zlib
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm import common
 
 FIT_DOCS, FIT_TEXT_BYTES, MAX_LANGS = 2400, 16 << 10, 128
+CALIBRATION_DOCS, NOISE_TEXTS, NOISE_WORDS = 400, 200, 50
 BUCKETS = 1 << 16  # what 16 bits hold
 ORDERS = (1, 2, 3, 4)
 LEXICON_COUNT = 4
@@ -89,6 +91,8 @@ class Model:
     lexical: np.ndarray  # words of the lexicon x langs
     moves: np.ndarray  # langs x langs, log weights
     begin: np.ndarray
+    floor: float = 0.0  # certainty below which a text has no language
+    clear: float = math.inf  # score from which the prediction outweighs a given label
 
     def emissions(self, words: list[bytes], features: WordFeatures | None = None) -> np.ndarray:
         """log weight of each label for each word; words without a letter say nothing."""
@@ -225,11 +229,18 @@ def fit(texts: list[bytes], labels: list[str], rounds: int = 2, seed: int = 5, l
 
 def predict(model: Model, raws: list[bytes]) -> tuple[list[str], list[float]]:
     """(language, mean posterior) of each text."""
-    langs, scores = [UNKNOWN] * len(raws), [0.0] * len(raws)
+    langs, scores, _ = judge(model, raws)
+    return langs, scores
+
+
+def judge(model: Model, raws: list[bytes]) -> tuple[list[str], list[float], list[float]]:
+    """(language, mean posterior, certainty) of each text; the certainty is the mean over the words
+    of their own best label's posterior, so a text that mixes languages is certain, noise is not."""
+    langs, scores, sure = [UNKNOWN] * len(raws), [0.0] * len(raws), [0.0] * len(raws)
     index: dict[bytes, int] = {}
     docs = [(i, np.array([index.setdefault(w, len(index)) for w in common.lower_words(raw)], np.int64)) for i, raw in enumerate(raws) if has_letter(raw)]
     if not docs or not model.langs:
-        return langs, scores
+        return langs, scores, sure
     words = list(index)
     emit = model.emissions(words)
     lettered = np.fromiter((w.isalpha() or has_letter(w) for w in words), bool, len(words))
@@ -250,16 +261,41 @@ def predict(model: Model, raws: list[bytes]) -> tuple[list[str], list[float]]:
         post, _ = forward_backward(np.where((grid >= 0)[:, :, None], emit[grid], 0).astype(np.float32), lens, model.moves, model.begin, count_moves=False)
         heard = (grid >= 0) & lettered[grid]
         mean = (post * heard[:, :, None]).sum(axis=0) / np.maximum(heard.sum(axis=0), 1)[:, None]
+        own = (post.max(axis=2) * heard).sum(axis=0) / np.maximum(heard.sum(axis=0), 1)
         for c, (i, _) in enumerate(block):
             best = int(mean[c].argmax())
-            langs[i], scores[i] = model.langs[best], float(min(1.0, mean[c, best]))
+            langs[i], scores[i], sure[i] = model.langs[best], float(min(1.0, mean[c, best])), float(min(1.0, own[c]))
         at = end
-    return langs, scores
+    return langs, scores, sure
+
 
+def calibrate(model: Model, raws: list[bytes], labels: list[str], seed: int = 7) -> None:
+    """Set ``floor`` and ``clear`` from labelled texts and from noise of their letters.
 
-def fit_on(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
+    ``floor`` is half-way between the certainty that 95 % of the noise texts (random letters of the
+    texts' alphabet, in words of 2 to 9) stay below and that which 99 % of the texts reach, and never
+    above the latter.  ``clear`` is the score
+    that 95 % of the texts reach, but at least 0.8; no score is clear if the predictions for any
+    given language's texts agree with less than 90 % of their labels."""
+    texts = [(raw, lang) for raw, lang in zip(raws, labels, strict=True) if has_letter(raw)]
+    if len(model.langs) < 2 or not texts:
+        return
+    rng = np.random.default_rng(seed)
+    letters = sorted({c for raw, _ in texts for c in raw[:2000].decode("utf-8", "ignore").lower() if c.isalpha()})
+    noise = [" ".join("".join(rng.choice(letters, int(rng.integers(2, 10)))) for _ in range(NOISE_WORDS)).encode() for _ in range(NOISE_TEXTS)]
+    _, _, below = judge(model, noise)
+    langs, scores, sure = judge(model, [raw for raw, _ in texts])
+    reached = np.quantile(sure, 0.01)
+    model.floor = float(min(reached, (np.quantile(below, 0.95) + reached) / 2))
+    given, agreed = Counter(lang for _, lang in texts), Counter(lang for (_, lang), pred in zip(texts, langs, strict=True) if lang == pred)
+    if all(agreed[lang] >= 0.9 * n for lang, n in given.items()):
+        model.clear = float(max(0.8, np.quantile(scores, 0.05)))
+
+
+def fit_on(labelled: DataFrame, fit_docs: int = FIT_DOCS, calibrated: bool = False) -> Model:
     """A model of a bounded sample of ``labelled`` (doc_id, text, lang); rows with a null text or
-    lang teach nothing.  No such row: a model without languages."""
+    lang teach nothing.  No such row: a model without languages.  ``calibrated``: with ``floor`` and
+    ``clear`` from the rows of the sample that are not fitted, or the fitted ones if there are few."""
     rows = labelled.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("lang").cast("string").alias("lang"), common.text_bytes().alias("raw"), F.col("text").isNotNull().alias("has"))
     rows = rows.where(F.col("has") & F.col("lang").isNotNull() & (F.octet_length("raw") <= FIT_TEXT_BYTES))
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
@@ -272,36 +308,48 @@ def fit_on(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: Counter = Counter()
-        raws, langs = [], []
+        raws, langs, spare, spare_langs = [], [], [], []
         for batch in batches:
             for raw, lang in zip(*common.batches_of(batch, "raw", "lang"), strict=True):
                 if kept[lang] < each:
                     kept[lang] += 1
                     raws.append(raw)
                     langs.append(lang)
-        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(raws, langs))], pa.binary())})
+                elif len(spare) < CALIBRATION_DOCS:
+                    spare.append(raw)
+                    spare_langs.append(lang)
+        model = fit(raws, langs)
+        if calibrated:
+            few = len(spare) < CALIBRATION_DOCS // 4
+            calibrate(model, *((raws[:CALIBRATION_DOCS], langs[:CALIBRATION_DOCS]) if few else (spare, spare_langs)))
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     # the sample is bounded, so one task fits it; the driver gets the model alone
     common.configure(labelled.sparkSession)
     return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])  # noqa: S301 - made by the line above
 
 
-def label_documents(docs: DataFrame, model: Model) -> DataFrame:
+def label_documents(docs: DataFrame, model: Model, known: bool = False) -> DataFrame:
     """``docs`` with lang_pred and lang_score (columns of these names are replaced).  Null texts and
     texts without a letter: ``und``, 0.  Only ``text`` is read; every other column passes through,
-    row by row, repeated rows too."""
+    row by row, repeated rows too.  ``known``: also lang_known, whether the text has a letter and
+    the model, if it has languages, is at least ``floor`` certain of its words."""
     spark = docs.sparkSession
-    docs = docs.drop("lang_pred", "lang_score")
+    names = ["lang_pred", "lang_score", *["lang_known"] * known]
+    docs = docs.drop(*names)
     common.configure(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
-            langs, scores = predict(shared.value, common.batches_of(batch, "raw")[0])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("row")), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["row", "lang_pred", "lang_score"]
-            )
+            (raws,) = common.batches_of(batch, "raw")
+            langs, scores, sure = judge(model, raws)
+            columns = [batch.column(batch.schema.get_field_index("row")), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            if known:
+                columns.append(pa.array([has_letter(raw) and (not model.langs or c >= model.floor) for raw, c in zip(raws, sure, strict=True)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=["row", *names])
 
     packed = docs.select(F.struct(*docs.columns).alias("row"), common.text_bytes().alias("raw"))
     kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(run, f"row {kind}, lang_pred string, lang_score double").select("row.*", "lang_pred", "lang_score")
+    return packed.mapInArrow(run, f"row {kind}, lang_pred string, lang_score double" + ", lang_known boolean" * known).select("row.*", *names)
