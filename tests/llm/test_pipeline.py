@@ -129,6 +129,22 @@ def test_token_stage(steps):
     assert all(r["n_tokens"] == len(r["input_ids"]) for r in after)
 
 
+def test_token_stage_keeps_the_order_of_the_mix(spark):
+    docs = spark.createDataFrame([(i, "some words " * (i * 7 % 90 + 1), "en", f"s{i % 5}", 1) for i in range(500)], "doc_id long, text string, lang string, source string, n_chars long")
+    for parts in (1, 12):
+        before, again = written(docs.repartition(parts, "doc_id"))
+        assert len(again.inputFiles()) == parts
+        got = sorted((r.position, r.doc_id) for r in stages.tokenize(spark, again, SF).collect())
+        assert got == [(i, r["doc_id"]) for i, r in enumerate(before)]
+    assert sorted(r.position for r in stages.tokenize(spark, docs, SF).collect()) == list(range(500))
+
+
+def test_positions_of_the_run_are_the_mix(steps):
+    before, after = steps["tokenize"]
+    assert sorted(r["position"] for r in after) == list(range(len(before)))
+    assert [r["doc_id"] for r in sorted(after, key=lambda r: r["position"])] == [r["doc_id"] for r in before]
+
+
 def test_run_equals_the_stages(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
