@@ -135,6 +135,29 @@ def test_schedule_keeps_windows_and_less_than_one_block_of_lag():
             assert all(abs(done[q] - (slot + 1) * share[q] / n) < 1 for q in share)
 
 
+def test_lag_against_the_target_weights_stays_below_two_blocks():
+    rng = random.Random(6)
+    for weights, cycle in (
+        ({f"s{i}": 1.0 for i in range(20)}, 4096),
+        ({"a": 1.0, "b": 1.0, "c": 1.0, "tiny": 1e-4}, 512),
+        ({f"s{i}": rng.random() ** 3 for i in range(9)}, 64),
+    ):
+        total = sum(weights.values())
+        slots = 60 * cycle
+        done, at = dict.fromkeys(weights, 0), 0
+        for ph in mix.phases({s: 2 * slots for s in weights}, weights, cycle):
+            for s, i in ph["order"][: ph["length"]]:
+                assert ph["first"][s] + i == done[s]
+                done[s] += 1
+                at += 1
+                if at % 37 == 0:
+                    assert all(abs(done[q] - at * weights[q] / total) < 2 for q in weights)
+            assert all(abs(done[q] - at * weights[q] / total) < 1 for q in weights)
+            if at >= slots:
+                break
+        assert at >= slots
+
+
 def test_phases_place_every_block_once():
     rng = random.Random(2)
     for _ in range(60):
