@@ -9,8 +9,9 @@ runs of words of different documents, so that the transitions are those of code-
 A document's score for a language is the mean, over its words with a letter, of the words'
 posterior; the prediction is the best one.
 
-Fit: a bounded sample of the labelled rows (``fit_docs`` documents in all, spread evenly over at
-most ``MAX_LANGS`` languages, texts of at most ``FIT_TEXT_BYTES``), chosen by a hash of the doc_id.
+Fit: a bounded sample of the labelled rows (``fit_docs`` documents in all, spread evenly over all
+languages, an error beyond ``MAX_LANGS`` of them), chosen by a hash of the doc_id.  Of a text of more
+than ``FIT_TEXT_BYTES`` the sample has that many bytes, in ``FIT_RUNS`` runs of whole words spread over it.
 Prediction: every row, whole texts, in one narrow pass.
 """
 
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm import common
 
 FIT_DOCS, FIT_TEXT_BYTES, MAX_LANGS = 2400, 16 << 10, 128
+FIT_RUNS = 4
 CALIBRATION_DOCS, NOISE_TEXTS, NOISE_WORDS = 400, 200, 50
 BUCKETS = 1 << 16  # what 16 bits hold
 ORDERS = (1, 2, 3, 4)
@@ -269,12 +271,24 @@ def judge(model: Model, raws: list[bytes]) -> tuple[list[str], list[float], list
     return langs, scores, sure
 
 
+def joined(runs: list[bytes]) -> bytes:
+    """One text of the runs, without the words that the cuts between them broke; a run that is part
+    of one word stays, less the bytes of broken characters."""
+    out = []
+    for i, run in enumerate(runs):
+        words = run.split()
+        first, last = i > 0 and not run[:1].isspace(), i + 1 < len(runs) and not run[-1:].isspace()
+        whole = words[first : len(words) - last]
+        out += whole or [w.decode("utf-8", "ignore").encode() for w in words]
+    return b" ".join(out) if len(runs) > 1 else runs[0]
+
+
 def calibrate(model: Model, raws: list[bytes], labels: list[str], seed: int = 7) -> None:
     """Set ``floor`` and ``clear`` from labelled texts and from noise of their letters.
 
-    ``floor`` is half-way between the certainty that 95 % of the noise texts (random letters of the
-    texts' alphabet, in words of 2 to 9) stay below and that which 99 % of the texts reach, and never
-    above the latter.  ``clear`` is the score
+    ``floor`` is a quarter of the way from the certainty that 95 % of the noise texts (random letters
+    of the texts' alphabet, in words of 2 to 9) stay below to that which 99 % of the texts reach, and
+    never above the latter.  ``clear`` is the score
     that 95 % of the texts reach, but at least 0.8; no score is clear if the predictions for any
     given language's texts agree with less than 90 % of their labels."""
     texts = [(raw, lang) for raw, lang in zip(raws, labels, strict=True) if has_letter(raw)]
@@ -286,7 +300,7 @@ def calibrate(model: Model, raws: list[bytes], labels: list[str], seed: int = 7)
     _, _, below = judge(model, noise)
     langs, scores, sure = judge(model, [raw for raw, _ in texts])
     reached = np.quantile(sure, 0.01)
-    model.floor = float(min(reached, (np.quantile(below, 0.95) + reached) / 2))
+    model.floor = float(min(reached, 0.75 * np.quantile(below, 0.95) + 0.25 * reached))
     given, agreed = Counter(lang for _, lang in texts), Counter(lang for (_, lang), pred in zip(texts, langs, strict=True) if lang == pred)
     if all(agreed[lang] >= 0.9 * n for lang, n in given.items()):
         model.clear = float(max(0.8, np.quantile(scores, 0.05)))
@@ -297,20 +311,26 @@ def fit_on(labelled: DataFrame, fit_docs: int = FIT_DOCS, calibrated: bool = Fal
     lang teach nothing.  No such row: a model without languages.  ``calibrated``: with ``floor`` and
     ``clear`` from the rows of the sample that are not fitted, or the fitted ones if there are few."""
     rows = labelled.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("lang").cast("string").alias("lang"), common.text_bytes().alias("raw"), F.col("text").isNotNull().alias("has"))
-    rows = rows.where(F.col("has") & F.col("lang").isNotNull() & (F.octet_length("raw") <= FIT_TEXT_BYTES))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    rows = rows.where(F.col("has") & F.col("lang").isNotNull())
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS + 1).collect()
     if not counts:
         return fit([], [])
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages: raise MAX_LANGS or label the rows more coarsely")
     each = max(1, fit_docs // len(counts))
     share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(1.3 * each / r["count"])) for r in counts], F.lit(0.0))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(chance < share).orderBy(chance / share, "doc_id", "raw").limit(2 * fit_docs).select("raw", "lang")
+    size, n = F.octet_length("raw"), FIT_TEXT_BYTES // FIT_RUNS
+    starts = [F.floor((size - n) * i / (FIT_RUNS - 1)).cast("int") + 1 for i in range(FIT_RUNS)]
+    runs = F.when(size <= FIT_TEXT_BYTES, F.array("raw")).otherwise(F.array(*[F.col("raw").substr(at, F.lit(n)) for at in starts]))
+    sample = rows.withColumn("runs", runs).where(chance < share).orderBy(chance / share, "doc_id", "raw").limit(2 * fit_docs).select("runs", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: Counter = Counter()
         raws, langs, spare, spare_langs = [], [], [], []
         for batch in batches:
-            for raw, lang in zip(*common.batches_of(batch, "raw", "lang"), strict=True):
+            for cut, lang in zip(*common.batches_of(batch, "runs", "lang"), strict=True):
+                raw = joined(cut)
                 if kept[lang] < each:
                     kept[lang] += 1
                     raws.append(raw)

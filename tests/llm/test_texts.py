@@ -8,6 +8,7 @@ from functools import lru_cache
 from itertools import product
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -260,6 +261,30 @@ def test_no_labelled_rows_give_no_language(spark):
     assert {r.lang_pred for r in lid.label_documents(df, model).collect()} == {"und"}
 
 
+def test_long_texts_are_learned_and_no_language_is_left_out(spark, monkeypatch):
+    schema = "doc_id long, text string, lang string"
+    rows = [(i, EN + f" and {i}", "en") for i in range(40)] + [(100 + i, (DE + f" und {i} ") * 400, "de") for i in range(10)]
+    df = spark.createDataFrame(rows, schema)
+    model = lid.fit_on(df)
+    assert model.langs == ["de", "en"]
+    assert lid.predict(model, [DE.encode(), EN.encode()])[0] == ["de", "en"]
+    assert lid.fit_on(df.where("lang = 'de'")).langs == ["de"]
+    monkeypatch.setattr(lid, "MAX_LANGS", 1)
+    with pytest.raises(ValueError, match="languages"):
+        lid.fit_on(df)
+
+
+def test_runs_of_long_texts_are_whole_words():
+    raw = " ".join(f"wörd{i}" for i in range(9000)).encode()
+    n = 4096
+    runs = [raw[at : at + n] for at in (0, 20000, 40001, len(raw) - n)]
+    got = lid.joined(runs).split()
+    assert set(got) <= set(raw.split())
+    assert sum(map(len, got)) > 3 * n and got[0] == raw.split()[0] and got[-1] == raw.split()[-1]
+    assert lid.joined(["日本語".encode()[1:], "日本語".encode()[:-1]]).decode() == "本語 日本"
+    assert lid.joined([b" a  b "]) == b" a  b "
+
+
 def test_single_language(spark):
     df = spark.createDataFrame([(1, EN, "en"), (2, EN, "en")], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.lang_score) for r in lid.label_documents(df, lid.fit_on(df)).collect()} == {("en", 1.0)}
