@@ -17,6 +17,9 @@ from fleetlake.llm import (
     multi_index,
     order_minhash,
     pfair_mix,
+    pointer_jumping,
+    role_repair,
+    tree_bpe,
     warc_zip,
     wavelet_ids,
     wfst_pieces,
@@ -199,3 +202,34 @@ def op4_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-likelihood of all ``documents``, learned where crc32(doc_id) mod 10 is not 0."""
     held_out = F.coalesce(remainder(10) == 0, F.lit(False))
     return gru_lm.score_corpus(read_table(spark, sf_dir, "documents"), held_out).withColumn("held_out", held_out)
+
+
+#: The public tokenizer of op12.
+WORD_BPE = "word_bpe_49k.json"
+
+
+@register
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all ``documents`` by tree concatenation, and the texts that they decode to."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = tree_bpe.encode_documents(docs, model_bytes(WORD_BPE), decoded=True, packed=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("input_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("input_ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+@register
+def op13_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all ``documents`` by two tokenizers, aligned, with corpus-wide counts of linked ids."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = pointer_jumping.align_documents(docs, model_bytes(BYTE_BPE), model_bytes(PIECES), digest=True)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+@register
+def op11_glr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged ``conversations`` and their cheapest repair under the role grammar."""
+    return role_repair.repair_conversations(role_repair.damaged(read_table(spark, sf_dir, "conversations")), digest=True)
