@@ -61,8 +61,11 @@ def linkage_report(telemetry: DataFrame, blobs: DataFrame, ordered: bool = True)
     Both sides are aggregated before the join, so the join input is one row
     per hour per side (a few thousand rows a year) regardless of volume.
     """
-    t = telemetry_hourly_status(telemetry)
-    b = blob_hourly_volume(blobs)
+    return linkage_report_from(telemetry_hourly_status(telemetry), blob_hourly_volume(blobs), ordered)
+
+
+def linkage_report_from(t: DataFrame, b: DataFrame, ordered: bool = True) -> DataFrame:
+    """A5 from its two hourly aggregates (A3, A4)."""
     out = t.join(b, "hour_bucket", "left").select(
         "hour_bucket",
         "total_telemetry",

@@ -40,6 +40,7 @@ def load_all() -> None:
         queries,
         queries_drift,
         queries_linkage,
+        queries_kept,
         queries_misc,
         queries_orders,
         queries_tests,

@@ -57,17 +57,26 @@ def linkage_rollup(telemetry: DataFrame, blobs: DataFrame, now: Column) -> DataF
         linkage.total_of(F.when(~has_t, n)).alias("blob_orphans"),
         F.min(F.when(unlinked, F.col("first_ingest"))).alias("_oldest"),
     )
-    is_total = F.col("_g") == 1
+    one = fold_measures(r, F.col("_g") == 1)
+    return measures_row(one, now)
+
+
+def fold_measures(r: DataFrame, is_total: Column) -> DataFrame:
+    """One row of measures from total rows and rows per media_type."""
     per_media = F.when(~is_total & F.col("media_type").isNotNull() & (F.col("linked_count") > 0),
                        F.struct((-F.col("linked_count")).alias("k"), "media_type", F.col("linked_count").alias("cnt")))
     entries = F.array_sort(F.collect_list(per_media))
-    one = r.agg(
+    return r.agg(
         *[F.coalesce(F.max(F.when(is_total, F.col(c))), F.lit(0)).alias(c) for c in
           ("telemetry_total", "blob_total", "linked_count", "telemetry_unlinked", "blob_orphans")],
         F.max(F.when(is_total, F.col("_oldest"))).alias("_oldest"),
         F.map_from_entries(F.transform(entries, lambda e: F.struct(e["media_type"], e["cnt"]))).alias(
             "media_breakdown"),
     )
+
+
+def measures_row(one: DataFrame, now: Column) -> DataFrame:
+    """The reported form of folded measures."""
     pct = F.round(F.col("linked_count").cast("double") / F.greatest(F.col("telemetry_total"), F.lit(1)) * 100, 2)
     age = seconds_between(now, F.col("_oldest"))
     return one.select(
@@ -87,7 +96,16 @@ def reconcile_report(telemetry: DataFrame, blobs: DataFrame, now=None,
     """timestamp_utc, totals, linked pairs, unlinked, orphans, pct,
     media breakdown map, oldest unlinked age and HEALTHY/DEGRADED status."""
     now_c = as_timestamp(now) if now is not None else F.current_timestamp()
-    one = linkage_rollup(telemetry, blobs, now_c)
+    return _reconcile_row(linkage_rollup(telemetry, blobs, now_c), now_c, healthy_pct)
+
+
+def reconcile_from(measures: DataFrame, now=None, healthy_pct: float = rules.RECONCILE_HEALTHY_PCT) -> DataFrame:
+    """A17 from the one row of ``fold_measures``."""
+    now_c = as_timestamp(now) if now is not None else F.current_timestamp()
+    return _reconcile_row(measures_row(measures, now_c), now_c, healthy_pct)
+
+
+def _reconcile_row(one: DataFrame, now_c: Column, healthy_pct: float) -> DataFrame:
     return one.select(
         now_c.alias("timestamp_utc"),
         "telemetry_total",
@@ -127,6 +145,21 @@ def quality_report(
     # per-row measures in one flat pass; only the linked pairs need the ids
     pairs = linkage.telemetry_keys(telemetry).join(linkage.blob_keys(blobs), "event_id").agg(linkage.total_of(F.col("nt") * F.col("nb")))
     one = quality.check_aggregates(telemetry, now_c, 5).withColumn("linked", pairs.scalar())
+    return quality_from(one, stale_devices(telemetry, now_c, 5), now_c, freshness_warn, freshness_crit, min_events_5m, linkage_warn, linkage_crit, max_bad_temp)
+
+
+def quality_from(
+    one: DataFrame,
+    stale: Column,
+    now_c: Column,
+    freshness_warn: int = rules.FRESHNESS_WARN_SEC,
+    freshness_crit: int = rules.FRESHNESS_CRIT_SEC,
+    min_events_5m: int = rules.MIN_EVENTS_LAST_5M,
+    linkage_warn: float = rules.LINKAGE_WARN_PCT,
+    linkage_crit: float = rules.LINKAGE_CRIT_PCT,
+    max_bad_temp: int = rules.MAX_BAD_TEMP_ROWS,
+) -> DataFrame:
+    """A18 from its measures: latest_ingest, events_last_5m, total_telemetry, bad_temp_rows, linked."""
     lag = seconds_between(now_c, F.col("latest_ingest"))
     fresh = F.when(F.col("latest_ingest").isNull(), F.lit(None)).otherwise(F.greatest(F.lit(0), lag.cast("long")))
     one = one.withColumn("freshness_sec", fresh).withColumn(
@@ -160,7 +193,7 @@ def quality_report(
         now_c.alias("timestamp_utc"),
         quality.worst_severity(sev_f, sev_v, sev_l, sev_a).alias("overall_severity"),
         checks.alias("checks"),
-        stale_devices(telemetry, now_c, 5).alias("stale_devices_top5"),
+        stale.alias("stale_devices_top5"),
     )
 
 

@@ -282,3 +282,17 @@ def read_committed(spark: SparkSession, paths: IngestPaths, kind: str) -> DataFr
     if rows is None:
         raise FileNotFoundError(paths.table(kind))
     return rows
+
+
+def committed_since(spark: SparkSession, paths: IngestPaths, done: dict[str, int]) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Rows of the telemetry and blob batches that were committed after batch ``done[kind]``, and the
+    newest batch of each kind among them.  Only the folders of these commits are read."""
+    new, marks = {}, {}
+    for kind in ("telemetry_events", "blob_index"):
+        log = sinks.read_log(spark, paths.batch_log, kind).filter(F.col("batch_id") > done.get(kind, -1))
+        todo = log.select("commit_id", "batch_id").collect()  # a row per batch since the last time
+        if todo:
+            found = spark.read.schema(TABLE_SCHEMAS[kind]).parquet(paths.table(kind))
+            new[kind] = found.filter(F.col("commit_id").isin([r["commit_id"] for r in todo]))
+            marks[kind] = max(r["batch_id"] for r in todo)
+    return new, marks
