@@ -33,6 +33,7 @@ from fleetlake.schemas import (
     TELEMETRY_SCHEMA,
 )
 from fleetlake.sources.topics import decode_payload, heartbeat_source, read_topic_stream
+from fleetlake.streaming.drift_state import DriftState
 
 
 # ------------------------------------------------------------------ per-batch transforms
@@ -85,6 +86,10 @@ class IngestPaths:
     def batch_log(self) -> str:
         return f"{self.root}/tables/_batch_log"
 
+    @property
+    def drift_points(self) -> str:
+        return f"{self.root}/tables/drift_points"
+
     @property
     def drift_state(self) -> str:
         return f"{self.root}/tables/drift_state"
@@ -125,12 +130,8 @@ def _batch_writer(kind: str, paths: IngestPaths, validated: bool, clock: Column
         try:
             tagged = dec
             if drift_mode == "asof":
-                # J8 per batch, exact: all committed heartbeats of the batch's
-                # devices, reduced to the points where a drift changes.
-                hb = committed_heartbeats(spark, paths)
-                if hb is not None:
-                    devices = dec.select("device_id").where("device_id is not null").distinct()
-                    tagged = drift_ops.asof_drift(dec, hb.join(devices, "device_id", "left_semi"), ts_col)
+                # J8 per batch, exact: only the spans of time that the batch's records lie in are read
+                tagged = DriftState(paths.drift_points).asof_drift(dec, ts_col)
             elif drift_mode == "latest":
                 drift = read_drift_state(spark, paths)
             rows = layout(to_bronze(tagged, drift, clock))
@@ -235,14 +236,15 @@ def start_heartbeat_stream(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """S4 as a stream.  Each batch is committed to the heartbeat table and
-    folded into the compact per-device drift state that telemetry batches read
-    (W7).  A broker's topic is read from its latest offsets."""
+    folded into the compact per-device drift state and the points by time span
+    that telemetry batches read (W7).  A broker's topic is read from its latest offsets."""
     hb = heartbeat_source(read_topic_stream(spark, topic, starting=starting, bootstrap=bootstrap, path=source_path))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("is_valid", F.lit(True)).withColumn("errors", F.array().cast("array<string>"))
         sinks.write_batch_with_rejects(rows, batch_id, paths.table(HEARTBEATS), paths.rejects(HEARTBEATS), paths.batch_log, None, HEARTBEATS)
         _merge_drift_state(batch, batch_id, paths)
+        DriftState(paths.drift_points).apply(spark, batch, batch_id)
 
     w = hb.writeStream.queryName(HEARTBEATS).option("checkpointLocation", paths.checkpoint(HEARTBEATS)).foreachBatch(run)
     if trigger:
