@@ -16,13 +16,14 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlake.functions import rules
 from fleetlake.functions.formats import file_health_label, format_size
 from fleetlake.functions.time import as_timestamp
 from fleetlake.session import shared_path
+from fleetlake.sources.tables import read_if_exists
 
 
 # ------------------------------------------------------------------ M1 / A19
@@ -139,6 +140,109 @@ def compact_small_files(
     return {"partitions": found["partitions"], "rows": after["rows"], "verified": True, "staging": staging}
 
 
+def bins_of(df: DataFrame, target_bytes: int, threshold_bytes: int) -> DataFrame:
+    """(file_path, folder, bin_id, file_size) of the files below the threshold that share a folder with
+    another one: bins are filled in the order of the paths until they reach ``target_bytes``, so a bin
+    holds less than target + threshold, and a folder gets at most ceil(bytes / target) of them.
+    Bins of a single file are left out: rewriting it would gain nothing."""
+    small = df.filter(F.col("_metadata.file_size") < F.lit(threshold_bytes))  # other files are not opened
+    files = small.select("_metadata.file_path", "_metadata.file_size").distinct().withColumn("folder", F.regexp_replace("file_path", "/[^/]*$", ""))
+    before = F.sum("file_size").over(Window.partitionBy("folder").orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
+    binned = files.withColumn("bin_id", F.concat(F.md5("folder"), F.lit("-"), F.floor(F.coalesce(before, F.lit(0)) / F.lit(target_bytes)).cast("string")))
+    several = F.count(F.lit(1)).over(Window.partitionBy("bin_id")) > 1
+    return binned.withColumn("_several", several).filter("_several").drop("_several")
+
+
+def _replace_files(batches):
+    """Move each bin's staged file beside the files that it replaces, then delete those.  Every step
+    may be run again."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    def opened(path):
+        if path.startswith("file:"):
+            from urllib.parse import unquote
+
+            return fs.LocalFileSystem(), "/" + unquote(path.split(":", 1)[1]).lstrip("/")
+        return fs.FileSystem.from_uri(path)
+
+    for batch in batches:
+        names, counts = [], []
+        for row in batch.to_pylist():
+            system, staged = opened(row["staged"])
+            _, folder = opened(row["folder"])
+            target = f"{folder}/part-{row['bin_id']}-{row['run']}.parquet"
+            if system.get_file_info(target).type == fs.FileType.NotFound:
+                system.move(staged, target)
+            gone = 0
+            for old in row["old"]:
+                _, name = opened(old)
+                if system.get_file_info(name).type != fs.FileType.NotFound:
+                    system.delete_file(name)
+                    gone += 1
+                crc = "/".join([*name.split("/")[:-1], f".{name.split('/')[-1]}.crc"])
+                if system.get_file_info(crc).type != fs.FileType.NotFound:
+                    system.delete_file(crc)
+            names.append(target)
+            counts.append(gone)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["file_path", "replaced"])
+
+
+def compact_bins(
+    spark: SparkSession,
+    root: str,
+    partition_cols: list[str],
+    target_bytes: int = rules.COMPACT_TARGET_BYTES,
+    threshold_bytes: int = rules.COMPACT_THRESHOLD_BYTES,
+    sort_cols: list[str] | None = None,
+) -> dict:
+    """M2 by bin packing: in each folder of ``root`` the files below ``threshold_bytes`` are packed into
+    bins of about ``target_bytes``, and every bin becomes one file, written by one task.  Other files
+    are neither read nor rewritten.
+
+    The bins are staged and compared with their source first; then each staged file is moved into its
+    folder and the files that it replaces are deleted, by tasks.  A run that is lost in between is
+    finished by ``replace_staged`` on its staging folder; until then a reader may see rows of a bin
+    twice, so closed partitions only (hours a stream still writes go through ``compact_hours``).
+    """
+    src = spark.read.parquet(root)
+    run = uuid.uuid4().hex
+    staging = shared_path(spark, f"bins-{run}")
+    bins_of(src, target_bytes, threshold_bytes).write.parquet(f"{staging}/plan")
+    plan = spark.read.parquet(f"{staging}/plan")
+    found = plan.agg(F.count_distinct("bin_id").alias("bins"), F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes")).first()
+    result = {"bins": found["bins"], "files": found["files"], "bytes": found["bytes"], "rows": 0, "verified": True, "staging": staging}
+    if not found["bins"]:
+        return result
+    small = src.filter(F.col("_metadata.file_size") < F.lit(threshold_bytes)).select("*", F.col("_metadata.file_path").alias("_path"))
+    data = [c for c in src.columns if c not in partition_cols]
+    rows = small.join(plan.select(F.col("file_path").alias("_path"), "bin_id"), "_path").select(*data, "bin_id")
+    dealt = rows.repartition(found["bins"], "bin_id").sortWithinPartitions("bin_id", *(sort_cols or []))
+    dealt.write.partitionBy("bin_id").parquet(f"{staging}/data")
+    staged = spark.read.schema(rows.schema).parquet(f"{staging}/data")
+    before, after = (content_fingerprint(x).first() for x in (rows, staged))
+    if before != after:
+        return result | {"rows": after["rows"], "verified": False}
+    replace_staged(spark, staging, run)
+    spark.catalog.refreshByPath(root)
+    return result | {"rows": after["rows"]}
+
+
+def replace_staged(spark: SparkSession, staging: str, run: str) -> DataFrame:
+    """(file_path, replaced) of the bins of a staged compaction put in place; may be repeated."""
+    plan = spark.read.parquet(f"{staging}/plan").groupBy("bin_id").agg(F.first("folder").alias("folder"), F.collect_list("file_path").alias("old"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{staging}/data")
+    staged = files.select(F.col("path").alias("staged"), F.regexp_extract("path", "bin_id=([^/]+)/", 1).alias("bin_id"))
+    # written first, so that no step depends on a listing that the moves change
+    todo = plan.join(staged, "bin_id").withColumn("run", F.lit(run))
+    path = f"{staging}/moves"
+    if read_if_exists(spark, path) is None:
+        todo.write.parquet(path)
+    done = spark.read.parquet(path).mapInArrow(_replace_files, "file_path string, replaced long")
+    done.write.mode("overwrite").parquet(f"{staging}/done")
+    return spark.read.parquet(f"{staging}/done")
+
+
 def sort_compact(spark: SparkSession, root: str, partition_cols: list[str],
                  sort_cols: tuple[str, ...] = ("device_id", "event_ts_corrected"), **kw) -> dict:
     """M5: compaction that also sorts each partition by (device, time)."""

@@ -180,3 +180,41 @@ def test_compact_closed_hours_of_a_streamed_table(spark, tmp_dir):
     for _ in range(2):  # repeating it changes nothing
         m.compact_hours(committed(), compact, dt.datetime(2024, 1, 1), cut, ["p_hour", "p_bucket"])
         assert m.read_hours(spark.read.parquet(compact), committed(), cut).count() == rows.count() + 25
+
+
+def test_bins_rewrite_small_files_only(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "tel")
+    df = _small_table(spark, root)
+    spark.range(20_000).select(F.lit(0).alias("p_bucket"), *[(F.lit(None) if c not in ("n",) else F.col("id")).cast(t).alias(c) for c, t in df.drop("p_bucket").dtypes]).coalesce(1).write.mode("append").partitionBy("p_bucket").parquet(root)
+    src = spark.read.parquet(root)
+    listing = {r["file_path"]: r["file_size"] for r in m.file_listing(src).collect()}
+    content = m.content_fingerprint(src).first()
+    largest = max(listing.values())
+    threshold = sorted(listing.values())[-2] + 1
+    assert largest > threshold
+    target = 3 * threshold
+    res = m.compact_bins(spark, root, ["p_bucket"], target_bytes=target, threshold_bytes=threshold)
+    assert res["verified"] and res["bytes"] <= sum(n for n in listing.values() if n < threshold)
+    cur = spark.read.parquet(root)
+    assert m.content_fingerprint(cur).first() == content
+    after = {r["file_path"]: r["file_size"] for r in m.file_listing(cur).collect()}
+    (big,) = [p for p, n in listing.items() if n == largest]
+    assert after[big] == largest  # untouched
+    by_folder = {}
+    for p, n in listing.items():
+        by_folder.setdefault(os.path.dirname(p), []).append(n)
+    for folder, sizes in by_folder.items():
+        now = [p for p in after if os.path.dirname(p) == folder]
+        small = sum(n for n in sizes if n < threshold)
+        assert len(now) <= -(-small // target) + 1 + len([n for n in sizes if n >= threshold])
+    assert res["bins"] == len([p for p in after if p not in listing])
+    # put in place again: nothing changes
+    m.replace_staged(spark, res["staging"], "other")
+    spark.catalog.refreshByPath(root)
+    assert m.content_fingerprint(spark.read.parquet(root)).first() == content
+
+
+def test_bins_of_an_empty_plan(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "one")
+    spark.range(5).withColumn("p", F.lit(1)).coalesce(1).write.partitionBy("p").parquet(root)
+    assert m.compact_bins(spark, root, ["p"])["bins"] == 0
