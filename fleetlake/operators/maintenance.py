@@ -23,6 +23,7 @@ from fleetlake.functions import rules
 from fleetlake.functions.formats import file_health_label, format_size
 from fleetlake.functions.time import as_timestamp
 from fleetlake.session import shared_path
+from fleetlake.sinks import LOOKUP_OPTIONS
 from fleetlake.sources.tables import read_if_exists
 
 
@@ -100,7 +101,7 @@ def publish(spark: SparkSession, staging: str, root: str, partition_cols: list[s
     rows = spark.read.parquet(staging)
     if not sorted_by:
         rows = rows.hint("rebalance", *partition_cols)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(root)
+    rows.write.mode("overwrite").options(**LOOKUP_OPTIONS).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(root)
 
 
 def compact_small_files(
@@ -118,7 +119,7 @@ def compact_small_files(
 
     With ``sort_cols`` rows are dealt by ranges of (partition, sort columns)
     into pieces of about ``target_bytes``, so each file covers a range and can
-    be pruned; otherwise by partition, large ones over several tasks.
+    be pruned, and within a file each page has its own bounds; otherwise by partition, large ones over several tasks.
     """
     src = spark.read.parquet(root)
     todo = fragmented(src, partition_cols, threshold_bytes)
@@ -218,7 +219,7 @@ def compact_bins(
     data = [c for c in src.columns if c not in partition_cols]
     rows = small.join(plan.select(F.col("file_path").alias("_path"), "bin_id"), "_path").select(*data, "bin_id")
     dealt = rows.repartition(found["bins"], "bin_id").sortWithinPartitions("bin_id", *(sort_cols or []))
-    dealt.write.partitionBy("bin_id").parquet(f"{staging}/data")
+    dealt.write.options(**LOOKUP_OPTIONS).partitionBy("bin_id").parquet(f"{staging}/data")
     staged = spark.read.schema(rows.schema).parquet(f"{staging}/data")
     before, after = (content_fingerprint(x).first() for x in (rows, staged))
     if before != after:
@@ -270,7 +271,7 @@ def compact_hours(
         rows = rows.repartitionByRange(*partition_cols, *sort_cols).sortWithinPartitions(*partition_cols, *sort_cols)
     else:
         rows = rows.hint("rebalance", *partition_cols)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(target_root)
+    rows.write.mode("overwrite").options(**LOOKUP_OPTIONS).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(target_root)
 
 
 def read_hours(compact: DataFrame, committed: DataFrame, open_from) -> DataFrame:

@@ -41,6 +41,10 @@ def add_partition_columns(
     return df.withColumn("p_hour", hour_bucket(ts_col)).withColumn("p_bucket", bucket_of(key_col, buckets))
 
 
+#: Parquet options of the bronze writers: a Bloom filter per row group on the id that point lookups use,
+#: of the size that its distinct values need.
+LOOKUP_OPTIONS = {"parquet.bloom.filter.enabled#event_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 TELEMETRY_PARTITIONS = ["p_hour", "p_bucket"]
 BLOB_PARTITIONS = ["p_hour", "media_type", "p_bucket"]
 
@@ -265,7 +269,7 @@ def append_commit(rows: DataFrame, path: str, commit_id: str, partition_cols: li
     """Append rows below ``<partition columns>/commit_id=...``."""
     if partition_cols:
         rows = rows.hint("rebalance", *partition_cols)
-    rows.withColumn("commit_id", F.lit(commit_id)).write.mode("append").partitionBy(*(partition_cols or []), "commit_id").parquet(path)
+    rows.withColumn("commit_id", F.lit(commit_id)).write.mode("append").options(**LOOKUP_OPTIONS).partitionBy(*(partition_cols or []), "commit_id").parquet(path)
 
 
 def log_commit(counts: DataFrame, log_path: str, table_name: str, batch_id: int, commit_id: str) -> None:
