@@ -47,7 +47,14 @@ def device_shard(device_id: Column | str, shards: int = rules.DEVICE_SHARDS) ->
     return F.format_string("%02d", F.pmod(device_number(device_id), F.lit(shards)))
 
 
-def blob_key(media_type: Column | str, ts: Column | str, device_id: Column | str, event_id: Column | str) -> Column:
+def blob_key(
+    media_type: Column | str,
+    ts: Column | str,
+    device_id: Column | str,
+    event_id: Column | str,
+    shard_part: str = rules.BLOB_KEY_SHARD,
+    device_part: str = rules.BLOB_KEY_DEVICE,
+) -> Column:
     """Partitioned object key of a stored blob:
 
     ``blob/{media}/event_date=YYYY-MM-DD/event_hour=HH/<shard key>NN/<device key>{device}/{event_id}.bin``
@@ -60,9 +67,9 @@ def blob_key(media_type: Column | str, ts: Column | str, device_id: Column | str
         F.date_format(t, "yyyy-MM-dd"),
         F.lit("/event_hour="),
         F.date_format(t, "HH"),
-        F.lit(f"/{rules.BLOB_KEY_SHARD}"),
+        F.lit(f"/{shard_part}"),
         device_shard(device_id),
-        F.lit(f"/{rules.BLOB_KEY_DEVICE}"),
+        F.lit(f"/{device_part}"),
         _c(device_id),
         F.lit("/"),
         _c(event_id),

@@ -35,11 +35,6 @@ STATUS_LINKED = "LINKED"
 STATUS_ORPHANED = "ORPHANED"
 QUALITY_STATE_INGESTED = "INGESTED"
 
-# Wire format: the device's JSON field, the start of its ids, the parts of a blob key that name it.
-WIRE_DEVICE_ID = "robot_id"
-DEVICE_ID_PREFIX = "robot-"
-BLOB_KEY_SHARD, BLOB_KEY_DEVICE = "robot_shard=", "robot_id="
-
 BLOB_URI_SCHEME = "s3://"
 RAW_BUCKET = "raw-blobs"
 CHECKSUM_HEX_LENGTH = 64
@@ -70,3 +65,9 @@ COMPACT_TARGET_BYTES = 256 * 1024 * 1024
 
 SEVERITIES = ("OK", "WARNING", "CRITICAL")
 # --- end of fixed values ---
+
+# Defaults of names that a site chooses (parameters of the functions that use them): the device's field
+# in the JSON messages, the start of its ids, the parts of a blob key that name it.
+WIRE_DEVICE_ID = "device_id"
+DEVICE_ID_PREFIX = "device-"
+BLOB_KEY_SHARD, BLOB_KEY_DEVICE = "device_shard=", "device_id="

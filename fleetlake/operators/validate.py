@@ -38,7 +38,7 @@ def all_string(schema: StructType) -> StructType:
     return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
 
 
-def decode_lenient(df: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
+def decode_lenient(df: DataFrame, schema: StructType, value_col: str = "value", device_field: str = rules.WIRE_DEVICE_ID) -> DataFrame:
     """Parse JSON once with every field as text; add typed columns by ``try_cast``.
 
     Output: typed columns (names of ``schema``) + ``_raw_<name>`` text columns.
@@ -51,9 +51,9 @@ def decode_lenient(df: DataFrame, schema: StructType, value_col: str = "value")
     # projection they would inline from_json once per field reference.
     parsed = df.select(
         *keep,
-        F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), all_string(wire_schema(schema))))),
+        F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), all_string(wire_schema(schema, device_field))))),
     )
-    parsed = parsed.select(*keep, *[F.col(wire_name(f.name)).alias(RAW_PREFIX + f.name) for f in schema.fields])
+    parsed = parsed.select(*keep, *[F.col(wire_name(f.name, device_field)).alias(RAW_PREFIX + f.name) for f in schema.fields])
     typed = [
         (numeric_text(_raw(f.name)) if f.dataType.typeName() in NUMERIC_TYPES else _raw(f.name))
         .try_cast(f.dataType)
@@ -71,11 +71,11 @@ def _raw(name: str) -> Column:
     return F.col(RAW_PREFIX + name)
 
 
-def _staged(required: tuple[str, ...], domain: list[tuple[Column, Column]]) -> tuple[Column, Column]:
+def _staged(required: tuple[str, ...], domain: list[tuple[Column, Column]], device_field: str) -> tuple[Column, Column]:
     """(errors, is_valid).  ``is_valid`` is built from the rule conditions
     alone, so a filter on it (pushed down by Catalyst) stays a small
     boolean and never carries the message formatting."""
-    missing_checks = [(_raw(f).isNull(), F.lit(f"missing_field:{wire_name(f)}")) for f in required]
+    missing_checks = [(_raw(f).isNull(), F.lit(f"missing_field:{wire_name(f, device_field)}")) for f in required]
     missing = _errors(missing_checks)
     errors = F.when(F.size(missing) > 0, missing).otherwise(_errors(domain))
     any_bad = F.lit(False)
@@ -100,7 +100,7 @@ def _out_of(name: str, lo: float | None, hi: float | None, absolute: bool = Fals
     return bad, F.concat(F.lit(f"{name}_out_of_range:"), py_number_repr(_raw(name), v))
 
 
-def telemetry_errors() -> tuple[Column, Column]:
+def telemetry_errors(device_field: str = rules.WIRE_DEVICE_ID) -> tuple[Column, Column]:
     """Ordered error list of a telemetry record (rules of ``rules``) and its validity flag."""
     sensor = _raw("sensor_type")
     eid = _raw("event_id")
@@ -114,10 +114,10 @@ def telemetry_errors() -> tuple[Column, Column]:
         _out_of("force_z", None, rules.FORCE_MAX_N, absolute=True),
         (colon_count(eid) != 2, F.concat(F.lit("malformed_event_id:"), eid)),
     ]
-    return _staged(rules.REQUIRED_TELEMETRY_FIELDS, domain)
+    return _staged(rules.REQUIRED_TELEMETRY_FIELDS, domain, device_field)
 
 
-def manifest_errors() -> tuple[Column, Column]:
+def manifest_errors(device_field: str = rules.WIRE_DEVICE_ID) -> tuple[Column, Column]:
     """Ordered error list of a blob manifest record and its validity flag."""
     media = _raw("media_type")
     checksum = _raw("checksum_sha256")
@@ -131,24 +131,24 @@ def manifest_errors() -> tuple[Column, Column]:
         ),
         (~uri.startswith(rules.BLOB_URI_SCHEME), F.concat(F.lit("bad_blob_uri_scheme:"), F.substring(uri, 1, 20))),
     ]
-    return _staged(rules.REQUIRED_MANIFEST_FIELDS, domain)
+    return _staged(rules.REQUIRED_MANIFEST_FIELDS, domain, device_field)
 
 
-def _validate(df: DataFrame, schema: StructType, checks: tuple[Column, Column], value_col: str) -> DataFrame:
+def _validate(df: DataFrame, schema: StructType, checks: tuple[Column, Column], value_col: str, device_field: str) -> DataFrame:
     errors, is_valid = checks
-    dec = decode_lenient(df, schema, value_col)
+    dec = decode_lenient(df, schema, value_col, device_field)
     out = dec.withColumn("errors", errors).withColumn("is_valid", is_valid)
     return out.drop(*[RAW_PREFIX + f.name for f in schema.fields])
 
 
-def validate_telemetry(df: DataFrame, value_col: str = "value") -> DataFrame:
+def validate_telemetry(df: DataFrame, value_col: str = "value", device_field: str = rules.WIRE_DEVICE_ID) -> DataFrame:
     """JSON messages -> typed telemetry columns + ``errors`` + ``is_valid``."""
-    return _validate(df, TELEMETRY_SCHEMA, telemetry_errors(), value_col)
+    return _validate(df, TELEMETRY_SCHEMA, telemetry_errors(device_field), value_col, device_field)
 
 
-def validate_manifest(df: DataFrame, value_col: str = "value") -> DataFrame:
+def validate_manifest(df: DataFrame, value_col: str = "value", device_field: str = rules.WIRE_DEVICE_ID) -> DataFrame:
     """JSON messages -> typed manifest columns + ``errors`` + ``is_valid``."""
-    return _validate(df, MANIFEST_SCHEMA, manifest_errors(), value_col)
+    return _validate(df, MANIFEST_SCHEMA, manifest_errors(device_field), value_col, device_field)
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -19,9 +19,9 @@ from pyspark.sql.types import (
 from fleetlake.functions import rules
 
 
-def wire_name(field: str) -> str:
-    """Name of a field in the JSON messages."""
-    return rules.WIRE_DEVICE_ID if field == "device_id" else field
+def wire_name(field: str, device_field: str = rules.WIRE_DEVICE_ID) -> str:
+    """Name of a field in the JSON messages, in which the device is ``device_field``."""
+    return device_field if field == "device_id" else field
 
 
 def _struct(*fields: tuple[str, object]) -> StructType:
@@ -88,6 +88,6 @@ TELEMETRY_COLUMNS = [f.name for f in TELEMETRY_BRONZE_SCHEMA.fields]
 BLOB_INDEX_COLUMNS = [f.name for f in BLOB_INDEX_SCHEMA.fields]
 
 
-def wire_schema(schema: StructType) -> StructType:
+def wire_schema(schema: StructType, device_field: str = rules.WIRE_DEVICE_ID) -> StructType:
     """``schema`` with the field names of the JSON messages."""
-    return StructType([StructField(wire_name(f.name), f.dataType, True) for f in schema.fields])
+    return StructType([StructField(wire_name(f.name, device_field), f.dataType, True) for f in schema.fields])

@@ -33,7 +33,7 @@ def spread(df: DataFrame) -> DataFrame:
     """A test table that comes as one or a few files, dealt over the cores (the
     recipe's work per row is large against the row); other tables as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:

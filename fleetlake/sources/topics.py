@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fleetlake.functions import rules
 from fleetlake.schemas import HEARTBEAT_SCHEMA, wire_name, wire_schema
 
 
@@ -48,19 +49,20 @@ def read_topic_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value")
 
 
-def decode_payload(df: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
-    """Bytes -> string -> typed struct (PERMISSIVE) -> flat columns.
+def decode_payload(df: DataFrame, schema: StructType, value_col: str = "value", device_field: str = rules.WIRE_DEVICE_ID) -> DataFrame:
+    """Bytes -> string -> typed struct (PERMISSIVE) -> flat columns; the messages name the device
+    by ``device_field``.
 
     Broken JSON gives an all-NULL row; a wrong-typed field only that field NULL.
     """
     # Parsed inside a generator so that filters on decoded fields (window
     # replay, validity) stay above one parse instead of inlining from_json
     # into every field reference.
-    parsed = df.select(F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), wire_schema(schema)))))
-    return parsed.select(*[F.col(wire_name(f.name)).alias(f.name) for f in schema.fields])
+    parsed = df.select(F.inline_outer(F.array(F.from_json(F.col(value_col).cast("string"), wire_schema(schema, device_field)))))
+    return parsed.select(*[F.col(wire_name(f.name, device_field)).alias(f.name) for f in schema.fields])
 
 
-def heartbeat_source(df: DataFrame, value_col: str = "value") -> DataFrame:
+def heartbeat_source(df: DataFrame, value_col: str = "value", device_field: str = rules.WIRE_DEVICE_ID) -> DataFrame:
     """device_id, session_id, server_ts_ms, estimated_drift_ms (missing drift -> 0)."""
-    hb = decode_payload(df, HEARTBEAT_SCHEMA, value_col)
+    hb = decode_payload(df, HEARTBEAT_SCHEMA, value_col, device_field)
     return hb.withColumn("estimated_drift_ms", F.coalesce(F.col("estimated_drift_ms"), F.lit(0).cast("long")))

@@ -2,8 +2,8 @@
 
 Ingest itself never drops late rows (W6); these continuous aggregates are
 an early view and use a watermark to bound their state.  A row later than
-the watermark is left out of the *streaming* aggregate only; the batch
-gold models rebuilt from bronze stay authoritative and include it.
+the watermark is left out of the *windowed* aggregate only: the kept models
+of ``gold_state`` and the batch models include it.
 """
 
 from __future__ import annotations

@@ -36,8 +36,10 @@ def _bucket(hour: Column, hours: int) -> Column:
 
 
 class GoldState:
-    def __init__(self, root: str):
-        self.state = BucketState(root)
+    """``hours``: how many hours share a bucket of A2; those of A3 and A4 take 24 times as many."""
+
+    def __init__(self, root: str, hours: int = 1):
+        self.state, self.hours = BucketState(root), hours
 
     @staticmethod
     def _stats(telemetry: DataFrame) -> DataFrame:
@@ -77,10 +79,10 @@ class GoldState:
             return lambda rows: rows.groupBy("bucket", "hour_bucket").agg(*[F.sum(c).cast("long").alias(c) for c in counts])
 
         none = spark.createDataFrame([], ingest.TABLE_SCHEMAS["telemetry_events"]) if telemetry is None else telemetry
-        self._merge(spark, "stats", STATS, self._stats(none), self._merged_stats, 1, version, before)
-        self._merge(spark, "status", STATUS, gold.telemetry_hourly_status(none), sums(STATUS_COUNTS), 24, version, before)
+        self._merge(spark, "stats", STATS, self._stats(none), self._merged_stats, self.hours, version, before)
+        self._merge(spark, "status", STATUS, gold.telemetry_hourly_status(none), sums(STATUS_COUNTS), 24 * self.hours, version, before)
         empty = spark.createDataFrame([], ingest.TABLE_SCHEMAS["blob_index"]) if blobs is None else blobs
-        self._merge(spark, "volume", VOLUME, gold.blob_hourly_volume(empty), sums(VOLUME_COUNTS), 24, version, before)
+        self._merge(spark, "volume", VOLUME, gold.blob_hourly_volume(empty), sums(VOLUME_COUNTS), 24 * self.hours, version, before)
         self.state.commit(spark, version, {k: v for k, v in newest.items() if k != "version"} | (marks or {}))
         return version
 

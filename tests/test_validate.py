@@ -167,3 +167,17 @@ def test_reject_counts_and_split(spark):
     ok, bad = validate.split_valid(v)
     assert ok.count() == 1 and bad.count() == 3
     assert "errors" not in ok.columns and "errors" in bad.columns
+
+
+def test_a_sites_own_name_of_the_device_field(spark):
+    from fleetlake.operators.validate import validate_telemetry
+    from fleetlake.schemas import TELEMETRY_SCHEMA
+    from fleetlake.sources.topics import decode_payload
+
+    record = _good()
+    record["unit"] = record.pop(WIRE_DEVICE_ID)
+    df = spark.createDataFrame([(json.dumps(record),), ("{}",)], "value string")
+    good, bad = sorted(validate_telemetry(df, device_field="unit").collect(), key=lambda r: not r["is_valid"])
+    assert good["device_id"] == "device-042" and good["is_valid"]
+    assert "missing_field:unit" in bad["errors"]
+    assert decode_payload(df, TELEMETRY_SCHEMA, device_field="unit").first()["device_id"] == "device-042"
