@@ -14,6 +14,9 @@ share of the tail, so the probabilities of all words add up to one.
 * Scoring: every document as one sequence from the cleared state, the state carried over its windows
   to its last token.
 
+After the counts each text is split and looked up once: a written table holds its symbols, the sums that
+need no network, and its words beyond the table; training and scoring read the symbols.
+
 What is gathered from the corpus: the exact counts of all training tokens (a written table, never on
 the driver), from which the at most ``TABLE`` most frequent words go to the tasks; the words beyond these
 (each a small share of all tokens, so no join key is hot) take their counts by a join.
@@ -319,18 +322,78 @@ def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-def _train(table: dict[bytes, int], net: Network, flat: np.ndarray):
+def symbol_type(symbols: int) -> str:
+    return "<u2" if symbols <= 1 << 16 else "<u4"
+
+
+ENCODED = "row long, doc_id long, held_out boolean, lane int, symbols binary, n_tokens long, n_known long, base double, extra double, words array<binary>, times array<int>"
+
+
+def _encode(table: dict[bytes, int], columns: tuple[np.ndarray, np.ndarray, np.ndarray], kind: str, end_base: float):
+    """One row per document: its symbols, and the sums over its tokens that need no network.
+
+    ``table``: word -> place in ``columns`` (symbol, base log10 probability, log10 share of the
+    tail); place 0 stands for every other word, and those are listed with how often they stand."""
+    symbol_of, base_of, extra_of = columns[0].astype(kind), columns[1], columns[2]
+    closing = np.array([END], kind).tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(net, net.unpack(flat))
-        held: list[int] = []
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
+            symbols, sizes, known, base, extra, rare, times, ends = [], [], [], [], [], [], [], [0]
             for raw in common.batches_of(batch, "raw")[0]:
-                held += [table.get(w, TAIL) for w in common.lower_words(raw)]
-                held.append(END)
-                if len(held) >= HELD_TOKENS:
-                    trainer.learn(np.array(held, np.int64))
-                    held = []
-        trainer.learn(np.array(held, np.int64))
+                words = common.lower_words(raw)
+                found = np.array([table.get(w, 0) for w in words], np.int32)
+                hits = int(np.count_nonzero(found))
+                symbols.append(symbol_of[found].tobytes() + closing)
+                sizes.append(len(words) + 1)
+                known.append(hits)
+                base.append(float(base_of[found].sum()) + end_base)
+                extra.append(float(extra_of[found].sum()))
+                if hits < len(words):
+                    counted = Counter([words[i] for i in np.flatnonzero(found == 0).tolist()])
+                    rare += counted
+                    times += counted.values()
+                ends.append(len(rare))
+            n = len(sizes)
+            offsets = pa.array(ends, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(row, row + n), pa.int64()),
+                    *[batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "held_out", "lane")],
+                    pa.array(symbols, pa.binary()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(known, pa.int64()),
+                    pa.array(base, pa.float64()),
+                    pa.array(extra, pa.float64()),
+                    pa.ListArray.from_arrays(offsets, pa.array(rare, pa.binary())),
+                    pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
+                ],
+                names=[c.split()[0] for c in ENCODED.split(", ")],
+            )
+            row += n
+
+    return run
+
+
+def _train(net: Network, kind: str, flat: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer = Trainer(net, net.unpack(flat))
+        held: list[bytes] = []
+        size = 0
+
+        def learn() -> None:
+            nonlocal held, size
+            trainer.learn(np.frombuffer(b"".join(held), kind).astype(np.int64))
+            held, size = [], 0
+
+        for batch in batches:
+            for symbols in common.batches_of(batch, "symbols")[0]:
+                held.append(symbols)
+                size += len(symbols)
+                if size >= HELD_TOKENS * np.dtype(kind).itemsize:
+                    learn()
+        learn()
         if trainer.tokens:
             out = net.pack(trainer.p)
             task = TaskContext.get().partitionId()
@@ -358,58 +421,40 @@ def _mean(rows: pa.Table) -> pa.Table:
 PARTS = "chunk long, task long, tokens long, loss double, values binary"
 
 
-def train_round(docs: DataFrame, table: dict[bytes, int], net: Network, flat: np.ndarray) -> np.ndarray:
-    """One pass over ``docs`` (raw) from the parameters ``flat``: the averaged parameters.  The
+def train_round(docs: DataFrame, net: Network, kind: str, flat: np.ndarray) -> np.ndarray:
+    """One pass over ``docs`` (symbols) from the parameters ``flat``: the averaged parameters.  The
     average is taken in two steps, so that no group holds more than about the root of all tasks."""
-    parts = common.written(docs.mapInArrow(_train(table, net, flat), PARTS), "lm-parts")
+    parts = common.written(docs.select("symbols").mapInArrow(_train(net, kind, flat), PARTS), "lm-parts")
     some = parts.groupBy("chunk", (F.col("task") % 64).alias("lane")).applyInArrow(_mean, PARTS)
     rows = some.groupBy("chunk").applyInArrow(_mean, PARTS).orderBy("chunk").select("values").collect()
     return np.concatenate([np.frombuffer(r["values"], np.float32) for r in rows]) if rows else flat
 
 
-def _score(table: dict[bytes, int], columns: tuple[np.ndarray, np.ndarray, np.ndarray], net: Network, flat: np.ndarray, end_base: float):
-    """One row per document, and one per document and word that is not in ``table``.
+SCORED = "row long, doc_id long, n_tokens long, n_known long, base double, score double"
 
-    ``table``: word -> place in ``columns`` (symbol, base log10 probability, log10 share of the
-    tail); place 0 stands for every other word."""
-    schema = pa.schema(
-        [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("times", pa.int64())]
-    )
+
+def _score(net: Network, kind: str, flat: np.ndarray):
+    """The network's log10 probability of every document, with the columns that go with it."""
+    names = [c.split()[0] for c in SCORED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = net.unpack(flat)
-        symbol_of, base_of, extra_of = columns
-        row = TaskContext.get().partitionId() << 40
-        held: list[tuple] = []
+        held: list[pa.RecordBatch] = []
         tokens = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal held, tokens
-            rows, ids, sizes, known, base, extra, symbols = map(list, zip(*held, strict=True))
-            logs = score_documents(p, net, symbols) / math.log(10) + np.array(extra)
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held, tokens = [], 0
-            n = len(rows)
-            values = [pa.array(x, t) for x, t in ((rows, pa.int64()), (ids, pa.int64()), (sizes, pa.int64()), (known, pa.int64()), (base, pa.float64()), (logs, pa.float64()))]
-            return pa.RecordBatch.from_arrays([*values, pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], schema=schema)
+            symbols, extra = common.batches_of(rows, "symbols", "extra")
+            logs = score_documents(p, net, [np.frombuffer(x, kind).astype(np.int32) for x in symbols]) / math.log(10) + np.array(extra)
+            kept = [rows.column(rows.schema.get_field_index(c)) for c in names[:-1]]
+            return pa.RecordBatch.from_arrays([*kept, pa.array(logs, pa.float64())], names=names)
 
         for batch in batches:
-            of, rare_words, times = [], [], []
-            for doc, raw in zip(*common.batches_of(batch, "doc_id", "raw"), strict=True):
-                words = common.lower_words(raw)
-                found = np.array([table.get(w, 0) for w in words], np.int32)
-                hits = int(np.count_nonzero(found))
-                symbols = np.append(symbol_of[found], np.int32(END))
-                held.append((row, doc, len(words) + 1, hits, float(base_of[found].sum()) + end_base, float(extra_of[found].sum()), symbols))
-                if hits < len(words):
-                    rare = Counter([words[i] for i in np.flatnonzero(found == 0).tolist()])
-                    of += [row] * len(rare)
-                    rare_words += rare
-                    times += rare.values()
-                row += 1
-                tokens += len(symbols)
-            if of:
-                cols = {"row": pa.array(of, pa.int64()), "word": pa.array(rare_words, pa.binary()), "times": pa.array(times, pa.int64())}
-                yield pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(len(of), f.type)) for f in schema], schema=schema)
+            if batch.num_rows:
+                held.append(batch)
+                tokens += sum(common.batches_of(batch, "n_tokens")[0])
             # many documents side by side make the network's steps wide
             if tokens >= SIDE_BY_SIDE:
                 yield flush()
@@ -442,21 +487,20 @@ def score_corpus(docs: DataFrame, held_out: Column, rounds: int = ROUNDS, vocab:
     net = Network(len(own) + 2, max(2, min(classes, len(own) + 2)), hidden)
     symbol = {w: i + 2 for i, (w, _) in enumerate(own)}
     flat = net.pack(net.start(np.array([end_count, max(tail_tokens, 0), *(n for _, n in own)], np.float64)))
-    lane = F.pmod(F.xxhash64("doc_id", F.octet_length("raw")), F.lit(rounds))
-    for r in range(rounds if total else 0):
-        flat = train_round(train.where(lane == r), symbol, net, flat)
     table = {w: i + 1 for i, (w, _) in enumerate(head)}
     logs = np.log10(np.array([n for _, n in head], np.float64) + 0.1)
     symbols = np.array([TAIL, *(symbol.get(w, TAIL) for w, _ in head)], np.int32)
     in_tail = np.concatenate([[False], symbols[1:] == TAIL])
     columns = (symbols, np.concatenate([[0.0], logs - whole]), np.where(in_tail, np.concatenate([[0.0], logs - rest]), 0.0))
-    scored = common.written(
-        docs.select("doc_id", "raw").mapInArrow(
-            _score(table, columns, net, flat, math.log10(end_count + 0.1) - whole), "row long, doc_id long, n_tokens long, n_known long, base double, score double, word binary, times long"
-        ),
-        "lm-scored",
-    )
-    rare = scored.where("word is not null").select("row", "word", "times").join(counts, "word", "left")
+    kind = symbol_type(net.symbols)
+    lane = F.pmod(F.xxhash64("doc_id", F.octet_length("raw")), F.lit(rounds)).cast("int").alias("lane")
+    coding = _encode(table, columns, kind, math.log10(end_count + 0.1) - whole)
+    encoded = common.written(docs.select("doc_id", "raw", "held_out", lane).mapInArrow(coding, ENCODED), "lm-encoded")
+    for r in range(rounds if total else 0):
+        flat = train_round(encoded.where(~F.col("held_out") & (F.col("lane") == r)), net, kind, flat)
+    scored = encoded.select("row", "doc_id", "n_tokens", "n_known", "base", "extra", "symbols").mapInArrow(_score(net, kind, flat), SCORED)
+    listed = encoded.select("row", F.explode(F.arrays_zip("words", "times")).alias("e")).select("row", F.col("e.words").alias("word"), F.col("e.times").alias("times"))
+    rare = listed.join(counts, "word", "left")
     c = F.coalesce("n", F.lit(0))
     share = F.log10(c + F.lit(0.1))
     sums = rare.groupBy("row").agg(
@@ -464,7 +508,7 @@ def score_corpus(docs: DataFrame, held_out: Column, rounds: int = ROUNDS, vocab:
         F.sum(F.col("times") * (share - rest)).alias("rare_score"),
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"),
     )
-    out = scored.where("word is null").join(sums, "row", "left")
+    out = scored.join(sums, "row", "left")
     # whether the end itself is known
     return out.select(
         "doc_id",
