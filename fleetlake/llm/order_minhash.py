@@ -1,10 +1,17 @@
 """Document fingerprints by order MinHash, in DataFrame functions only.
 
 The k-mers of a text (runs of ``WIDTH`` words) are numbered by occurrence, so that a repeated k-mer
-counts as often as it stands there.  For each of ``TUPLES`` hash functions the ``2`` numbered k-mers
-with the smallest hashes are selected, put back into their order in the text, and the pair is
-hashed.  The fingerprint is the list of these hashes; the share of equal ones estimates a similarity
-that falls with the edit distance: it takes account of repeats and of order, unlike a set sketch.
+counts as often as it stands there, and hashed.  Each of ``TUPLES`` constants orders the numbered
+k-mers by their hash exclusive-or the constant (a permutation of the hash values, so each k-mer is as
+likely the first as any other, and constants are independent of each other).  The k-mers are split by
+their hashes into ``GROUPS``; an order looks at the k-mers of one group, or at all of them where the
+group holds fewer than two, so the work is that of ``TUPLES / GROUPS`` orders over the text.  The ``2``
+smallest of an order are selected, put back into their order in the text, and the pair is hashed.  The fingerprint is the list
+of these hashes; the share of equal ones estimates a similarity that falls with the edit distance: it
+takes account of repeats and of order, unlike a set sketch.
+
+A hash and its k-mer's place in the text share one long (the place in the low ``PLACE_BITS``), so
+the smallest of an order is at once where it stands.
 
 Everything for one text is one expression over its own arrays (linear in the text but for one sort),
 evaluated in the scan's tasks: no k-mer is ever shuffled.
@@ -12,6 +19,7 @@ evaluated in the scan's tasks: no k-mer is ever shuffled.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +27,10 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm import common
 
-WIDTH, TUPLES = 3, 8
+WIDTH, TUPLES, GROUPS = 3, 64, 16
+#: Bits of a k-mer's place; more than an array can have elements.
+PLACE_BITS = 28
+PLACES, HASHES = (1 << PLACE_BITS) - 1, -(1 << PLACE_BITS)
 MAX_RANGES = 4096
 
 
@@ -44,71 +55,67 @@ def kmers(text: Column, width: int = WIDTH) -> Column:
     )
 
 
+def constants(tuples: int) -> list[int]:
+    """The orders: random bits above the place."""
+    rng = random.Random(5)
+    return [(rng.getrandbits(64 - PLACE_BITS) - (1 << (63 - PLACE_BITS))) << PLACE_BITS for _ in range(tuples)]
+
+
 def numbered(ordered: Column) -> Column:
-    """One hash of (k-mer, occurrence number) per element of the sorted k-mers, in their order."""
-    starts = F.filter(upto(F.size(ordered)), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
-    return let(
-        starts,
-        lambda s: F.when(F.size(s) == F.size(ordered), F.transform(ordered, lambda x: F.xxhash64(x, F.lit(0)))).otherwise(
-            F.flatten(
-                F.transform(
-                    s,
-                    lambda a, r: F.transform(F.sequence(a, F.coalesce(F.get(s, r + 1), F.size(ordered)) - 1), lambda j: F.xxhash64(F.get(ordered, a), j - a)),
-                )
-            )
-        ),
-    )
+    """From the sorted (k-mer hash, place): (hash of k-mer and occurrence number, place)."""
+
+    def kmer(i: Column) -> Column:
+        return F.get(ordered, i).bitwiseAND(F.lit(HASHES))
 
+    def one(x: Column, h: Column, number: Column) -> Column:
+        return F.xxhash64(h, number).bitwiseAND(F.lit(HASHES)).bitwiseOR(x.bitwiseAND(F.lit(PLACES)))
 
-def _selected(place: Column, ordered: Column, inorder: Column) -> Column:
-    """struct(position in the text, k-mer) of the element at ``place`` of the sorted k-mers."""
+    starts = F.filter(upto(F.size(ordered)), lambda i: (i == 0) | (kmer(i) != kmer(i - 1)))
     return let(
-        F.get(ordered, place),
-        lambda h: let(
-            place - (F.array_position(ordered, h).cast("int") - 1),
-            lambda number: F.struct(
-                F.when(number == 0, F.array_position(inorder, h).cast("int") - 1)
-                .otherwise(F.get(F.filter(upto(F.size(inorder)), lambda i: F.get(inorder, i) == h), number))
-                .alias("at"),
-                h.alias("h"),
-            ),
+        starts,
+        lambda s: F.when(F.size(s) == F.size(ordered), F.transform(ordered, lambda x: one(x, x.bitwiseAND(F.lit(HASHES)), F.lit(0)))).otherwise(
+            F.flatten(F.transform(s, lambda a, r: F.transform(F.sequence(a, F.coalesce(F.get(s, r + 1), F.size(ordered)) - 1), lambda j: one(F.get(ordered, j), kmer(a), j - a))))
         ),
     )
 
 
-def _tuple(hashes: Column, ordered: Column, inorder: Column) -> Column:
-    """Hash of the two selected k-mers in text order (of the only one, if there is one)."""
+def _tuple(base: Column, constant: Column, inorder: Column) -> Column:
+    """Hash of the two first k-mers of an order, as they follow each other in the text (of the only
+    one, if there is one)."""
 
-    def pair(low: Column) -> Column:
-        first = _selected(F.array_position(hashes, low).cast("int") - 1, ordered, inorder)
-        rest = F.array_min(F.filter(hashes, lambda x: x != low))
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(PLACES)).cast("int")
+
+    def pair(hashes: Column, low: Column) -> Column:
         return let(
-            rest,
-            lambda second: F.when(second.isNull(), let(first, lambda a: F.xxhash64(a["h"]))).otherwise(
-                let(
-                    F.array_sort(F.array(first, _selected(F.array_position(hashes, second).cast("int") - 1, ordered, inorder))),
-                    lambda two: F.xxhash64(two[0]["h"], two[1]["h"]),
-                )
+            F.array_min(F.filter(hashes, lambda x: x != low)),
+            lambda second: F.when(second.isNull(), F.xxhash64(F.get(inorder, place(low)))).otherwise(
+                F.xxhash64(F.get(inorder, F.least(place(low), place(second))), F.get(inorder, F.greatest(place(low), place(second))))
             ),
         )
 
-    return let(F.array_min(hashes), pair)
+    return let(F.transform(base, lambda b: b.bitwiseXOR(constant)), lambda hashes: let(F.array_min(hashes), lambda low: pair(hashes, low)))
+
+
+def group_of(x: Column) -> Column:
+    """Group of a hash, from the bits above the place."""
+    return F.pmod(F.shiftright(x, PLACE_BITS), F.lit(GROUPS))
 
 
 def sketch(text: Column, width: int = WIDTH, tuples: int = TUPLES) -> Column:
     """array<bigint> of ``tuples`` hashes; empty for a text without words."""
+    orders = constants(tuples)
+    by_group = F.array(*[F.array(*[F.lit(c).cast("long") for c in orders[g::GROUPS]]) if orders[g::GROUPS] else F.array().cast("array<bigint>") for g in range(GROUPS)])
+
+    def of_group(base: Column, own: Column, g: Column, inorder: Column) -> Column:
+        return let(F.when(F.size(own) < 2, base).otherwise(own), lambda some: F.transform(F.get(by_group, g), lambda c: _tuple(some, c, inorder)))
+
     return let(
         kmers(text, width),
         lambda inorder: F.when(F.size(inorder) == 0, F.array().cast("array<bigint>")).otherwise(
             let(
-                F.sort_array(inorder),
-                lambda ordered: let(
-                    numbered(ordered),
-                    lambda base: F.transform(
-                        F.sequence(F.lit(0), F.lit(tuples - 1)),
-                        lambda r: let(F.transform(base, lambda b: F.xxhash64(b, r)), lambda hashes: _tuple(hashes, ordered, inorder)),
-                    ),
-                ),
+                F.sort_array(F.transform(inorder, lambda h, i: h.bitwiseAND(F.lit(HASHES)).bitwiseOR(i.cast("long")))),
+                lambda ordered: let(numbered(ordered), lambda base: F.flatten(F.transform(upto(F.lit(GROUPS)), lambda g: of_group(base, F.filter(base, lambda x: group_of(x) == g), g, inorder)))),
             )
         ),
     )

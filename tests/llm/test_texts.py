@@ -145,14 +145,19 @@ def brute_sketch(text, width=omh.WIDTH, tuples=omh.TUPLES):
     if not words:
         return []
     grams = [spark_hash(*words[i : i + width]) for i in range(len(words) - width + 1)] if len(words) >= width else [spark_hash(*words)]
-    seen, items = {}, []
+    low = 2**omh.PLACE_BITS
+    runs, items = {}, []
     for at, g in enumerate(grams):
-        items.append((spark_hash(g, seen.get(g, 0)), at, g))
-        seen[g] = seen.get(g, 0) + 1
+        runs.setdefault(g // low, []).append(at)
+    for g, places in runs.items():
+        items += [(spark_hash(Long(g * low), number) // low, at) for number, at in enumerate(places)]
     out = []
-    for r in range(tuples):
-        two = sorted((spark_hash(b, r), at, g) for b, at, g in items)[:2]
-        out.append(spark_hash(*[g for _, at, g in sorted(two, key=lambda x: x[1])]))
+    for g in range(omh.GROUPS):
+        own = [x for x in items if x[0] % omh.GROUPS == g]
+        own = own if len(own) > 1 else items
+        for c in omh.constants(tuples)[g :: omh.GROUPS]:
+            two = sorted((h ^ (c // low), at) for h, at in own)[:2]
+            out.append(spark_hash(*[grams[at] for _, at in sorted(two, key=lambda x: x[1])]))
     return out
 
 
@@ -197,6 +202,22 @@ def test_order_minhash_sees_order(spark):
     assert share(1, 2) < 0.75  # a set sketch would give about 0.98
 
 
+def test_half_edited_texts_lie_above_unrelated_ones(spark):
+    """At the production size: half of the words replaced in place, against texts of other words."""
+    rng = random.Random(7)
+    rows = []
+    for d in range(150):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(400)]
+        fresh = [f"x{rng.randint(0, 10**6)}" for _ in range(200)]
+        rows.append((d, " ".join(words), " ".join(words[:200] + fresh), " ".join(f"y{rng.randint(0, 10**6)}" for _ in range(400))))
+    df = spark.createDataFrame(rows, "doc_id int, a string, half string, other string")
+    s = df.select(*[omh.sketch(F.col(c)).alias(c) for c in ("a", "half", "other")])
+    got = s.select(omh.likeness(F.col("a"), F.col("half")).alias("half"), omh.likeness(F.col("a"), F.col("other")).alias("other")).collect()
+    assert max(r.other for r in got) == 0
+    assert np.mean([r.half > 0 for r in got]) >= 0.99
+    assert 0.05 < np.mean([r.half for r in got]) < 0.5
+
+
 def test_order_minhash_runs_no_python(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = omh.fingerprint_edits(df)._jdf.queryExecution().executedPlan().toString()
