@@ -435,7 +435,7 @@ COMMON = (
     "atlanta mentre estaba jekt slept endless attery uur weakness attempting founder schwe raction compound conve caf handful onne defensive alignment "
     "significance arta perpet caller icients cep stolen focusing bree occasions issement actress jej twisted nicol brasil juice alb softly mck gren "
     "italiano creatures residential instagram ucks killer johnny enterprise chestra tel oust vacuum defect ninete fare regret shar ctrine icit oka "
-    "provision discussions abd ieve olving wohner guidelines straw burden spatial stretched typedef robot pliers mcg arette subsequently honey "
+    "provision discussions abd ieve olving wohner guidelines straw burden spatial stretched typedef pliers mcg arette subsequently honey "
     "establishment tesy islands cken variation azor tuple gravity conclude ethnic compile parl paragraph posite oba pedro fis odox posting racial dishes "
     "asserttrue slid juillet runner colonel curves primo ockets multicolumn hunter othy famille fueron headquarters dign robin meets soit theoretical "
     "plicity camps helen amplit memorial undial lieutenant jefferson servers lyph computers protagon forehead unis signing downtown elihood algorithms hamb "
