@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import heapq
 import io
 import json
 import math
@@ -10,6 +11,7 @@ import random
 import struct
 import zipfile
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -117,63 +119,99 @@ def test_model_beats_the_unigram_base_on_held_out_text(spark):
 # --- 6: Pfair ---------------------------------------------------------------------------------------
 
 
-def test_schedule_keeps_windows_and_less_than_one_block_of_lag():
+def one_pass(blocks, weights):
+    """((source, block) of every slot, times at which the ideal mix has placed 0, 1, 2, ... blocks of
+    each source): the ideal mix phase by phase in fractions, then one heap over all slots."""
+    left = {s: n for s, n in blocks.items() if n > 0}
+    times = {s: [Fraction(0)] for s in left}
+    got, now, running = dict.fromkeys(left, Fraction(0)), Fraction(0), set(left)
+    while running:
+        whole = sum(weights[s] for s in running)
+        step = min((left[s] - got[s]) * whole / weights[s] for s in running)
+        for s in running:
+            rate = weights[s] / whole
+            while len(times[s]) <= left[s] and len(times[s]) <= got[s] + rate * step:
+                times[s].append(now + (len(times[s]) - got[s]) / rate)
+            got[s] += rate * step
+        now += step
+        running = {s for s in running if got[s] < left[s]}
+    jobs = sorted((math.floor(times[s][i]), math.ceil(times[s][i + 1]), s, i) for s in left for i in range(left[s]))
+    out, ready, at = [], [], 0
+    for slot in range(len(jobs)):
+        while at < len(jobs) and jobs[at][0] <= slot:
+            heapq.heappush(ready, jobs[at][1:])
+            at += 1
+        deadline, s, i = heapq.heappop(ready)
+        assert deadline > slot
+        out.append((s, i))
+    return out, times
+
+
+def in_segments(ideal, segment, slots=None):
+    """(source numbers, blocks) of each segment, one after the other."""
+    done = np.zeros(len(ideal.names), np.int64)
+    slots = ideal.slots if slots is None else slots
+    for t0 in range(0, slots, segment):
+        t1 = min(t0 + segment, slots)
+        upto = ideal.advance(t0, t1, done)
+        yield ideal.schedule(t0, t1, done, upto)
+        done = upto
+
+
+def whole_weights(ideal):
+    return {s: Fraction(int(x)) for s, x in zip(ideal.names, ideal.w, strict=True)}
+
+
+def test_segments_make_the_schedule_of_one_pass():
     rng = random.Random(1)
-    for _ in range(120):
-        k = rng.randint(1, 8)
-        weights = {f"s{i}": rng.random() ** 3 for i in range(k)}
-        share = mix.shares(weights, rng.choice([8, 50, 512]))
-        assert min(share.values()) >= 1
-        order = mix.schedule(share)
-        n, done = len(order), dict.fromkeys(share, 0)
-        assert n == sum(share.values())
-        for slot, (s, i) in enumerate(order):
-            release, deadline = mix.windows(share[s], n)[i]
-            assert done[s] == i
-            assert release <= slot < deadline
-            done[s] += 1
-            assert all(abs(done[q] - (slot + 1) * share[q] / n) < 1 for q in share)
-
-
-def test_lag_against_the_target_weights_stays_below_two_blocks():
-    rng = random.Random(6)
-    for weights, cycle in (
-        ({f"s{i}": 1.0 for i in range(20)}, 4096),
-        ({"a": 1.0, "b": 1.0, "c": 1.0, "tiny": 1e-4}, 512),
-        ({f"s{i}": rng.random() ** 3 for i in range(9)}, 64),
-    ):
-        total = sum(weights.values())
-        slots = 60 * cycle
-        done, at = dict.fromkeys(weights, 0), 0
-        for ph in mix.phases({s: 2 * slots for s in weights}, weights, cycle):
-            for s, i in ph["order"][: ph["length"]]:
-                assert ph["first"][s] + i == done[s]
-                done[s] += 1
-                at += 1
-                if at % 37 == 0:
-                    assert all(abs(done[q] - at * weights[q] / total) < 2 for q in weights)
-            assert all(abs(done[q] - at * weights[q] / total) < 1 for q in weights)
-            if at >= slots:
-                break
-        assert at >= slots
-
-
-def test_phases_place_every_block_once():
-    rng = random.Random(2)
-    for _ in range(60):
-        blocks = {f"s{i}": rng.randint(0, 300) for i in range(rng.randint(1, 6))}
-        weights = {s: rng.random() for s in blocks}
-        done, slot = dict.fromkeys(blocks, 0), 0
-        for ph in mix.phases(blocks, weights, 64):
-            assert ph["slot"] == slot
-            assert ph["first"] == {s: done[s] for s in ph["first"]}
-            for j in range(ph["length"]):
-                done[ph["order"][j % len(ph["order"])][0]] += 1
-            slot += ph["length"]
-        assert done == blocks
-
-
-def brute_mix(rows, weights, block_chars, cycle):
+    for _ in range(150):
+        blocks = {f"s{i:03d}": rng.choice([0, 1, 3, rng.randint(1, 60)]) for i in range(rng.choice([1, 2, 5, 20, 60]))}
+        draw = rng.choice([lambda: 1.0, lambda: rng.random() + 1e-3, lambda: float(rng.randint(1, 5)), lambda: rng.choice([1.0, 1e-4])])
+        ideal = mix.Ideal(blocks, {s: draw() for s in blocks})
+        want, times = one_pass(blocks, whole_weights(ideal))
+        got = [(ideal.names[s], int(b)) for part in in_segments(ideal, rng.choice([1, 2, 3, 7, 16, 64, 1000])) for s, b in zip(*part, strict=True)]
+        assert got == want
+        # every prefix within less than one block of the ideal mix, ends of sources included
+        for slot, (s, i) in enumerate(got):
+            assert times[s][i] < slot + 1 and times[s][i + 1] > slot
+
+
+@pytest.mark.parametrize("kind", ["20 equal", "37 random", "1000 tiny", "1000 tiny and 3 large"])
+def test_lag_against_the_target_weights_stays_below_one_block(kind):
+    rng = random.Random(8)
+    weights = {
+        "20 equal": [1.0] * 20,
+        "37 random": [rng.random() + 1e-6 for _ in range(37)],
+        "1000 tiny": [1.0] * 1000,
+        "1000 tiny and 3 large": [1.0] * 1000 + [5e5, 3e5, 1e3],
+    }[kind]
+    total, slots = sum(weights), 1_000_000
+    names = [f"{i:04d}" for i in range(len(weights))]
+    ideal = mix.Ideal({s: int(2 * slots * w / total) + 2 for s, w in zip(names, weights, strict=True)}, dict(zip(names, weights, strict=True)))
+    source = np.concatenate([s for s, _ in in_segments(ideal, mix.SEGMENT, slots)])
+    assert len(source) == slots
+    whole = int(ideal.w.sum())
+    for j, w in enumerate(weights):
+        # the lag is greatest just before and just after a block; in whole numbers, hence without rounding
+        at, part = np.flatnonzero(source == j), int(ideal.w[j])
+        before = np.arange(len(at)) * whole - at * part
+        assert abs(before).max(initial=0) < whole and abs(before + whole - part).max(initial=0) < whole
+        assert abs(len(at) * whole - slots * part) < whole
+        # the weights as given: what rounding them moves is below a millionth of a block
+        assert slots * abs(part / whole - w / total) < 1e-6
+
+
+def test_rounded_weights_and_sources_without_a_weight():
+    ideal = mix.Ideal({"a": 5, "b": 5, "c": 5, "d": 0}, {"a": 0.5, "b": 0.25, "c": -1.0, "x": 9.0})
+    assert ideal.names == ["a", "b", "c"] and ideal.slots == 15
+    assert np.allclose(ideal.w / ideal.w.sum(), [0.5, 0.25, 0.25], atol=1e-12)
+    big = mix.Ideal({"a": 10**9, "b": 7 * 10**8}, {"a": 0.3, "b": 0.7})
+    assert int(big.w.sum()) * big.slots < 1 << 62
+    assert int(big.placed(10**9)[0].sum()) in (10**9, 10**9 - 1)
+    assert mix.Ideal({}, {}).slots == 0
+
+
+def brute_mix(rows, weights, block_chars):
     """One source after the other, one slot after the other."""
     by = collections.defaultdict(list)
     for r in rows:
@@ -184,16 +222,9 @@ def brute_mix(rows, weights, block_chars, cycle):
         for r in sorted(docs, key=lambda r: ((r.order_key % (1 << 64) >> 40) % mix.RANGES, r.order_key, r.doc_id or -1, r.n_chars)):
             blocks.setdefault((s, place // block_chars), []).append((r.doc_id, place))
             place += r.n_chars
-        by[s] = place
-    plan = mix.phases({s: max(1, -(-n // block_chars) + (n % block_chars == 0)) for s, n in by.items()}, weights, cycle)
-    slots, slot = {}, 0
-    for ph in plan:
-        at = dict(ph["first"])
-        for j in range(ph["length"]):
-            s, _ = ph["order"][j % len(ph["order"])]
-            slots[s, at[s]] = slot
-            at[s] += 1
-            slot += 1
+        by[s] = max(1, -(-place // block_chars) + (place % block_chars == 0))
+    order, _ = one_pass(by, whole_weights(mix.Ideal(by, weights)))
+    slots = {b: slot for slot, b in enumerate(order)}
     return sorted((slots[b], place, d if d is not None else -1) for b, docs in blocks.items() for d, place in docs)
 
 
@@ -203,16 +234,15 @@ def test_mix_matches_a_sequential_mix(spark):
     rows += [(1000, None, "d"), (None, "yy", "a"), (1001, "y" * 5000, "b")]
     df = spark.createDataFrame([(d, t, s, 1, 2) for d, t, s in rows], "doc_id long, text string, source string, block int, slot int")
     weights = {"a": 0.2, "b": 0.5, "c": 0.2, "d": 0.05, "": 0.05}
-    got = mix.mix(df, weights, block_chars=500, cycle=64).collect()
-    assert sorted((r.slot, r.place, r.doc_id if r.doc_id is not None else -1) for r in got) == brute_mix(got, weights, 500, 64)
+    got = mix.mix(df, weights, block_chars=500, segment=16).collect()
+    assert sorted((r.slot, r.place, r.doc_id if r.doc_id is not None else -1) for r in got) == brute_mix(got, weights, 500)
     assert collections.Counter(r.doc_id for r in got) == collections.Counter(d for d, _, _ in rows)
     # while no source has run out, each is within one block of its share
-    share = mix.shares(weights, 64)
     first = [r for r in got if r.phase == 0]
     end = max(r.slot for r in first) + 1
     for s in weights:
         used = {r.block for r in first if r.source == s}
-        assert len(used) <= end * share[s] / 64 + 1
+        assert len(used) <= end * weights[s] + 1
     assert mix.mix(df.limit(0)).collect() == []
 
 
@@ -220,7 +250,7 @@ def test_many_small_sources_share_a_place(spark, monkeypatch):
     monkeypatch.setattr(mix, "MAX_SOURCES", 4)
     rows = [(i, "x" * (1000 if i % 7 < 3 else 30), f"s{i % 7}") for i in range(700)]
     for weights in (None, {f"s{i}": 1.0 for i in range(7)}):
-        got = mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights, block_chars=500, cycle=64).collect()
+        got = mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights, block_chars=500, segment=64).collect()
         assert collections.Counter((r.doc_id, r.source) for r in got) == collections.Counter((d, s) for d, _, s in rows)
         by_slot = collections.defaultdict(set)
         for r in got:
@@ -236,7 +266,7 @@ def test_registered_mix_matches_a_sequential_mix(spark):
     for r in got:
         totals[r.source] += r.n_chars
     weights = {s: float(max(n, 1)) ** 0.7 for s, n in totals.items()}
-    assert sorted((r.slot, r.place, r.doc_id) for r in got) == brute_mix(got, weights, mix.BLOCK_CHARS, mix.CYCLE)
+    assert sorted((r.slot, r.place, r.doc_id) for r in got) == brute_mix(got, weights, mix.BLOCK_CHARS)
 
 
 # --- 7: WARC in ZIP ---------------------------------------------------------------------------------
