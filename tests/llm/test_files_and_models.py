@@ -9,6 +9,7 @@ import json
 import math
 import random
 import struct
+import time
 import zipfile
 import zlib
 from fractions import Fraction
@@ -307,7 +308,7 @@ def records(n):
     out = [wz.gzip_member(wz.warc_record(i, f"http://x/{i}", "1970-01-01T00:00:00Z", digest(b"p%d" % i), len(b"p%d" % i), b"p%d" % i, None)) for i in range(n)]
     index, at = [], 0
     for r in out:
-        index.append({"offset": at, "length": len(r)})
+        index.append(wz.index_line(f"http://x/{len(index)}", "1970-01-01T00:00:00Z", "", at, len(r), False))
         at += len(r)
     return out, index
 
@@ -341,10 +342,7 @@ def test_directory_zip64_and_missing_index():
         ranges = wz.record_ranges(read, len(raw), range_bytes=600)
         got = []
         for r in ranges:
-            at = r["start"]
-            for n in r["lengths"]:
-                got.append(wz.parse_record(zlib.decompress(read(at, n), 31)))
-                at += n
+            got += [wz.parse_record(x) for x in wz.split_records(wz.windows(read, r["start"], r["length"], 50), True)]
         assert len(ranges) > 1
         assert [(g["page_id"], g["payload"]) for g in got] == [(i, b"p%d" % i) for i in range(7)]
     bare = io.BytesIO()
@@ -353,8 +351,7 @@ def test_directory_zip64_and_missing_index():
         z.writestr("archive/b.warc", b"".join(zlib.decompress(r, 31) for r in out))
     raw = bare.getvalue()
     for r in wz.record_ranges(lambda at, n: raw[at : at + n], len(raw)):
-        assert r["lengths"] is None
-        found = wz.split_records(raw[r["start"] : r["start"] + r["length"]], r["member"].endswith(".gz"))
+        found = wz.split_records([raw[r["start"] : r["start"] + r["length"]]], r["member"].endswith(".gz"))
         assert [wz.parse_record(x)["payload"] for x in found] == [b"p%d" % i for i in range(7)]
     with pytest.raises(ValueError, match="not a ZIP"):
         wz.members(lambda at, n: b"x" * n, 100)
@@ -363,6 +360,116 @@ def test_directory_zip64_and_missing_index():
         wz.parse_record(broken)
 
 
+def plain_record(kind, ident, block, content="application/http;msgtype=response", digest_of=None):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{ident}>", f"Content-Type: {content}", f"Content-Length: {len(block)}"]
+    if digest_of:
+        lines.append(f"WARC-Payload-Digest: {digest_of}")
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def foreign_archive():
+    """An archive as other programs write it: several members, records of other types that no index
+    names, keyed index lines in several files and forms, digests in other forms."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n2;x=y\r\nde\r\n0\r\n\r\n"
+    first = [
+        plain_record("warcinfo", "info", b"software: x\r\n", "application/warc-fields"),
+        plain_record("response", "a", http + b"A" * 300, digest_of="sha1:" + digest(b"A" * 300)),
+        plain_record("request", "a-req", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", "application/http; msgtype=request"),
+        plain_record("response", "b", chunked, digest_of="sha1:" + hashlib.sha1(b"abcde").hexdigest()),
+        plain_record("resource", "c", b"not http\r\n\r\nat all", "text/plain", digest_of="sha256:00"),
+    ]
+    second = [plain_record("response", f"s{i}", http + b"S%d" % i) for i in range(5)]
+    third = [plain_record("response", f"t{i}", http + b"T%d" % i) for i in range(4)]
+    parts = {"one.warc.gz": [wz.gzip_member(r) for r in first], "two.warc": second, "three.warc.gz": [wz.gzip_member(b"".join(third))]}
+    places = {}
+    for name, records_of in parts.items():
+        places[name] = [(sum(map(len, records_of[:i])), len(r)) for i, r in enumerate(records_of)]
+    line = lambda key, name, i, **more: f"{key} 20200101000000 " + json.dumps({"url": "http://x/{y z}", "offset": str(places[name][i][0]), "length": str(places[name][i][1]), "filename": name, **more})
+    cdxj = "!meta 1\n" + "\n".join([line("com,x)/{y}", "one.warc.gz", 1), line("com,x)/b", "one.warc.gz", 3), line("com,x)/gone", "one.warc.gz", 3).replace("one.warc.gz", "elsewhere.warc.gz")])
+    cdx = " CDX N b a m s k r M S V g\n" + "".join(f"com,x)/s 20200101000000 http://x/s text/html 200 - - - {n} {at} two.warc\n" for at, n in places["two.warc"][2:4])
+    old = f"com,x)/s 20200101000000 http://x/s text/html 200 - - {places['two.warc'][4][0]} two.warc\n"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("datapackage.json", "{}")
+        for name, records_of in parts.items():
+            z.writestr(f"archive/{name}", b"".join(records_of))
+        z.writestr("indexes/index.cdxj", cdxj, zipfile.ZIP_DEFLATED)
+        z.writestr("indexes/more.cdx.gz", wz.gzip_member(cdx.encode()[:60]) + wz.gzip_member(cdx.encode()[60:]))
+        z.writestr("indexes/old.cdx", old)
+    ids = ["info", "a", "a-req", "b", "c"] + [f"s{i}" for i in range(5)] + [f"t{i}" for i in range(4)]
+    return out.getvalue(), ids
+
+
+def test_archives_of_other_programs(spark, tmp_path):
+    raw, ids = foreign_archive()
+    for k, form in enumerate((raw, zip64_of(raw))):
+        (tmp_path / f"{k}.wacz").write_bytes(form)
+        for range_bytes in (1, 400, wz.RANGE_BYTES):
+            ranges = wz.record_ranges(lambda at, n, form=form: form[at : at + n], len(form), range_bytes)
+            for name in ("one.warc.gz", "two.warc", "three.warc.gz"):
+                mine = [r for r in ranges if r["member"] == f"archive/{name}"]
+                _, at, length = wz.members(lambda at, n, form=form: form[at : at + n], len(form))[f"archive/{name}"]
+                assert [r["start"] for r in mine] == [at, *[r["start"] + r["length"] for r in mine[:-1]]]
+                assert sum(r["length"] for r in mine) == length
+            if range_bytes == 1:
+                assert len(ranges) == 5 + 4 + 1  # around every indexed record; one without index
+    manifest = spark.createDataFrame([(f"file://{tmp_path}/{k}.wacz", "clash", 3) for k in range(2)], "path string, payload string, page_id int")
+    got = wz.read_packages(manifest).collect()
+    assert collections.Counter(r.record_id for r in got) == collections.Counter({f"urn:uuid:{i}": 2 for i in ids})
+    by = {r.record_id.removeprefix("urn:uuid:"): r for r in got}
+    assert {r.page_id for r in got} == {None}
+    assert bytes(by["a"].payload) == b"A" * 300 and by["a"].payload_digest == digest(b"A" * 300)
+    assert bytes(by["b"].payload) == b"abcde" and by["b"].payload_digest == digest(b"abcde")
+    assert bytes(by["c"].payload) == b"not http\r\n\r\nat all"
+    assert by["info"].record_type == "warcinfo" and by["a-req"].payload_bytes == 0
+    assert [bytes(by[f"t{i}"].payload) for i in range(4)] == [b"T%d" % i for i in range(4)]
+    assert wz.read_packages(manifest.limit(0)).collect() == []
+
+
+def test_index_lines():
+    assert wz.url_key("http://www.Example.com:8080/A?b=C d") == "com,example:8080)/a?b=c%20d"
+    assert wz.url_key(None) == "-" and wz.url_key("urn:page:3") == "urn:page:3"
+    line = wz.index_line("http://x.org/{a b}", "2020-01-02T03:04:05Z", "D", 7, 9, True)
+    assert line.startswith("org,x)/{a%20b} 20200102030405 {")
+    assert wz.index_entries("i.cdxj", (line + "\r\n\n").encode()) == [(7, 9, "data.warc.gz")]
+    assert wz.index_entries("i.json", b'{"offset": 1}') == [(1, None, None)]
+    with pytest.raises(ValueError, match="not an index line"):
+        wz.index_entries("i.cdx", b"a b c")
+    with pytest.raises(ValueError, match="outside"):
+        raw = wz.package([b"x"], [wz.index_line("u", "", "", 5, 9, False)])
+        wz.record_ranges(lambda at, n: raw[at : at + n], len(raw))
+
+
+def test_many_records_without_an_index_are_split_in_linear_time():
+    one = plain_record("response", "x", b"HTTP/1.1 200 OK\r\n\r\n" + b"y" * 400)
+    for gzipped, record in ((False, one), (True, wz.gzip_member(one))):
+        raw = record * 100_000
+        begun = time.process_time()
+        pieces = wz.windows(lambda at, n, raw=raw: raw[at : at + n], 0, len(raw))
+        assert sum(1 for x in wz.split_records(pieces, gzipped) if len(x) == len(one) - 4) == 100_000
+        assert time.process_time() - begun < 20
+    for cut in (one[:-10], one + b"junk\r\n\r\n"):
+        with pytest.raises(ValueError, match=r"ends early|not a WARC"):
+            list(wz.split_records([cut], False))
+    with pytest.raises(ValueError, match="ends early"):
+        list(wz.split_records([wz.gzip_member(one)[:-9]], True))
+
+
+def test_hot_and_cold_payloads_find_the_same_response(spark, monkeypatch):
+    rows = [(i if i % 11 else None, f"u{i}", f"p{min(i % 40, 9)}") for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    kinds = []
+    for part in (1, 5, 1000):  # none, some and all of the repeated payloads are hot
+        monkeypatch.setattr(wz, "HOT_PART", part)
+        manifest = wz.write_packages(df, common.as_uri(common.scratch_path(spark, "warc-hot")))
+        kinds.append(collections.Counter((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in wz.read_packages(manifest, with_payload=False).collect()))
+    assert kinds[0] == kinds[1] == kinds[2]
+    top = {h: max(p for p, _, x in rows if x == h and p is not None) for _, _, h in rows}
+    want = collections.Counter((p, digest(h.encode()), "response" if p == top[h] else "revisit", None if p == top[h] else top[h]) for p, _, h in rows)
+    assert kinds[0] == want
+
+
 # --- 8: pieces --------------------------------------------------------------------------------------
 
 
