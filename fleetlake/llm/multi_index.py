@@ -2,15 +2,16 @@
 
 A vector is normalised and cut into two halves; each half has its own codebook, and the product of
 the two codebooks is a grid of cells.  Every vector is stored in the cell of its nearest centroids
-and visits the cells around it in the order of their distance (multi-sequence traversal over the
-two sorted lists of half-distances) until the target recall is reached; vectors that meet in a
-cell are verified by cosine in double precision.
+and visits the cells around it in the order of their distance (multi-sequence traversal: a heap over the
+frontier of the two sorted lists of half-distances) until the target recall is reached; vectors that
+meet in a cell are verified by cosine in double precision.
 
 Distance of a vector to a cell: in each half, the distance to the bisecting plane between its own
 centroid and the cell's.  For a pair at distance ``d`` the two such distances add up to at most the
 pair's displacement across the plane, so one of the two vectors needs to look no further than half
 of it; with a displacement of no preferred direction that is normal with deviation
-``d / sqrt(dim)``, which turns the target recall into a radius.
+``d / sqrt(dim)``, which turns the target recall into a radius.  Where pairs of the sample, turned
+towards each other, need a larger one to be met as often, the larger one is taken.
 
 Bounds: the codebooks are fitted on at most ``FIT_ROWS`` vectors (those with the smallest id
 hashes) and have at most ``MAX_CENTROIDS`` entries each, so what every task receives is bounded;
@@ -20,6 +21,8 @@ bounded size; a tile returns link counts and a spanning forest, never its pairs.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -66,14 +69,29 @@ def plane_distances(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, n
     return own, np.maximum(gap, 0) / np.maximum(apart, 1e-300)
 
 
-def multi_sequence(first: np.ndarray, second: np.ndarray, radius: float) -> list[tuple[int, int]]:
-    """Cells (i, j) with first[i]**2 + second[j]**2 <= radius**2, nearest first in each list:
-    the two lists are walked in ascending order and a row ends at the first cell beyond the radius."""
-    a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
-    sa, sb = first[a] ** 2, second[b] ** 2
-    limit = radius * radius
-    ends = np.searchsorted(sb, limit - sa[sa <= limit], side="right")
-    return [(int(i), int(j)) for i, end in zip(a, ends, strict=False) for j in b[:end]]
+def multi_sequence(first: np.ndarray, second: np.ndarray) -> Iterator[tuple[float, int, int]]:
+    """(squared distance, i, j) of the cells of the grid in ascending order of
+    first[i]**2 + second[j]**2, one by one, as far as the caller asks.
+
+    The heap holds the frontier of the two sorted lists: a cell enters it once the cells before it
+    in its row and in its column have left, so that it never holds more than one cell of a row."""
+    a, b = np.argsort(first, kind="stable").tolist(), np.argsort(second, kind="stable").tolist()
+    sa, sb = (first[a] ** 2).tolist(), (second[b] ** 2).tolist()
+    width = [0] * len(a)  # cells of each row that have left
+    heap = [(sa[0] + sb[0], 0, 0)] if a and b else []
+    while heap:
+        d, i, j = heapq.heappop(heap)
+        yield d, a[i], b[j]
+        width[i] = j + 1
+        if i + 1 < len(a) and width[i + 1] == j:
+            heapq.heappush(heap, (sa[i + 1] + sb[j], i + 1, j))
+        if j + 1 < len(b) and (i == 0 or width[i - 1] > j + 1):
+            heapq.heappush(heap, (sa[i] + sb[j + 1], i, j + 1))
+
+
+def cells_within(first: np.ndarray, second: np.ndarray, radius: float) -> list[tuple[int, int]]:
+    """The nearest cells up to the first one beyond the radius."""
+    return [(i, j) for _, i, j in itertools.takewhile(lambda x: x[0] <= radius * radius, multi_sequence(first, second))]
 
 
 def search_radius(threshold: float, dim: int, target_recall: float) -> float:
@@ -86,6 +104,34 @@ def search_radius(threshold: float, dim: int, target_recall: float) -> float:
     return min(distance / math.sqrt(2), distance / math.sqrt(dim) * math.sqrt(math.log(planes / (1 - target_recall)) / 2)) + 1e-12
 
 
+def measured_radius(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], threshold: float, target_recall: float, seed: int = 11) -> float:
+    """The radius at which the wanted part of probe pairs is met.  A probe is a vector of the sample
+    and itself turned, until their cosine is the threshold, towards another vector: one at random
+    and one of the same or a neighbouring cell, so along the directions in which these vectors
+    differ, which need not be as even as ``search_radius`` assumes."""
+    half = books[0].shape[1]
+    homes = [squared_distances(part, book).argmin(axis=1) for part, book in zip((x[:, :half], x[:, half:]), books, strict=True)]
+    near = np.empty(len(x), np.int64)
+    order = np.lexsort((homes[1], homes[0]))
+    near[order] = np.roll(order, 1)
+    needed = [np.zeros(1)]
+    for partner in (np.random.default_rng(seed).permutation(len(x)), near):
+        for at in range(0, len(x), 1024):
+            here, there = x[at : at + 1024], x[partner[at : at + 1024]]
+            aside = there - (here * there).sum(axis=1, keepdims=True) * here
+            size = np.sqrt((aside * aside).sum(axis=1))
+            some = size > 1e-9
+            here, aside = here[some], aside[some] / size[some, None]
+            turned = threshold * here + math.sqrt(max(0.0, 1 - threshold * threshold)) * aside
+            ways = np.zeros((2, len(here)))
+            rows = np.arange(len(here))
+            for lo, hi, book in ((0, half, books[0]), (half, x.shape[1], books[1])):
+                (own, far), (home, back) = plane_distances(here[:, lo:hi], book), plane_distances(turned[:, lo:hi], book)
+                ways += np.stack([far[rows, home], back[rows, own]]) ** 2
+            needed.append(np.sqrt(ways.min(axis=0)))
+    return float(np.quantile(np.concatenate(needed), min(1.0, target_recall), method="higher"))
+
+
 def _unit(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
     x = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
@@ -112,7 +158,7 @@ def _place(books: tuple[np.ndarray, np.ndarray], radius: float, dim: int):
                 row.append(i)
                 cell.append(int(own1[i]) * width + int(own2[i]))
                 role.append(0)
-                for a, b in multi_sequence(far1[i], far2[i], radius):
+                for a, b in cells_within(far1[i], far2[i], radius):
                     row.append(i)
                     cell.append(a * width + b)
                     role.append(1)
@@ -203,7 +249,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, target_r
     half = max(1, dim // 2)
     size = min(MAX_CENTROIDS, max(1, round(math.sqrt(count / PER_CELL))))
     books = (fit_codebook(x[:, :half], size), fit_codebook(x[:, half:], size) if dim > half else np.zeros((1, 0)))
-    radius = search_radius(threshold, dim, target_recall)
+    # never beyond the radius that meets every pair
+    radius = min(search_radius(threshold, dim, 1.0), max(search_radius(threshold, dim, target_recall), measured_radius(x, books, threshold, target_recall) + 1e-12))
 
     places = common.written(classes.mapInArrow(_place(books, radius, dim), "cell long, role int, rep long"), "multi-index-places")
     sizes = places.groupBy("cell").agg(

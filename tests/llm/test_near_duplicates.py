@@ -1,5 +1,6 @@
 """Operators 1 and 3 against brute force, and their edge cases."""
 
+import itertools
 import random
 import re
 
@@ -172,10 +173,34 @@ def test_vectors_edge_cases(spark):
     assert [tuple(r) for r in mi.near_duplicate_vectors(df.where("vec_id = 2")).collect()] == [(2, 0, 2, True)]
 
 
-def test_multi_sequence_visits_all_cells_within_the_radius():
+def test_multi_sequence_gives_every_cell_nearest_first():
     rng = np.random.default_rng(0)
-    a, b = rng.random(9), rng.random(7)
-    want = {(i, j) for i in range(9) for j in range(7) if a[i] ** 2 + b[j] ** 2 <= 0.25}
-    got = mi.multi_sequence(a, b, 0.5)
-    assert set(got) == want
-    assert len(got) == len(want)
+    for n, m in ((1, 1), (1, 6), (9, 7), (20, 3)):
+        a, b = rng.integers(0, 5, n) / 4, rng.random(m)  # with ties
+        got = list(mi.multi_sequence(a, b))
+        assert sorted((i, j) for _, i, j in got) == [(i, j) for i in range(n) for j in range(m)]
+        assert [d for d, _, _ in got] == sorted(d for d, _, _ in got)
+        assert all(d == a[i] ** 2 + b[j] ** 2 for d, i, j in got)
+        within = mi.cells_within(a, b, 0.5)
+        assert set(within) == {(i, j) for i in range(n) for j in range(m) if a[i] ** 2 + b[j] ** 2 <= 0.25}
+    # a few nearest cells of a large grid are found without walking over it
+    far = np.arange(1000.0)
+    assert [(i, j) for _, i, j in itertools.islice(mi.multi_sequence(far, far), 3)] == [(0, 0), (0, 1), (1, 0)]
+    assert list(mi.multi_sequence(far[:0], far)) == []
+
+
+def test_pairs_that_differ_along_few_directions_are_met(spark, monkeypatch):
+    """Vectors of 64 components that lie near a plane of three: the radius for even displacements is
+    too small for them, the one measured on the sample is not."""
+    monkeypatch.setattr(mi, "PER_CELL", 4)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 3)) @ np.linalg.qr(rng.normal(size=(64, 3)))[0].T + rng.normal(size=(700, 64)) * 1e-3
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    books = (mi.fit_codebook(unit[:, :32], 13), mi.fit_codebook(unit[:, 32:], 13))
+    even, measured = mi.search_radius(0.95, 64, 0.9), mi.measured_radius(unit, books, 0.95, 0.999)
+    assert even < measured <= mi.search_radius(0.95, 64, 1.0)
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in mi.near_duplicate_vectors(df, 0.95, 0.999).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.999 * want.sum() > 0
