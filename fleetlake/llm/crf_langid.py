@@ -295,7 +295,7 @@ def calibrate(model: Model, raws: list[bytes], labels: list[str], seed: int = 7)
     if len(model.langs) < 2 or not texts:
         return
     rng = np.random.default_rng(seed)
-    letters = sorted({c for raw, _ in texts for c in raw[:2000].decode("utf-8", "ignore").lower() if c.isalpha()})
+    letters = sorted(c for c in set().union(*(raw.decode("utf-8", "ignore").lower() for raw, _ in texts)) if c.isalpha())
     noise = [" ".join("".join(rng.choice(letters, int(rng.integers(2, 10)))) for _ in range(NOISE_WORDS)).encode() for _ in range(NOISE_TEXTS)]
     _, _, below = judge(model, noise)
     langs, scores, sure = judge(model, [raw for raw, _ in texts])

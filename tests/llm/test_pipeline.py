@@ -132,7 +132,9 @@ def test_token_stage(steps):
     assert all(r["n_tokens"] == len(r["input_ids"]) for r in after)
 
 
-def test_token_stage_keeps_the_order_of_the_mix(spark):
+@pytest.mark.parametrize("broadcast_files", [stages.BROADCAST_FILES, 0])
+def test_token_stage_keeps_the_order_of_the_mix(spark, monkeypatch, broadcast_files):
+    monkeypatch.setattr(stages, "BROADCAST_FILES", broadcast_files)
     docs = spark.createDataFrame([(i, "some words " * (i * 7 % 90 + 1), "en", f"s{i % 5}", 1) for i in range(500)], "doc_id long, text string, lang string, source string, n_chars long")
     for parts in (1, 12):
         before, again = written(docs.repartition(parts, "doc_id"))
