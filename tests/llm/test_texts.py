@@ -309,3 +309,44 @@ def test_runs_of_long_texts_are_whole_words():
 def test_single_language(spark):
     df = spark.createDataFrame([(1, EN, "en"), (2, EN, "en")], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.lang_score) for r in lid.label_documents(df, lid.fit_on(df)).collect()} == {("en", 1.0)}
+
+
+def test_every_labelled_row_is_learned_whole(spark):
+    rare = [f"wort{i}q" for i in range(60)]
+    rows = [(i, f"{EN} {i}", "en") for i in range(3000)] + [(3000 + i, f"{DE} {rare[i % 60] if i < 240 else i}", "de") for i in range(3000)]
+    rows += [(9000 + i, EN + " the words of a long text" * 1000 + " midst " + " and the other half of it" * 1000, "en") for i in range(4)]
+    model = lid.fit_on(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    words = [w.encode() for w in [*rare, "midst"]]
+    at, found = model.lookup(words)
+    assert found.all()
+    assert {model.langs[i] for i in model.lexical[at[:-1]].argmax(axis=1)} == {"de"}
+    assert model.langs[model.lexical[at[-1]].argmax()] == "en"
+
+
+def test_group_models_are_averaged_and_thresholds_come_from_all_rows(spark):
+    rng = np.random.default_rng(3)
+    texts = {lang: text.split() for lang, text in (("en", EN), ("de", DE), ("fr", "le vif renard brun saute par dessus le chien paresseux et le chat"))}
+    rows = [(i if i % 50 else None, " ".join(rng.choice(texts[lang], int(rng.integers(1, 30)))), lang) for i in range(400) for lang in ["en", "en", "de", "fr"][i % 4 : i % 4 + 1]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", F.encode("text", "UTF-8").alias("raw"))
+    slots, points = lid.count_words(df)
+    words = [w.encode() for _, text, _ in rows for w in text.split()]
+    assert (slots == np.bincount(lid.lexicon_slots(words), minlength=lid.LEXICON_SLOTS)).all()
+    assert {chr(c) for c in np.flatnonzero(points)} == {c for w in words for c in w.decode()} | {" "}
+    lexicon = np.flatnonzero(slots >= lid.LEXICON_COUNT).astype(np.uint32)
+    groups = 5
+    model, *folds = lid.train(df.repartition(7), ["de", "en", "fr"], lexicon, groups, folds=2)
+    dealt = df.select("*", F.xxhash64("doc_id", "raw", "lang").alias("key"), lid.group_of(groups).alias("group")).orderBy("key").collect()
+    parts = []
+    for g in range(groups):
+        mine = [r for r in dealt if r.group == g]
+        parts.append(lid.fit_group([bytes(r.raw) for r in mine], [r.lang for r in mine], ["de", "en", "fr"], lexicon))
+    for got, of in ((model, range(5)), (folds[0], range(3)), (folds[1], range(3, 5))):
+        for name, weights in (("grams", [p[1] for p in parts]), ("lexical", [p[2] for p in parts]), ("moves", [np.full(3, p[3]) for p in parts])):
+            total = sum(getattr(parts[g][0], name) * weights[g][:, None] for g in of)
+            assert np.allclose(getattr(got, name), total / np.maximum(sum(weights[g] for g in of), 1)[:, None], atol=1e-4), name
+    lid.calibrate(model, folds, df.withColumn("fold", F.floor(lid.group_of(groups) * 2 / groups).cast("int")), list("abc"))
+    scores = {lang: [] for lang in texts}
+    for r in dealt:
+        scores[r.lang] += lid.predict(folds[1 - (r.group * 2 // groups)], [bytes(r.raw)])[1]
+    below = [sum(np.mean(np.array(scores[lang]) < bound) for lang in scores) / 3 for bound in (model.clear, model.clear + 1 / lid.STEPS)]
+    assert below[0] <= 0.05 + 1e-9 and below[1] >= 0.05 - 1e-9 and model.clear > 0.8 and 0 < model.floor < 1
