@@ -37,6 +37,9 @@ from fleetlake.llm import common
 MAX_LANGS = 128
 #: Bytes of text in a group of rows; a group of equal rows is cut at twice that.
 GROUP_BYTES = 8 << 20
+#: Bytes of Arrow batches that are judged at once: documents of one language repeat their words, and a
+#: step over many sequences costs little more than one over a few.
+HELD_BYTES = 16 << 20
 NOISE_TEXTS, NOISE_WORDS = 200, 50
 STEPS = 1 << 14  # of certainties and scores, in the counts that give the thresholds
 BUCKETS = 1 << 16  # what 16 bits hold
@@ -59,6 +62,17 @@ def has_letter(raw: bytes) -> bool:
     return not raw.isascii() and any(c.isalpha() for c in raw.decode("utf-8", "replace"))
 
 
+def lettered_words(words: list[bytes]) -> np.ndarray:
+    """``has_letter`` of each word (none is empty)."""
+    buf = np.frombuffer(b"".join(words), np.uint8)
+    lens = np.fromiter(map(len, words), np.int64, len(words))
+    starts = np.cumsum(lens) - lens
+    out = np.logical_or.reduceat((buf | 0x20) - np.uint8(ord("a")) < 26, starts)
+    for i in np.flatnonzero(~out & (np.maximum.reduceat(buf, starts) > 0x7F)):
+        out[i] = has_letter(words[i])
+    return out
+
+
 class Numbers(dict):
     """key -> number in the order of the first use."""
 
@@ -93,7 +107,7 @@ class WordFeatures:
             # grams that start at the mark before a word and end at the mark after it at the latest
             count = np.maximum(lens + 2 - order + 1, 0) if order > 1 else lens
             first = self.starts + (order == 1)
-            self.orders.append((h & np.uint32(BUCKETS - 1), first, count))
+            self.orders.append(((h & np.uint32(BUCKETS - 1)).astype(np.uint16), first, count))
 
     def by_word(self) -> tuple[np.ndarray, np.ndarray]:
         """(bucket of every gram, word after word; where each word's grams start, and their end)."""
@@ -130,8 +144,8 @@ class Model:
             ok = count > 0
             if ok.any():
                 bounds = np.stack([first[ok], np.minimum(first[ok] + count[ok], len(h))], 1).ravel()
-                rows = self.grams[h]
-                rows = np.concatenate([rows, np.zeros((1, rows.shape[1]), rows.dtype)])
+                # one row more, in no word's sum: the last bound may be the end
+                rows = self.grams.take(np.append(h, h[:1]), axis=0)
                 out[ok] += np.add.reduceat(rows, bounds, axis=0)[::2]
         out *= scale[:, None]
         at, found = self.lookup(words)
@@ -146,40 +160,52 @@ class Model:
         return at, self.lexicon[at] == keys
 
 
-def forward_backward(emit: np.ndarray, lens: np.ndarray, moves: np.ndarray, begin: np.ndarray, count_moves: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Posteriors (time x sequence x label) and expected transition counts (if asked for).
+def weights_of(emit: np.ndarray) -> np.ndarray:
+    """The weights of the log weights of each row's labels, the largest as 1."""
+    return np.exp(emit - emit.max(axis=-1, keepdims=True))
 
-    ``emit``: time x sequence x label log weights, sequences sorted by falling length ``lens``; only
-    the first ``alive(t)`` sequences have a word at time t.
-    """
-    steps, _, labels = emit.shape
-    alive = [int(np.searchsorted(-lens, -t, side="left")) for t in range(steps)]  # sequences longer than t
-    e = np.exp(emit - emit.max(axis=2, keepdims=True))
+
+def chains(e: np.ndarray, lens: np.ndarray, moves: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray]:
+    """(forward and backward weights, each column with sum 1; sequences longer than each time; weights
+    of the moves).  ``e``: time x label x sequence weights, so that a step works on long rows."""
+    steps = len(e)
+    alive = np.searchsorted(-lens, -np.arange(steps), side="left").tolist()
     a = np.exp(moves - moves.max()).astype(e.dtype)
     alpha, beta = np.zeros_like(e), np.ones_like(e)
-    cur = np.exp(begin - begin.max()).astype(e.dtype) * e[0]
-    alpha[0] = cur / cur.sum(axis=1, keepdims=True)
+    cur = np.exp(begin - begin.max()).astype(e.dtype)[:, None] * e[0]
+    alpha[0] = cur / cur.sum(axis=0)
     for t in range(1, steps):
         n = alive[t]
-        cur = (alpha[t - 1, :n] @ a) * e[t, :n]
-        cur /= cur.sum(axis=1, keepdims=True)
-        alpha[t, :n] = cur
+        cur = a.T @ alpha[t - 1, :, :n]
+        cur *= e[t, :, :n]
+        np.divide(cur, np.add.reduce(cur, 0), out=alpha[t, :, :n])
     for t in range(steps - 2, -1, -1):
         n = alive[t + 1]
-        cur = (beta[t + 1, :n] * e[t + 1, :n]) @ a.T
-        cur /= cur.sum(axis=1, keepdims=True)
-        beta[t, :n] = cur
+        cur = a @ (beta[t + 1, :, :n] * e[t + 1, :, :n])
+        np.divide(cur, np.add.reduce(cur, 0), out=beta[t, :, :n])
+    return alpha, beta, alive, a
+
+
+def forward_backward(emit: np.ndarray, lens: np.ndarray, moves: np.ndarray, begin: np.ndarray, count_moves: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors (time x sequence x label) and expected transition counts (if asked for).
+
+    ``emit``: time x sequence x label log weights, sequences sorted by falling length ``lens``; only
+    the first ``alive(t)`` sequences have a word at time t.
+    """
+    steps, _, labels = emit.shape
+    e = weights_of(emit).transpose(0, 2, 1).copy()
+    alpha, beta, alive, a = chains(e, lens, moves, begin)
     post = alpha * beta
-    post /= np.maximum(post.sum(axis=2, keepdims=True), 1e-30)
+    post /= np.maximum(post.sum(axis=1, keepdims=True), 1e-30)
     expected = np.zeros((labels, labels))
     if steps > 1 and count_moves:
-        left = alpha[:-1].reshape(-1, labels)
-        right = (beta[1:] * e[1:]).reshape(-1, labels)
+        left = alpha[:-1].transpose(0, 2, 1).reshape(-1, labels)
+        right = (beta[1:] * e[1:]).transpose(0, 2, 1).reshape(-1, labels)
         z = np.einsum("ni,ij,nj->n", left, a, right)
         weight = np.where(z > 0, 1 / np.maximum(z, 1e-30), 0)
         real = np.concatenate([np.arange(emit.shape[1]) < n for n in alive[1:]])
         expected = (left.T @ (right * (weight * real)[:, None])) * a
-    return post, expected
+    return post.transpose(0, 2, 1), expected
 
 
 def fit(texts: list[bytes], labels: list[str], rounds: int = 2, seed: int = 5, length: int = 160, batch: int = 64) -> Model:
@@ -247,8 +273,8 @@ def fit_group(
             place = here[ids]
             counts = first[used + 1] - first[used]
             starts = np.cumsum(counts) - counts
-            b = bucket[np.repeat(first[used] - starts, counts) + np.arange(int(counts.sum()))]
-            emit = np.add.reduceat(model.grams[b], starts, axis=0) * scale[used][:, None]
+            b = bucket[np.repeat(first[used] - starts, counts) + np.arange(int(counts.sum()))].astype(np.int64)
+            emit = np.add.reduceat(model.grams.take(b, axis=0), starts, axis=0) * scale[used][:, None]
             known, lex = lex_in[used], lex_at[used][lex_in[used]]
             emit[known] += model.lexical[lex]
             post, expected = forward_backward(emit[place].transpose(1, 0, 2), np.full(len(ids), length), model.moves, model.begin)
@@ -276,14 +302,21 @@ def judge(model: Model, raws: list[bytes]) -> tuple[list[str], list[float], list
     """(language, mean posterior, certainty) of each text; the certainty is the mean over the words
     of their own best label's posterior, so a text that mixes languages is certain, noise is not."""
     langs, scores, sure = [UNKNOWN] * len(raws), [0.0] * len(raws), [0.0] * len(raws)
-    index: dict[bytes, int] = {}
-    docs = [(i, np.array([index.setdefault(w, len(index)) for w in common.lower_words(raw)], np.int64)) for i, raw in enumerate(raws) if has_letter(raw)]
+    index = Numbers()
+    docs = []
+    for i, raw in enumerate(raws):
+        if has_letter(raw):
+            words = common.lower_words(raw)
+            docs.append((i, np.fromiter(map(index.__getitem__, words), np.int64, len(words))))
     if not docs or not model.langs:
         return langs, scores, sure
     words = list(index)
+    lettered = lettered_words(words)
     emit = model.emissions(words)
-    lettered = np.fromiter((w.isalpha() or has_letter(w) for w in words), bool, len(words))
     emit[~lettered] = 0
+    # the row after the last word's is the padding's
+    e = np.concatenate([weights_of(emit), np.ones((1, len(model.langs)), np.float32)])
+    heard = np.append(lettered, False)
     docs.sort(key=lambda d: -len(d[1]))
     at = 0
     while at < len(docs):
@@ -294,13 +327,18 @@ def judge(model: Model, raws: list[bytes]) -> tuple[list[str], list[float], list
             end += 1
         block = docs[at:end]
         lens = np.array([len(ids) for _, ids in block])
-        grid = np.full((top, len(block)), -1)
+        grid = np.full((len(block), top), len(words))
         for c, (_, ids) in enumerate(block):
-            grid[: len(ids), c] = ids
-        post, _ = forward_backward(np.where((grid >= 0)[:, :, None], emit[grid], 0).astype(np.float32), lens, model.moves, model.begin, count_moves=False)
-        heard = (grid >= 0) & lettered[grid]
-        mean = (post * heard[:, :, None]).sum(axis=0) / np.maximum(heard.sum(axis=0), 1)[:, None]
-        own = (post.max(axis=2) * heard).sum(axis=0) / np.maximum(heard.sum(axis=0), 1)
+            grid[c, : len(ids)] = ids
+        here = e.take(grid.T, axis=0).transpose(0, 2, 1).copy()
+        post, beta, _, _ = chains(here, lens, model.moves, model.begin)
+        post *= beta
+        post /= np.maximum(post.sum(axis=1, keepdims=True), 1e-30)
+        said = heard[grid.T]
+        post *= said[:, None, :]
+        total = np.maximum(said.sum(axis=0), 1)
+        mean = (post.sum(axis=0) / total).T
+        own = post.max(axis=1).sum(axis=0) / total
         for c, (i, _) in enumerate(block):
             best = int(mean[c].argmax())
             langs[i], scores[i], sure[i] = model.langs[best], float(min(1.0, mean[c, best])), float(min(1.0, own[c]))
@@ -308,6 +346,19 @@ def judge(model: Model, raws: list[bytes]) -> tuple[list[str], list[float], list
     return langs, scores, sure
 
 
+def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``HELD_BYTES`` at least, but for the last."""
+    kept, size = [], 0
+    for batch in batches:
+        kept.append(batch)
+        size += batch.nbytes
+        if size >= HELD_BYTES:
+            yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+            kept, size = [], 0
+    if kept:
+        yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+
+
 def joined(runs: list[bytes]) -> bytes:
     """One text of the runs, without the words that the cuts between them broke; a run that is part
     of one word stays, less the bytes of broken characters."""
@@ -447,7 +498,7 @@ def calibrate(model: Model, folds: list[Model], rows: DataFrame, letters: list[s
         folds = shared.value
         number = {lang: i for i, lang in enumerate(folds[0].langs)}
         counts = np.zeros((2 * STEPS + 1, k))  # by certainty, by score, and of those that agree
-        for batch in batches:
+        for batch in held(batches):
             found = [row for row in zip(*common.batches_of(batch, "raw", "lang", "fold"), strict=True) if has_letter(row[0])]
             for fold, other in ((0, folds[1]), (1, folds[0])):
                 given = [lang for _, lang, at in found if at == fold]
@@ -514,7 +565,7 @@ def label_documents(docs: DataFrame, model: Model, known: bool = False) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in held(batches):
             (raws,) = common.batches_of(batch, "raw")
             langs, scores, sure = judge(model, raws)
             columns = [batch.column(batch.schema.get_field_index("row")), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]

@@ -8,6 +8,7 @@ from functools import lru_cache
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -350,3 +351,29 @@ def test_group_models_are_averaged_and_thresholds_come_from_all_rows(spark):
         scores[r.lang] += lid.predict(folds[1 - (r.group * 2 // groups)], [bytes(r.raw)])[1]
     below = [sum(np.mean(np.array(scores[lang]) < bound) for lang in scores) / 3 for bound in (model.clear, model.clear + 1 / lid.STEPS)]
     assert below[0] <= 0.05 + 1e-9 and below[1] >= 0.05 - 1e-9 and model.clear > 0.8 and 0 < model.floor < 1
+
+
+def test_small_batches_are_judged_together(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(lang.split(), int(rng.integers(1, 200)))) for lang in [EN, DE, EN + " " + DE] * 40] + [None, "", "12 !"]
+    model = lid.fit([EN.encode(), DE.encode()] * 40, ["en", "de"] * 40, rounds=6)
+    batches = [pa.RecordBatch.from_pydict({"n": [i], "text": pa.array([t], pa.string())}) for i, t in enumerate(texts)]
+    assert [b.to_pydict() for b in lid.held(iter(batches))] == [{"n": [*range(len(texts))], "text": texts}]
+    monkeypatch.setattr(lid, "HELD_BYTES", sum(b.nbytes for b in batches[:50]))
+    assert [b.num_rows for b in lid.held(iter(batches))][0] == 50 and sum(b.num_rows for b in lid.held(iter(batches))) == len(texts)
+    raws = [(t or "").encode() for t in texts]
+    langs, scores, sure = lid.judge(model, raws)
+    for i, raw in enumerate(raws[:120]):
+        words = raw.split()
+        post, _ = lid.forward_backward(model.emissions(words)[:, None, :], np.array([len(words)]), model.moves, model.begin)
+        assert model.langs[post[:, 0].mean(axis=0).argmax()] == langs[i]
+        assert np.allclose([post[:, 0].mean(axis=0).max(), post[:, 0].max(axis=1).mean()], [scores[i], sure[i]], atol=1e-5)
+    assert langs[120:] == ["und"] * 3
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(2)
+    got = {r.doc_id: (r.lang_pred, r.lang_score) for r in lid.label_documents(df, model).collect()}
+    assert all(got[i][0] == langs[i] and abs(got[i][1] - scores[i]) < 1e-5 for i in range(len(texts)))
+
+
+def test_letters_of_many_words():
+    words = [b"a", b"Z", b"1", b"@[`{", "é".encode(), "١".encode(), "日".encode(), b"\xff", b"-a-", "–".encode(), b"\xc3", b"a\xff"]
+    assert lid.lettered_words(words).tolist() == [lid.has_letter(w) for w in words]
