@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
     common.configure(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_bytes().alias("raw"))
     facts = common.written(
-        docs.mapInArrow(_describe(width, rows, bands), "doc_id long, n_shingles long, n_bytes long, digest binary, bands array<long>"),
+        docs.mapInArrow(common.lean(_describe(width, rows, bands)), "doc_id long, n_shingles long, n_bytes long, digest binary, bands array<long>"),
         "minhash-facts",
     )
     classes = common.written(
@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
     # 1. every member against the hub of its bucket
     stars = members.where("rep <> hub").select("hub", "rep").distinct()
     pairs = stars.join(texts, "rep").join(texts.select(F.col("rep").alias("hub"), F.col("raw").alias("hub_raw")), "hub").sortWithinPartitions("hub")
-    links = common.written(pairs.mapInArrow(_verify_stars(width, num, den), "u long, v long"), "minhash-stars")
+    links = common.written(pairs.mapInArrow(common.lean(_verify_stars(width, num, den)), "u long, v long"), "minhash-stars")
     comps = common.written(common.connected_components(links, "minhash-cc"), "minhash-comps")
     # 2. what the hubs left open
     placed = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
     )
     work = tiles.join(texts, "rep").repartition("part").sortWithinPartitions("part", "side", "rep")
-    more = common.written(work.mapInArrow(_verify_blocks(width, num, den, rows, bands), "u long, v long"), "minhash-blocks")
+    more = common.written(work.mapInArrow(common.lean(_verify_blocks(width, num, den, rows, bands)), "u long, v long"), "minhash-blocks")
     comps = common.connected_components(links.unionByName(more), "minhash-cc").withColumnRenamed("id", "rep")
     of_class = classes.select("digest", "rep").join(comps, "rep", "left").select("digest", F.coalesce("component", "rep").alias("by_class"))
     return facts.join(of_class, "digest", "left").select(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,38 @@ def batches_of(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
+#: What a Python worker keeps from one task to the next (a compiled model with its cache of words).
+KEPT: dict = {}
+
+
+def release_memory() -> None:
+    """What this process has freed goes back to the system; the allocators would hold on to it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
+def drop_kept() -> None:
+    KEPT.clear()
+    release_memory()
+
+
+def lean(run: Callable) -> Callable:
+    """``run`` (for mapInArrow) in a worker that first drops what tasks of other operators left in
+    ``KEPT`` and at the end gives its free memory back: Spark keeps idle workers, and theirs counts
+    beside the executor's heap in every later stage."""
+
+    def leaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return leaner
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, filled on demand and emptied when it holds ``limit`` words
     (it is only a cache)."""

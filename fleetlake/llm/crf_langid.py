@@ -400,7 +400,7 @@ def summed(parts: DataFrame, size: int, vectors: int = 1, kind: type = np.float6
 
     each = -(-size // BLOCK)
     out = np.zeros((vectors, each * BLOCK), kind)
-    for row in parts.repartition("block").sortWithinPartitions("block", "task").mapInArrow(run, "block int, part binary").collect():
+    for row in parts.repartition("block").sortWithinPartitions("block", "task").mapInArrow(common.lean(run), "block int, part binary").collect():
         part = np.frombuffer(row["part"], kind)
         out[row["block"] // each, row["block"] % each * BLOCK :][: len(part)] = part
     return out[:, :size]
@@ -421,7 +421,7 @@ def count_words(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             points[[ord(c) for c in letters]] += 1
         yield from partial_sums(0, np.concatenate([slots, points]))
 
-    both = summed(rows.select("raw").mapInArrow(run, PARTS), LEXICON_SLOTS + POINTS)[0]
+    both = summed(rows.select("raw").mapInArrow(common.lean(run), PARTS), LEXICON_SLOTS + POINTS)[0]
     return both[:LEXICON_SLOTS], both[LEXICON_SLOTS:]
 
 
@@ -470,7 +470,7 @@ def train(rows: DataFrame, langs: list[str], lexicon: np.ndarray, groups: int, f
 
     dealt = rows.select("raw", "lang", F.xxhash64("doc_id", "raw", "lang").alias("key"), group_of(groups).alias("group"))
     dealt = dealt.repartition("group").sortWithinPartitions("group", "key").select("group", "raw", "lang")
-    sums = summed(dealt.mapInArrow(run, PARTS), size, folds, np.float32).reshape(folds, n + k, k + 1)
+    sums = summed(dealt.mapInArrow(common.lean(run), PARTS), size, folds, np.float32).reshape(folds, n + k, k + 1)
 
     def mean(total: np.ndarray) -> Model:
         weights = total[:, :k] / np.maximum(total[:, k:], 1)
@@ -509,7 +509,7 @@ def calibrate(model: Model, folds: list[Model], rows: DataFrame, letters: list[s
                 np.add.at(counts[-1], at, [lang == pred for lang, pred in zip(given, langs, strict=True)])
         yield from partial_sums(0, counts.ravel())
 
-    counts = summed(rows.select("raw", "lang", "fold").mapInArrow(run, PARTS), (2 * STEPS + 1) * k)[0].reshape(-1, k)
+    counts = summed(rows.select("raw", "lang", "fold").mapInArrow(common.lean(run), PARTS), (2 * STEPS + 1) * k)[0].reshape(-1, k)
     certain, scored, agreed = counts[:STEPS], counts[STEPS:-1], counts[-1]
     given = certain.sum(axis=0)
     if not given.any():
@@ -575,4 +575,4 @@ def label_documents(docs: DataFrame, model: Model, known: bool = False) -> DataF
 
     packed = docs.select(F.struct(*docs.columns).alias("row"), common.text_bytes().alias("raw"))
     kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(run, f"row {kind}, lang_pred string, lang_score double" + ", lang_known boolean" * known).select("row.*", *names)
+    return packed.mapInArrow(common.lean(run), f"row {kind}, lang_pred string, lang_score double" + ", lang_known boolean" * known).select("row.*", *names)

@@ -410,15 +410,12 @@ class Transducer:
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 
-_COMPILED: dict[int, Transducer] = {}
-
-
 def compiled(raw: bytes) -> Transducer:
     """One compiled transducer per Python worker and model."""
-    key = hash(raw)
-    if key not in _COMPILED:
-        _COMPILED[key] = Transducer(raw)
-    return _COMPILED[key]
+    key = ("transducer", hash(raw))
+    if key not in common.KEPT:
+        common.KEPT[key] = Transducer(raw)
+    return common.KEPT[key]
 
 
 def encode_documents(docs: DataFrame, model: bytes, check: bool = False) -> DataFrame:

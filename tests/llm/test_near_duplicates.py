@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fleetlake.llm import circulant_minhash as cm
@@ -204,3 +205,37 @@ def test_pairs_that_differ_along_few_directions_are_met(spark, monkeypatch):
     got = {r.vec_id: r.n_links for r in mi.near_duplicate_vectors(df, 0.95, 0.999).collect()}
     found = np.array([got[i] for i in range(len(x))])
     assert (found <= want).all() and found.sum() >= 0.999 * want.sum() > 0
+
+
+def test_a_worker_gives_back_what_earlier_tasks_left():
+    def anonymous_mb():
+        with open("/proc/self/status") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("RssAnon")) / 1024
+
+    pins = []
+
+    def run(batches):
+        for batch in batches:
+            held = [np.ones(100 << 7) for _ in range(1000)]  # 100 KB each: from the heap, not mapped
+            pins.append(bytearray(64 << 10))  # so that the heap can't shrink from its end
+            del held
+            yield batch
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2], pa.int64()), "raw": pa.array([b"a b c d e f", b""], pa.binary())})
+    before = anonymous_mb()
+    assert list(common.lean(run)(iter([batch]))) == [batch]
+    assert anonymous_mb() < before + 40
+
+    common.KEPT["model"] = object()  # as the tokenizer leaves its model in a worker
+    (out,) = common.lean(cm._describe(5, 5, 32))(iter([batch]))
+    assert out.column("n_shingles").to_pylist() == [2, 0]
+    assert not common.KEPT
+
+
+def test_every_python_step_of_the_search_runs_lean(spark, monkeypatch):
+    made = []
+    lean = common.lean
+    monkeypatch.setattr(common, "lean", lambda run: made.append(run.__qualname__.split(".")[0]) or lean(run))
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g h i j")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in cm.near_duplicates(docs).select("doc_id", "component_id").collect()) == [(1, 1), (2, 1), (3, 3)]
+    assert made == ["_describe", "_verify_stars", "_verify_blocks"]
