@@ -25,11 +25,11 @@ the driver), from which the at most ``TABLE`` most frequent words go to the task
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +41,17 @@ TABLE = 100_000
 ROUNDS, STREAMS, WINDOW, RATE = 2, 512, 16, 0.08
 #: Words counted in a task before its counts are passed on; tokens joined to streams at a time.
 HELD_WORDS, HELD_TOKENS = 400_000, 400_000
+#: Bytes of text that are split into words together.
+HELD_TEXT = 2 << 20
 #: Tokens of documents that are scored side by side (a longer document is scored whole as well).
 SIDE_BY_SIDE = 6_000_000
 #: The end of a document among the words (no word can hold a line feed).
 END_WORD = b"\n"
 END, TAIL = 0, 1
 CHUNK = 1 << 14
+#: Rows of scores (of several output layers) and documents of similar length that are worked on at a
+#: time, few enough for a processor's cache.
+TOGETHER, ABREAST = 2048, 1024
 
 
 # --- the network ----------------------------------------------------------------------------------
@@ -94,73 +99,121 @@ class Network:
         return out
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def split_gates(p: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``advance`` needs, each gate by itself: input rows (gate, symbol, unit), the matrices of the
+    update and the reset gate, that of the fresh state."""
+    hidden = p["fresh"].shape[0]
+    inputs = np.ascontiguousarray(p["inputs"].reshape(-1, 3, hidden).transpose(1, 0, 2))
+    return inputs, np.ascontiguousarray(p["gates"].reshape(hidden, 2, hidden).transpose(1, 0, 2)), p["fresh"]
+
+
+def advance(split: tuple, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One step of all streams from states that are cleared already: (new state, update, reset, reset
+    state, fresh state)."""
+    inputs, gates, fresh = split
+    g = inputs.take(x, axis=1)
+    zr, c = g[:2], g[2]
+    zr += np.matmul(h, gates)
+    # the logistic function of both
+    zr *= 0.5
+    np.tanh(zr, out=zr)
+    zr *= 0.5
+    zr += 0.5
+    s = zr[1] * h
+    c += s @ fresh
+    np.tanh(c, out=c)
+    new = c - h
+    new *= zr[0]
+    new += h
+    return new, zr[0], zr[1], s, c
 
 
 def step(p: dict, h: np.ndarray, x: np.ndarray) -> tuple:
     """One step of all streams: (new state, what the backward pass needs)."""
-    hidden = h.shape[1]
     h = np.where((x == END)[:, None], np.float32(0), h)  # an end clears the state
-    g = p["inputs"][x]
-    zr = sigmoid(g[:, : 2 * hidden] + h @ p["gates"])
-    z, r = zr[:, :hidden], zr[:, hidden:]
-    s = r * h
-    c = np.tanh(g[:, 2 * hidden :] + s @ p["fresh"])
-    return h + z * (c - h), (h, z, r, s, c)
-
-
-def softmax_rows(h1: np.ndarray, w: np.ndarray, y: np.ndarray, want_rest: bool) -> tuple[np.ndarray, np.ndarray | None]:
-    """(log probability of ``y``, gradient of its negative with respect to the scores) of a softmax
-    layer; states end with a one.  States lie in (-1, 1), which bounds the scores: one shift for all
-    rows keeps the exponentials finite."""
-    shift = (np.abs(w[:-1]).sum(0) + w[-1]).max()
-    shifted = np.concatenate([w[:-1], w[-1:] - shift])
-    a = h1 @ shifted
-    rows = np.arange(len(y))
-    picked = a[rows, y]
+    new, *kept = advance(split_gates(p), h, x)
+    return new, (h, *kept)
+
+
+def bounded(w: np.ndarray) -> np.ndarray:
+    """The weights of softmax layers with scores of at most 0: states lie in (-1, 1), which bounds the
+    scores, so one shift of a layer's bias keeps the exponentials of all rows finite."""
+    out = w.copy()
+    out[..., -1, :] -= (np.abs(w[..., :-1, :]).sum(-2) + w[..., -1, :]).max(-1)[..., None]
+    return out
+
+
+def softmax_rows(a: np.ndarray, y: np.ndarray, want_rest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(log probability of ``y``, sum of the exponentials) of rows of scores; ``a`` becomes the gradient
+    of its negative if that is wanted.  A row whose exponentials are all too small for a float has the
+    sum 0 and no result."""
+    flat = a.reshape(-1)
+    at = np.arange(0, len(flat), a.shape[1])
+    at += y
+    picked = flat.take(at)
     np.exp(a, out=a)
     total = a.sum(axis=1)
-    if not total.all():  # scores spread beyond the range of a float: each row by its own maximum
-        a = h1.astype(np.float64) @ w.astype(np.float64)
-        a -= a.max(axis=1, keepdims=True)
-        picked = a[rows, y]
-        np.exp(a, out=a)
-        total = a.sum(axis=1)
-    logs = picked - np.log(total)
-    if not want_rest:
-        return logs, None
-    a /= total[:, None]
-    a[rows, y] -= 1
-    return logs, a
+    with np.errstate(divide="ignore", invalid="ignore"):
+        logs = picked - np.log(total)
+        if want_rest:
+            a /= total[:, None]
+            flat[at] -= 1
+    return logs, total
+
+
+def spread_rows(h1: np.ndarray, w: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log probability of ``y``, gradient of its negative) in double, each row by its own maximum."""
+    a = h1.astype(np.float64) @ w.astype(np.float64)
+    a -= a.max(axis=1, keepdims=True)
+    return softmax_rows(a, y, True)[0], a
+
+
+def layers(h1: np.ndarray, w: np.ndarray, ends: np.ndarray, y: np.ndarray, grads: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """(log probability of ``y``, gradient with respect to the states) of rows that stand by softmax
+    layer, ``ends`` apart; states end with a one.  Layers of few rows go through the softmax together."""
+    logs = np.empty(len(h1), h1.dtype)
+    dh = None if grads is None else np.empty((len(h1), h1.shape[1] - 1), h1.dtype)
+    low, bounds, k = bounded(w), ends.tolist(), 0
+    while k < len(w):
+        first, a = k, bounds[k]
+        k += 1
+        while k < len(w) and bounds[k + 1] - a <= TOGETHER:
+            k += 1
+        b = bounds[k]
+        if a == b:
+            continue
+        scores = np.empty((b - a, w.shape[2]), h1.dtype)
+        some = [(c, bounds[c], bounds[c + 1]) for c in range(first, k) if bounds[c] < bounds[c + 1]]
+        for c, i, j in some:
+            np.matmul(h1[i:j], low[c], out=scores[i - a : j - a])
+        logs[a:b], total = softmax_rows(scores, y[a:b], grads is not None)
+        if not total.all():  # scores spread beyond the range of a float
+            for c, i, j in some:
+                if not total[i - a : j - a].all():
+                    logs[i:j], scores[i - a : j - a] = spread_rows(h1[i:j], w[c], y[i:j])
+        if grads is not None:
+            for c, i, j in some:
+                d = scores[i - a : j - a]
+                grads[c] += h1[i:j].T @ d
+                np.matmul(d, w[c, :-1].T, out=dh[i:j])
+    return logs, dh
 
 
 def output(p: dict, net: Network, h: np.ndarray, y: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural-log probability of symbols ``y`` given states ``h`` (rows); with ``grads``, also the
     gradient of the summed negative log probability (parameters added to ``grads``, states returned)."""
-    cls = net.class_of[y]
-    h1 = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
-    out, d = softmax_rows(h1, p["to_class"], cls, grads is not None)
+    cls = net.class_of.take(y)
+    h1 = np.ones((len(h), net.hidden + 1), h.dtype)
+    h1[:, :-1] = h
+    both = grads is not None
+    out, dh = layers(h1, p["to_class"][None], np.array([0, len(h1)]), cls, grads["to_class"][None] if both else None)
     out = out.astype(np.float64)
-    dh = None
-    if grads is not None:
-        grads["to_class"] += h1.T @ d
-        dh = d @ p["to_class"][:-1].T
-    some = np.flatnonzero(cls)  # the tail is alone in its class
-    by = some[np.argsort(cls[some], kind="stable")]
-    ends = np.searchsorted(cls[by], np.arange(net.classes + 1))
-    hs, ms = h1[by], net.member_of[y[by]]
-    logs, dhs = np.empty(len(by), h.dtype), np.empty((len(by), h.shape[1]), h.dtype)
-    for c in range(1, net.classes):
-        a, b = ends[c], ends[c + 1]
-        if a == b:
-            continue
-        logs[a:b], d = softmax_rows(hs[a:b], p["to_member"][c], ms[a:b], grads is not None)
-        if grads is not None:
-            grads["to_member"][c] += hs[a:b].T @ d
-            np.matmul(d, p["to_member"][c][:-1].T, out=dhs[a:b])
+    ends = np.concatenate([[0], np.cumsum(np.bincount(cls, minlength=net.classes))])
+    # the tail is alone in its class; numpy sorts small numbers by radix
+    by = np.argsort(cls.astype(np.min_scalar_type(net.classes)), kind="stable")[ends[1] :]
+    logs, dhs = layers(h1.take(by, axis=0), p["to_member"][1:], ends[1:] - ends[1], net.member_of.take(y.take(by)), grads["to_member"][1:] if both else None)
     out[by] += logs
-    if grads is not None:
+    if both:
         dh[by] += dhs
     return out, dh
 
@@ -170,39 +223,50 @@ def window_gradient(p: dict, net: Network, h: np.ndarray, xs: np.ndarray, ys: np
 
     Returns (loss, last state, gradients, touched input rows, their gradients)."""
     hidden = net.hidden
-    states, saved = [], []
-    for x in xs:
-        h, kept = step(p, h, x)
-        states.append(h)
-        saved.append(kept)
+    split, shape = split_gates(p), (*xs.shape, hidden)
+    # what the derivatives need of the forward values
+    states, h0, z, r, s, c = (np.empty(shape, h.dtype) for _ in range(6))
+    cleared = [np.flatnonzero(x == END) for x in xs]
+    for t, x in enumerate(xs):
+        h0[t] = h
+        h0[t, cleared[t]] = 0  # an end clears the state
+        states[t], z[t], r[t], s[t], c[t] = advance(split, h0[t], x)
+        h = states[t]
     grads = {k: np.zeros_like(p[k]) for k in net.shapes if k != "inputs"}
-    logs, dout = output(p, net, np.concatenate(states), ys.ravel(), grads)
-    dout = dout.reshape(len(xs), -1, hidden)
-    # what the derivatives need of the forward values, for all steps at once
-    h0, z, r, s, c = (np.stack(x) for x in zip(*saved, strict=True))
-    to_fresh, to_z, to_r, keep = z * (1 - c * c), (c - h0) * z * (1 - z), h0 * r * (1 - r), 1 - z
-    alive = (xs != END)[:, :, None].astype(h.dtype)
-    dg = np.empty((len(xs), h.shape[0], 3 * hidden), h.dtype)
+    logs, dout = output(p, net, states.reshape(-1, hidden), ys.ravel(), grads)
+    dout = dout.reshape(shape)
+    dg = np.empty((*xs.shape, 3 * hidden), h.dtype)
     dh = np.zeros_like(h)
     fresh_t, gates_t = p["fresh"].T.copy(), p["gates"].T.copy()
     for t in range(len(xs) - 1, -1, -1):
         dh += dout[t]
-        dc = dh * to_fresh[t]
+        keep = 1 - z[t]
+        dc = c[t] * c[t]
+        np.subtract(1, dc, out=dc)
+        dc *= z[t]
+        dc *= dh
         ds = dc @ fresh_t
-        dg[t, :, :hidden] = dh * to_z[t]
-        dg[t, :, hidden : 2 * hidden] = ds * to_r[t]
+        to_z = c[t] - h0[t]
+        to_z *= z[t]
+        to_z *= keep
+        np.multiply(dh, to_z, out=dg[t, :, :hidden])
+        to_r = h0[t] * r[t]
+        to_r *= 1 - r[t]
+        np.multiply(ds, to_r, out=dg[t, :, hidden : 2 * hidden])
         dg[t, :, 2 * hidden :] = dc
-        dh = dh * keep[t]
-        dh += ds * r[t]
+        dh *= keep
+        ds *= r[t]
+        dh += ds
         dh += dg[t, :, : 2 * hidden] @ gates_t
-        dh *= alive[t]
+        dh[cleared[t]] = 0
     every = dg.reshape(-1, 3 * hidden)
     grads["fresh"] = s.reshape(-1, hidden).T @ every[:, 2 * hidden :]
     grads["gates"] = h0.reshape(-1, hidden).T @ every[:, : 2 * hidden]
     flat = xs.ravel()
-    by = np.argsort(flat, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], flat[by][1:] != flat[by][:-1]]))
-    return -float(logs.sum()), h, grads, flat[by][first], np.add.reduceat(every[by], first, axis=0)
+    by = np.argsort(flat.astype(np.min_scalar_type(net.symbols)), kind="stable")
+    flat = flat.take(by)
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    return -float(logs.sum()), h, grads, flat[first], np.add.reduceat(every.take(by, axis=0), first, axis=0)
 
 
 class Trainer:
@@ -241,32 +305,51 @@ class Trainer:
                 self.sums[k] += g * g
                 self.p[k] -= self.rate * g / np.sqrt(self.sums[k])
             dinputs *= scale
-            self.sums["inputs"][rows] += dinputs * dinputs
-            self.p["inputs"][rows] -= self.rate * dinputs / np.sqrt(self.sums["inputs"][rows])
+            sums = self.sums["inputs"].take(rows, axis=0)
+            sums += dinputs * dinputs
+            self.sums["inputs"][rows] = sums
+            self.p["inputs"][rows] -= self.rate * dinputs / np.sqrt(sums)
             self.tokens += x.size
             self.loss += loss
 
 
-def score_documents(p: dict, net: Network, docs: list[np.ndarray], rows: int = 1 << 15) -> np.ndarray:
+def score_documents(p: dict, net: Network, docs: list[np.ndarray], rows: int = 1 << 13) -> np.ndarray:
     """Natural-log probability of each document (symbols, the last one END), whole.
 
-    All documents run side by side, longest first, each with its own state from its first to its
-    last token; the states of several steps go through the output layer together."""
+    Documents of similar length run side by side, longest first, each with its own state from its
+    first to its last token; the states of several steps go through the output layer together."""
     order = np.argsort([-len(d) for d in docs], kind="stable")
-    lens = np.array([len(docs[i]) for i in order])
+    out = np.zeros(len(docs))
+    split = split_gates(p)
+    for a in range(0, len(docs), ABREAST):
+        some = order[a : a + ABREAST]
+        out[some] = _score_abreast(p, net, split, [docs[i] for i in some], rows)
+    return out
+
+
+def _score_abreast(p: dict, net: Network, split: tuple, docs: list[np.ndarray], rows: int) -> np.ndarray:
+    """``score_documents`` of documents by falling length."""
+    lens = np.array([len(d) for d in docs])
     starts = np.concatenate([[0], np.cumsum(lens)])[:-1]
-    flat = np.concatenate([docs[i] for i in order]) if len(docs) else np.empty(0, np.int64)
+    flat = np.concatenate(docs)
     total = np.zeros(len(docs))
+    alive = np.searchsorted(-lens, -np.arange(lens[0])).tolist()
+    # steps behind an end within a document, which clears the state
+    ends = np.flatnonzero(flat == END)
+    of = np.searchsorted(starts, ends, side="right") - 1
+    closed = set((ends - starts[of] + 1)[ends - starts[of] + 1 < lens[of]].tolist())
     h = np.zeros((len(docs), net.hidden), np.float32)
     x = np.full(len(docs), END)
     states, targets, held = [], [], 0
-    for t in range(int(lens.max(initial=0))):
-        alive = int(np.searchsorted(-lens, -t, side="left"))
-        h, _ = step(p, h[:alive], x[:alive])
-        x = flat[starts[:alive] + t]
+    for t, n in enumerate(alive):
+        h, x = h[:n], x[:n]
+        if t in closed:
+            h = np.where((x == END)[:, None], np.float32(0), h)
+        h = advance(split, h, x)[0]
+        x = flat.take(starts[:n] + t)
         states.append(h)
         targets.append(x)
-        held += alive
+        held += n
         if held >= rows or t + 1 == lens[0]:
             logs, _ = output(p, net, np.concatenate(states), np.concatenate(targets))
             at = 0
@@ -274,35 +357,69 @@ def score_documents(p: dict, net: Network, docs: list[np.ndarray], rows: int = 1
                 total[: len(y)] += logs[at : at + len(y)]
                 at += len(y)
             states, targets, held = [], [], 0
-    out = np.zeros(len(docs))
-    out[order] = total
-    return out
+    return total
 
 
 # --- corpus jobs ----------------------------------------------------------------------------------
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches (raw), joined until they hold ``HELD_TEXT`` bytes of text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(batch.schema.get_field_index("raw")).nbytes
+        if size >= HELD_TEXT:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-        held.clear()
-        return out
 
-    for batch in batches:
-        for raw in common.batches_of(batch, "raw")[0]:
-            held.update(common.lower_words(raw))
-            held[END_WORD] += 1
-            if len(held) >= HELD_WORDS:
-                yield flush()
+def coded_words(raw: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(place in ``words`` of every word of the texts, number of words of every text, the distinct
+    ``words``), the words as ``common.lower_words`` has them."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(raw.view(pa.string())))
+    sizes = np.asarray(split.value_lengths())
+    coded = split.flatten().dictionary_encode()
+    codes, words = np.asarray(coded.indices), coded.dictionary.view(pa.binary())
+    empty = words.index(pa.scalar(b"", pa.binary())).as_py()
+    if empty >= 0:  # beside white space at the rims of a text, or a text without words
+        kept = codes != empty
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+        codes = codes[kept]
+    return codes, sizes, words
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.Table] = []
+    size = 0
+
+    def merged() -> pa.Table:
+        sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"word": sums.column("word"), "n": sums.column("n_sum")})
+
+    for block in blocks(batches):
+        codes, _, words = coded_words(block.column(block.schema.get_field_index("raw")))
+        n = np.bincount(codes, minlength=len(words))
+        some = pa.table({"word": words, "n": pa.array(n, pa.int64())}).filter(pa.array(n > 0))
+        held += [some, pa.table({"word": pa.array([END_WORD], pa.binary()), "n": pa.array([block.num_rows], pa.int64())})]
+        size += len(some) + 1
+        if size >= 2 * HELD_WORDS:
+            held = [merged()]
+            size = len(held[0])
+            if size >= HELD_WORDS:
+                yield from held[0].combine_chunks().to_batches()
+                held, size = [], 0
     if held:
-        yield flush()
+        yield from merged().combine_chunks().to_batches()
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
     """Written (word, n): exact counts of every token of ``docs`` (raw); the end is ``END_WORD``."""
-    return common.written(docs.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+    return common.written(docs.mapInArrow(common.lean(_count), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
 def frequent_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -329,44 +446,36 @@ def symbol_type(symbols: int) -> str:
 ENCODED = "row long, doc_id long, held_out boolean, lane int, symbols binary, n_tokens long, n_known long, base double, extra double, words array<binary>, times array<int>"
 
 
-def _encode(table: dict[bytes, int], columns: tuple[np.ndarray, np.ndarray, np.ndarray], kind: str, end_base: float):
+def _encode(head: pa.Array, columns: tuple[np.ndarray, np.ndarray, np.ndarray], kind: str, end_base: float):
     """One row per document: its symbols, and the sums over its tokens that need no network.
 
-    ``table``: word -> place in ``columns`` (symbol, base log10 probability, log10 share of the
-    tail); place 0 stands for every other word, and those are listed with how often they stand."""
+    ``head``: the words of the table.  ``columns`` (symbol, base log10 probability, log10 share of the
+    tail) begin with what stands for every other word, and those are listed with how often they stand."""
     symbol_of, base_of, extra_of = columns[0].astype(kind), columns[1], columns[2]
-    closing = np.array([END], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            symbols, sizes, known, base, extra, rare, times, ends = [], [], [], [], [], [], [], [0]
-            for raw in common.batches_of(batch, "raw")[0]:
-                words = common.lower_words(raw)
-                found = np.array([table.get(w, 0) for w in words], np.int32)
-                hits = int(np.count_nonzero(found))
-                symbols.append(symbol_of[found].tobytes() + closing)
-                sizes.append(len(words) + 1)
-                known.append(hits)
-                base.append(float(base_of[found].sum()) + end_base)
-                extra.append(float(extra_of[found].sum()))
-                if hits < len(words):
-                    counted = Counter([words[i] for i in np.flatnonzero(found == 0).tolist()])
-                    rare += counted
-                    times += counted.values()
-                ends.append(len(rare))
-            n = len(sizes)
-            offsets = pa.array(ends, pa.int32())
+        for block in blocks(batches):
+            codes, sizes, words = coded_words(block.column(block.schema.get_field_index("raw")))
+            n = block.num_rows
+            place = np.asarray(pc.index_in(words, head).fill_null(-1)) + 1
+            found, of = place.take(codes), np.repeat(np.arange(n), sizes)
+            symbols = np.full(len(found) + n, END, kind)  # every text is closed by an end
+            symbols[np.arange(len(found)) + of] = symbol_of.take(found)
+            bounds = np.concatenate([[0], np.cumsum(sizes + 1)]) * symbols.itemsize
+            rest = np.flatnonzero(found == 0)
+            listed, times = np.unique(of.take(rest) * len(words) + codes.take(rest), return_counts=True)
+            offsets = pa.array(np.searchsorted(listed, np.arange(n + 1) * len(words)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(range(row, row + n), pa.int64()),
-                    *[batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "held_out", "lane")],
-                    pa.array(symbols, pa.binary()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(extra, pa.float64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(rare, pa.binary())),
+                    *[block.column(block.schema.get_field_index(c)) for c in ("doc_id", "held_out", "lane")],
+                    pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(symbols)]),
+                    pa.array(sizes + 1, pa.int64()),
+                    pa.array(np.bincount(of, found > 0, n).astype(np.int64)),
+                    pa.array(np.bincount(of, base_of.take(found), n) + end_base),
+                    pa.array(np.bincount(of, extra_of.take(found), n)),
+                    pa.ListArray.from_arrays(offsets, words.take(pa.array(listed % max(1, len(words))))),
                     pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
                 ],
                 names=[c.split()[0] for c in ENCODED.split(", ")],
@@ -424,7 +533,7 @@ PARTS = "chunk long, task long, tokens long, loss double, values binary"
 def train_round(docs: DataFrame, net: Network, kind: str, flat: np.ndarray) -> np.ndarray:
     """One pass over ``docs`` (symbols) from the parameters ``flat``: the averaged parameters.  The
     average is taken in two steps, so that no group holds more than about the root of all tasks."""
-    parts = common.written(docs.select("symbols").mapInArrow(_train(net, kind, flat), PARTS), "lm-parts")
+    parts = common.written(docs.select("symbols").mapInArrow(common.lean(_train(net, kind, flat)), PARTS), "lm-parts")
     some = parts.groupBy("chunk", (F.col("task") % 64).alias("lane")).applyInArrow(_mean, PARTS)
     rows = some.groupBy("chunk").applyInArrow(_mean, PARTS).orderBy("chunk").select("values").collect()
     return np.concatenate([np.frombuffer(r["values"], np.float32) for r in rows]) if rows else flat
@@ -487,18 +596,17 @@ def score_corpus(docs: DataFrame, held_out: Column, rounds: int = ROUNDS, vocab:
     net = Network(len(own) + 2, max(2, min(classes, len(own) + 2)), hidden)
     symbol = {w: i + 2 for i, (w, _) in enumerate(own)}
     flat = net.pack(net.start(np.array([end_count, max(tail_tokens, 0), *(n for _, n in own)], np.float64)))
-    table = {w: i + 1 for i, (w, _) in enumerate(head)}
     logs = np.log10(np.array([n for _, n in head], np.float64) + 0.1)
     symbols = np.array([TAIL, *(symbol.get(w, TAIL) for w, _ in head)], np.int32)
     in_tail = np.concatenate([[False], symbols[1:] == TAIL])
     columns = (symbols, np.concatenate([[0.0], logs - whole]), np.where(in_tail, np.concatenate([[0.0], logs - rest]), 0.0))
     kind = symbol_type(net.symbols)
     lane = F.pmod(F.xxhash64("doc_id", F.octet_length("raw")), F.lit(rounds)).cast("int").alias("lane")
-    coding = _encode(table, columns, kind, math.log10(end_count + 0.1) - whole)
-    encoded = common.written(docs.select("doc_id", "raw", "held_out", lane).mapInArrow(coding, ENCODED), "lm-encoded")
+    coding = _encode(pa.array([w for w, _ in head], pa.binary()), columns, kind, math.log10(end_count + 0.1) - whole)
+    encoded = common.written(docs.select("doc_id", "raw", "held_out", lane).mapInArrow(common.lean(coding), ENCODED), "lm-encoded")
     for r in range(rounds if total else 0):
         flat = train_round(encoded.where(~F.col("held_out") & (F.col("lane") == r)), net, kind, flat)
-    scored = encoded.select("row", "doc_id", "n_tokens", "n_known", "base", "extra", "symbols").mapInArrow(_score(net, kind, flat), SCORED)
+    scored = encoded.select("row", "doc_id", "n_tokens", "n_known", "base", "extra", "symbols").mapInArrow(common.lean(_score(net, kind, flat)), SCORED)
     listed = encoded.select("row", F.explode(F.arrays_zip("words", "times")).alias("e")).select("row", F.col("e.words").alias("word"), F.col("e.times").alias("times"))
     rare = listed.join(counts, "word", "left")
     c = F.coalesce("n", F.lit(0))

@@ -16,6 +16,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,74 @@ def test_training_learns_a_pattern():
     assert trainer.tokens == len(seq)
 
 
+def test_small_output_layers_share_a_softmax(monkeypatch):
+    rng = np.random.default_rng(3)
+    net = lm.Network(400, 30, 6)
+    p = net.start(rng.integers(1, 100, 400).astype(float))
+    h, y = np.tanh(rng.normal(size=(300, 6))).astype(np.float32), rng.integers(0, 400, 300)
+    calls, plain = [], lm.softmax_rows
+    monkeypatch.setattr(lm, "softmax_rows", lambda *a: calls.append(1) or plain(*a))
+    grads = {k: np.zeros_like(p[k]) for k in net.shapes}
+    logs, dh = lm.output(p, net, h, y, grads)
+    assert len(calls) == 2  # one for the classes, one for the members of all of them
+    # layers by themselves
+    monkeypatch.setattr(lm, "TOGETHER", 0)
+    alone = {k: np.zeros_like(p[k]) for k in net.shapes}
+    logs_alone, dh_alone = lm.output(p, net, h, y, alone)
+    assert len(calls) > 20 and np.allclose(logs, logs_alone) and np.allclose(dh, dh_alone)
+    assert all(np.allclose(grads[k], alone[k]) for k in grads)
+
+
+def test_scores_beyond_a_float_among_others():
+    rng = np.random.default_rng(4)
+    net = lm.Network(41, 5, 6)
+    p = net.start(rng.integers(1, 100, 41).astype(float))
+    p["to_member"][2, :-1] *= 2000
+    h, y = np.tanh(rng.normal(size=(200, 6))).astype(np.float32), rng.integers(0, 41, 200)
+    logs, _ = lm.output(p, net, h, y, {k: np.zeros_like(p[k]) for k in net.shapes})
+    h1 = np.concatenate([h, np.ones((200, 1))], axis=1)
+    for k in range(200):
+        want = 0.0
+        for w, at in ((p["to_class"], net.class_of[y[k]]), (p["to_member"][net.class_of[y[k]]], net.member_of[y[k]])):
+            a = h1[k] @ w.astype(np.float64)
+            want += 0.0 if w is not p["to_class"] and net.class_of[y[k]] == 0 else a[at] - a.max() - np.log(np.exp(a - a.max()).sum())
+        assert abs(logs[k] - want) < 1e-4 * max(1, abs(want))
+
+
+def test_documents_in_groups_score_the_same(monkeypatch):
+    rng = np.random.default_rng(5)
+    net = lm.Network(40, 5, 6)
+    p = net.start(rng.integers(1, 100, 40).astype(float))
+    docs = [rng.integers(0, 40, n) for n in (1, 90, 33, 0, 33, 7, 2)]  # ends within documents as well
+    whole = lm.score_documents(p, net, docs)
+    monkeypatch.setattr(lm, "ABREAST", 2)
+    assert np.allclose(lm.score_documents(p, net, docs, rows=8), whole)
+
+
+def test_words_of_texts_and_their_counts(monkeypatch):
+    rng = random.Random(6)
+    marks = [bytes([b]) for b in range(256)] + [b" ", b"a", b"B", b"\t", b"\x0b", "\u00c9".encode(), "\u00a0".encode()] * 30
+    texts = [b"", b" ", b" \n", b"x", *(b"".join(rng.choice(marks) for _ in range(rng.randint(0, 60))) for _ in range(200))]
+    raw = pa.array([b"not here", *texts]).slice(1)
+    codes, sizes, words = lm.coded_words(raw)
+    found, at = words.to_pylist(), 0
+    for text, n in zip(texts, sizes, strict=True):
+        assert [found[c] for c in codes[at : at + n]] == common.lower_words(text)
+        at += n
+    assert at == len(codes)
+    want = collections.Counter(w for t in texts for w in [*common.lower_words(t), lm.END_WORD])
+    batches = [pa.record_batch([raw.slice(k, 7)], names=["raw"]) for k in range(0, len(texts), 7)]
+    for held in (5, 400_000):  # passed on early; all at once
+        monkeypatch.setattr(lm, "HELD_WORDS", held)
+        monkeypatch.setattr(lm, "HELD_TEXT", held)
+        out, got = list(lm._count(iter(batches))), collections.Counter()
+        for b in out:
+            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                got[w] += n
+        assert got == want and (len(out) > 1) == (held == 5)
+    assert list(lm._count(iter([]))) == []
+
+
 def test_corpus_scores_and_exact_counts(spark, monkeypatch):
     monkeypatch.setattr(lm, "HELD_WORDS", 50)
     rng = random.Random(2)
